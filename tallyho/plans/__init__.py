@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_FAMILIES = ("text",)
+_FAMILIES = ("text", "linreg")
 
 
 def all_queries() -> dict:

@@ -40,6 +40,7 @@ def build_session(master: str | None = None, app_name: str = "tallyho",
     builder = (
         builder
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -97,3 +98,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver-provided parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster only when its scan is narrower than
+    the default parallelism (e.g. one unsplittable file).  With many input
+    splits, as on a cluster, this adds no shuffle."""
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import text as text_ops
-from ..session import read_table
+from ..session import read_table, spread
 
 # Scaling of the lineitem features and label (keeps the
 # least-squares problem well conditioned) and of the bag-of-words counts.
@@ -23,7 +23,8 @@ DEFAULT_FOLDS = 4
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    """``doc_id, lang, source, text``, spread over the cluster for tokenising."""
+    return spread(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
@@ -39,12 +40,14 @@ def easy_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_ops.word_counts(bench, "text").select("word")
 
 
-def lineitem_points(spark: SparkSession, sf_dir: str, degree: int = 1) -> DataFrame:
+def lineitem_points(spark: SparkSession, sf_dir: str, degree: int = 1,
+                    keys: bool = False) -> DataFrame:
     """``x ARRAY<DOUBLE>, y DOUBLE`` from lineitem.
 
     Base features: quantity/50, discount*10, tax*10; label price/100000.  With
     ``degree=2`` the base features are followed by all products x_i*x_j,
-    i <= j, in row order (the layout of the polynomial fixtures).
+    i <= j, in row order (the layout of the polynomial fixtures).  ``keys``
+    keeps ``l_orderkey, l_linenumber`` in front.
     """
     li = read_table(spark, sf_dir, "lineitem")
     base = [F.col("l_quantity") / LINEITEM_QUANTITY_SCALE,
@@ -55,8 +58,9 @@ def lineitem_points(spark: SparkSession, sf_dir: str, degree: int = 1) -> DataFr
         feats += [base[i] * base[j] for i in range(len(base)) for j in range(i, len(base))]
     elif degree != 1:
         raise ValueError("degree must be 1 or 2")
-    return li.select(F.array(*feats).alias("x"),
-                     (F.col("l_extendedprice") / LINEITEM_PRICE_SCALE).alias("y"))
+    key_cols = ["l_orderkey", "l_linenumber"] if keys else []
+    return spread(li.select(*key_cols, F.array(*feats).alias("x"),
+                            (F.col("l_extendedprice") / LINEITEM_PRICE_SCALE).alias("y")))
 
 
 def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +80,7 @@ def labelled_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     labels = read_table(spark, sf_dir, "labels")
     points = labels.select(F.col("doc_id").alias("id"),
                            F.when(F.col("quality") == 1, 1.0).otherwise(-1.0).alias("y"))
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     labelled = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
     counts = text_ops.word_counts(labelled, "text", by=["doc_id"])
     cells = counts.select(F.col("doc_id").alias("id"), F.col("word").alias("feat"),
