@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_FAMILIES = ("text", "linreg")
+_FAMILIES = ("text", "linreg", "logreg")
 
 
 def all_queries() -> dict:
