@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_FAMILIES = ("text", "linreg", "logreg")
+_FAMILIES = ("text", "linreg", "logreg", "mf")
 
 
 def all_queries() -> dict:
