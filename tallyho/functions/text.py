@@ -31,6 +31,9 @@ SENTENCE_PIECE = r"[^.\n]+"          # maximal run between '.' and line ends
 WORD_PIECE = r"[^ \n]+"              # maximal run between ' ' and line ends
 WORD_SPLIT = r"[ \n]"
 EDGE_NON_LETTERS = r"^\P{L}+|\P{L}+$"
+# One space/line-separated token with its leading and trailing non-letters;
+# group 1 is the normalised word (first letter .. last letter).
+WORD_CORE = r"[^ \n\p{L}]*(\p{L}(?:[^ \n]*\p{L})?)[^ \n\p{L}]*"
 ALPHA_TOKEN = r"(?<![^ ])\p{L}+(?![^ ])"
 # From the first all-letter token of a line to its last one (greedy middle).
 ALPHA_SPAN = ALPHA_TOKEN + r"(?:.*" + ALPHA_TOKEN + r")?"
@@ -56,6 +59,13 @@ def raw_token_array(text: Column | str) -> Column:
     return F.split(F.lower(_col(text)), WORD_SPLIT, -1)
 
 
+def normalised_word_array(text: Column | str) -> Column:
+    """Normalised words (token mode) of ``text`` in one regex pass: each
+    token's span from its first to its last letter; tokens without letters
+    yield nothing."""
+    return F.regexp_extract_all(F.lower(_col(text)), F.lit(WORD_CORE), 1)
+
+
 def line_kept_span(line: Column) -> Column:
     """The part of one line that the line-level stripping rule keeps."""
     return (F.when(line.rlike(ALPHA_TOKEN), F.regexp_extract(line, ALPHA_SPAN, 0))
@@ -72,15 +82,16 @@ def line_span_token_array(text: Column | str) -> Column:
 def token_array(text: Column | str, strip: str = "token") -> Column:
     """Array of tokens to explode before :func:`finish_token`."""
     if strip == "token":
-        return raw_token_array(text)
+        return normalised_word_array(text)
     if strip == "line":
         return line_span_token_array(text)
     raise ValueError(f"strip must be 'token' or 'line', not {strip!r}")
 
 
 def finish_token(token: Column | str, strip: str = "token") -> Column:
-    """Per-token normalisation applied after exploding :func:`token_array`."""
-    return strip_non_alpha(token) if strip == "token" else _col(token)
+    """Per-token step after exploding :func:`token_array` (both modes already
+    produce final words; empties are removed after aggregation)."""
+    return _col(token)
 
 
 def _col(c: Column | str) -> Column:

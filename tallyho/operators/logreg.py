@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import logistic_loss, logistic_weight
-from ..session import DEFAULT_BROADCAST_ROWS, bounded_broadcast, cut_lineage
+from ..session import DEFAULT_BROADCAST_ROWS, DISK_BACKED, bounded_broadcast, cut_lineage
 from .vectors import paired
 
 # Backtracking parameters (Armijo fraction a, shrink factor b).
@@ -224,11 +224,13 @@ def line_search(points: DataFrame, cells: DataFrame, beta: DataFrame, g: DataFra
                 max_backtracks: int = MAX_BACKTRACKS,
                 max_broadcast_rows: int | None = None) -> SearchResult:
     """Backtracking search along -g from beta with one scan for all trial steps."""
-    m = margins(points, cells, beta, max_broadcast_rows)
-    bg = paired(beta, g, "b", "g")
+    cells = cells.select("id", "feat", "x").persist(DISK_BACKED)
+    bg = cut_lineage(paired(beta, g, "b", "g"))
     stats = _pair_stats(bg)
-    mdm = direction_table(m, cells, g.select("feat", "value"), max_broadcast_rows)
+    m = margins(points, cells, bg.select("feat", F.col("b").alias("value")), max_broadcast_rows)
+    mdm = direction_table(m, cells, bg.select("feat", F.col("g").alias("value")), max_broadcast_rows)
     row = line_search_table(mdm, stats, lam, a, b, max_backtracks).first()
+    cells.unpersist()
     return choose_step(row, stats["gg"], a, b, max_backtracks)
 
 
@@ -261,8 +263,8 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
     ``test=(points, cells)`` adds ACC / PRE / REC of each iterate to the
     history.  History reports the gradient norm at the point before the step.
     """
-    points = points.select("id", "y")
-    cells = cells.select("id", "feat", "x")
+    points = points.select("id", "y").persist(DISK_BACKED)
+    cells = cells.select("id", "feat", "x").persist(DISK_BACKED)
     beta = cut_lineage(beta0.select("feat", "value") if beta0 is not None else zero_beta(cells))
     limit = max_broadcast_rows if max_broadcast_rows is not None else DEFAULT_BROADCAST_ROWS
     m = cut_lineage(margins(points, cells, beta, limit))
@@ -296,6 +298,8 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
             acc, pre, rec = mt["acc"], mt["pre"], mt["rec"]
         history.append((k, res.f_new, grad_norm, t, res.backtracks, True, converged, acc, pre, rec))
         k += 1
+    points.unpersist()
+    cells.unpersist()
     return LogRegFit(beta, history, converged, k)
 
 

@@ -252,9 +252,11 @@ def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain
         gamma = gain / it ** power
         U_new = cut_lineage(step_u(J, gamma, lam, d))
         V_new = cut_lineage(step_v(J, gamma, mu, d))
-        s = U_new.agg(F.sum("se").alias("se"), F.sum("old_norm_sq").alias("nu")).first()
-        nv = V_new.agg(F.sum("old_norm_sq").alias("nv")).first()["nv"] or 0.0
-        old, obj = obj, (s["se"] or 0.0) + lam * (s["nu"] or 0.0) + mu * nv
+        none = F.lit(None).cast("double")
+        parts = U_new.select("se", F.col("old_norm_sq").alias("nu"), none.alias("nv")).unionByName(
+            V_new.select(none.alias("se"), none.alias("nu"), F.col("old_norm_sq").alias("nv")))
+        s = parts.agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("se", "nu", "nv")]).first()
+        old, obj = obj, s["se"] + lam * s["nu"] + mu * s["nv"]
         change = abs(obj - old)
         t = rmse(test_r, U, V, d, bu, bv).first()
         J.unpersist()
@@ -272,9 +274,11 @@ def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain
     return MFFit(U, V, history, diverged)
 
 
-def cross_validate(ratings: DataFrame, folds: int | None = None, **kw) -> tuple[DataFrame, list]:
+def cross_validate(ratings: DataFrame, folds: int | None = None, init=None,
+                   **kw) -> tuple[DataFrame, list]:
     """Train on all folds but k and test on fold k, for every fold.
 
+    ``init(train) -> (U0, V0)`` overrides the seeded random profiles.
     Returns (one row ``folds, cv_rmse`` = mean of each fold's last test RMSE,
     per-fold ``(fold, rmse, history)``)."""
     spark = ratings.sparkSession
@@ -284,6 +288,9 @@ def cross_validate(ratings: DataFrame, folds: int | None = None, **kw) -> tuple[
     results = []
     for k in ks:
         tr, te = fold_split(ratings, k)
+        if init is not None:
+            U0, V0 = init(tr)
+            kw = {**kw, "U0": U0, "V0": V0}
         fit = train(tr, te, **kw)
         results.append((k, fit.last_rmse, fit.history))
     ratings.unpersist()

@@ -53,10 +53,12 @@ def _exploded_words(df: DataFrame, text_col: str, by: Sequence[str], strip: str,
         base += [T.sentence_total(text_col).alias("_s0"), T.word_total(text_col).alias("_t0")]
     rows = df.select(*base)
     keep = by + (["_s0", "_t0"] if with_totals else [])
-    rows = rows.select(*keep, F.posexplode("_toks").alias("_pos", "_tok"))
+    # outer: a text without words still contributes its totals (word NULL)
+    gen = F.posexplode_outer if with_totals else F.posexplode
+    rows = rows.select(*keep, gen("_toks").alias("_pos", "_tok"))
     out = [*by, T.finish_token("_tok", strip).alias("word")]
     if with_totals:
-        first = F.col("_pos") == 0
+        first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
         out += [F.when(first, F.col("_s0")).otherwise(F.lit(0)).alias("_s"),
                 F.when(first, F.col("_t0")).otherwise(F.lit(0)).alias("_t")]
     return rows.select(*out)
@@ -66,9 +68,8 @@ def word_counts(df: DataFrame, text_col: str = "text", by: Sequence[str] = (),
                 strip: str = "token") -> DataFrame:
     """``by..., word, n``: occurrences of every normalised word.
 
-    The empty-word group is removed *after* the aggregate so the normalising
-    regex runs once per token (a filter before the aggregate would make
-    Catalyst evaluate it twice).
+    Empty words (line mode) are removed *after* the aggregate, so the
+    tokenising expressions are not re-evaluated by a pushed-down filter.
     """
     words = _exploded_words(df, text_col, by, strip)
     counts = words.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import logreg, vectors
 from ..sources import tables
+from ..session import cut_lineage
 from .common import rounded, sql_round
 from .text import _counts, _words_token
 
@@ -25,7 +26,11 @@ NEVER = 1e-12
 
 
 def _data(spark, sf_dir):
-    return tables.labelled_points(spark, sf_dir)
+    """Points and their bag-of-words cells; the cells (tokenised text) are
+    written once to the checkpoint folder because every query below reads
+    them several times."""
+    points, cells = tables.labelled_points(spark, sf_dir)
+    return points, cut_lineage(cells)
 
 
 def _class_sums(points, cells):

@@ -114,17 +114,9 @@ def q_train(spark, sf_dir):
 
 
 def q_cv_rmse(spark, sf_dir):
-    ratings = _ratings(spark, sf_dir)
-    spark_ = ratings.sparkSession
-    rows = []
-    for k in range(FOLDS):
-        train, test = mf.fold_split(ratings, k)
-        U, V = _init(train)
-        fit = mf.train(train, test, d=D, gain=GAIN, power=POWER, lam=LAM, mu=MU, maxiter=STEPS,
-                       U0=U, V0=V)
-        rows.append(fit.last_rmse)
-    mean = sum(rows) / len(rows)
-    return rounded(spark_.createDataFrame([(FOLDS, mean)], "folds INT, cv_rmse DOUBLE"))
+    summary, _ = mf.cross_validate(_ratings(spark, sf_dir), folds=FOLDS, init=_init, d=D, gain=GAIN,
+                                   power=POWER, lam=LAM, mu=MU, maxiter=STEPS)
+    return rounded(summary)
 
 
 def q_init(spark, sf_dir):
