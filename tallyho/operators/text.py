@@ -53,9 +53,10 @@ def _exploded_words(df: DataFrame, text_col: str, by: Sequence[str], strip: str,
         base += [T.sentence_total(text_col).alias("_s0"), T.word_total(text_col).alias("_t0")]
     rows = df.select(*base)
     keep = by + (["_s0", "_t0"] if with_totals else [])
-    # outer: a text without words still contributes its totals (word NULL)
-    gen = F.posexplode_outer if with_totals else F.posexplode
-    rows = rows.select(*keep, gen("_toks").alias("_pos", "_tok"))
+    # Outer generator: a text without words still yields one row (word NULL)
+    # that carries its totals, and Catalyst infers no ``size(tokens) > 0``
+    # filter, which would evaluate the tokenising regex a second time.
+    rows = rows.select(*keep, F.posexplode_outer("_toks").alias("_pos", "_tok"))
     out = [*by, T.finish_token("_tok", strip).alias("word")]
     if with_totals:
         first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
