@@ -17,9 +17,11 @@ Plan shape per descent iteration (at any scale):
 2. direction per point ``dm = <g, x>``: cells JOIN g on feature (broadcast
    when the number of features is provably small, else a shuffle join
    with AQE skew splitting), partial sums by id.
-3. one aggregate over the points evaluates the loss at every backtracking
-   step t = b^k (k < max_backtracks) from ``m - t*dm``; the regulariser is
-   ``lam (bb - 2t bg + t^2 gg)``.  The first accepted t is taken.
+3. one aggregate evaluates the loss at every backtracking step t = b^k
+   (k < max_backtracks) from ``m - t*dm`` (each point row expanded over a
+   literal array of steps, grouped by step), together with bb, bg, gg over
+   the features; the regulariser ``lam (bb - 2t bg + t^2 gg)`` is added to
+   the max_backtracks sums on the driver.  The first accepted t is taken.
 4. ``beta <- beta - t g`` and ``m <- m - t dm`` (incremental margins, fully
    recomputed every ``refresh_every`` iterations to stop drift).
 
@@ -175,26 +177,51 @@ class SearchResult:
     grad_sq: float            # ||g||^2
 
 
-def line_search_table(mdm: DataFrame, stats: dict, lam: float, a: float = ARMIJO_A,
-                      b: float = SHRINK_B, max_backtracks: int = MAX_BACKTRACKS) -> DataFrame:
-    """One row: ``f0`` and ``l{k}`` = L(beta - b^k g) for every k, from one
-    scan of ``mdm(id, y, margin, dm)`` plus the three scalars bb, bg, gg."""
-    bb, bg, gg = stats["bb"], stats["bg"], stats["gg"]
-    cols = [F.sum(logistic_loss("y", "margin")).alias("f0_data")]
-    for k in range(max_backtracks):
-        t = b ** k
-        cols.append(F.sum(logistic_loss("y", F.col("margin") - F.lit(t) * F.col("dm"))).alias(f"l{k}"))
-    agg = mdm.agg(*cols)
-    out = [(F.coalesce(F.col("f0_data"), F.lit(0.0)) + F.lit(lam * bb)).alias("f0")]
+def trial_losses(mdm: DataFrame, bg: DataFrame, b: float = SHRINK_B,
+                 max_backtracks: int = MAX_BACKTRACKS) -> DataFrame:
+    """``k, loss, bb, bgs, gg`` from ONE aggregate.
+
+    Rows k = 0..max_backtracks-1: data loss at the trial step t = b^k, summed
+    over ``mdm(id, y, margin, dm)`` from ``margin - t*dm``; k = -1: the data
+    loss at t = 0; k = -2: sum b^2, b*g, g^2 over the feature rows ``bg(feat,
+    b, g)``.  Each point row is expanded over a literal array of steps, so the
+    plan has the same size for any number of trials, and the partial
+    aggregate sends only max_backtracks + 2 rows per task to the shuffle.
+    """
+    none = F.lit(None).cast("double")
+    steps = F.array(*[F.lit(0.0)] + [F.lit(b ** k) for k in range(max_backtracks)])
+    trials = mdm.select("y", "margin", "dm", F.posexplode(steps).alias("_p", "_t"))
+    point_rows = trials.select(
+        (F.col("_p") - 1).alias("k"),
+        logistic_loss("y", F.col("margin") - F.col("_t") * F.col("dm")).alias("loss"),
+        none.alias("bb"), none.alias("bgs"), none.alias("gg"))
+    feat_rows = bg.select(
+        F.lit(-2).alias("k"), none.alias("loss"),
+        (F.col("b") * F.col("b")).alias("bb"), (F.col("b") * F.col("g")).alias("bgs"),
+        (F.col("g") * F.col("g")).alias("gg"))
+    return point_rows.unionByName(feat_rows).groupBy("k").agg(
+        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("loss", "bb", "bgs", "gg")])
+
+
+def trial_objectives(trials: DataFrame, lam: float, b: float = SHRINK_B,
+                     max_backtracks: int = MAX_BACKTRACKS) -> dict:
+    """Collect the ``max_backtracks + 2`` rows of :func:`trial_losses` and add
+    the regulariser lam ||beta - t g||^2 = lam (bb - 2t bg + t^2 gg)."""
+    rows = {r["k"]: r for r in trials.collect()}
+    feats = rows.get(-2)
+    bb, bgs, gg = ((feats["bb"], feats["bgs"], feats["gg"]) if feats is not None else (0.0, 0.0, 0.0))
+    out = {"f0": (rows[-1]["loss"] if -1 in rows else 0.0) + lam * bb, "gg": gg}
     for k in range(max_backtracks):
         t = b ** k
-        reg = lam * (bb - 2.0 * t * bg + t * t * gg)
-        out.append((F.coalesce(F.col(f"l{k}"), F.lit(0.0)) + F.lit(reg)).alias(f"l{k}"))
-    return agg.select(*out)
+        data = rows[k]["loss"] if k in rows else 0.0
+        out[f"l{k}"] = data + lam * (bb - 2.0 * t * bgs + t * t * gg)
+    return out
 
 
-def choose_step(row, gg: float, a: float = ARMIJO_A, b: float = SHRINK_B,
+def choose_step(row, gg: float | None = None, a: float = ARMIJO_A, b: float = SHRINK_B,
                 max_backtracks: int = MAX_BACKTRACKS) -> SearchResult:
+    """First k whose L(beta - b^k g) is not above the Armijo line."""
+    gg = float(row["gg"]) if gg is None else gg
     f0 = float(row["f0"])
     for k in range(max_backtracks):
         t = b ** k
@@ -213,12 +240,6 @@ def direction_table(m: DataFrame, cells: DataFrame, g: DataFrame,
         "id", "y", "margin", F.coalesce(F.col("dm"), F.lit(0.0)).alias("dm"))
 
 
-def _pair_stats(bg: DataFrame) -> dict:
-    r = bg.agg(F.sum(F.col("b") * F.col("b")).alias("bb"), F.sum(F.col("b") * F.col("g")).alias("bg"),
-               F.sum(F.col("g") * F.col("g")).alias("gg")).first()
-    return {k: float(r[k] or 0.0) for k in ("bb", "bg", "gg")}
-
-
 def line_search(points: DataFrame, cells: DataFrame, beta: DataFrame, g: DataFrame,
                 lam: float = 0.0, a: float = ARMIJO_A, b: float = SHRINK_B,
                 max_backtracks: int = MAX_BACKTRACKS,
@@ -226,12 +247,11 @@ def line_search(points: DataFrame, cells: DataFrame, beta: DataFrame, g: DataFra
     """Backtracking search along -g from beta with one scan for all trial steps."""
     cells = cells.select("id", "feat", "x").persist(DISK_BACKED)
     bg = cut_lineage(paired(beta, g, "b", "g"))
-    stats = _pair_stats(bg)
     m = margins(points, cells, bg.select("feat", F.col("b").alias("value")), max_broadcast_rows)
     mdm = direction_table(m, cells, bg.select("feat", F.col("g").alias("value")), max_broadcast_rows)
-    row = line_search_table(mdm, stats, lam, a, b, max_backtracks).first()
+    row = trial_objectives(trial_losses(mdm, bg, b, max_backtracks), lam, b, max_backtracks)
     cells.unpersist()
-    return choose_step(row, stats["gg"], a, b, max_backtracks)
+    return choose_step(row, None, a, b, max_backtracks)
 
 
 # ------------------------------------------------------------- training --
@@ -271,26 +291,30 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
     small = None            # decided from the model's support after the first gradient
     k, grad_norm, history, converged = 0, 2 * eps, [], False
     while k < max_iter and grad_norm > eps:
+        # job 1: gradient (cells JOIN weights, partial sums by feature) paired with beta
         g = gradient_from_margins(m, cells, beta, lam)
         bg = cut_lineage(paired(beta, g, "b", "g"))
         if small is None:
             # support = beta's keys + data features; it is the same every iteration
             small = bg.limit(limit + 1).count() <= limit
-        stats = _pair_stats(bg)
-        grad_norm = float(np.sqrt(stats["gg"]))
+        # job 2: per-point direction dm = <g, x>
         mdm = cut_lineage(direction_table(m, cells, bg.select("feat", F.col("g").alias("value")),
                                           broadcast=small))
-        row = line_search_table(mdm, stats, lam, max_backtracks=max_backtracks).first()
-        res = choose_step(row, stats["gg"], max_backtracks=max_backtracks)
+        # job 3: loss at every trial step + bb, bg, gg in one aggregate
+        row = trial_objectives(trial_losses(mdm, bg, max_backtracks=max_backtracks), lam,
+                               max_backtracks=max_backtracks)
+        res = choose_step(row, None, max_backtracks=max_backtracks)
+        grad_norm = float(np.sqrt(res.grad_sq))
         if not res.accepted:
             history.append((k, res.f0, grad_norm, 0.0, res.backtracks, False, False, None, None, None))
             break
         t = res.t
-        beta = cut_lineage(bg.select("feat", (F.col("b") - F.lit(t) * F.col("g")).alias("value")))
+        # beta and margins stay projections of this iteration's two checkpoints
+        beta = bg.select("feat", (F.col("b") - F.lit(t) * F.col("g")).alias("value"))
         if refresh_every and (k + 1) % refresh_every == 0:
             m = cut_lineage(margins(points, cells, beta, broadcast=small))
         else:
-            m = cut_lineage(mdm.select("id", "y", (F.col("margin") - F.lit(t) * F.col("dm")).alias("margin")))
+            m = mdm.select("id", "y", (F.col("margin") - F.lit(t) * F.col("dm")).alias("margin"))
         converged = grad_norm < eps
         acc = pre = rec = None
         if test is not None:

@@ -41,8 +41,9 @@ def _class_sums(points, cells):
 
 
 def _fixed_beta(points, cells):
+    """``0.01 * (a - b)``, materialised: the model is read by several joins."""
     a, b = _class_sums(points, cells)
-    return vectors.vec_scale(vectors.vec_sub(a, b), BETA_SCALE)
+    return cut_lineage(vectors.vec_scale(vectors.vec_sub(a, b), BETA_SCALE))
 
 
 def q_vec_add(spark, sf_dir):
