@@ -107,7 +107,7 @@ def mf_check(ratings: DataFrame, U: DataFrame, V: DataFrame, d: int, lam: float
         shifted = F.col("delta") + F.lit(delta) * vk
         aggs.append(F.sum(F.lit(2.0) * F.col("delta") * vk).alias(f"a{k}"))
         aggs.append(F.sum(shifted * shifted - F.col("delta") * F.col("delta")).alias(f"n{k}"))
-    per_user = J.groupBy("i").agg(F.first("u").alias("u"), *aggs)
+    per_user = J.groupBy("i").agg(*aggs).join(U.select("i", "u"), "i")
     rows = []
     for k in range(d):
         uk = F.col("u").getItem(k)

@@ -160,28 +160,35 @@ def objective(J: DataFrame, U: DataFrame, V: DataFrame, d: int, lam: float = 0.0
                       .alias("objective"))
 
 
-def _step(J: DataFrame, key: str, own: str, other: str, gamma: float, reg: float, d: int) -> DataFrame:
-    aggs = [F.first(own).alias(own)]
-    aggs += [F.sum(F.lit(2.0) * F.col("delta") * F.col(other).getItem(k)).alias(f"_g{k}")
-             for k in range(d)]
+def _step(J: DataFrame, profiles: DataFrame, key: str, own: str, other: str, gamma: float,
+          reg: float, d: int, broadcast: bool | None) -> DataFrame:
+    # fixed-width sums only, so Spark uses a hash aggregate with partial sums
+    aggs = [F.sum(F.lit(2.0) * F.col("delta") * F.col(other).getItem(k)).alias(f"_g{k}")
+            for k in range(d)]
     aggs.append(F.sum(F.col("delta") * F.col("delta")).alias("se"))
     per = J.groupBy(key).agg(*aggs)
+    # the old profile comes from the profile table (one row per key), not
+    # from the joined ratings
+    joined = per.join(_side(profiles.select(key, own), broadcast, None), key)
     shrink = gamma * 2 * reg
     new = [F.col(own).getItem(k) - F.lit(gamma) * F.col(f"_g{k}") - F.lit(shrink) * F.col(own).getItem(k)
            for k in range(d)]
-    return per.select(key, F.array(*new).alias(own), "se",
-                      column_dot(own, own, d).alias("old_norm_sq"))
+    return joined.select(key, F.array(*new).alias(own), "se",
+                         column_dot(own, own, d).alias("old_norm_sq"))
 
 
-def step_u(J: DataFrame, gamma: float, lam: float, d: int) -> DataFrame:
-    """``i, u, se, old_norm_sq``: u - gamma * sum(2 delta v) - 2 gamma lam u,
-    plus that user's squared error and ||u||^2 before the step."""
-    return _step(J, "i", "u", "v", gamma, lam, d)
+def step_u(J: DataFrame, U: DataFrame, gamma: float, lam: float, d: int,
+           broadcast: bool | None = None) -> DataFrame:
+    """``i, u, se, old_norm_sq``: u - gamma * sum(2 delta v) - 2 gamma lam u
+    for every user with ratings in ``J``, plus that user's squared error and
+    ||u||^2 before the step."""
+    return _step(J, U, "i", "u", "v", gamma, lam, d, broadcast)
 
 
-def step_v(J: DataFrame, gamma: float, mu: float, d: int) -> DataFrame:
+def step_v(J: DataFrame, V: DataFrame, gamma: float, mu: float, d: int,
+           broadcast: bool | None = None) -> DataFrame:
     """``j, v, se, old_norm_sq``: the item-side update with mu."""
-    return _step(J, "j", "v", "u", gamma, mu, d)
+    return _step(J, V, "j", "v", "u", gamma, mu, d, broadcast)
 
 
 def rmse(test: DataFrame, U: DataFrame, V: DataFrame, d: int,
@@ -250,8 +257,8 @@ def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain
         it += 1
         J = join_predict(train_r, U, V, d, bu, bv).persist(DISK_BACKED)
         gamma = gain / it ** power
-        U_new = cut_lineage(step_u(J, gamma, lam, d))
-        V_new = cut_lineage(step_v(J, gamma, mu, d))
+        U_new = cut_lineage(step_u(J, U, gamma, lam, d, bu))
+        V_new = cut_lineage(step_v(J, V, gamma, mu, d, bv))
         none = F.lit(None).cast("double")
         parts = U_new.select("se", F.col("old_norm_sq").alias("nu"), none.alias("nv")).unionByName(
             V_new.select(none.alias("se"), none.alias("nu"), F.col("old_norm_sq").alias("nv")))

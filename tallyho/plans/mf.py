@@ -88,14 +88,14 @@ def q_objective(spark, sf_dir):
 def q_step_u(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
     U, V = _init(train)
-    new = mf.step_u(mf.join_predict(train, U, V, D), GAIN, LAM, D)
+    new = mf.step_u(mf.join_predict(train, U, V, D), U, GAIN, LAM, D)
     return rounded(mf.expand(new, D, "i", "u", "u"))
 
 
 def q_step_v(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
     U, V = _init(train)
-    new = mf.step_v(mf.join_predict(train, U, V, D), GAIN, MU, D)
+    new = mf.step_v(mf.join_predict(train, U, V, D), V, GAIN, MU, D)
     return rounded(mf.expand(new, D, "j", "v", "v"))
 
 

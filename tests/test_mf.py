@@ -67,7 +67,7 @@ def test_unseen_users_and_repeated_pairs(spark):
     r = mf.rmse(test, U, V, 1).first()
     assert (r["n_test"], r["n_scored"]) == (2, 1)
     assert r["rmse"] == pytest.approx(0.0) and r["rmse_scored"] == pytest.approx(0.0)
-    new = {x["i"]: x["u"][0] for x in mf.step_u(J, 0.1, 0.5, 1).collect()}
+    new = {x["i"]: x["u"][0] for x in mf.step_u(J, U, 0.1, 0.5, 1).collect()}
     # u0 = 1 - 0.1 * (2*(1)*2 + 2*(-1)*2) - 0.1*2*0.5*1
     assert new[0] == pytest.approx(1.0 - 0.1 * 0.0 - 0.1)
 
