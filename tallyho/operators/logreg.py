@@ -160,6 +160,15 @@ def gradient_from_margins(m: DataFrame, cells: DataFrame, beta: DataFrame,
     return data.unionByName(reg).groupBy("feat").agg(F.sum("value").alias("value"))
 
 
+def cell_gradients(points: DataFrame, cells: DataFrame, beta: DataFrame,
+                   max_broadcast_rows: int | None = None) -> DataFrame:
+    """``id, feat, value``: each point's loss gradient -y/(1+exp(y<b,x>)) x,
+    one row per non-zero feature of the point."""
+    m = margins(points, cells, beta, max_broadcast_rows)
+    w = m.select("id", logistic_weight("y", "margin").alias("_w"))
+    return cells.join(w, "id").select("id", "feat", (F.col("_w") * F.col("x")).alias("value"))
+
+
 def gradient(points: DataFrame, cells: DataFrame, beta: DataFrame, lam: float = 0.0,
              max_broadcast_rows: int | None = None) -> DataFrame:
     return gradient_from_margins(margins(points, cells, beta, max_broadcast_rows), cells, beta, lam)

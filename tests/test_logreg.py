@@ -141,3 +141,23 @@ def test_spark_ml_reaches_a_no_better_optimum(spark):
                                  "feat STRING, value DOUBLE")
     theirs = logreg.loss(points, cells, coef, lam).first()["loss"]
     assert ours == pytest.approx(theirs, rel=1e-6)
+
+
+def test_cell_gradients_sum_to_gradient(spark):
+    points, cells = _toy(spark)
+    beta = spark.createDataFrame([("a", 0.5), ("c", -1.0)], "feat STRING, value DOUBLE")
+    per_cell = logreg.cell_gradients(points, cells, beta).groupBy("feat").agg(F.sum("value").alias("v"))
+    got = {r["feat"]: r["v"] for r in per_cell.collect()}
+    full = {r["feat"]: r["value"] for r in logreg.gradient(points, cells, beta, 0.0).collect()}
+    for f, v in got.items():
+        assert v == pytest.approx(full[f], abs=1e-12)
+
+
+def test_training_is_partition_invariant(spark):
+    points, cells = tables.labelled_points(spark, SMALL)
+    a = logreg.train(points, cells, lam=0.1, max_iter=2, eps=1e-12)
+    b = logreg.train(points.repartition(3), cells.repartition(5), lam=0.1, max_iter=2, eps=1e-12)
+    va = {r["feat"]: r["value"] for r in a.beta.collect()}
+    vb = {r["feat"]: r["value"] for r in b.beta.collect()}
+    assert va.keys() == vb.keys()
+    assert max(abs(va[k] - vb[k]) for k in va) < 1e-12
