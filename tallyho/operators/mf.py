@@ -120,7 +120,8 @@ def _side(df: DataFrame, broadcast: bool | None, max_rows: int | None) -> DataFr
         return F.broadcast(df)
     if broadcast is False:
         return df
-    return bounded_broadcast(df, max_rows if max_rows is not None else DEFAULT_BROADCAST_ROWS)
+    return bounded_broadcast(df, max_rows if max_rows is not None else DEFAULT_BROADCAST_ROWS,
+                             materialize=True)
 
 
 def join_predict(ratings: DataFrame, U: DataFrame, V: DataFrame, d: int,

@@ -96,7 +96,7 @@ def easy_word_set(words: DataFrame, word_col: str = "word",
                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Distinct easy words as a join side, broadcast only when provably small."""
     easy = words.select(F.col(word_col).alias("word")).distinct()
-    return bounded_broadcast(easy, max_broadcast_rows)
+    return bounded_broadcast(easy, max_broadcast_rows, materialize=True)
 
 
 def difficult_words(counts: DataFrame, easy: DataFrame,

@@ -84,12 +84,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      materialize: bool = False) -> DataFrame:
     """Hint ``df`` for broadcast iff it holds at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows, so it is cheap even when the
     answer is "no"; beyond the bound the caller's join stays a shuffle join.
+    ``materialize`` first writes a *derived* side (an aggregate that must be
+    computed in full anyway) as a checkpoint, so the check and the join read
+    the same written rows instead of computing them twice.
     """
+    if materialize:
+        df = cut_lineage(df)
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
