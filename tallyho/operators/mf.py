@@ -36,10 +36,11 @@ SIDE_SALT = {"user": 1, "item": 2}
 # --------------------------------------------------------------- basics --
 
 def distinct_ids(ratings: DataFrame) -> DataFrame:
-    """``kind, id``: distinct users (kind 'user') and items (kind 'item')."""
-    users = ratings.select(F.lit("user").alias("kind"), F.col("i").alias("id")).distinct()
-    items = ratings.select(F.lit("item").alias("kind"), F.col("j").alias("id")).distinct()
-    return users.unionByName(items)
+    """``kind, id``: distinct users (kind 'user') and items (kind 'item'),
+    from one scan with grouping sets (i) and (j)."""
+    g = ratings.groupingSets([["i"], ["j"]], "i", "j").agg(F.grouping_id().alias("_gid"))
+    return g.select(F.when(F.col("_gid") == 1, F.lit("user")).otherwise(F.lit("item")).alias("kind"),
+                    F.coalesce(F.col("i"), F.col("j")).alias("id"))
 
 
 def fold_split(ratings: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -50,23 +51,25 @@ def fold_split(ratings: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 def fold_counts(ratings: DataFrame) -> DataFrame:
     """``fold, n_train, n_test, n_users, n_items`` for every fold held out.
 
-    No data is replicated per fold: a user is missing from the training set
-    of fold k exactly when all of their ratings are in fold k, so one
-    group-by per side gives every fold's distinct counts.  The three global
-    totals are scalars computed by one aggregate."""
-    per_user = ratings.groupBy("i").agg(F.min("fold").alias("f"), F.max("fold").alias("g"))
-    per_item = ratings.groupBy("j").agg(F.min("fold").alias("f"), F.max("fold").alias("g"))
-    n_all = ratings.count()
-    n_users = per_user.count()
-    n_items = per_item.count()
+    One scan: grouping sets (i), (j), (fold) give each user's and item's
+    first and last fold and each fold's size; that summary (users + items +
+    folds rows) is written once and everything else is derived from it.  No
+    data is replicated per fold: a user is missing from the training set of
+    fold k exactly when all of their ratings are in fold k."""
+    summary = cut_lineage(ratings.groupingSets([["i"], ["j"], ["fold"]], "i", "j", "fold").agg(
+        F.grouping_id().alias("_gid"), F.min("fold").alias("f"), F.max("fold").alias("g"),
+        F.count(F.lit(1)).alias("n")))
+    gid = F.col("_gid")
+    users, items, folds = summary.filter(gid == 3), summary.filter(gid == 5), summary.filter(gid == 6)
+    n_users, n_items = users.count(), items.count()
+    n_all = folds.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     def lone(per, name):
         return per.filter(F.col("f") == F.col("g")).groupBy(F.col("f").alias("fold")).agg(
             F.count(F.lit(1)).alias(name))
 
-    per_fold = ratings.groupBy("fold").agg(F.count(F.lit(1)).alias("n_test"))
-    out = per_fold.join(lone(per_user, "lone_i"), "fold", "left").join(
-        lone(per_item, "lone_j"), "fold", "left")
+    out = folds.select("fold", F.col("n").alias("n_test")).join(
+        lone(users, "lone_i"), "fold", "left").join(lone(items, "lone_j"), "fold", "left")
     return out.select(
         "fold", (F.lit(n_all) - F.col("n_test")).alias("n_train"), "n_test",
         (F.lit(n_users) - F.coalesce(F.col("lone_i"), F.lit(0))).alias("n_users"),
