@@ -36,17 +36,22 @@ def build_session(master: str | None = None, app_name: str = "tallyho",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cores = os.cpu_count() or 8
+    if shuffle_partitions is None and (master or "").startswith("local"):
+        shuffle_partitions = os.cpu_count() or 8
+    if shuffle_partitions is not None:
+        # on a cluster leave the cluster's setting: AQE coalesces from there
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
         builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # per-iteration checkpoints are deleted once nothing references them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
