@@ -151,10 +151,18 @@ def loss_from_margins(m: DataFrame, beta: DataFrame, lam: float = 0.0) -> DataFr
 
 
 def gradient_from_margins(m: DataFrame, cells: DataFrame, beta: DataFrame,
-                          lam: float = 0.0) -> DataFrame:
+                          lam: float = 0.0, broadcast_points: bool | None = False) -> DataFrame:
     """``feat, value``: sum over cells of -y/(1+exp(y m)) x, plus 2 lam beta,
-    over the union of the data's features and beta's."""
+    over the union of the data's features and beta's.
+
+    The per-point weights join the cells by id: broadcast when the number of
+    points is known (``True``) or checked (``None``) to be small, otherwise a
+    shuffle join in which AQE splits a document that holds many cells."""
     w = m.select("id", logistic_weight("y", "margin").alias("_w"))
+    if broadcast_points is None:
+        w = bounded_broadcast(w, DEFAULT_BROADCAST_ROWS, materialize=True)
+    elif broadcast_points:
+        w = F.broadcast(w)
     data = cells.join(w, "id").groupBy("feat").agg(F.sum(F.col("_w") * F.col("x")).alias("value"))
     reg = beta.select("feat", (F.lit(2.0 * lam) * F.col("value")).alias("value"))
     return data.unionByName(reg).groupBy("feat").agg(F.sum("value").alias("value"))
@@ -171,7 +179,8 @@ def cell_gradients(points: DataFrame, cells: DataFrame, beta: DataFrame,
 
 def gradient(points: DataFrame, cells: DataFrame, beta: DataFrame, lam: float = 0.0,
              max_broadcast_rows: int | None = None) -> DataFrame:
-    return gradient_from_margins(margins(points, cells, beta, max_broadcast_rows), cells, beta, lam)
+    return gradient_from_margins(margins(points, cells, beta, max_broadcast_rows), cells, beta, lam,
+                                 broadcast_points=None)
 
 
 # ---------------------------------------------------------- line search --
@@ -297,11 +306,12 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
     beta = cut_lineage(beta0.select("feat", "value") if beta0 is not None else zero_beta(cells))
     limit = max_broadcast_rows if max_broadcast_rows is not None else DEFAULT_BROADCAST_ROWS
     m = cut_lineage(margins(points, cells, beta, limit))
+    few_points = m.limit(limit + 1).count() <= limit     # point count never changes
     small = None            # decided from the model's support after the first gradient
     k, grad_norm, history, converged = 0, 2 * eps, [], False
     while k < max_iter and grad_norm > eps:
         # job 1: gradient (cells JOIN weights, partial sums by feature) paired with beta
-        g = gradient_from_margins(m, cells, beta, lam)
+        g = gradient_from_margins(m, cells, beta, lam, broadcast_points=few_points)
         bg = cut_lineage(paired(beta, g, "b", "g"))
         if small is None:
             # support = beta's keys + data features; it is the same every iteration

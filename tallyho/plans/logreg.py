@@ -34,9 +34,15 @@ def _data(spark, sf_dir):
 
 
 def _class_sums(points, cells):
+    """(a, b): per-feature sums of x over the positive / negative points,
+    each holding only the features that occur in its class.  One aggregate,
+    written once (both vectors are read by several joins)."""
     joined = cells.join(points, "id")
-    a = joined.filter(F.col("y") > 0).groupBy("feat").agg(F.sum("x").alias("value"))
-    b = joined.filter(F.col("y") < 0).groupBy("feat").agg(F.sum("x").alias("value"))
+    both = cut_lineage(joined.groupBy("feat").agg(
+        F.sum(F.when(F.col("y") > 0, F.col("x"))).alias("pos"),
+        F.sum(F.when(F.col("y") < 0, F.col("x"))).alias("neg")))
+    a = both.filter(F.col("pos").isNotNull()).select("feat", F.col("pos").alias("value"))
+    b = both.filter(F.col("neg").isNotNull()).select("feat", F.col("neg").alias("value"))
     return a, b
 
 
