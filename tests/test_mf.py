@@ -105,6 +105,9 @@ def test_cross_validate_mean(spark):
     row = summary.first()
     assert row["folds"] == 4
     assert row["cv_rmse"] == pytest.approx(sum(r for _, r, _ in per_fold) / 4)
+    # folds trained concurrently give the same numbers
+    summary2, per_fold2 = mf.cross_validate(R, folds=4, d=2, maxiter=2, seed=9, parallelism=4)
+    assert [r for _, r, _ in per_fold2] == [r for _, r, _ in per_fold]
 
 
 def test_fit_all_writes_factors(spark, tmp_out):
