@@ -31,11 +31,19 @@ DISK_BACKED = StorageLevel.MEMORY_AND_DISK
 
 
 def build_session(master: str | None = None, app_name: str = "tallyho",
-                  shuffle_partitions: int | None = None) -> SparkSession:
-    """Return (or create) a session configured the way the operators expect."""
+                  shuffle_partitions: int | None = None,
+                  driver_memory: str | None = None) -> SparkSession:
+    """Return (or create) a session configured the way the operators expect.
+
+    On a local master the driver JVM is the only executor, so its heap is
+    sized explicitly (``driver_memory``, default ``$TALLYHO_DRIVER_MEMORY`` or
+    16g); on a cluster the cluster's own settings are left alone."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if (master or "").startswith("local"):
+        memory = driver_memory or os.environ.get("TALLYHO_DRIVER_MEMORY", "16g")
+        builder = builder.config("spark.driver.memory", memory)
     if shuffle_partitions is None and (master or "").startswith("local"):
         shuffle_partitions = os.cpu_count() or 8
     if shuffle_partitions is not None:
