@@ -70,7 +70,13 @@ def main(argv):
     wanted = argv[2:]
     from __spark_entry__ import oracle_sql, queries
     from tallyho.session import build_session
-    spark = build_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        # what a harness typically builds: defaults only (1 GB heap)
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     qs, oracles = queries(), oracle_sql()
     bad = 0
