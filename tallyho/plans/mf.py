@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import mf
 from ..sources import tables
+from ..session import cut_lineage
 from .common import rounded, sql_round
 
 D = 10
@@ -28,7 +29,9 @@ INIT_SCALE = 0.1
 
 
 def _ratings(spark, sf_dir):
-    return tables.lineitem_ratings(spark, sf_dir, FOLDS)
+    """The derived ratings (lineitem JOIN orders), written once: the initial
+    profiles, the training set and the test set all read them."""
+    return cut_lineage(tables.lineitem_ratings(spark, sf_dir, FOLDS))
 
 
 def _split(spark, sf_dir):
