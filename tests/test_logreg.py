@@ -161,3 +161,12 @@ def test_training_is_partition_invariant(spark):
     vb = {r["feat"]: r["value"] for r in b.beta.collect()}
     assert va.keys() == vb.keys()
     assert max(abs(va[k] - vb[k]) for k in va) < 1e-12
+
+
+def test_history_table(spark):
+    points, cells = tables.labelled_points(spark, SMALL)
+    fit = logreg.train(points, cells, lam=0.1, max_iter=2, eps=1e-12)
+    h = fit.history_df(spark).orderBy("k").collect()
+    assert [r["k"] for r in h] == [0, 1]
+    assert all(r["accepted"] and 0 < r["step"] <= 1 for r in h)
+    assert h[0]["grad_norm_before_step"] > 0

@@ -116,3 +116,13 @@ def test_fit_all_writes_factors(spark, tmp_out):
     fit = mf.fit_all(R, output=f"{tmp_out}/model", d=2, maxiter=1, seed=2)
     U, V = read_factors(spark, f"{tmp_out}/model")
     assert U.count() == fit.U.count() and V.count() == fit.V.count()
+
+
+def test_history_table(spark):
+    R = tables.lineitem_ratings(spark, SMALL)
+    train, test = mf.fold_split(R, 1)
+    fit = mf.train(train, test, d=2, maxiter=3, seed=4)
+    h = fit.history_df(spark).orderBy("iteration").collect()
+    assert [r["iteration"] for r in h] == [1, 2, 3]
+    assert all(r["test_rmse"] is not None and r["test_rmse_scored"] >= r["test_rmse"] - 1e-12 for r in h)
+    assert h[0]["gamma"] == pytest.approx(0.001) and h[1]["gamma"] == pytest.approx(0.001 / 2 ** 0.2)
