@@ -104,22 +104,42 @@ def _dim_side(vec: DataFrame, max_rows: int | None, broadcast: bool | None) -> D
     return bounded_broadcast(vec, max_rows if max_rows is not None else DEFAULT_BROADCAST_ROWS)
 
 
+def _cell_products(cells: DataFrame, vec: DataFrame, max_broadcast_rows: int | None,
+                   broadcast: bool | None) -> DataFrame:
+    """``id, c`` = x * vec[feat] for every cell whose feature is in ``vec``."""
+    side = _dim_side(vec.select("feat", F.col("value").alias("_v")), max_broadcast_rows, broadcast)
+    return cells.join(side, "feat").select("id", (F.col("x") * F.col("_v")).alias("c"))
+
+
 def per_point_dot(cells: DataFrame, vec: DataFrame, name: str,
                   max_broadcast_rows: int | None = None,
                   broadcast: bool | None = None) -> DataFrame:
     """``id, <name>``: <vec, x> per point id that shares a feature with vec."""
-    side = _dim_side(vec.select("feat", F.col("value").alias("_v")), max_broadcast_rows, broadcast)
-    return cells.join(side, "feat").groupBy("id").agg(
-        F.sum(F.col("x") * F.col("_v")).alias(name))
+    return _cell_products(cells, vec, max_broadcast_rows, broadcast).groupBy("id").agg(
+        F.sum("c").alias(name))
+
+
+def _with_dot(rows: DataFrame, keep: list, cells: DataFrame, vec: DataFrame, name: str,
+              max_broadcast_rows: int | None, broadcast: bool | None) -> DataFrame:
+    """``keep..., name``: per-point rows plus <vec, x> (0 when no common key).
+
+    The point rows and the per-cell products are unioned and summed by id in
+    ONE aggregate (partial sums per task, one shuffle keyed by id) instead of
+    an aggregate followed by an outer join back to the points."""
+    none = F.lit(None).cast("double")
+    own = rows.select("id", *keep, F.lit(0.0).alias("c"))
+    prods = _cell_products(cells, vec, max_broadcast_rows, broadcast).select(
+        "id", *[none.alias(k) for k in keep], "c")
+    out = own.unionByName(prods).groupBy("id").agg(
+        *[F.max(k).alias(k) for k in keep], F.sum("c").alias(name))
+    return out.filter(F.col(keep[0]).isNotNull())       # ids of the points only
 
 
 def margins(points: DataFrame, cells: DataFrame, beta: DataFrame,
             max_broadcast_rows: int | None = None, broadcast: bool | None = None) -> DataFrame:
     """``id, y, margin``: <beta, x> for every point; 0 for points that share
     no feature with beta (absent entries are 0, so no point is dropped)."""
-    dots = per_point_dot(cells, beta, "margin", max_broadcast_rows, broadcast)
-    return points.select("id", "y").join(dots, "id", "left").select(
-        "id", "y", F.coalesce(F.col("margin"), F.lit(0.0)).alias("margin"))
+    return _with_dot(points, ["y"], cells, beta, "margin", max_broadcast_rows, broadcast)
 
 
 def dot_sparse(cells: DataFrame, vec: DataFrame, points: DataFrame,
@@ -150,10 +170,11 @@ def loss_from_margins(m: DataFrame, beta: DataFrame, lam: float = 0.0) -> DataFr
     return agg.withColumn("loss", F.col("data_loss") + F.lit(float(lam)) * F.col("norm_sq"))
 
 
-def gradient_from_margins(m: DataFrame, cells: DataFrame, beta: DataFrame,
-                          lam: float = 0.0, broadcast_points: bool | None = False) -> DataFrame:
-    """``feat, value``: sum over cells of -y/(1+exp(y m)) x, plus 2 lam beta,
-    over the union of the data's features and beta's.
+def gradient_pairs(m: DataFrame, cells: DataFrame, beta: DataFrame, lam: float = 0.0,
+                   broadcast_points: bool | None = False) -> DataFrame:
+    """``feat, b, g``: the model and its gradient side by side, over the union
+    of the data's features and beta's (absent = 0), from ONE aggregate:
+    beta rows contribute (b, 2 lam b), cell rows (0, -y/(1+exp(y m)) x).
 
     The per-point weights join the cells by id: broadcast when the number of
     points is known (``True``) or checked (``None``) to be small, otherwise a
@@ -163,9 +184,18 @@ def gradient_from_margins(m: DataFrame, cells: DataFrame, beta: DataFrame,
         w = bounded_broadcast(w, DEFAULT_BROADCAST_ROWS, materialize=True)
     elif broadcast_points:
         w = F.broadcast(w)
-    data = cells.join(w, "id").groupBy("feat").agg(F.sum(F.col("_w") * F.col("x")).alias("value"))
-    reg = beta.select("feat", (F.lit(2.0 * lam) * F.col("value")).alias("value"))
-    return data.unionByName(reg).groupBy("feat").agg(F.sum("value").alias("value"))
+    data = cells.join(w, "id").select("feat", F.lit(0.0).alias("b"),
+                                      (F.col("_w") * F.col("x")).alias("g"))
+    model = beta.select("feat", F.col("value").alias("b"),
+                        (F.lit(2.0 * lam) * F.col("value")).alias("g"))
+    return model.unionByName(data).groupBy("feat").agg(F.sum("b").alias("b"), F.sum("g").alias("g"))
+
+
+def gradient_from_margins(m: DataFrame, cells: DataFrame, beta: DataFrame,
+                          lam: float = 0.0, broadcast_points: bool | None = False) -> DataFrame:
+    """``feat, value``: sum over cells of -y/(1+exp(y m)) x, plus 2 lam beta."""
+    return gradient_pairs(m, cells, beta, lam, broadcast_points).select(
+        "feat", F.col("g").alias("value"))
 
 
 def cell_gradients(points: DataFrame, cells: DataFrame, beta: DataFrame,
@@ -253,9 +283,7 @@ def direction_table(m: DataFrame, cells: DataFrame, g: DataFrame,
                     max_broadcast_rows: int | None = None,
                     broadcast: bool | None = None) -> DataFrame:
     """``id, y, margin, dm`` with dm = <g, x> (0 when no common feature)."""
-    dm = per_point_dot(cells, g, "dm", max_broadcast_rows, broadcast)
-    return m.join(dm, "id", "left").select(
-        "id", "y", "margin", F.coalesce(F.col("dm"), F.lit(0.0)).alias("dm"))
+    return _with_dot(m, ["y", "margin"], cells, g, "dm", max_broadcast_rows, broadcast)
 
 
 def line_search(points: DataFrame, cells: DataFrame, beta: DataFrame, g: DataFrame,
@@ -310,9 +338,8 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
     small = None            # decided from the model's support after the first gradient
     k, grad_norm, history, converged = 0, 2 * eps, [], False
     while k < max_iter and grad_norm > eps:
-        # job 1: gradient (cells JOIN weights, partial sums by feature) paired with beta
-        g = gradient_from_margins(m, cells, beta, lam, broadcast_points=few_points)
-        bg = cut_lineage(paired(beta, g, "b", "g"))
+        # job 1: gradient (cells JOIN weights) and beta, summed by feature in one aggregate
+        bg = cut_lineage(gradient_pairs(m, cells, beta, lam, broadcast_points=few_points))
         if small is None:
             # support = beta's keys + data features; it is the same every iteration
             small = bg.limit(limit + 1).count() <= limit
