@@ -259,7 +259,12 @@ def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain
     it, change, obj, history, diverged = 0, 1e99, 1e99, [], False
     while it < maxiter and change > epsilon:
         it += 1
-        J = join_predict(train_r, U, V, d, bu, bv).persist(DISK_BACKED)
+        J = join_predict(train_r, U, V, d, bu, bv)
+        # Both profile sides broadcast: J is a map-side projection of the
+        # persisted ratings, cheaper to recompute than to cache.  Otherwise
+        # (shuffle joins, the large case) both aggregates read one copy.
+        if not (bu and bv):
+            J = J.persist(DISK_BACKED)
         gamma = gain / it ** power
         U_new = cut_lineage(step_u(J, U, gamma, lam, d, bu))
         V_new = cut_lineage(step_v(J, V, gamma, mu, d, bv))
