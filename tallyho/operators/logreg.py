@@ -293,8 +293,10 @@ def line_search(points: DataFrame, cells: DataFrame, beta: DataFrame, g: DataFra
     """Backtracking search along -g from beta with one scan for all trial steps."""
     cells = cells.select("id", "feat", "x").persist(DISK_BACKED)
     bg = cut_lineage(paired(beta, g, "b", "g"))
-    m = margins(points, cells, bg.select("feat", F.col("b").alias("value")), max_broadcast_rows)
-    mdm = direction_table(m, cells, bg.select("feat", F.col("g").alias("value")), max_broadcast_rows)
+    limit = max_broadcast_rows if max_broadcast_rows is not None else DEFAULT_BROADCAST_ROWS
+    small = bg.limit(limit + 1).count() <= limit         # beta and g share this support
+    m = margins(points, cells, bg.select("feat", F.col("b").alias("value")), broadcast=small)
+    mdm = direction_table(m, cells, bg.select("feat", F.col("g").alias("value")), broadcast=small)
     row = trial_objectives(trial_losses(mdm, bg, b, max_backtracks), lam, b, max_backtracks)
     cells.unpersist()
     return choose_step(row, None, a, b, max_backtracks)
