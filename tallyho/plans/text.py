@@ -41,6 +41,11 @@ def q_top_words(spark, sf_dir):
     return ops.top_words(ops.word_counts(_docs(spark, sf_dir), "text"), TOP_K)
 
 
+def q_top_words_by_lang(spark, sf_dir):
+    counts = ops.word_counts(_docs(spark, sf_dir), "text", by=["lang"])
+    return ops.top_words(counts, TOP_K, by=["lang"])
+
+
 def q_difficult_words(spark, sf_dir):
     counts = ops.word_counts(_docs(spark, sf_dir), "text")
     return ops.difficult_words(counts, tables.easy_words(spark, sf_dir))
@@ -66,6 +71,7 @@ QUERIES = {
     "word_counts": q_word_counts,
     "word_counts_line": q_word_counts_line,
     "top_words": q_top_words,
+    "top_words_by_lang": q_top_words_by_lang,
     "difficult_words": q_difficult_words,
     "difficult_word_count": q_difficult_word_count,
     "dale_chall": q_dale_chall,
@@ -142,6 +148,11 @@ ORACLE = {
     "word_counts": f"SELECT word, n FROM {_counts(_words_token('documents'))}",
     "word_counts_line": f"SELECT word, n FROM {_counts(_words_line('documents'))}",
     "top_words": f"SELECT word, n FROM {_counts(_words_token('documents'))} ORDER BY n DESC, word LIMIT {TOP_K}",
+    "top_words_by_lang": (
+        "SELECT lang, word, n, CAST(rank AS INTEGER) AS rank FROM ("
+        "SELECT lang, word, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS rank "
+        f"FROM {_counts(_words_token('(SELECT lang, text FROM documents)', 'lang'), 'lang')}) "
+        f"WHERE rank <= {TOP_K}"),
     "difficult_words": (
         f"SELECT word, n FROM {_counts(_words_token('documents'))} w "
         f"WHERE NOT EXISTS (SELECT 1 FROM {_easy()} e WHERE e.word = w.word)"),
