@@ -65,6 +65,12 @@ def q_gd(spark, sf_dir):
     return rounded(fit.beta_df(spark))
 
 
+def q_gd_poly(spark, sf_dir):
+    pts = tables.lineitem_points(spark, sf_dir, degree=2)
+    fit = linreg.train_gd(pts, lam=GD_LAM, max_iter=STEPS, eps=NEVER, d=D * (D + 3) // 2)
+    return rounded(fit.beta_df(spark))
+
+
 def q_fw(spark, sf_dir):
     fit = linreg.train_fw(_points(spark, sf_dir), K=FW_K, max_iter=STEPS, eps=NEVER, d=D)
     return rounded(fit.beta_df(spark))
@@ -83,6 +89,7 @@ QUERIES = {
     "linreg_exact_step": q_exact_step,
     "linreg_mse": q_mse,
     "linreg_gd": q_gd,
+    "linreg_gd_poly": q_gd_poly,
     "linreg_fw": q_fw,
     "gradient_check": q_gradient_check,
 }
@@ -96,6 +103,11 @@ _PTS = ("(SELECT l_orderkey, l_linenumber, "
         + ", ".join(f"{e} AS x{i}" for i, e in enumerate(_X)) + f", {_Y} AS y FROM lineitem)")
 
 
+_X2 = _X + [f"({_X[i]}) * ({_X[j]})" for i in range(D) for j in range(i, D)]
+_PTS2 = ("(SELECT " + ", ".join(f"{e} AS x{i}" for i, e in enumerate(_X2)) + f", {_Y} AS y FROM lineitem)")
+D2 = len(_X2)
+
+
 def _lit(v: float) -> str:
     return f"CAST({v!r} AS DOUBLE)"
 
@@ -108,11 +120,11 @@ def _dot(u, v) -> str:
     return "(" + " + ".join(f"{a} * {b}" for a, b in zip(u, v)) + ")"
 
 
-def _sums_cte() -> str:
+def _sums_cte(d: int = D, pts: str = _PTS) -> str:
     cols = ["CAST(count(*) AS DOUBLE) AS n", "sum(y * y) AS yy"]
-    cols += [f"sum(x{i} * y) AS c{i}" for i in range(D)]
-    cols += [f"sum(x{i} * x{j}) AS g{i}_{j}" for i in range(D) for j in range(i, D)]
-    return f"s AS (SELECT {', '.join(cols)} FROM {_PTS})"
+    cols += [f"sum(x{i} * y) AS c{i}" for i in range(d)]
+    cols += [f"sum(x{i} * x{j}) AS g{i}_{j}" for i in range(d) for j in range(i, d)]
+    return f"s AS (SELECT {', '.join(cols)} FROM {pts})"
 
 
 def _G(i, j) -> str:
@@ -121,35 +133,37 @@ def _G(i, j) -> str:
 
 def _quad(u, v) -> str:
     """u' G v for lists of SQL expressions."""
-    return "(" + " + ".join(f"{u[i]} * {_G(i, j)} * {v[j]}" for i in range(D) for j in range(D)) + ")"
+    d = len(u)
+    return "(" + " + ".join(f"{u[i]} * {_G(i, j)} * {v[j]}" for i in range(d) for j in range(d)) + ")"
 
 
 def _grad_exprs(b, lam) -> list[str]:
-    return [f"(2.0 / s.n) * ((" + " + ".join(f"{_G(i, j)} * {b[j]}" for j in range(D))
-            + f") - s.c{i}) + 2.0 * {_lit(lam)} * {b[i]}" for i in range(D)]
+    d = len(b)
+    return [f"(2.0 / s.n) * ((" + " + ".join(f"{_G(i, j)} * {b[j]}" for j in range(d))
+            + f") - s.c{i}) + 2.0 * {_lit(lam)} * {b[i]}" for i in range(d)]
 
 
-def _vector_out(state: str) -> str:
+def _vector_out(state: str, d: int = D) -> str:
     return " UNION ALL ".join(
-        f"SELECT {i} AS idx, {sql_round(f'b{i}', 'value')} FROM {state}" for i in range(D))
+        f"SELECT {i} AS idx, {sql_round(f'b{i}', 'value')} FROM {state}" for i in range(d))
 
 
-def _gd_sql() -> str:
-    b = [f"b{i}" for i in range(D)]
-    g = [f"g{i}" for i in range(D)]
-    c = [f"s.c{i}" for i in range(D)]
-    lam = _lit(GD_LAM)
-    ctes = [_sums_cte(), "st0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(D)) + ")"]
+def _gd_sql(d: int = D, pts: str = _PTS, lam_value: float = GD_LAM) -> str:
+    b = [f"b{i}" for i in range(d)]
+    g = [f"g{i}" for i in range(d)]
+    c = [f"s.c{i}" for i in range(d)]
+    lam = _lit(lam_value)
+    ctes = [_sums_cte(d, pts), "st0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(d)) + ")"]
     for t in range(1, STEPS + 1):
-        gr = ", ".join(f"{e} AS g{i}" for i, e in enumerate(_grad_exprs(b, GD_LAM)))
+        gr = ", ".join(f"{e} AS g{i}" for i, e in enumerate(_grad_exprs(b, lam_value)))
         ctes.append(f"gr{t} AS (SELECT st{t - 1}.*, {gr} FROM st{t - 1}, s)")
         a = f"{lam} * {_dot(g, g)} + {_quad(g, g)} / s.n"
         bq = f"2.0 * {_dot(g, c)} / s.n - 2.0 * {lam} * {_dot(b, g)} - 2.0 * {_quad(b, g)} / s.n"
         ctes.append(f"ab{t} AS (SELECT gr{t}.*, {a} AS a, {bq} AS bq FROM gr{t}, s)")
         upd = ", ".join(f"b{i} - (CASE WHEN a = 0 THEN 0.0 ELSE -bq / (2.0 * a) END) * g{i} AS b{i}"
-                        for i in range(D))
+                        for i in range(d))
         ctes.append(f"st{t} AS (SELECT {upd} FROM ab{t})")
-    return "WITH " + ", ".join(ctes) + " " + _vector_out(f"st{STEPS}")
+    return "WITH " + ", ".join(ctes) + " " + _vector_out(f"st{STEPS}", d)
 
 
 def _fw_sql() -> str:
@@ -264,6 +278,7 @@ ORACLE = {
     "linreg_exact_step": _exact_step_sql(),
     "linreg_mse": _objective_sql(BETA, 0.0, "mse"),
     "linreg_gd": _gd_sql(),
+    "linreg_gd_poly": _gd_sql(D2, _PTS2),
     "linreg_fw": _fw_sql(),
     "gradient_check": _gradient_check_sql(),
 }
