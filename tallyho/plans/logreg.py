@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import logreg, vectors
+from ..operators import gradcheck, logreg, vectors
 from ..sources import tables
 from ..session import cut_lineage
 from .common import rounded, sql_round
@@ -23,6 +23,9 @@ BETA_SCALE = 0.01
 BUCKETS = 8
 TRAIN_STEPS = 2
 NEVER = 1e-12
+# forward-difference step of the registered check: large enough that the
+# rounding of each loss (~1e-16) divided by it stays far below 1e-6
+CHECK_DELTA = 1e-3
 
 
 def _data(spark, sf_dir):
@@ -124,6 +127,12 @@ def q_train(spark, sf_dir):
     return rounded(fit.beta)
 
 
+def q_gradient_check(spark, sf_dir):
+    points, cells = _data(spark, sf_dir)
+    beta = _fixed_beta(points, cells)
+    return rounded(gradcheck.logreg_check(points, cells, beta, LAM, CHECK_DELTA))
+
+
 def q_confusion(spark, sf_dir):
     points, cells = _data(spark, sf_dir)
     return logreg.confusion(logreg.margins(points, cells, _fixed_beta(points, cells)))
@@ -150,6 +159,7 @@ QUERIES = {
     "logreg_gradient": q_gradient,
     "logreg_line_search": q_line_search,
     "logreg_train": q_train,
+    "logreg_gradient_check": q_gradient_check,
     "confusion": q_confusion,
     "classification_metrics": q_metrics,
 }
@@ -276,6 +286,17 @@ ORACLE = {
                                 *_search_ctes("1", "m", "beta", "g", LAM)) + (
         f"SELECT {sql_round('t', 't')}, backtracks, {sql_round('f0', 'f0')}, {sql_round('f_new', 'f_new')} FROM ch1"),
     "logreg_train": _train_sql(),
+    "logreg_gradient_check": _with(
+        _margins_cte("m", "beta"),
+        f"pc AS (SELECT c.feat, (-mm.y / (1.0 + exp(mm.y * mm.margin))) * c.x AS g, "
+        f"{_loss('mm.y', f'mm.margin + {_d(CHECK_DELTA)} * c.x')} - {_loss('mm.y', 'mm.margin')} AS dl "
+        "FROM cells c JOIN m mm ON mm.id = c.id)",
+        "ag AS (SELECT feat, sum(g) AS g, sum(dl) AS dl FROM pc GROUP BY feat)",
+        f"ck AS (SELECT beta.feat, coalesce(ag.g, 0.0) + {_d(2.0 * LAM)} * beta.value AS analytic, "
+        f"(coalesce(ag.dl, 0.0) + {_d(LAM)} * ((beta.value + {_d(CHECK_DELTA)}) * (beta.value + {_d(CHECK_DELTA)}) "
+        f"- beta.value * beta.value)) / {_d(CHECK_DELTA)} AS numeric FROM beta LEFT JOIN ag ON ag.feat = beta.feat)") + (
+        f"SELECT feat, {sql_round('analytic', 'analytic')}, {sql_round('numeric', 'numeric')}, "
+        f"{sql_round('abs(analytic - numeric)', 'abs_diff')} FROM ck"),
     "confusion": _with(_margins_cte("m", "beta")) + _confusion_select(),
     "classification_metrics": _with(_margins_cte("m", "beta"), f"cf AS ({_confusion_select()})") + (
         f"SELECT {sql_round('CAST(TP + TN AS DOUBLE) / nullif(P + N, 0)', 'acc')}, "

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import mf
+from ..operators import gradcheck, mf
 from ..sources import tables
 from ..session import cut_lineage
 from .common import rounded, sql_round
@@ -26,6 +26,7 @@ STEPS = 2
 SEED = 1234567
 FREQ = 0.37
 INIT_SCALE = 0.1
+CHECK_DELTA = 1e-6
 
 
 def _ratings(spark, sf_dir):
@@ -123,6 +124,12 @@ def q_cv_rmse(spark, sf_dir):
     return rounded(summary)
 
 
+def q_gradient_check(spark, sf_dir):
+    train, _ = _split(spark, sf_dir)
+    U, V = _init(train)
+    return rounded(gradcheck.mf_check(train, U, V, D, LAM, CHECK_DELTA))
+
+
 def q_init(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
     return mf.expand(mf.random_profiles(train, "user", D, SEED), D, "i", "u", "u")
@@ -141,6 +148,7 @@ QUERIES = {
     "mf_train": q_train,
     "mf_rmse": q_rmse,
     "mf_cv_rmse": q_cv_rmse,
+    "mf_gradient_check": q_gradient_check,
     "mf_init": q_init,
 }
 
@@ -263,4 +271,17 @@ ORACLE = {
     "mf_train": _base(_train_ctes("t", "T", "U0", "V0", STEPS)) + _expand_both(f"Ut_{STEPS}", f"Vt_{STEPS}"),
     "mf_rmse": _base([_join("X", "E", "U0", "V0", "LEFT JOIN")]) + _rmse_select("X"),
     "mf_cv_rmse": _cv_sql(),
+    "mf_gradient_check": _base([
+        _join("J", "T", "U0", "V0"),
+        "S AS (SELECT i, " + ", ".join(
+            f"sum(2.0 * delta * v{k}) AS a{k}, "
+            f"sum((delta + {_d(CHECK_DELTA)} * v{k}) * (delta + {_d(CHECK_DELTA)} * v{k}) - delta * delta) AS n{k}"
+            for k in range(D)) + " FROM J GROUP BY i)",
+        "C AS (" + " UNION ALL ".join(
+            f"SELECT S.i, {k} AS k, a{k} + {_d(2.0 * LAM)} * U0.u{k} AS analytic, "
+            f"(n{k} + {_d(LAM)} * ((U0.u{k} + {_d(CHECK_DELTA)}) * (U0.u{k} + {_d(CHECK_DELTA)}) "
+            f"- U0.u{k} * U0.u{k})) / {_d(CHECK_DELTA)} AS numeric FROM S JOIN U0 ON S.i = U0.i"
+            for k in range(D)) + ")"]) + (
+        f"SELECT i, k, {sql_round('analytic', 'analytic')}, {sql_round('numeric', 'numeric')}, "
+        f"{sql_round('abs(analytic - numeric)', 'abs_diff')} FROM C"),
 }
