@@ -103,6 +103,14 @@ def q_step_v(spark, sf_dir):
     return rounded(mf.expand(new, D, "j", "v", "v"))
 
 
+def q_fit_all(spark, sf_dir):
+    ratings = _ratings(spark, sf_dir)
+    U, V = _init(ratings)
+    fit = mf.fit_all(ratings, d=D, gain=GAIN, power=POWER, lam=LAM, mu=MU, maxiter=STEPS,
+                     U0=U, V0=V)
+    return rounded(_both(fit.U, fit.V))
+
+
 def q_rmse(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     U, V = _init(train)
@@ -146,6 +154,7 @@ QUERIES = {
     "mf_step_u": q_step_u,
     "mf_step_v": q_step_v,
     "mf_train": q_train,
+    "mf_fit_all": q_fit_all,
     "mf_rmse": q_rmse,
     "mf_cv_rmse": q_cv_rmse,
     "mf_gradient_check": q_gradient_check,
@@ -269,6 +278,9 @@ ORACLE = {
     "mf_step_v": _base([_join("J", "T", "U0", "V0"), _step("V1", "J", "j", "v", "u", GAIN, MU)])
                  + f"SELECT j, {_vd} FROM V1",
     "mf_train": _base(_train_ctes("t", "T", "U0", "V0", STEPS)) + _expand_both(f"Ut_{STEPS}", f"Vt_{STEPS}"),
+    "mf_fit_all": ("WITH " + ", ".join([_R, _profiles("UF", "R", "i", "u"), _profiles("VF", "R", "j", "v")]
+                                       + _train_ctes("f", "R", "UF", "VF", STEPS)) + " "
+                   + _expand_both(f"Uf_{STEPS}", f"Vf_{STEPS}")),
     "mf_rmse": _base([_join("X", "E", "U0", "V0", "LEFT JOIN")]) + _rmse_select("X"),
     "mf_cv_rmse": _cv_sql(),
     "mf_gradient_check": _base([
