@@ -76,6 +76,12 @@ def q_fw(spark, sf_dir):
     return rounded(fit.beta_df(spark))
 
 
+def q_fw_poly(spark, sf_dir):
+    pts = tables.lineitem_points(spark, sf_dir, degree=2)
+    fit = linreg.train_fw(pts, K=FW_K, max_iter=STEPS, eps=NEVER, d=D * (D + 3) // 2)
+    return rounded(fit.beta_df(spark))
+
+
 def q_gradient_check(spark, sf_dir):
     return rounded(gradcheck.linreg_check(_points(spark, sf_dir), BETA, LAM, DELTA))
 
@@ -91,6 +97,7 @@ QUERIES = {
     "linreg_gd": q_gd,
     "linreg_gd_poly": q_gd_poly,
     "linreg_fw": q_fw,
+    "linreg_fw_poly": q_fw_poly,
     "gradient_check": q_gradient_check,
 }
 
@@ -166,33 +173,33 @@ def _gd_sql(d: int = D, pts: str = _PTS, lam_value: float = GD_LAM) -> str:
     return "WITH " + ", ".join(ctes) + " " + _vector_out(f"st{STEPS}", d)
 
 
-def _fw_sql() -> str:
-    b = [f"b{i}" for i in range(D)]
-    c = [f"s.c{i}" for i in range(D)]
+def _fw_sql(d: int = D, pts: str = _PTS) -> str:
+    b = [f"b{i}" for i in range(d)]
+    c = [f"s.c{i}" for i in range(d)]
     K = _lit(FW_K)
-    ctes = [_sums_cte(), "st0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(D)) + ")"]
+    ctes = [_sums_cte(d, pts), "st0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(d)) + ")"]
     for t in range(1, STEPS + 1):
         gr = ", ".join(f"{e} AS g{i}" for i, e in enumerate(_grad_exprs(b, 0.0)))
         ctes.append(f"gr{t} AS (SELECT st{t - 1}.*, {gr} FROM st{t - 1}, s)")
         # first coordinate of largest |g|: strictly above earlier ones, not below later ones
         conds = [" AND ".join([f"abs(g{i}) > abs(g{j})" for j in range(i)]
-                              + [f"abs(g{i}) >= abs(g{j})" for j in range(i + 1, D)] or ["true"])
-                 for i in range(D)]
+                              + [f"abs(g{i}) >= abs(g{j})" for j in range(i + 1, d)] or ["true"])
+                 for i in range(d)]
         arg = "CASE " + " ".join(f"WHEN {cond} THEN {i}" for i, cond in enumerate(conds)) + " END"
         ctes.append(f"am{t} AS (SELECT gr{t}.*, {arg} AS kstar FROM gr{t})")
         svec = ", ".join(f"CASE WHEN kstar = {i} THEN (CASE WHEN g{i} < 0 THEN {K} ELSE -{K} END) "
-                         f"ELSE 0.0 END AS s{i}" for i in range(D))
+                         f"ELSE 0.0 END AS s{i}" for i in range(d))
         ctes.append(f"sv{t} AS (SELECT am{t}.*, {svec} FROM am{t})")
-        dv = [f"(s{i} - b{i})" for i in range(D)]
+        dv = [f"(s{i} - b{i})" for i in range(d)]
         a = f"{_quad(dv, dv)} / s.n"
         bq = f"-2.0 * {_dot(dv, c)} / s.n + 2.0 * {_quad(b, dv)} / s.n"
         ctes.append(f"ab{t} AS (SELECT sv{t}.*, {a} AS a, {bq} AS bq FROM sv{t}, s)")
         gamma = ("CASE WHEN a = 0 THEN (CASE WHEN bq >= 0 THEN 0.0 ELSE 1.0 END) "
                  "ELSE least(1.0, greatest(0.0, -bq / (2.0 * a))) END")
         ctes.append(f"gm{t} AS (SELECT ab{t}.*, {gamma} AS gamma FROM ab{t})")
-        upd = ", ".join(f"(1.0 - gamma) * b{i} + gamma * s{i} AS b{i}" for i in range(D))
+        upd = ", ".join(f"(1.0 - gamma) * b{i} + gamma * s{i} AS b{i}" for i in range(d))
         ctes.append(f"st{t} AS (SELECT {upd} FROM gm{t})")
-    return "WITH " + ", ".join(ctes) + " " + _vector_out(f"st{STEPS}")
+    return "WITH " + ", ".join(ctes) + " " + _vector_out(f"st{STEPS}", d)
 
 
 def _gram_sql() -> str:
@@ -280,5 +287,6 @@ ORACLE = {
     "linreg_gd": _gd_sql(),
     "linreg_gd_poly": _gd_sql(D2, _PTS2),
     "linreg_fw": _fw_sql(),
+    "linreg_fw_poly": _fw_sql(D2, _PTS2),
     "gradient_check": _gradient_check_sql(),
 }
