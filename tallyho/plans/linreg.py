@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import math
 
+from pyspark.sql import functions as F
+
 from ..operators import gradcheck, linreg
 from ..sources import tables
 from .common import rounded, sql_round
@@ -20,6 +22,7 @@ BETA2 = [math.cos(k) for k in range(D)]
 LAM = 1.0
 GD_LAM = 0.1
 FW_K = 1.0
+FW_VERTEX = [0.0, FW_K, 0.0]      # a vertex of the L1 ball for the single-step query
 STEPS = 3
 DELTA = 1e-5
 NEVER = 1e-12       # eps small enough that the unrolled steps all run
@@ -56,6 +59,17 @@ def q_exact_step(spark, sf_dir):
     return rounded(linreg.exact_step(pts, BETA, g, LAM))
 
 
+def q_fw_step(spark, sf_dir):
+    return rounded(linreg.fw_step(_points(spark, sf_dir), BETA, FW_VERTEX))
+
+
+def q_local_gradients(spark, sf_dir):
+    pts = _points(spark, sf_dir, keys=True)
+    grads = linreg.local_gradients(pts, BETA, keep=["l_orderkey", "l_linenumber"])
+    return rounded(grads.select("l_orderkey", "l_linenumber",
+                                *[F.col("grad").getItem(k).alias(f"g{k}") for k in range(D)]))
+
+
 def q_mse(spark, sf_dir):
     return rounded(linreg.mse(_points(spark, sf_dir), BETA))
 
@@ -93,6 +107,8 @@ QUERIES = {
     "linreg_gradient": q_gradient,
     "linreg_line_coeffs": q_line_coeffs,
     "linreg_exact_step": q_exact_step,
+    "linreg_fw_step": q_fw_step,
+    "linreg_local_gradients": q_local_gradients,
     "linreg_mse": q_mse,
     "linreg_gd": q_gd,
     "linreg_gd_poly": q_gd_poly,
@@ -231,6 +247,14 @@ def _line_coeffs_parts(b1, b2, lam):
     return a, b, c
 
 
+def _fw_step_sql() -> str:
+    dv = [si - bi for si, bi in zip(FW_VERTEX, BETA)]
+    a, b, _ = _line_coeffs_parts(BETA, dv, 0.0)
+    return (f"WITH co AS (SELECT {a} AS a, {b} AS b FROM {_PTS}) SELECT " + sql_round(
+        "CASE WHEN a = 0 THEN (CASE WHEN b >= 0 THEN 0.0 ELSE 1.0 END) "
+        "ELSE least(1.0, greatest(0.0, -b / (2.0 * a))) END", "gamma") + " FROM co")
+
+
 def _exact_step_sql() -> str:
     r = f"(y - {_pred(BETA)})"
     gsel = ", ".join(f"sum(-2.0 * {r} * x{k}) / count(*) + {2.0 * LAM * BETA[k]!r} AS g{k}"
@@ -283,6 +307,10 @@ ORACLE = {
     "linreg_line_coeffs": (f"SELECT {sql_round(_a, 'a')}, {sql_round(_b, 'b')}, {sql_round(_c, 'c')} "
                            f"FROM {_PTS}"),
     "linreg_exact_step": _exact_step_sql(),
+    "linreg_fw_step": _fw_step_sql(),
+    "linreg_local_gradients": (
+        "SELECT l_orderkey, l_linenumber, " + ", ".join(
+            sql_round(f"-2.0 * (y - {_pred(BETA)}) * x{k}", f"g{k}") for k in range(D)) + f" FROM {_PTS}"),
     "linreg_mse": _objective_sql(BETA, 0.0, "mse"),
     "linreg_gd": _gd_sql(),
     "linreg_gd_poly": _gd_sql(D2, _PTS2),

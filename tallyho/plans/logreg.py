@@ -112,6 +112,11 @@ def q_gradient(spark, sf_dir):
     return rounded(logreg.gradient(points, cells, _fixed_beta(points, cells), LAM))
 
 
+def q_cell_gradients(spark, sf_dir):
+    points, cells = _data(spark, sf_dir)
+    return rounded(logreg.cell_gradients(points, cells, _fixed_beta(points, cells)))
+
+
 def q_line_search(spark, sf_dir):
     points, cells = _data(spark, sf_dir)
     beta = _fixed_beta(points, cells)
@@ -157,6 +162,7 @@ QUERIES = {
     "margins": q_margins,
     "logreg_loss": q_loss,
     "logreg_gradient": q_gradient,
+    "logreg_cell_gradients": q_cell_gradients,
     "logreg_line_search": q_line_search,
     "logreg_train": q_train,
     "logreg_gradient_check": q_gradient_check,
@@ -282,6 +288,9 @@ ORACLE = {
         f"{sql_round(f'data_loss + {_d(LAM)} * norm_sq', 'loss')} FROM dl, nq"),
     "logreg_gradient": _with(_margins_cte("m", "beta"), _gradient_cte("g", "m", "beta", LAM))
                        + f"SELECT feat, {sql_round('value', 'value')} FROM g",
+    "logreg_cell_gradients": _with(_margins_cte("m", "beta")) + (
+        "SELECT c.id, c.feat, " + sql_round("(-mm.y / (1.0 + exp(mm.y * mm.margin))) * c.x", "value")
+        + " FROM cells c JOIN m mm ON mm.id = c.id"),
     "logreg_line_search": _with(_margins_cte("m", "beta"), _gradient_cte("g", "m", "beta", LAM),
                                 *_search_ctes("1", "m", "beta", "g", LAM)) + (
         f"SELECT {sql_round('t', 't')}, backtracks, {sql_round('f0', 'f0')}, {sql_round('f_new', 'f_new')} FROM ch1"),
