@@ -77,6 +77,17 @@ def q_vec_norm_sq(spark, sf_dir):
     return rounded(vectors.vec_norm_sq(a))
 
 
+def q_vec_get(spark, sf_dir):
+    points, cells = _data(spark, sf_dir)
+    a, _ = _class_sums(points, cells)
+    return rounded(vectors.vec_get(a, logreg.sparse_features(cells)))
+
+
+def q_bucket_points(spark, sf_dir):
+    points, _ = tables.labelled_points(spark, sf_dir)      # cells not needed
+    return logreg.bucket_points(points, BUCKETS, method="mod")
+
+
 def q_dot_sparse(spark, sf_dir):
     points, cells = _data(spark, sf_dir)
     return rounded(logreg.dot_sparse(cells, _fixed_beta(points, cells), points))
@@ -155,6 +166,8 @@ QUERIES = {
     "vec_scale": q_vec_scale,
     "vec_dot": q_vec_dot,
     "vec_norm_sq": q_vec_norm_sq,
+    "vec_get": q_vec_get,
+    "bucket_points": q_bucket_points,
     "dot_sparse": q_dot_sparse,
     "sparse_features": q_sparse_features,
     "feature_buckets": q_feature_buckets,
@@ -269,6 +282,9 @@ ORACLE = {
     "vec_dot": _with() + f"SELECT {sql_round('coalesce(sum(va.value * vb.value), 0.0)', 'dot')} "
                          "FROM va JOIN vb ON va.feat = vb.feat",
     "vec_norm_sq": _with() + f"SELECT {sql_round('coalesce(sum(value * value), 0.0)', 'norm_sq')} FROM va",
+    "vec_get": _with() + ("SELECT f.feat, " + sql_round("coalesce(va.value, 0.0)", "value")
+                          + " FROM (SELECT DISTINCT feat FROM cells) f LEFT JOIN va ON va.feat = f.feat"),
+    "bucket_points": _with() + f"SELECT id, y, CAST(id % {BUCKETS} AS INTEGER) AS bucket FROM pts",
     "dot_sparse": _with(_margins_cte("m", "beta")) + f"SELECT id, {sql_round('margin', 'dot')} FROM m",
     "sparse_features": _with() + "SELECT DISTINCT feat FROM cells",
     "feature_buckets": _with() + f"SELECT DISTINCT feat, CAST(id % {BUCKETS} AS INTEGER) AS bucket FROM cells",
