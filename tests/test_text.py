@@ -124,3 +124,12 @@ def test_plan_is_single_scan_with_partial_aggregate(spark):
     assert "benchmark.parquet" not in plan
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert plan.count("regexp_extract_all(lower(") == 1  # text tokenised once
+
+
+def test_strip_non_alpha_column_function(spark):
+    from tallyho.functions.text import strip_non_alpha
+    toks = [",1what?!\"", "haven't", "123", "é-x-é!", "a", "--", ""]
+    df = spark.createDataFrame([(t,) for t in toks], "t STRING")
+    got = [r[0] for r in df.select(strip_non_alpha("t")).collect()]
+    # docstring rule: leading / trailing non-letters removed, inner ones kept
+    assert got == ["what", "haven't", "", "é-x-é", "a", "", ""]
