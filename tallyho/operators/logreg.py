@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import logistic_loss, logistic_weight
-from ..session import DEFAULT_BROADCAST_ROWS, DISK_BACKED, bounded_broadcast, cut_lineage
+from ..session import (DEFAULT_BROADCAST_ROWS, DISK_BACKED, bounded_broadcast, cut_lineage,
+                       salted_join)
 from .vectors import paired
 
 # Backtracking parameters (Armijo fraction a, shrink factor b).
@@ -171,21 +172,25 @@ def loss_from_margins(m: DataFrame, beta: DataFrame, lam: float = 0.0) -> DataFr
 
 
 def gradient_pairs(m: DataFrame, cells: DataFrame, beta: DataFrame, lam: float = 0.0,
-                   broadcast_points: bool | None = False) -> DataFrame:
+                   broadcast_points: bool | None = False, salt_buckets: int = 1) -> DataFrame:
     """``feat, b, g``: the model and its gradient side by side, over the union
     of the data's features and beta's (absent = 0), from ONE aggregate:
     beta rows contribute (b, 2 lam b), cell rows (0, -y/(1+exp(y m)) x).
 
     The per-point weights join the cells by id: broadcast when the number of
     points is known (``True``) or checked (``None``) to be small, otherwise a
-    shuffle join in which AQE splits a document that holds many cells."""
+    shuffle join in which AQE splits a document that holds many cells, or,
+    with ``salt_buckets > 1``, an explicitly salted join."""
     w = m.select("id", logistic_weight("y", "margin").alias("_w"))
     if broadcast_points is None:
         w = bounded_broadcast(w, DEFAULT_BROADCAST_ROWS, materialize=True)
     elif broadcast_points:
         w = F.broadcast(w)
-    data = cells.join(w, "id").select("feat", F.lit(0.0).alias("b"),
-                                      (F.col("_w") * F.col("x")).alias("g"))
+    if broadcast_points is False and salt_buckets > 1:
+        joined = salted_join(cells, w, ["id"], salt_buckets)
+    else:
+        joined = cells.join(w, "id")
+    data = joined.select("feat", F.lit(0.0).alias("b"), (F.col("_w") * F.col("x")).alias("g"))
     model = beta.select("feat", F.col("value").alias("b"),
                         (F.lit(2.0 * lam) * F.col("value")).alias("g"))
     return model.unionByName(data).groupBy("feat").agg(F.sum("b").alias("b"), F.sum("g").alias("g"))
@@ -323,13 +328,15 @@ class LogRegFit:
 def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int = 40,
           eps: float = 0.1, beta0: DataFrame | None = None, test: tuple | None = None,
           refresh_every: int = 10, max_backtracks: int = MAX_BACKTRACKS,
-          max_broadcast_rows: int | None = None) -> LogRegFit:
+          max_broadcast_rows: int | None = None, salt_buckets: int = 1) -> LogRegFit:
     """Gradient descent with backtracking line search.
 
     Stops after ``max_iter`` iterations, when ||grad|| <= eps, or when no
     step in ``max_backtracks`` trials satisfies the Armijo condition.
     ``test=(points, cells)`` adds ACC / PRE / REC of each iterate to the
     history.  History reports the gradient norm at the point before the step.
+    ``salt_buckets > 1`` salts the cells-by-document join when the points are
+    not broadcast (explicit skew splitting instead of relying on AQE).
     """
     points = points.select("id", "y").persist(DISK_BACKED)
     cells = cells.select("id", "feat", "x").persist(DISK_BACKED)
@@ -341,7 +348,8 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
     k, grad_norm, history, converged = 0, 2 * eps, [], False
     while k < max_iter and grad_norm > eps:
         # job 1: gradient (cells JOIN weights) and beta, summed by feature in one aggregate
-        bg = cut_lineage(gradient_pairs(m, cells, beta, lam, broadcast_points=few_points))
+        bg = cut_lineage(gradient_pairs(m, cells, beta, lam, broadcast_points=few_points,
+                                        salt_buckets=salt_buckets))
         if small is None:
             # support = beta's keys + data features; it is the same every iteration
             small = bg.limit(limit + 1).count() <= limit

@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import column_dot
-from ..session import DEFAULT_BROADCAST_ROWS, DISK_BACKED, bounded_broadcast, cut_lineage
+from ..session import (DEFAULT_BROADCAST_ROWS, DISK_BACKED, bounded_broadcast, cut_lineage,
+                       salted_join)
 
 # The seeded-normal generator (Box-Muller on 53-bit uniforms).
 TWO_POW_53 = float(2 ** 53)
@@ -129,12 +130,16 @@ def _side(df: DataFrame, broadcast: bool | None, max_rows: int | None) -> DataFr
 
 def join_predict(ratings: DataFrame, U: DataFrame, V: DataFrame, d: int,
                  broadcast_u: bool | None = None, broadcast_v: bool | None = None,
-                 max_broadcast_rows: int | None = None) -> DataFrame:
+                 max_broadcast_rows: int | None = None, salt_buckets: int = 1) -> DataFrame:
     """``i, j, r, u, v, delta`` with delta = <u, v> - r, for ratings whose
-    user and item both have a profile (inner joins)."""
+    user and item both have a profile (inner joins).  With ``salt_buckets >
+    1`` a profile side that is not broadcast is joined by a salted join, so
+    a user or item holding a large share of the ratings is split explicitly."""
     us = _side(U.select("i", "u"), broadcast_u, max_broadcast_rows)
     vs = _side(V.select("j", "v"), broadcast_v, max_broadcast_rows)
-    J = ratings.select("i", "j", "r").join(us, "i").join(vs, "j")
+    R = ratings.select("i", "j", "r")
+    R = salted_join(R, us, ["i"], salt_buckets) if broadcast_u is False else R.join(us, "i")
+    J = salted_join(R, vs, ["j"], salt_buckets) if broadcast_v is False else R.join(vs, "j")
     return J.select("i", "j", "r", "u", "v", (column_dot("u", "v", d) - F.col("r")).alias("delta"))
 
 
@@ -240,7 +245,8 @@ class MFFit:
 def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain: float = 0.001,
           power: float = 0.2, epsilon: float = 1e-99, lam: float = 0.0, mu: float = 0.0,
           maxiter: int = 20, seed: int = 1234567, U0: DataFrame | None = None,
-          V0: DataFrame | None = None, max_broadcast_rows: int | None = None) -> MFFit:
+          V0: DataFrame | None = None, max_broadcast_rows: int | None = None,
+          salt_buckets: int = 1) -> MFFit:
     """Gradient descent with gain ``gain / iteration**power``.
 
     Each iteration measures the objective and the test RMSE of the current
@@ -259,7 +265,7 @@ def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain
     it, change, obj, history, diverged = 0, 1e99, 1e99, [], False
     while it < maxiter and change > epsilon:
         it += 1
-        J = join_predict(train_r, U, V, d, bu, bv)
+        J = join_predict(train_r, U, V, d, bu, bv, salt_buckets=salt_buckets)
         # Both profile sides broadcast: J is a map-side projection of the
         # persisted ratings, cheaper to recompute than to cache.  Otherwise
         # (shuffle joins, the large case) both aggregates read one copy.

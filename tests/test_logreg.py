@@ -170,3 +170,14 @@ def test_history_table(spark):
     assert [r["k"] for r in h] == [0, 1]
     assert all(r["accepted"] and 0 < r["step"] <= 1 for r in h)
     assert h[0]["grad_norm_before_step"] > 0
+
+
+def test_salted_gradient_join_gives_the_same_model(spark):
+    points, cells = tables.labelled_points(spark, SMALL)
+    # force the shuffle path (no broadcast) so the salted join is used
+    a = logreg.train(points, cells, lam=0.1, max_iter=2, eps=1e-12, max_broadcast_rows=0)
+    b = logreg.train(points, cells, lam=0.1, max_iter=2, eps=1e-12, max_broadcast_rows=0,
+                     salt_buckets=4)
+    va = {r["feat"]: r["value"] for r in a.beta.collect()}
+    vb = {r["feat"]: r["value"] for r in b.beta.collect()}
+    assert va.keys() == vb.keys() and max(abs(va[k] - vb[k]) for k in va) < 1e-12

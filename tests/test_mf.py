@@ -126,3 +126,16 @@ def test_history_table(spark):
     assert [r["iteration"] for r in h] == [1, 2, 3]
     assert all(r["test_rmse"] is not None and r["test_rmse_scored"] >= r["test_rmse"] - 1e-12 for r in h)
     assert h[0]["gamma"] == pytest.approx(0.001) and h[1]["gamma"] == pytest.approx(0.001 / 2 ** 0.2)
+
+
+def test_salted_profile_joins_give_the_same_factors(spark):
+    R = tables.lineitem_ratings(spark, SMALL)
+    a = mf.train(R, None, d=2, maxiter=2, seed=3, max_broadcast_rows=0)
+    b = mf.train(R, None, d=2, maxiter=2, seed=3, max_broadcast_rows=0, salt_buckets=3)
+    ua = {r["i"]: r["u"] for r in a.U.collect()}
+    ub = {r["i"]: r["u"] for r in b.U.collect()}
+    assert ua.keys() == ub.keys()
+    assert max(abs(x - y) for k in ua for x, y in zip(ua[k], ub[k])) < 1e-12
+    plan = mf.join_predict(R, a.U, a.V, 2, False, False, salt_buckets=3)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "_salt" in plan

@@ -61,3 +61,12 @@ def test_no_cartesian_products_anywhere(spark):
     for key in ("dale_chall_by_lang", "linreg_objective", "margins", "mf_objective", "mf_counts"):
         plan = _plan(qs[key](spark, SMALL))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
+
+
+def test_salted_join_replicates_small_side_only_by_bucket_count(spark):
+    from tallyho.session import salted_join
+    big = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 0)], "k INT, v INT")
+    small = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, s STRING")
+    out = salted_join(big, small, ["k"], 4)
+    assert out.count() == big.count()
+    assert sorted(out.columns) == ["k", "s", "v"]
