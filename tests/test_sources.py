@@ -64,3 +64,24 @@ def test_rating_folds(spark, tmp_out):
     R = files.read_rating_folds(spark, f"{tmp_out}/folds", 2)
     got = sorted(tuple(r) for r in R.collect())
     assert got == [(0, 1, 1.0, 1), (0, 1, 2.5, 0), (1, 1, -3.0, 0)]
+
+
+def test_unparsable_sparse_point_fails_loudly(spark, tmp_out):
+    _write(f"{tmp_out}/bad.txt", "({'a': 1.0}, 1)\nnot a point\n")
+    points, cells = files.read_sparse_points(spark, f"{tmp_out}/bad.txt")
+    with pytest.raises(Exception):
+        cells.collect()
+
+
+def test_document_lines_match_whole_documents(spark):
+    from tallyho.operators import text as T
+    from tallyho.sources import tables
+    docs = tables.documents(spark, "/root/testdata/sf0.001")
+    lines = tables.document_lines(docs).withColumnRenamed("line", "text")
+    for op in (T.sentence_count, T.word_count):
+        a = {r[0]: r[1] for r in op(docs, "text", by=["doc_id"]).collect()}
+        b = {r[0]: r[1] for r in op(lines, "text", by=["doc_id"]).collect()}
+        assert a == b
+    wa = {r["word"]: r["n"] for r in T.word_counts(docs).collect()}
+    wb = {r["word"]: r["n"] for r in T.word_counts(lines).collect()}
+    assert wa == wb
