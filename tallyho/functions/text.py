@@ -54,11 +54,6 @@ def strip_non_alpha(token: Column | str) -> Column:
     return F.regexp_replace(_col(token), EDGE_NON_LETTERS, "")
 
 
-def raw_token_array(text: Column | str) -> Column:
-    """Lower-cased space/line separated tokens, empties included."""
-    return F.split(F.lower(_col(text)), WORD_SPLIT, -1)
-
-
 def normalised_word_array(text: Column | str) -> Column:
     """Normalised words (token mode) of ``text`` in one regex pass: each
     token's span from its first to its last letter; tokens without letters

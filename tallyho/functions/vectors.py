@@ -38,10 +38,6 @@ def column_dot(a: Column | str, b: Column | str, d: int | None = None) -> Column
     return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
 
 
-def literal_array(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
-
-
 def log1pexp(z: Column) -> Column:
     """Numerically stable ``log(1 + exp(z))`` (finite for |z| up to 1e308)."""
     return F.when(z > 0, z + F.log1p(F.exp(-z))).otherwise(F.log1p(F.exp(z)))

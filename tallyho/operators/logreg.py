@@ -112,14 +112,6 @@ def _cell_products(cells: DataFrame, vec: DataFrame, max_broadcast_rows: int | N
     return cells.join(side, "feat").select("id", (F.col("x") * F.col("_v")).alias("c"))
 
 
-def per_point_dot(cells: DataFrame, vec: DataFrame, name: str,
-                  max_broadcast_rows: int | None = None,
-                  broadcast: bool | None = None) -> DataFrame:
-    """``id, <name>``: <vec, x> per point id that shares a feature with vec."""
-    return _cell_products(cells, vec, max_broadcast_rows, broadcast).groupBy("id").agg(
-        F.sum("c").alias(name))
-
-
 def _with_dot(rows: DataFrame, keep: list, cells: DataFrame, vec: DataFrame, name: str,
               max_broadcast_rows: int | None, broadcast: bool | None) -> DataFrame:
     """``keep..., name``: per-point rows plus <vec, x> (0 when no common key).
