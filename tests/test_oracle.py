@@ -31,3 +31,12 @@ def test_query_matches_oracle(spark, con, key):
     assert r["cols_ok"], (r["cols"], r["oracle_cols"])
     assert r["rows"] == r["oracle_rows"]
     assert r["hash_ok"]
+
+
+def test_entry_schema_is_stable(spark):
+    df = entry(spark)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("lang", "string"), ("n_sentences", "bigint"), ("n_words", "bigint"),
+        ("n_difficult", "bigint"), ("words_per_sentence", "double"),
+        ("pct_difficult", "double"), ("score", "double")]
+    assert df.count() == df.select("lang").distinct().count() >= 1
