@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import column_dot
-from ..session import (DEFAULT_BROADCAST_ROWS, DISK_BACKED, bounded_broadcast, cut_lineage,
-                       salted_join)
+from ..session import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, DISK_BACKED,
+                       bounded_broadcast, cut_lineage, salted_join)
 
 # The seeded-normal generator (Box-Muller on 53-bit uniforms).
 TWO_POW_53 = float(2 ** 53)
@@ -119,6 +119,11 @@ def expand(profiles: DataFrame, d: int, key: str, vec: str, prefix: str) -> Data
 
 # -------------------------------------------------------- join / update --
 
+def profile_broadcast_rows(d: int) -> int:
+    """Most profile rows (an id and d doubles) a broadcast may hold."""
+    return min(DEFAULT_BROADCAST_ROWS, DEFAULT_BROADCAST_BYTES // (24 + 8 * d))
+
+
 def _side(df: DataFrame, broadcast: bool | None, max_rows: int | None) -> DataFrame:
     if broadcast is True:
         return F.broadcast(df)
@@ -135,8 +140,9 @@ def join_predict(ratings: DataFrame, U: DataFrame, V: DataFrame, d: int,
     user and item both have a profile (inner joins).  With ``salt_buckets >
     1`` a profile side that is not broadcast is joined by a salted join, so
     a user or item holding a large share of the ratings is split explicitly."""
-    us = _side(U.select("i", "u"), broadcast_u, max_broadcast_rows)
-    vs = _side(V.select("j", "v"), broadcast_v, max_broadcast_rows)
+    limit = max_broadcast_rows if max_broadcast_rows is not None else profile_broadcast_rows(d)
+    us = _side(U.select("i", "u"), broadcast_u, limit)
+    vs = _side(V.select("j", "v"), broadcast_v, limit)
     R = ratings.select("i", "j", "r")
     R = salted_join(R, us, ["i"], salt_buckets) if broadcast_u is False else R.join(us, "i")
     J = salted_join(R, vs, ["j"], salt_buckets) if broadcast_v is False else R.join(vs, "j")
@@ -206,8 +212,8 @@ def rmse(test: DataFrame, U: DataFrame, V: DataFrame, d: int,
     all test ratings, ``rmse_scored`` by those whose user and item were seen
     in training (the others cannot be predicted).  One aggregate over the
     test ratings left-joined with the profiles."""
-    us = _side(U.select("i", "u"), broadcast_u, None)
-    vs = _side(V.select("j", "v"), broadcast_v, None)
+    us = _side(U.select("i", "u"), broadcast_u, profile_broadcast_rows(d))
+    vs = _side(V.select("j", "v"), broadcast_v, profile_broadcast_rows(d))
     J = test.select("i", "j", "r").join(us, "i", "left").join(vs, "j", "left")
     delta = column_dot("u", "v", d) - F.col("r")
     agg = J.agg(F.count(F.lit(1)).alias("n_test"), F.count(delta).alias("n_scored"),
@@ -259,7 +265,7 @@ def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain
     test_r = train_r if test_r is None else test_r.select("i", "j", "r").persist(DISK_BACKED)
     U = cut_lineage(U0 if U0 is not None else random_profiles(train_r, "user", d, seed))
     V = cut_lineage(V0 if V0 is not None else random_profiles(train_r, "item", d, seed))
-    limit = max_broadcast_rows if max_broadcast_rows is not None else DEFAULT_BROADCAST_ROWS
+    limit = max_broadcast_rows if max_broadcast_rows is not None else profile_broadcast_rows(d)
     bu = U.limit(limit + 1).count() <= limit       # profile tables keep their size
     bv = V.limit(limit + 1).count() <= limit
     it, change, obj, history, diverged = 0, 1e99, 1e99, [], False

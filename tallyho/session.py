@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 # lists are (string, double) rows of roughly 50 bytes, so this keeps a
 # broadcast below ~25 MB per executor.
 DEFAULT_BROADCAST_ROWS = 500_000
+# Byte budget for a broadcast side whose row width depends on a parameter
+# (e.g. factor profiles with d doubles): rows allowed = budget / row width.
+DEFAULT_BROADCAST_BYTES = 25 * 1024 * 1024
 
 DISK_BACKED = StorageLevel.MEMORY_AND_DISK
 
