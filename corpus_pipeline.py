@@ -1,24 +1,56 @@
-"""The corpus pipeline: documents in, a curated and ordered training mix out."""
+"""The corpus pipeline: documents in, a curated training order out.
+
+Each stage reads what its predecessor kept, as a Parquet table:
+
+1. ``quality``          – documents that the quality classifier scores under
+   ``MIN_QUALITY`` go;
+2. ``near_duplicates``  – one document of each group of near duplicates stays
+   (five-word shingles, similarity 0.8);
+3. ``decontamination``  – documents that hold benchmark passages go;
+4. ``secret_scan``      – secrets are masked, every document stays;
+5. ``mixture``          – sources are mixed to their target weights; documents
+   that the mix takes, in training order, with how many of their words.
+"""
 
 from __future__ import annotations
 
-from tallyho.llm import curriculum, secrets
-from tallyho.llm.common import read_table, written
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyho.llm import curriculum, decontaminate, jaccard_join, mil_quality, secrets
+from tallyho.llm.common import read_table, training_marks, written
+
+MIN_QUALITY = 0.3
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = mil_quality.fit(docs, training_marks(read_table(spark, sf_dir, "labels"), "quality"))
+    return mil_quality.score(docs, model).where(f"score >= {MIN_QUALITY}").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
-def secret_scans(spark, docs, sf_dir):
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redact(docs)
 
 
-def target_weights(spark, docs, sf_dir):
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return curriculum.mix(docs)
 
 
-STAGES = [("secret_scans", secret_scans), ("target_weights", target_weights)]
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
+          ("secret_scan", secret_scan), ("mixture", mixture)]
+# The classifier is trained and the join compares sets: no SQL for run()'s rows.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the last one's rows are not written."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -12,7 +12,8 @@ from tallyho.session import checkpoint_dir, read_table
 # Runs of anything but ASCII white space: the word of sizes and shingles.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "crc_mod", "key_of", "read_table", "scratch", "split_buffers", "written"]
+__all__ = ["WORD", "bounded_sample", "crc_mod", "key_of", "read_table", "scratch", "split_buffers", "training_marks",
+           "training_texts", "written"]
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
@@ -34,13 +35,50 @@ def crc_mod(doc_id: Column, m: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(m))
 
 
+def bounded_sample(rows: DataFrame, group: str, per_group: int, seed: int = 5) -> tuple[DataFrame, dict]:
+    """About ``per_group`` rows of each value of ``group`` at most, and the
+    full counts by value.  Rows are taken by a hash of their doc_id against a
+    threshold from the counts, so no group is gathered or sorted."""
+    counts = {r[0]: r[1] for r in rows.groupBy(group).count().collect()}
+    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 20))
+    keep = F.lit(False)
+    for value, n in counts.items():
+        keep = F.when(F.col(group) == F.lit(value), draw < int(min(1.0, per_group / n) * (1 << 20))).otherwise(keep)
+    return rows.where(keep).limit(int(per_group * len(counts) * 1.3) + 100), counts
+
+
+def training_marks(labels: DataFrame, label: str, folds: int = 5) -> DataFrame:
+    """(doc_id, label 0/1) that may be learned from: rows whose crc32(doc_id)
+    is not a multiple of ``folds``.  A doc_id that is labelled twice has the
+    larger label."""
+    rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), folds) != 0))
+    return rows.groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("label"))
+
+
+def training_texts(docs: DataFrame, marks: DataFrame, most: dict[int, int]) -> tuple[DataFrame, dict]:
+    """(doc_id, text, label) of a bounded sample of the marked documents, at
+    most about ``most[label]`` each, written once; and all marks by label.
+    Only the sampled marks, bounded by ``most``, are broadcast."""
+    counts, parts = {}, []
+    for value, n in most.items():
+        part, count = bounded_sample(marks.where(F.col("label") == value), "label", n)
+        counts.update(count)
+        parts.append(part)
+    sample = parts[0]
+    for p in parts[1:]:
+        sample = sample.unionAll(p)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return written(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label"), "sample"), counts
+
+
 def key_of(c: Column) -> Column:
     """A join key that is never null and keeps null apart from any value."""
     return F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), c.cast("string")))
 
 
-def split_buffers(batch, column: str, limit: int = 4 << 20):
-    """Slices of an Arrow batch whose text is about ``limit`` bytes at most.
+def split_buffers(batch, column: str, limit: int = 4 << 20, rows: int = 1 << 20):
+    """Slices of an Arrow batch of about ``limit`` bytes of text and ``rows``
+    rows at most.
 
     Yields ``(slice, data, offsets, valid)``: ``data`` the slice's UTF-8 bytes
     as one uint8 array, ``offsets`` its row limits (int64, rows + 1, from 0),
@@ -66,7 +104,7 @@ def split_buffers(batch, column: str, limit: int = 4 << 20):
     lo = 0
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1
-        hi = min(max(hi, lo + 1), n)
+        hi = min(max(hi, lo + 1), lo + rows, n)
         yield (batch.slice(lo, hi - lo), data[offsets[lo]: offsets[hi]],
                offsets[lo: hi + 1] - offsets[lo], valid[lo:hi])
         lo = hi

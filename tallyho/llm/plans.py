@@ -5,27 +5,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import curriculum, line_rules, secrets, warc
-from tallyho.llm.common import read_table
+from tallyho.llm import (bwt_dedup, curriculum, decontaminate, jaccard_join, language_id, line_rules, mil_quality, secrets,
+                         toxicity, warc)
+from tallyho.llm.common import crc_mod, read_table, training_marks
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def _held_out(folds: int, remainder: int):
+    return F.coalesce(crc_mod(F.col("doc_id"), folds) == remainder, F.lit(False)).alias("held_out")
+
+
+def op1_language_id(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    model = language_id.fit(docs.where(crc_mod(F.col("doc_id"), 3) != 1))
+    return language_id.predict(docs.select("doc_id", "text"), model).select("doc_id", _held_out(3, 1), "lang_pred", "score")
+
+
+def op2_decontaminate(spark, sf_dir):
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    return decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op3_quality(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    model = mil_quality.fit(docs, training_marks(read_table(spark, sf_dir, "labels"), "quality"))
+    return mil_quality.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", _held_out(5, 0), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op4_toxicity(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    model = toxicity.fit(docs, training_marks(read_table(spark, sf_dir, "labels"), "toxic"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", _held_out(5, 0), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_secret_scan(spark, sf_dir):
     return secrets.scan_documents(_docs(spark, sf_dir))
 
 
+def op6_jaccard_join(spark, sf_dir):
+    return jaccard_join.join(_docs(spark, sf_dir), words=3, percent=90)
+
+
 def op7_quality_rules(spark, sf_dir):
     return line_rules.judge(_docs(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_bwt_dedup(spark, sf_dir):
+    return bwt_dedup.dedup(_docs(spark, sf_dir))
+
+
 def op9_curriculum(spark, sf_dir):
     return curriculum.assign(_docs(spark, sf_dir)).select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken",
-        F.round("position", 9).alias("position")).orderBy("position")
+        F.round("position", 9).alias("position")).orderBy("position", "doc_id")
 
 
 def op10_warc(spark, sf_dir):
@@ -33,7 +72,9 @@ def op10_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op5_secret_scan, op7_quality_rules, op9_curriculum, op10_warc)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_decontaminate, op3_quality, op4_toxicity, op5_secret_scan, op6_jaccard_join, op7_quality_rules,
+    op8_bwt_dedup, op9_curriculum, op10_warc)}
 
 _W = r"[^\x20\x09-\x0D]+"
 
