@@ -1,8 +1,8 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie.
 
 The lexicon is learned from labels: words that turn up in toxic documents in
-many different surroundings and hardly ever in clean ones, with a short fixed
-seed list.  Trie and Levenshtein automata of all terms are intersected once,
+many different surroundings and hardly ever in clean ones, and stems that
+several such words share, with a short fixed seed list.  Trie and Levenshtein automata of all terms are intersected once,
 into one deterministic table (states are sets of trie node and edits used);
 every word of every text runs through that table, all words of a shard in
 step, so misspelled terms cost no more than exact ones.
@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyho.llm.bytes_words import find_words
-from tallyho.llm.common import split_buffers, training_texts
+from tallyho.llm.common import split_buffers, training_texts, written
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2500, 8000
 LEXICON_TERMS = 200
 EDITS, FUZZY_FROM = 1, 5        # edits allowed in terms of so many letters
 TERM_LETTERS = (3, 24)
+LEXICON_POOL = 5_000            # terms whose clean counts are looked up
+STEM, STEM_LETTERS, STEM_WORDS = "*", (4, 5, 6), 4
 ODDS = 20.0
 CHANCE = 1e-5                   # of a neutral word to get into the lexicon
 CONTEXT = 8
@@ -79,20 +81,22 @@ class Automaton:
 
     ``step[state, letter]`` is the next state (0: no term can be reached any
     more; state 1: start), ``accept[state]`` the nearest term (-1: none) and
-    ``edits[state]`` its distance."""
+    ``edits[state]`` its distance.  A term that ends in ``*`` is a stem: every
+    word that begins with it, spelled right, is accepted (``stem[state]``)."""
 
     def __init__(self, terms: list[str], edits: int = EDITS, fuzzy_from: int = FUZZY_FROM):
         self.terms = terms
-        letters = sorted({ord(c) for t in terms for c in t})
+        letters = sorted({ord(c) for t in terms for c in t.rstrip(STEM)})
         self.letter = {c: i + 1 for i, c in enumerate(letters)}
         self.longest = max(map(len, terms), default=0) + edits
         child: list[dict[int, int]] = [{}]
         ends: list[int] = [-1]
         room: list[int] = [0]               # edits allowed somewhere below a node
+        stem: dict[int, bool] = {}
         for k, t in enumerate(terms):
-            node, may = 0, edits if len(t) >= fuzzy_from else 0
+            node, may = 0, edits if len(t) >= fuzzy_from and not t.endswith(STEM) else 0
             room[0] = max(room[0], may)
-            for c in t:
+            for c in t.rstrip(STEM):
                 c = self.letter[ord(c)]
                 if c not in child[node]:
                     child[node][c] = len(child)
@@ -102,6 +106,7 @@ class Automaton:
                 node = child[node][c]
                 room[node] = max(room[node], may)
             ends[node] = k
+            stem[node] = stem.get(node, False) or t.endswith(STEM)
 
         def closed(pairs):
             """The set with letters of terms left out, fewest edits per node."""
@@ -136,8 +141,9 @@ class Automaton:
             rows.append(row)
             at += 1
         self.step = np.array(rows)
-        found = [min(((e, ends[n]) for n, e in s if ends[n] >= 0 and (e == 0 or len(terms[ends[n]]) >= fuzzy_from)),
-                     default=(0, -1)) for s in order]
+        near = lambda n, e: e == 0 or len(terms[ends[n]]) >= fuzzy_from and not stem[n]
+        found = [min(((e, ends[n]) for n, e in s if ends[n] >= 0 and near(n, e)), default=(0, -1)) for s in order]
+        self.stem = np.array([any(e == 0 and stem.get(n, False) for n, e in s) for s in order])
         self.accept = np.array([k for _, k in found], np.int32)
         self.edits = np.array([e for e, _ in found], np.int8)
         self.classes = np.zeros(_PLANE, np.int32)
@@ -149,7 +155,7 @@ class Automaton:
         """(word, term, edits) of every word that is a term or near one."""
         alive, state, words, terms, edits = np.arange(len(start)), np.ones(len(start), np.int32), [], [], []
         for k in range(self.longest + 1):
-            over = end[alive] - start[alive] == k
+            over = (end[alive] - start[alive] == k) | self.stem[state]
             s = state[over]
             hit = self.accept[s] >= 0
             words.append(alive[over][hit])
@@ -221,11 +227,12 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, terms: int = LE
                 points, limits = code_points(data, offsets)
                 start, end, row = word_places(points, limits)
                 out = set()
-                before, last = "", -1
+                text, before, last = "", "", -1
                 for s, e, r in zip(start.tolist(), end.tolist(), row.tolist()):
                     if r != last:
-                        before, last = "", r
-                    word = spell(points[s:e])
+                        base, before, last = int(limits[r]), "", r
+                        text = spell(points[base: limits[r + 1]])
+                    word = text[s - base: e - base]
                     if TERM_LETTERS[0] <= e - s <= TERM_LETTERS[1] and word.isalpha():
                         out.add((word, label[r], before if label[r] else str(r)))
                     before = word
@@ -236,12 +243,24 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, terms: int = LE
     if not n_toxic or not n_clean:
         return []
     least = max(4, math.ceil(math.log(CHANCE) / math.log(n_toxic / (n_toxic + n_clean))))
-    got = sample.mapInArrow(emit, "word string, label int, seen string").groupBy("word").agg(
-        F.count_distinct(F.when(F.col("label") == 1, F.col("seen"))).alias("toxic"),
-        F.sum(1 - F.col("label")).alias("clean"))
+    stems = [F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit(STEM))) for k in STEM_LETTERS]
+    forms = F.explode(F.filter(F.array("word", *stems), lambda t: t.isNotNull())).alias("term")
+    emitted = [sample.where(F.col("label") == y).mapInArrow(emit, "word string, label int, seen string").select("word", "seen", forms)
+               for y in (1, 0)]
+    toxic = emitted[0].groupBy("term").agg(F.count_distinct("seen").alias("toxic"), F.count_distinct("word").alias("words"))
+    toxic = toxic.where((F.col("toxic") >= least) & ((F.col("words") >= STEM_WORDS) | ~F.col("term").endswith(STEM)))
+    toxic = toxic.orderBy(F.desc("toxic"), "term").limit(LEXICON_POOL)
+    toxic = written(toxic, "toxic-terms")
+    clean = emitted[1].join(F.broadcast(toxic.select("term")), "term").groupBy("term").agg(F.count(F.lit(1)).alias("clean"))
+    both = toxic.join(clean, "term", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
     odds = (F.col("toxic") / n_toxic) / ((F.col("clean") + 0.5) / n_clean)
-    got = got.where((F.col("toxic") >= least) & (odds >= ODDS)).select("word", F.log(odds).alias("odds"), "toxic")
-    return [(r["word"], r["odds"]) for r in got.orderBy(F.desc("toxic"), "word").limit(terms).collect()]
+    rows = both.where(odds >= ODDS).select("term", F.log(odds).alias("odds"), "toxic").collect()
+    rows.sort(key=lambda r: (not r["term"].endswith(STEM), len(r["term"]), -r["toxic"], r["term"]))
+    chosen: list[tuple[str, float]] = []
+    for r in rows:          # stems first, and no term that a stem covers
+        if not any(t.endswith(STEM) and r["term"].startswith(t[:-1]) for t, _ in chosen):
+            chosen.append((r["term"], r["odds"]))
+    return chosen[:terms]
 
 
 class Model:
