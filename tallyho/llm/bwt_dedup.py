@@ -5,9 +5,11 @@ covers it also starts earlier (in a smaller doc_id, or earlier in the same
 document).
 
 1. *Anchors.*  Every ``MATCH``-byte window has an anchor: the smallest hash of
-   its ``GRAM``-byte strings.  Equal windows have equal anchors, so only the
-   windows whose anchor turns up twice anywhere can be repeated; the rest of
-   the text (most of it) goes no further.  This step decides nothing else.
+   its ``GRAM``-byte strings.  Equal windows have equal anchors, so a window
+   whose anchor has one occurrence is not repeated, and the text is cut into
+   stretches of windows with one anchor.  Of equal stretches (one content
+   under one anchor) all but the earliest are repeated as a whole; the strings
+   that go on are the distinct ones whose anchor has another content, too.
 2. *Shard transforms.*  The stretches of candidate windows are dealt out by
    anchor, so equal windows meet in one task.  There they are cut into shards.
    A window is a string over the alphabet of ``STEP``-byte strings, and a
@@ -23,11 +25,11 @@ document).
 
 Marks are united per document, and the remaining bytes are hashed.
 
-Nothing hot is gathered: anchors that repeat within a task's batch are known
-to repeat and are spread by document instead of meeting under their anchor;
-equal stretches within a batch are reduced to the earliest one; and an anchor
-with more than ``GROUP_WINDOWS`` windows is compared by 128-bit hashes of
-its windows in a normal aggregate instead.
+Nothing hot is gathered: equal stretches are reduced to the earliest within a
+task's slice before they are shuffled, and the rest of them are spread by
+document; an anchor with more than ``GROUP_WINDOWS`` distinct windows is
+streamed and compared by 128-bit hashes of its windows in a normal aggregate.
+Texts are shuffled once, by doc_id; both joins read that exchange.
 
 Edge cases: null text is empty; texts under ``MATCH`` bytes keep everything;
 rows that share a doc_id are the same place in the order, so copies under one
@@ -45,29 +47,25 @@ from pyspark.sql import functions as F
 
 from tallyho.llm.bytes_words import mix, powers, prefix_hash, range_hash
 from tallyho.llm import bytes_words
-from tallyho.llm.common import split_buffers, written
-from tallyho.session import bounded_broadcast
+from tallyho.llm.common import split_buffers
 
 MATCH = 100
 GRAM = 24
 STEP = 20
 LEVELS = MATCH // STEP
 SHARD_BYTES = 2 << 20
-RUN = 64                        # windows of one anchor in one stretch
-CHUNK_WINDOWS = 400_000
+RUN = 96                        # windows in one stretch (an anchor inside one window covers 77 at most)
+CHUNK_WINDOWS = 300_000
 GROUP_WINDOWS = 500_000
 SHARDS = 8
 NULL_ID = -(1 << 63)
 _SEAT = np.uint64((1 << 22) - 1)
 
 
-def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of data[i:i + size] for every i."""
-    n = len(data) - size + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    s = prefix_hash(data)
-    return mix((s[size:] - s[:n]) * powers(len(s), bytes_words._INVERSE)[:n])
+def gram_hashes(prefix: np.ndarray, size: int) -> np.ndarray:
+    """Hash of data[i:i + size] for every i, from the prefix hashes."""
+    n = max(len(prefix) - size, 0)
+    return mix((prefix[size:] - prefix[:n]) * powers(len(prefix), bytes_words._INVERSE)[:n])
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -79,13 +77,14 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray):
-    """(start, length, anchor, self) of every run of windows with one anchor;
-    ``self``: windows of the run may equal each other."""
+    """(start, length, anchor, content hash, self) of every run of windows with
+    one anchor; ``self``: windows of the run may equal each other."""
     none = np.zeros(0, np.int64)
     n = len(data) - MATCH + 1
     if n <= 0:
-        return none, none, none, none.astype(bool)
-    h = gram_hashes(data, GRAM)
+        return none, none, none, none, none.astype(bool)
+    prefix = prefix_hash(data)
+    h = gram_hashes(prefix, GRAM)
     seated = (h & ~_SEAT) | np.arange(len(h), dtype=np.uint64)
     seat = (sliding_min(seated, MATCH - GRAM + 1) & _SEAT).astype(np.int64)
     anchor = h[seat]
@@ -104,7 +103,8 @@ def stretches(data: np.ndarray, offsets: np.ndarray):
     start, length = np.repeat(start, parts) + step, np.minimum(whole - step, RUN)
     keep = valid[start]
     start, length = start[keep], length[keep]
-    return start, length, anchor[start].astype(np.int64), seat[start] != seat[start + length - 1]
+    content = range_hash(prefix, start, start + length + MATCH - 1)
+    return start, length, anchor[start].view(np.int64), content.view(np.int64), seat[start] != seat[start + length - 1]
 
 
 def _pieces(batch):
@@ -120,86 +120,107 @@ def _pieces(batch):
             yield ids, piece, np.array([0, len(piece)]), lo
 
 
+def _classes(v, content, doc, place):
+    """Order by anchor, content and place, with what is new in that order:
+    (order, new anchor, new content, same place as the row before)."""
+    order = np.lexsort((place, doc, content, v))
+    differs = lambda x: np.append(True, x[order][1:] != x[order][:-1])[:len(order)]
+    anchor = differs(v)
+    return order, anchor, anchor | differs(content), ~(differs(doc) | differs(place))
+
+
+def _merge_runs(doc, first, end):
+    """Runs [first, end) of each document, those that touch made one."""
+    order = np.lexsort((first, doc))
+    doc, first, end = doc[order], first[order], end[order]
+    new = np.append(True, (doc[1:] != doc[:-1]) | (first[1:] > end[:-1]))[:len(doc)]
+    return doc[new], first[new], np.maximum.reduceat(end, np.flatnonzero(new)) if len(doc) else end
+
+
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """(v, doc_id, span, weight): a stretch of windows under its anchor.
-    weight 0: its anchor is known to repeat; else how often it is here."""
+    """(v, content, doc_id, first, end, own): stretches of windows [first, end)
+    under their anchor; without v: runs known to be repeated."""
+    names = ["v", "content", "doc_id", "first", "end", "own"]
+
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             for ids, data, offsets, base in _pieces(batch):
-                start, length, v, own = stretches(data, offsets)
+                start, length, v, content, own = stretches(data, offsets)
                 row = np.searchsorted(offsets, start, side="right") - 1
-                _, first, count = np.unique(v, return_index=True, return_counts=True)
-                weight = np.zeros(len(v), np.int32)
-                weight[first] = np.minimum(count, 2)
-                weight[own] = np.maximum(weight[own], 2 * (weight[own] > 0))
-                span = ((start - offsets[row] + base) << 8) | length
-                yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(ids[row] if len(row) else np.zeros(0, np.int64)),
-                                                  pa.array(span), pa.array(weight)], ["v", "doc_id", "span", "weight"])
+                doc, first = ids[row], start - offsets[row] + base
+                order, _, new, same = _classes(v, content, doc, first)
+                head, later = order[new], order[~new & ~same]
+                yield pa.RecordBatch.from_arrays([pa.array(x[head]) for x in (v, content, doc, first, first + length, own)], names)
+                d, a, b = _merge_runs(doc[later], first[later], first[later] + length[later])
+                none = pa.nulls(len(d), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(d), pa.array(a), pa.array(b), pa.nulls(len(d), pa.bool_())], names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "v long, doc_id long, span long, weight int")
+    return docs.select("doc_id", "text").mapInArrow(run, "v long, content long, doc_id long, first long, end long, own boolean")
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, span, v) of the stretches whose anchor repeats."""
+def settle(rows: DataFrame) -> DataFrame:
+    """(doc_id, first, end, v): runs that are repeated (v null), and the
+    distinct stretches that must be compared under their anchor."""
     def run(batches):
         import pyarrow as pa
 
-        table = [b for b in batches if b.num_rows]
-        if not table:
+        names = ["doc_id", "first", "end", "v"]
+
+        def out(doc, first, end, v=None):
+            for lo in range(0, len(doc), 100_000):
+                k = slice(lo, lo + 100_000)
+                third = pa.nulls(len(doc[k]), pa.int64()) if v is None else pa.array(v[k])
+                yield pa.RecordBatch.from_arrays([pa.array(doc[k]), pa.array(first[k]), pa.array(end[k]), third], names)
+
+        held = []
+        for batch in batches:
+            known = batch.filter(batch.column(0).is_null())
+            if known.num_rows:
+                yield pa.RecordBatch.from_arrays([known.column(i) for i in (2, 3, 4, 0)], names)
+            if known.num_rows < batch.num_rows:
+                open_ = batch.filter(batch.column(0).is_valid())
+                held.append([np.asarray(open_.column(i)) if i < 5 else np.asarray(open_.column(i).cast(pa.int8())) for i in range(6)])
+        if not held:
             return
-        v, doc, span, weight = (np.concatenate([np.asarray(b.column(i)) for b in table]) for i in range(4))
-        del table
-        order = np.argsort(v, kind="stable")
-        s = v[order]
-        group = np.cumsum(np.concatenate([[0], (s[1:] != s[:-1]).astype(np.int64)]))
-        total = np.bincount(group, weights=weight[order])
-        keep = weight == 0
-        keep[order] |= total[group] > 1
-        for lo in range(0, len(v), 100_000):
-            k = keep[lo: lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(x[lo: lo + 100_000][k]) for x in (doc, span, v)], ["doc_id", "span", "v"])
-
-    place = F.when(F.col("weight") == 0, F.xxhash64("doc_id", "span")).otherwise(F.col("v"))
-    return anchor_rows(docs).repartition(place).mapInArrow(run, "doc_id long, span long, v long")
+        v, content, doc, first, end, own = (np.concatenate([h[i] for h in held]) for i in range(6))
+        order, anchor, new, same = _classes(v, content, doc, first)
+        group = np.cumsum(anchor) - 1
+        compare = (np.bincount(group, weights=new) > 1) | (np.bincount(group, weights=own[order]) > 0)
+        later, need = order[~new & ~same], order[new & compare[group]]
+        yield from out(doc[later], first[later], end[later])
+        yield from out(doc[need], first[need], end[need], v[need])
+
+    # runs that are settled already have no need to meet
+    place = F.when(F.col("v").isNull(), F.xxhash64("doc_id", "first")).otherwise(F.col("v"))
+    return rows.repartition(place).mapInArrow(run, "doc_id long, first long, end long, v long")
 
 
 def cut_stretches(held: DataFrame) -> DataFrame:
-    """(v, doc_id, place, length, bytes) of the candidate stretches.  Of equal
-    ones in a batch the earliest keeps its bytes; the later ones (bytes null)
-    are repeated as a whole."""
+    """(v, doc_id, place, length, bytes) of the stretches to compare."""
     def run(batches):
         import pyarrow as pa
 
+        names = ["v", "doc_id", "place", "length", "bytes"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        batch_of = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
         for batch in batches:
-            out: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-            later = []
-            for doc, text, spans, vs in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            rows = []
+            for doc, text, first, end, v in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 raw = text.encode("utf-8")
-                for span, v in zip(spans, vs):
-                    at = span >> 8
-                    size = min(span & 255, len(raw) - MATCH + 1 - at)
-                    if size <= 0:       # another text under the same id
-                        continue
-                    key, own = (v, raw[at: at + size + MATCH - 1]), (doc, at, size)
-                    have = out.get(key)
-                    if have is None:
-                        out[key] = own
-                    elif own[:2] < have[:2]:
-                        out[key] = own
-                        later.append((v, *have, None))
-                    elif own[:2] > have[:2]:
-                        later.append((v, *own, None))
-            rows = [(k[0], *o, k[1]) for k, o in out.items()] + later
-            for lo in range(0, len(rows), 20_000):
-                c = list(zip(*rows[lo: lo + 20_000]))
-                yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), pa.array(c[2], pa.int64()),
-                                                  pa.array(c[3], pa.int32()), pa.array(c[4], pa.binary())],
-                                                 ["v", "doc_id", "place", "length", "bytes"])
-
-    rows = held.select("doc_id", "text", F.col("spans.span").alias("span"), F.col("spans.v").alias("v"))
-    return rows.mapInArrow(run, "v long, doc_id long, place long, length int, bytes binary")
+                for a, b, x in zip(first, end, v):
+                    b = min(b, len(raw) - MATCH + 1)
+                    if a < b:           # else the stretch is of another text under this id
+                        rows.append((x, doc, a, b - a, raw[a: b + MATCH - 1]))
+                if len(rows) > 20_000:
+                    yield batch_of(rows)
+                    rows = []
+            if rows:
+                yield batch_of(rows)
+
+    rows = held.select("doc_id", "text", *[F.col(f"needs.{c}").alias(c) for c in ("first", "end", "v")])
+    return rows.mapInArrow(run, "v long, doc_id long, place long, length long, bytes binary")
 
 
 class Shard:
@@ -251,7 +272,7 @@ def repeated(symbols: list[np.ndarray], shards: int = SHARDS) -> tuple[np.ndarra
 
 
 def _window_symbols(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    h = gram_hashes(data, STEP)
+    h = gram_hashes(prefix_hash(data), STEP)
     return [h[at + STEP * k] for k in range(LEVELS)]
 
 
@@ -263,18 +284,7 @@ def _windows(doc, place, length, raw):
     return data, np.repeat(limits[:-1], length) + step, np.repeat(doc, length), np.repeat(place, length) + step
 
 
-def _runs(doc: np.ndarray, place: np.ndarray):
-    """Windows as (doc, first, end) runs."""
-    order = np.lexsort((place, doc))
-    doc, place = doc[order], place[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (place[1:] > place[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(doc)) - 1 if len(first) else first
-    return doc[first], place[first], place[last] + 1
-
-
-def marks(segments: DataFrame) -> DataFrame:
+def compared(segments: DataFrame) -> DataFrame:
     """(doc_id, first, end, f1, f2): runs of windows that are repeated; with
     f1, f2 set, single windows of crowded anchors that are still to be
     compared."""
@@ -292,56 +302,53 @@ def marks(segments: DataFrame) -> DataFrame:
             doc, place, length = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 2))
             raw = [b for p in parts for b in p[3]]
             order = np.lexsort((place, doc))
-            data, at, d, w = _windows(doc[order], place[order], length[order].astype(np.int64), [raw[i] for i in order])
+            data, at, d, w = _windows(doc[order], place[order], length[order], [raw[i] for i in order])
             again, first = repeated(_window_symbols(data, at))
-            other = (d[again] != d[first]) | (w[again] != w[first])
-            return rows(*_runs(d[again[other]], w[again[other]]))
+            other = again[(d[again] != d[first]) | (w[again] != w[first])]
+            return rows(*_merge_runs(d[other], w[other], w[other] + 1))
 
         def crowd(part):
             for lo in range(0, len(part[0]), 5_000):
-                data, at, d, w = _windows(part[0][lo: lo + 5_000], part[1][lo: lo + 5_000],
-                                          part[2][lo: lo + 5_000].astype(np.int64), part[3][lo: lo + 5_000])
+                data, at, d, w = _windows(*(x[lo: lo + 5_000] for x in part))
                 s = _window_symbols(data, at)
                 f = [np.zeros(len(at), np.uint64), np.full(len(at), 0x9E3779B97F4A7C15, np.uint64)]
                 for k in range(LEVELS):
                     f = [mix(f[0] + s[k]), mix((f[1] ^ s[k]) * np.uint64(0xD6E8FEB86659FD93))]
                 yield rows(d, w, w + 1, f[0].view(np.int64), f[1].view(np.int64))
 
-        def groups():
-            """The stretches of one anchor after the other, in batches; crowded
-            anchors are told by ``crowded`` (they were counted beforehand)."""
+        def parts():
+            """The stretches of one anchor after the other; a large anchor
+            comes in several parts."""
             for batch in batches:
-                v, doc, place, length, crowded = (np.asarray(batch.column(i)) for i in (0, 1, 2, 3, 5))
+                v, doc, place, length = (np.asarray(batch.column(i)) for i in range(4))
                 raw = batch.column(4).to_pylist()
                 cut = np.flatnonzero(np.diff(v)) + 1
                 for a, b in zip(np.append(0, cut), np.append(cut, len(v))):
                     if a < b:
-                        yield v[a], (doc[a:b], place[a:b], length[a:b], raw[a:b]), bool(crowded[a])
-
-        held, size, last = [], 0, None
-        for v, part, crowded in groups():
-            if crowded:
-                yield from crowd(part)
-                continue
-            if v != last and size >= CHUNK_WINDOWS:
-                yield compare(held)
-                held, size = [], 0
-            held.append(part)
-            size += int(part[2].sum())
-            last = v
-        if held:
-            yield compare(held)
-
-    whole = segments.where("bytes is null").select("doc_id", F.col("place").alias("first"), (F.col("place") + F.col("length")).alias("end"),
-                                                   F.lit(None).cast("long").alias("f1"), F.lit(None).cast("long").alias("f2"))
-    rest = segments.where("bytes is not null")
-    # at most (all windows) / GROUP_WINDOWS anchors are crowded
-    crowded = written(rest.groupBy("v").agg(F.sum("length").alias("n")).where(F.col("n") > GROUP_WINDOWS)
-                      .select("v", F.lit(True).alias("crowded")), "dedup-crowded")
-    rest = rest.join(bounded_broadcast(crowded), "v", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False)))
-    place = F.when(F.col("crowded"), F.xxhash64("doc_id", "place")).otherwise(F.col("v"))
-    dealt = rest.repartition(place).sortWithinPartitions("v").select("v", "doc_id", "place", "length", "bytes", "crowded")
-    return whole.unionAll(dealt.mapInArrow(run, "doc_id long, first long, end long, f1 long, f2 long"))
+                        yield v[a], (doc[a:b], place[a:b], length[a:b], raw[a:b])
+
+        done, size = [], 0                  # whole anchors, compared together
+        own, windows, last = [], 0, None    # the anchor at hand
+        for v, part in parts():
+            if v != last:
+                done, size = done + own, size + sum(int(p[2].sum()) for p in own)
+                own, windows, last = [], 0, v
+                if size >= CHUNK_WINDOWS:
+                    yield compare(done)
+                    done, size = [], 0
+            windows += int(part[2].sum())
+            own.append(part)
+            if windows > GROUP_WINDOWS:
+                for p in own:
+                    yield from crowd(p)
+                own = []
+        if windows > GROUP_WINDOWS:
+            own = []
+        if done + own:
+            yield compare(done + own)
+
+    return segments.repartition("v").sortWithinPartitions("v").mapInArrow(
+        run, "doc_id long, first long, end long, f1 long, f2 long")
 
 
 def crowded_marks(open_: DataFrame) -> DataFrame:
@@ -388,21 +395,12 @@ def dedup(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     its remaining bytes if asked."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    spans = candidates(docs).groupBy("doc_id").agg(F.collect_list(F.struct("span", "v")).alias("spans"))
-    # Documents without a candidate are done here; only the others keep their text.
-    joined = docs.join(spans, "doc_id", "left")
-    none = F.col("spans").isNull()
-    plain = [F.octet_length("text").cast("long").alias("n_bytes"), F.when(none, F.sha2(F.col("text").cast("binary"), 256)).alias("sha")]
-    table = written(joined.select("doc_id", *plain, F.when(~none | F.lit(with_kept), F.col("text")).alias("text"), "spans"), "dedup-held")
-    held = table.where("spans is not null")
-    segments = cut_stretches(held.select("doc_id", "text", "spans"))
-    found = written(marks(written(segments, "dedup-segments")), "dedup-marks")
-    every = found.where("f1 is null").select("doc_id", "first", "end").unionAll(crowded_marks(found.where("f1 is not null")))
-    runs = every.groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("runs"))
-    cut = _cut(held.select("doc_id", "text").join(runs, "doc_id", "left").select("doc_id", "text", "runs"), with_kept)
-    zero = F.lit(0).cast("long")
-    rest = table.where("spans is null").select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"),
-                                               F.col("sha").alias("kept_sha256"),
-                                               *([F.col("text").cast("binary").alias("kept")] if with_kept else []))
-    out = cut.unionAll(rest)
+    texts = docs.repartition("doc_id")
+    settled = settle(anchor_rows(docs)).repartition("doc_id")
+    needs = settled.where("v is not null").groupBy("doc_id").agg(F.collect_list(F.struct("first", "end", "v")).alias("needs"))
+    found = compared(cut_stretches(texts.join(needs, "doc_id"))).repartition("doc_id")
+    marks = settled.where("v is null").select("doc_id", "first", "end").unionAll(
+        found.where("f1 is null").select("doc_id", "first", "end")).unionAll(crowded_marks(found.where("f1 is not null")))
+    runs = marks.groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("runs"))
+    out = _cut(texts.join(runs, "doc_id", "left").select("doc_id", "text", "runs"), with_kept)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
