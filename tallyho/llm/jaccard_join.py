@@ -20,7 +20,7 @@ sides' keys, so no pair falls between them.  Keys also carry a size band.
 *Verification* compares whole sets, rebuilt from the texts.  A key's members
 are first compared with one leader, not with each other.  Where that leaves
 more than one component under a key, members outside the largest one are
-compared with all members, ``STRAYS`` of them a round, until every key's
+compared with all members, a growing number of them a round, until every key's
 members are in one component or have been compared.  So no link between
 different texts is lost, and a group of m copies costs about m comparisons.
 
@@ -49,7 +49,7 @@ from tallyho.session import bounded_broadcast
 WORDS, PERCENT = 5, 80
 RARE = 64
 SMALL = 128
-STRAYS = 16
+STRAYS = 32                     # in the first such round, eight times as many in each later one
 SHARD_BYTES = 2 << 20
 BROADCAST_IDS = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -171,7 +171,7 @@ def keys(grouped: DataFrame, percent: int, rare: int, small: int) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The linked ones of (a, b), by their whole sets."""
+    """(a, b, linked) of the pairs (a, b), by their whole sets."""
     def run(batches):
         import pyarrow as pa
 
@@ -192,11 +192,11 @@ def verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
                     x = next(left)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keep, pa.bool_())], ["a", "b", "linked"])
 
     both = (pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b"))
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, linked boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -209,14 +209,13 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.withColumnRenamed("cls", "b"), "b").groupBy("a").agg(F.min("comp").alias("near"))
         step = labels.join(near.withColumnRenamed("a", "cls"), "cls").select(
-            "cls", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
-        step = written(step, "join-step")
-        jump = step.select(F.col("cls").alias("comp"), F.col("comp").alias("far"))
-        step = step.join(jump, "comp", "left").select("cls", "was", F.least("comp", "far").alias("comp"))
-        labels = written(step, "join-labels")
-        if not labels.where("comp <> was").limit(1).count():
-            return labels.select("cls", "comp")
+            "cls", F.col("comp").alias("was"), F.least("comp", "near").alias("near"))
+        jump = labels.select(F.col("cls").alias("near"), F.col("comp").alias("far"))
+        labels = written(step.join(jump, "near").select("cls", "was", F.least("near", "far").alias("comp")), "join-labels")
+        changed = labels.where("comp <> was").limit(1).count()
         labels = labels.select("cls", "comp")
+        if not changed:
+            return labels
 
 
 def link_classes(members: DataFrame, texts: DataFrame, words: int, percent: int, strays: int = STRAYS) -> DataFrame:
@@ -225,33 +224,29 @@ def link_classes(members: DataFrame, texts: DataFrame, words: int, percent: int,
     ``members``: (key, cls, n) of the keys with two classes or more."""
     fits = 100 * F.least("n", "o") >= percent * F.greatest("n", "o")
     lead = members.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("l"))
-    star = members.join(lead, "key").where(F.col("cls") != F.col("l.cls")).select(
-        F.col("l.cls").alias("a"), F.col("cls").alias("b"), "n", F.col("l.n").alias("o")).where(fits)
-    seen = written(star.select("a", "b").distinct(), "join-pairs")
-    edges = written(verify(seen, texts, words, percent), "join-links")
+    led = members.join(lead, "key").where(F.col("cls") != F.col("l.cls"))
+    star = led.select(F.col("l.cls").alias("a"), F.col("cls").alias("b"), "n", F.col("l.n").alias("o")).where(fits)
+    checked = written(verify(star.select("a", "b").distinct(), texts, words, percent), "join-checked")
     # the leader has met every member of its key
-    members = written(members.join(lead, "key").where(F.col("cls") != F.col("l.cls")).select("key", "cls", "n"), "join-members")
+    members = led.select("key", "cls", "n")
     while True:
-        comps = components(edges)
+        comps = components(checked.where("linked"))
         rows = members.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        open_ = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-        rows = written(rows.join(open_, "key"), "join-open")
         sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-        largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("largest"))
-        outside = rows.join(largest, "key").where(F.col("comp") != F.col("largest"))
+        largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("largest"),
+                                           F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        rows = written(rows.join(largest, "key").drop("comps"), "join-open")
         turn = Window.partitionBy("key").orderBy("cls")
-        outside = outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= strays)
+        outside = rows.where(F.col("comp") != F.col("largest")).withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= strays)
         outside = written(outside.select("key", F.col("cls").alias("s"), F.col("n").alias("o"), F.col("comp").alias("sc")), "join-strays")
         if not outside.limit(1).count():
             return comps
         pairs = rows.join(outside, "key").where((F.col("comp") != F.col("sc")) & fits).select(
             F.least("s", "cls").alias("a"), F.greatest("s", "cls").alias("b")).distinct()
-        fresh = written(pairs.join(seen, ["a", "b"], "left_anti"), "join-pairs")
-        seen = seen.unionAll(fresh)
-        found = written(verify(fresh, texts, words, percent), "join-links")
-        edges = edges.unionAll(found)
-        members = written(rows.select("key", "cls", "n").join(
-            outside.select("key", F.col("s").alias("cls")), ["key", "cls"], "left_anti"), "join-members")
+        fresh = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        checked = checked.unionAll(written(verify(fresh, texts, words, percent), "join-checked"))
+        members = rows.select("key", "cls", "n").join(outside.select("key", F.col("s").alias("cls")), ["key", "cls"], "left_anti")
+        strays *= 8
 
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rare: int = RARE, small: int = SMALL) -> DataFrame:
@@ -264,8 +259,11 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rare: int
         F.sort_array(F.collect_set(F.struct("df", "token"))).alias("tokens"))
     grouped = classes.select("cls", "n").join(shared, "cls").select("cls", "n", "tokens")
     posted = written(keys(grouped, percent, rare, small), "join-keys")
-    crowded = posted.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    members = written(posted.join(crowded, "key").distinct(), "join-members")
+    # of keys with the same members one is enough
+    by_key = posted.groupBy("key").agg(F.count(F.lit(1)).alias("c"), *[
+        F.bit_xor(F.xxhash64(F.lit(k), "cls", "n")).alias(f"x{k}") for k in (1, 2)]).where("c > 1")
+    needed = by_key.groupBy("c", "x1", "x2").agg(F.min("key").alias("key")).select("key")
+    members = written(posted.join(needed, "key"), "join-members")
     involved = written(members.select("cls").distinct(), "join-involved")
     texts = written(docs.select(F.col("doc_id").cast("long").alias("cls"), F.coalesce("text", F.lit("")).alias("text")).join(
         bounded_broadcast(involved, BROADCAST_IDS), "cls", "left_semi"), "join-texts")
