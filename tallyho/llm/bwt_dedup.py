@@ -27,8 +27,8 @@ Marks are united per document, and the remaining bytes are hashed.
 
 Nothing hot is gathered: equal stretches are reduced to the earliest within a
 task's slice before they are shuffled, and the rest of them are spread by
-document; an anchor with more than ``GROUP_WINDOWS`` distinct windows is
-streamed and compared by 128-bit hashes of its windows in a normal aggregate.
+document.  What meets in one task are the distinct contents around one anchor,
+about 160 bytes each; they are compared in passes of ``CHUNK_WINDOWS`` windows.
 Texts are shuffled once, by doc_id; both joins read that exchange.
 
 Edge cases: null text is empty; texts under ``MATCH`` bytes keep everything;
@@ -56,7 +56,6 @@ LEVELS = MATCH // STEP
 SHARD_BYTES = 2 << 20
 RUN = 96                        # windows in one stretch (an anchor inside one window covers 77 at most)
 CHUNK_WINDOWS = 300_000
-GROUP_WINDOWS = 500_000
 SHARDS = 8
 NULL_ID = -(1 << 63)
 _SEAT = np.uint64((1 << 22) - 1)
@@ -284,37 +283,38 @@ def _windows(doc, place, length, raw):
     return data, np.repeat(limits[:-1], length) + step, np.repeat(doc, length), np.repeat(place, length) + step
 
 
+def _symbols_of(parts, passes: int, turn: int):
+    """Symbols, doc and place of the parts' windows, in order of place; with
+    several passes those whose first symbol falls to this turn (equal windows
+    fall to the same one)."""
+    doc, place, length = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 2))
+    raw = [b for p in parts for b in p[3]]
+    order = np.lexsort((place, doc))
+    out = []
+    for lo in range(0, len(order), 20_000):
+        some = order[lo: lo + 20_000]
+        data, at, d, w = _windows(doc[some], place[some], length[some], [raw[i] for i in some])
+        s = _window_symbols(data, at)
+        mine = slice(None) if passes == 1 else s[0] % np.uint64(passes) == turn
+        out.append([x[mine] for x in (*s, d, w)])
+    cols = [np.concatenate(c) for c in zip(*out)]
+    return cols[:LEVELS], cols[LEVELS], cols[LEVELS + 1]
+
+
 def compared(segments: DataFrame) -> DataFrame:
-    """(doc_id, first, end, f1, f2): runs of windows that are repeated; with
-    f1, f2 set, single windows of crowded anchors that are still to be
-    compared."""
+    """(doc_id, first, end): runs of windows that are repeated among the
+    stretches of one anchor."""
     def run(batches):
         import pyarrow as pa
 
-        names = ["doc_id", "first", "end", "f1", "f2"]
-
-        def rows(doc, first, end, f1=None, f2=None):
-            none = pa.nulls(len(doc), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(first), pa.array(end), none if f1 is None else pa.array(f1),
-                                               none if f2 is None else pa.array(f2)], names)
-
         def compare(parts):
-            doc, place, length = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 2))
-            raw = [b for p in parts for b in p[3]]
-            order = np.lexsort((place, doc))
-            data, at, d, w = _windows(doc[order], place[order], length[order], [raw[i] for i in order])
-            again, first = repeated(_window_symbols(data, at))
-            other = again[(d[again] != d[first]) | (w[again] != w[first])]
-            return rows(*_merge_runs(d[other], w[other], w[other] + 1))
-
-        def crowd(part):
-            for lo in range(0, len(part[0]), 5_000):
-                data, at, d, w = _windows(*(x[lo: lo + 5_000] for x in part))
-                s = _window_symbols(data, at)
-                f = [np.zeros(len(at), np.uint64), np.full(len(at), 0x9E3779B97F4A7C15, np.uint64)]
-                for k in range(LEVELS):
-                    f = [mix(f[0] + s[k]), mix((f[1] ^ s[k]) * np.uint64(0xD6E8FEB86659FD93))]
-                yield rows(d, w, w + 1, f[0].view(np.int64), f[1].view(np.int64))
+            passes = -(-sum(int(p[2].sum()) for p in parts) // (2 * CHUNK_WINDOWS))
+            for turn in range(passes):
+                symbols, d, w = _symbols_of(parts, passes, turn)
+                again, first = repeated(symbols) if len(d) else (np.zeros(0, int),) * 2
+                other = again[(d[again] != d[first]) | (w[again] != w[first])]
+                cols = _merge_runs(d[other], w[other], w[other] + 1)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["doc_id", "first", "end"])
 
         def parts():
             """The stretches of one anchor after the other; a large anchor
@@ -327,35 +327,18 @@ def compared(segments: DataFrame) -> DataFrame:
                     if a < b:
                         yield v[a], (doc[a:b], place[a:b], length[a:b], raw[a:b])
 
-        done, size = [], 0                  # whole anchors, compared together
-        own, windows, last = [], 0, None    # the anchor at hand
+        held, size, last = [], 0, None
         for v, part in parts():
-            if v != last:
-                done, size = done + own, size + sum(int(p[2].sum()) for p in own)
-                own, windows, last = [], 0, v
-                if size >= CHUNK_WINDOWS:
-                    yield compare(done)
-                    done, size = [], 0
-            windows += int(part[2].sum())
-            own.append(part)
-            if windows > GROUP_WINDOWS:
-                for p in own:
-                    yield from crowd(p)
-                own = []
-        if windows > GROUP_WINDOWS:
-            own = []
-        if done + own:
-            yield compare(done + own)
-
-    return segments.repartition("v").sortWithinPartitions("v").mapInArrow(
-        run, "doc_id long, first long, end long, f1 long, f2 long")
-
-
-def crowded_marks(open_: DataFrame) -> DataFrame:
-    """Marks among windows that are compared by their hashes."""
-    firsts = open_.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "first")).alias("o"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = open_.join(firsts.select("f1", "f2", "o"), ["f1", "f2"])
-    return rows.where((F.col("doc_id") != F.col("o.doc_id")) | (F.col("first") != F.col("o.first"))).select("doc_id", "first", "end")
+            if v != last and size >= CHUNK_WINDOWS:
+                yield from compare(held)
+                held, size = [], 0
+            held.append(part)
+            size += int(part[2].sum())
+            last = v
+        if held:
+            yield from compare(held)
+
+    return segments.repartition("v").sortWithinPartitions("v").mapInArrow(run, "doc_id long, first long, end long")
 
 
 def _cut(rows: DataFrame, with_kept: bool) -> DataFrame:
@@ -398,9 +381,8 @@ def dedup(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     texts = docs.repartition("doc_id")
     settled = settle(anchor_rows(docs)).repartition("doc_id")
     needs = settled.where("v is not null").groupBy("doc_id").agg(F.collect_list(F.struct("first", "end", "v")).alias("needs"))
-    found = compared(cut_stretches(texts.join(needs, "doc_id"))).repartition("doc_id")
-    marks = settled.where("v is null").select("doc_id", "first", "end").unionAll(
-        found.where("f1 is null").select("doc_id", "first", "end")).unionAll(crowded_marks(found.where("f1 is not null")))
+    found = compared(cut_stretches(texts.join(needs, "doc_id")))
+    marks = settled.where("v is null").select("doc_id", "first", "end").unionAll(found)
     runs = marks.groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("runs"))
     out = _cut(texts.join(runs, "doc_id", "left").select("doc_id", "text", "runs"), with_kept)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))

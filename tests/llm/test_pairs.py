@@ -85,8 +85,8 @@ def test_dedup_equals_brute_force(spark):
 
 
 def test_dedup_crowded_anchor(spark, monkeypatch):
-    """An anchor with too many windows takes the other way, same result."""
-    monkeypatch.setattr(bwt_dedup, "GROUP_WINDOWS", 30)
+    """An anchor with many windows is compared in passes, same result."""
+    monkeypatch.setattr(bwt_dedup, "CHUNK_WINDOWS", 30)
     line = prose(77, 60)
     rows = [(d, f"{d} " * d + line + f" {d}", "en", "s") for d in range(12)]
     got = {r["doc_id"]: tuple(r)[1:] for r in bwt_dedup.dedup(table(spark, rows)).collect()}
