@@ -49,7 +49,7 @@ from tallyho.session import bounded_broadcast
 WORDS, PERCENT = 5, 80
 RARE = 64
 SMALL = 128
-STRAYS = 32                     # in the first such round, eight times as many in each later one
+STRAYS = 64                     # in the first such round, eight times as many in each later one
 SHARD_BYTES = 2 << 20
 BROADCAST_IDS = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -203,19 +203,23 @@ def components(edges: DataFrame) -> DataFrame:
     """(cls, comp): the smallest id reachable, for every id with an edge.
     Labels pass along edges and are then looked up themselves, so chains halve
     with every round; each round's labels are a written table."""
-    both = written(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "join-edges")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("cls"), F.least("a", "m").alias("comp")), "join-labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("cls", "b"), "b").groupBy("a").agg(F.min("comp").alias("near"))
-        step = labels.join(near.withColumnRenamed("a", "cls"), "cls").select(
-            "cls", F.col("comp").alias("was"), F.least("comp", "near").alias("near"))
-        jump = labels.select(F.col("cls").alias("near"), F.col("comp").alias("far"))
-        labels = written(step.join(jump, "near").select("cls", "was", F.least("near", "far").alias("comp")), "join-labels")
-        changed = labels.where("comp <> was").limit(1).count()
-        labels = labels.select("cls", "comp")
-        if not changed:
-            return labels
+    ends = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
+                                          F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))).alias("e"))
+    both = written(ends.select("e.a", "e.b").distinct(), "join-edges")
+    labels = written(both.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("comp")), "join-labels")
+    total = F.sum(F.col("comp").cast("decimal(38,0)"))
+    before = labels.agg(total).first()[0]
+    while before is not None:
+        side = bounded_broadcast(labels, BROADCAST_IDS)
+        near = both.join(side.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.min("comp").alias("near"))
+        jump = side.select(F.col("cls").alias("near"), "comp")
+        labels = written(near.join(jump, "near").select("cls", "comp"), "join-labels")
+        # labels only fall: the same sum is the same labels
+        after = labels.agg(total).first()[0]
+        if after == before:
+            break
+        before = after
+    return labels
 
 
 def link_classes(members: DataFrame, texts: DataFrame, words: int, percent: int, strays: int = STRAYS) -> DataFrame:
@@ -231,11 +235,9 @@ def link_classes(members: DataFrame, texts: DataFrame, words: int, percent: int,
     members = led.select("key", "cls", "n")
     while True:
         comps = components(checked.where("linked"))
-        rows = members.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        sizes = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-        largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("largest"),
-                                           F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        rows = written(rows.join(largest, "key").drop("comps"), "join-open")
+        rows = members.join(bounded_broadcast(comps, BROADCAST_IDS), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+        largest = rows.groupBy("key").agg(F.mode("comp").alias("largest"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+        rows = written(rows.join(largest.where("x <> y").select("key", "largest"), "key"), "join-open")
         turn = Window.partitionBy("key").orderBy("cls")
         outside = rows.where(F.col("comp") != F.col("largest")).withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= strays)
         outside = written(outside.select("key", F.col("cls").alias("s"), F.col("n").alias("o"), F.col("comp").alias("sc")), "join-strays")
