@@ -18,8 +18,10 @@ many pairs and index frequent shingles alone.  Sets near a limit use both
 sides' keys, so no pair falls between them.  Keys also carry a size band.
 
 *Verification* compares whole sets, rebuilt from the texts.  A key's members
-are first compared with one leader, not with each other.  Where that leaves
-more than one component under a key, members outside the largest one are
+are first compared with one leader, not with each other.  What that leaves in
+more than one component under a key is looked up again by prefixes of whole
+sets, in the order of the counts among these sets.  Then members outside the
+largest component of a key are
 compared with all members, a growing number of them a round, until every key's
 members are in one component or have been compared.  So no link between
 different texts is lost, and a group of m copies costs about m comparisons.
@@ -132,24 +134,27 @@ def _band(n: int, percent: int) -> int:
     return int(np.log(n) / -np.log((percent - 1) / 100))
 
 
-def keys(grouped: DataFrame, percent: int, rare: int, small: int) -> DataFrame:
+def keys(grouped: DataFrame, percent: int, rare: int, small: int, whole: bool = False) -> DataFrame:
     """(key, cls, n) from (cls, n, tokens: array<struct<df, token>> rarest
-    first): single shingles and pairs, with their size band."""
+    first): single shingles and pairs, with their size band.  ``whole``: the
+    tokens were taken from whole sets, not from first prefixes."""
     def of(n, tokens):
-        unique = first_prefix(n, percent) - len(tokens)
-        short = tokens[:max(0, second_prefix(n, percent) - unique)]
-        two = spare(least(n, percent)) >= 2
+        if whole:
+            size, short, two = n, n - least(n, percent) + 1, least(n, percent) >= 2
+        else:
+            size, short, two = first_prefix(n, percent), second_prefix(n, percent), spare(least(n, percent)) >= 2
+        unique = size - len(tokens)
+        first, longer = tokens[:max(0, short - unique)], tokens[:max(0, short + 1 - unique)]
         limit = small * 100 // percent + 1          # the largest partner of a small set
         out = set()
         if n > small or not two:
-            out.update(t for _, t in short)
-        if n <= limit and spare(n) >= 2:
-            longer = tokens[:max(0, second_prefix(n, percent) + 1 - unique)]
+            out.update(t for _, t in first)
+        if n <= limit:
             out.update(t for df, t in longer if df <= rare)
             often = [t for df, t in longer if df > rare]
             out.update(hash((a, b, 2)) for i, a in enumerate(often) for b in often[i + 1:])
         if two and n <= 100 * 100 // percent // 5:  # partners may be too small for pairs
-            out.update(t for _, t in short)
+            out.update(t for _, t in first)
         return out
 
     def run(batches):
@@ -222,22 +227,73 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def link_classes(members: DataFrame, texts: DataFrame, words: int, percent: int, strays: int = STRAYS) -> DataFrame:
+def needed_keys(posted: DataFrame) -> DataFrame:
+    """``posted`` under the keys with two classes or more; of keys with the
+    same members one is enough."""
+    by_key = posted.groupBy("key").agg(F.count(F.lit(1)).alias("c"), *[
+        F.bit_xor(F.xxhash64(F.lit(k), "cls", "n")).alias(f"x{k}") for k in (1, 2)]).where("c > 1")
+    return posted.join(by_key.groupBy("c", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "key")
+
+
+def rarest_first(rows: DataFrame) -> DataFrame:
+    """(cls, tokens) from (cls, token): each class's tokens that another row
+    has too, with their counts, rarest first."""
+    often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    return rows.join(often, "token").groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("df", "token"))).alias("tokens"))
+
+
+def whole_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(cls, token) of every shingle."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for part, data, offsets, _ in split_buffers(batch, "text", SHARD_BYTES):
+                sets = row_sets(data, offsets, words)
+                cls = np.repeat(np.asarray(part.column(0)), [len(x) for x in sets])
+                token = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(token)], ["cls", "token"])
+
+    return texts.select("cls", "text").mapInArrow(run, "cls long, token long")
+
+
+def link_classes(members: DataFrame, texts: DataFrame, words: int, percent: int, rare: int = RARE, small: int = SMALL,
+                 strays: int = STRAYS) -> DataFrame:
     """(cls, comp) of the classes that are linked to another one.
 
     ``members``: (key, cls, n) of the keys with two classes or more."""
     fits = 100 * F.least("n", "o") >= percent * F.greatest("n", "o")
-    lead = members.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("l"))
-    led = members.join(lead, "key").where(F.col("cls") != F.col("l.cls"))
-    star = led.select(F.col("l.cls").alias("a"), F.col("cls").alias("b"), "n", F.col("l.n").alias("o")).where(fits)
-    checked = written(verify(star.select("a", "b").distinct(), texts, words, percent), "join-checked")
-    # the leader has met every member of its key
-    members = led.select("key", "cls", "n")
-    while True:
-        comps = components(checked.where("linked"))
+
+    def star(members):
+        """(pairs of each key's leader with its other members, those members):
+        the leader has met every member of its key."""
+        lead = members.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("l"))
+        led = members.join(lead, "key").where(F.col("cls") != F.col("l.cls"))
+        pairs = led.select(F.col("l.cls").alias("a"), F.col("cls").alias("b"), "n", F.col("l.n").alias("o")).where(fits)
+        return pairs.select("a", "b").distinct(), led.select("key", "cls", "n")
+
+    def still_open(members, comps):
+        """The members of keys that hold more than one component."""
         rows = members.join(bounded_broadcast(comps, BROADCAST_IDS), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
         largest = rows.groupBy("key").agg(F.mode("comp").alias("largest"), F.min("comp").alias("x"), F.max("comp").alias("y"))
-        rows = written(rows.join(largest.where("x <> y").select("key", "largest"), "key"), "join-open")
+        return written(rows.join(largest.where("x <> y").select("key", "largest"), "key"), "join-open")
+
+    pairs, members = star(members)
+    checked = written(verify(pairs, texts, words, percent), "join-checked")
+    comps = components(checked.where("linked"))
+    rows = still_open(members, comps)
+    # What is open is looked up again by whole sets, in the order of their own
+    # counts: a set with too many shingles of its own has no key any more.
+    sizes = rows.select("cls", "n").distinct()
+    some = texts.join(bounded_broadcast(sizes.select("cls"), BROADCAST_IDS), "cls", "left_semi")
+    again = sizes.join(rarest_first(whole_sets(some, words)), "cls").select("cls", "n", "tokens")
+    members = needed_keys(written(keys(again, percent, rare, small, whole=True), "join-keys"))
+    pairs, members = star(written(members, "join-members"))
+    fresh = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    checked = checked.unionAll(written(verify(fresh, texts, words, percent), "join-checked"))
+    while True:
+        comps = components(checked.where("linked"))
+        rows = still_open(members, comps)
         turn = Window.partitionBy("key").orderBy("cls")
         outside = rows.where(F.col("comp") != F.col("largest")).withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= strays)
         outside = written(outside.select("key", F.col("cls").alias("s"), F.col("n").alias("o"), F.col("comp").alias("sc")), "join-strays")
@@ -255,21 +311,14 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rare: int
     """(doc_id, n_shingles, component_id) of every document."""
     sets = written(prefixes(docs, words, percent), "join-sets")
     classes = written(sets.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("cls")), "join-classes")
-    rows = sets.select("doc_id", F.explode("tokens").alias("token"))
-    often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    shared = rows.join(often, "token").groupBy(F.col("doc_id").alias("cls")).agg(
-        F.sort_array(F.collect_set(F.struct("df", "token"))).alias("tokens"))
+    shared = rarest_first(sets.select(F.col("doc_id").alias("cls"), F.explode("tokens").alias("token")))
     grouped = classes.select("cls", "n").join(shared, "cls").select("cls", "n", "tokens")
     posted = written(keys(grouped, percent, rare, small), "join-keys")
-    # of keys with the same members one is enough
-    by_key = posted.groupBy("key").agg(F.count(F.lit(1)).alias("c"), *[
-        F.bit_xor(F.xxhash64(F.lit(k), "cls", "n")).alias(f"x{k}") for k in (1, 2)]).where("c > 1")
-    needed = by_key.groupBy("c", "x1", "x2").agg(F.min("key").alias("key")).select("key")
-    members = written(posted.join(needed, "key"), "join-members")
+    members = written(needed_keys(posted), "join-members")
     involved = written(members.select("cls").distinct(), "join-involved")
     texts = written(docs.select(F.col("doc_id").cast("long").alias("cls"), F.coalesce("text", F.lit("")).alias("text")).join(
         bounded_broadcast(involved, BROADCAST_IDS), "cls", "left_semi"), "join-texts")
-    comps = link_classes(members, texts, words, percent)
+    comps = link_classes(members, texts, words, percent, rare, small)
     classes = classes.join(comps, "cls", "left").select("f1", "f2", "n", F.coalesce("comp", "cls").alias("component_id"))
     rows = sets.select("doc_id", "n", "f1", "f2")
     linked = rows.where("n > 0 and doc_id is not null").join(classes, ["f1", "f2", "n"])
