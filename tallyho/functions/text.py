@@ -3,9 +3,10 @@
 Everything is a built-in Spark expression (regex, split, higher-order array
 functions), so it runs inside the JVM and never round-trips through Python.
 
-Text columns may hold one line or a whole document: a line break separates
-sentences and words exactly like the end of a line does, so counting over a
-document gives the same totals as counting over its lines.
+Text columns may hold one line or a whole document: a line break (LF, CR or
+CR LF) separates sentences and words exactly like the end of a line does, so
+counting over a document gives the same totals as counting over its lines.
+Other characters that some tools take for line ends are ordinary text.
 
 Semantics (what counts as a sentence, a word, a normalised word):
 
@@ -27,16 +28,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Separators and the letter class that define the statistics.
-SENTENCE_PIECE = r"[^.\n]+"          # maximal run between '.' and line ends
-WORD_PIECE = r"[^ \n]+"              # maximal run between ' ' and line ends
-WORD_SPLIT = r"[ \n]"
-EDGE_NON_LETTERS = r"^\P{L}+|\P{L}+$"
-# One space/line-separated token with its leading and trailing non-letters;
-# group 1 is the normalised word (first letter .. last letter).
-WORD_CORE = r"[^ \n\p{L}]*(\p{L}(?:[^ \n]*\p{L})?)[^ \n\p{L}]*"
+LINE_END = r"\r\n|\r|\n"
+SENTENCE_PIECE = r"[^.\r\n]+"        # maximal run between '.' and line ends
+WORD_PIECE = r"[^ \r\n]+"            # maximal run between ' ' and line ends
+# First to last letter of a token.  Nothing is matched around it, so a run of
+# non-letters is passed over once.
+LETTER_SPAN = r"(?s)\p{L}(?:.*\p{L})?"
+WORD_CORE = r"\p{L}(?:[^ \r\n]*\p{L})?"
 ALPHA_TOKEN = r"(?<![^ ])\p{L}+(?![^ ])"
 # From the first all-letter token of a line to its last one (greedy middle).
-ALPHA_SPAN = ALPHA_TOKEN + r"(?:.*" + ALPHA_TOKEN + r")?"
+ALPHA_SPAN = r"(?s)" + ALPHA_TOKEN + r"(?:.*" + ALPHA_TOKEN + r")?"
 
 
 def sentence_total(text: Column | str) -> Column:
@@ -51,14 +52,14 @@ def word_total(text: Column | str) -> Column:
 
 def strip_non_alpha(token: Column | str) -> Column:
     """Remove leading and trailing non-letters, keep inner ones."""
-    return F.regexp_replace(_col(token), EDGE_NON_LETTERS, "")
+    return F.regexp_extract(_col(token), LETTER_SPAN, 0)
 
 
 def normalised_word_array(text: Column | str) -> Column:
     """Normalised words (token mode) of ``text`` in one regex pass: each
     token's span from its first to its last letter; tokens without letters
     yield nothing."""
-    return F.regexp_extract_all(F.lower(_col(text)), F.lit(WORD_CORE), 1)
+    return F.regexp_extract_all(F.lower(_col(text)), F.lit(WORD_CORE), 0)
 
 
 def line_kept_span(line: Column) -> Column:
@@ -70,12 +71,13 @@ def line_kept_span(line: Column) -> Column:
 
 def line_span_token_array(text: Column | str) -> Column:
     """Tokens kept by the line-level stripping rule, for every line of ``text``."""
-    lines = F.split(F.lower(_col(text)), "\n", -1)
+    lines = F.split(F.lower(_col(text)), LINE_END, -1)
     return F.flatten(F.transform(lines, lambda l: F.split(line_kept_span(l), " ", -1)))
 
 
 def token_array(text: Column | str, strip: str = "token") -> Column:
-    """Array of tokens to explode before :func:`finish_token`."""
+    """Array of normalised words to explode; empties are removed after the
+    aggregation."""
     if strip == "token":
         return normalised_word_array(text)
     if strip == "line":
@@ -83,11 +85,5 @@ def token_array(text: Column | str, strip: str = "token") -> Column:
     raise ValueError(f"strip must be 'token' or 'line', not {strip!r}")
 
 
-def finish_token(token: Column | str, strip: str = "token") -> Column:
-    """Per-token step after exploding :func:`token_array` (both modes already
-    produce final words; empties are removed after aggregation)."""
-    return _col(token)
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

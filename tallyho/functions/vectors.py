@@ -15,6 +15,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _checked(value: Column, d: int, *vectors: Column) -> Column:
+    """``value`` if every vector has ``d`` entries, null if one is null;
+    vectors of another length make the query fail instead of being cut."""
+    fits, missing = F.size(vectors[0]) == d, vectors[0].isNull()
+    for v in vectors[1:]:
+        fits, missing = fits & (F.size(v) == d), missing | v.isNull()
+    wrong = F.raise_error(F.lit(f"vectors must have {d} entries")).cast("double")
+    return F.when(missing, F.lit(None)).when(fits, value).otherwise(wrong)
+
+
 def literal_dot(x: Column | str, coeffs: Sequence[float]) -> Column:
     """``<x, coeffs>`` for an array column ``x`` and driver-side coefficients."""
     x = _col(x)
@@ -24,7 +34,7 @@ def literal_dot(x: Column | str, coeffs: Sequence[float]) -> Column:
     total = terms[0]
     for t in terms[1:]:
         total = total + t
-    return total
+    return _checked(total, len(terms), x)
 
 
 def column_dot(a: Column | str, b: Column | str, d: int | None = None) -> Column:
@@ -34,7 +44,7 @@ def column_dot(a: Column | str, b: Column | str, d: int | None = None) -> Column
         total = a.getItem(0) * b.getItem(0)
         for k in range(1, d):
             total = total + a.getItem(k) * b.getItem(k)
-        return total
+        return _checked(total, d, a, b)
     return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
 
 

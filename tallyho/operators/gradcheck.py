@@ -10,37 +10,23 @@ the rows that touch k, so the difference F(b + delta e_k) - F(b) is a sum of
 per-row differences of the loss, computed row by row (which also avoids
 subtracting two large totals).
 
-* :func:`linreg_check` – dense least squares, one aggregate with 2d sums.
+* :func:`linreg_check` – dense least squares for any d, one partial vector per
+  task.
 * :func:`logreg_check` – sparse logistic loss, every feature at once: one
   join of the cells with the margins, then a group-by on the feature.
-* :func:`mf_check` – matrix-factorisation objective w.r.t. every user
-  coordinate u_i[k]: one pass over the joined ratings grouped by user.
-* :func:`estimate_grad` – the plain driver-side loop for any Python
-  function of a small vector, used by tests to check the above.
+* :func:`mf_check` – matrix-factorisation objective w.r.t. every coordinate
+  of one side: one pass over the joined ratings grouped by user or item.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import literal_dot, logistic_loss, logistic_weight
-
-
-def estimate_grad(fun: Callable[[np.ndarray], float], x: Sequence[float],
-                  delta: float) -> np.ndarray:
-    """Forward differences of ``fun`` at ``x`` (driver-side, small d)."""
-    x = np.asarray(x, dtype=float)
-    f0 = fun(x)
-    grad = np.zeros(len(x))
-    for i in range(len(x)):
-        e = np.zeros(len(x))
-        e[i] = 1.0
-        grad[i] = (fun(x + delta * e) - f0) / delta
-    return grad
+from ..functions.vectors import logistic_loss, logistic_weight
+from .linreg import moments
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -50,25 +36,15 @@ def _finish(df: DataFrame) -> DataFrame:
 def linreg_check(points: DataFrame, beta: Sequence[float], lam: float = 0.0,
                  delta: float = 1e-5) -> DataFrame:
     """``k, analytic, numeric, abs_diff`` for F(b) = mean sq. error + lam ||b||^2."""
-    d = len(beta)
-    r = F.col("y") - literal_dot("x", beta)
-    sums = []
-    for k in range(d):
-        xk = F.col("x").getItem(k)
-        shifted = r - F.lit(delta) * xk
-        sums.append(F.sum(F.lit(-2.0) * r * xk).alias(f"a{k}"))
-        sums.append(F.sum(shifted * shifted - r * r).alias(f"n{k}"))
-    agg = points.agg(F.count(F.lit(1)).alias("n"), *sums)
-    rows = []
-    for k in range(d):
-        bk = float(beta[k])
-        reg_diff = lam * ((bk + delta) ** 2 - bk ** 2)
-        rows.append(F.struct(
-            F.lit(k).alias("k"),
-            (F.col(f"a{k}") / F.col("n") + F.lit(2.0 * lam * bk)).alias("analytic"),
-            ((F.col(f"n{k}") / F.col("n") + F.lit(reg_diff)) / F.lit(delta)).alias("numeric")))
-    out = agg.select(F.explode(F.array(*rows)).alias("e")).select("e.k", "e.analytic", "e.numeric")
-    return _finish(out)
+    # (r - delta x)^2 - r^2 = delta^2 x^2 - 2 delta r x, row by row
+    sums = moments(points, beta).where("idx >= 0")
+    b = F.get(F.lit([float(v) for v in beta]), F.col("idx"))
+    step = F.lit(float(delta))
+    change = (step * step * F.col("xx") - 2 * step * F.col("xr")) / F.col("n")
+    ridge = F.lit(float(lam)) * ((b + step) * (b + step) - b * b)
+    return _finish(sums.select(
+        F.col("idx").alias("k"), (-2 * F.col("xr") / F.col("n") + F.lit(2.0 * lam) * b).alias("analytic"),
+        ((change + ridge) / step).alias("numeric")))
 
 
 def logreg_check(points: DataFrame, cells: DataFrame, beta: DataFrame, lam: float = 0.0,
@@ -96,26 +72,28 @@ def logreg_check(points: DataFrame, cells: DataFrame, beta: DataFrame, lam: floa
 
 
 def mf_check(ratings: DataFrame, U: DataFrame, V: DataFrame, d: int, lam: float = 0.0,
-             delta: float = 1e-6) -> DataFrame:
+             delta: float = 1e-6, side: str = "user") -> DataFrame:
     """``i, k, analytic, numeric, abs_diff`` of the regularised squared error
-    with respect to every user coordinate u_i[k]."""
+    with respect to every user coordinate u_i[k]; with ``side='item'`` (and
+    the item weight as ``lam``) ``j, ...`` for every item coordinate."""
     from .mf import join_predict
+    key, own, other, profiles = ("i", "u", "v", U) if side == "user" else ("j", "v", "u", V)
     J = join_predict(ratings, U, V, d)
     aggs = []
     for k in range(d):
-        vk = F.col("v").getItem(k)
+        vk = F.col(other).getItem(k)
         shifted = F.col("delta") + F.lit(delta) * vk
         aggs.append(F.sum(F.lit(2.0) * F.col("delta") * vk).alias(f"a{k}"))
         aggs.append(F.sum(shifted * shifted - F.col("delta") * F.col("delta")).alias(f"n{k}"))
-    per_user = J.groupBy("i").agg(*aggs).join(U.select("i", "u"), "i")
+    per_key = J.groupBy(key).agg(*aggs).join(profiles.select(key, own), key)
     rows = []
     for k in range(d):
-        uk = F.col("u").getItem(k)
+        uk = F.col(own).getItem(k)
         reg_diff = F.lit(lam) * ((uk + F.lit(delta)) * (uk + F.lit(delta)) - uk * uk)
         rows.append(F.struct(
             F.lit(k).alias("k"),
             (F.col(f"a{k}") + F.lit(2.0 * lam) * uk).alias("analytic"),
             ((F.col(f"n{k}") + reg_diff) / F.lit(delta)).alias("numeric")))
-    out = per_user.select("i", F.explode(F.array(*rows)).alias("e")).select(
-        "i", "e.k", "e.analytic", "e.numeric")
+    out = per_key.select(key, F.explode(F.array(*rows)).alias("e")).select(
+        key, "e.k", "e.analytic", "e.numeric")
     return _finish(out)

@@ -18,10 +18,12 @@ Plan shape per descent iteration (at any scale):
    when the number of features is provably small, else a shuffle join
    with AQE skew splitting), partial sums by id.
 3. one aggregate evaluates the loss at every backtracking step t = b^k
-   (k < max_backtracks) from ``m - t*dm`` (each point row expanded over a
+   (a block of trials) from ``m - t*dm`` (each point row expanded over a
    literal array of steps, grouped by step), together with bb, bg, gg over
    the features; the regulariser ``lam (bb - 2t bg + t^2 gg)`` is added to
-   the max_backtracks sums on the driver.  The first accepted t is taken.
+   the block's sums on the driver.  The first accepted t is taken; when the
+   whole block is rejected the next block of shorter steps is tried, until one
+   is accepted or the step is too short for a double.
 4. ``beta <- beta - t g`` and ``m <- m - t dm`` (incremental margins, fully
    recomputed every ``refresh_every`` iterations to stop drift).
 
@@ -31,6 +33,7 @@ cluster's checkpoint directory) every iteration, so lineage stays constant.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +48,9 @@ from .vectors import paired
 # Backtracking parameters (Armijo fraction a, shrink factor b).
 ARMIJO_A = 0.2
 SHRINK_B = 0.6
-MAX_BACKTRACKS = 40
+# Trial steps that one aggregate over the points evaluates at once; when all of
+# them are rejected the next block follows, so there is no last trial.
+TRIAL_BLOCK = 40
 
 
 # ------------------------------------------------------------- features --
@@ -222,22 +227,22 @@ class SearchResult:
     grad_sq: float            # ||g||^2
 
 
-def trial_losses(mdm: DataFrame, bg: DataFrame, b: float = SHRINK_B,
-                 max_backtracks: int = MAX_BACKTRACKS) -> DataFrame:
+def trial_losses(mdm: DataFrame, bg: DataFrame, b: float = SHRINK_B, block: int = TRIAL_BLOCK,
+                 first: int = 0) -> DataFrame:
     """``k, loss, bb, bgs, gg`` from ONE aggregate.
 
-    Rows k = 0..max_backtracks-1: data loss at the trial step t = b^k, summed
+    Rows k = first..first+block-1: data loss at the trial step t = b^k, summed
     over ``mdm(id, y, margin, dm)`` from ``margin - t*dm``; k = -1: the data
     loss at t = 0; k = -2: sum b^2, b*g, g^2 over the feature rows ``bg(feat,
     b, g)``.  Each point row is expanded over a literal array of steps, so the
     plan has the same size for any number of trials, and the partial
-    aggregate sends only max_backtracks + 2 rows per task to the shuffle.
+    aggregate sends only block + 2 rows per task to the shuffle.
     """
     none = F.lit(None).cast("double")
-    steps = F.array(*[F.lit(0.0)] + [F.lit(b ** k) for k in range(max_backtracks)])
+    steps = F.array(*[F.lit(0.0)] + [F.lit(b ** k) for k in range(first, first + block)])
     trials = mdm.select("y", "margin", "dm", F.posexplode(steps).alias("_p", "_t"))
     point_rows = trials.select(
-        (F.col("_p") - 1).alias("k"),
+        F.when(F.col("_p") == 0, F.lit(-1)).otherwise(F.col("_p") - 1 + first).alias("k"),
         logistic_loss("y", F.col("margin") - F.col("_t") * F.col("dm")).alias("loss"),
         none.alias("bb"), none.alias("bgs"), none.alias("gg"))
     feat_rows = bg.select(
@@ -248,15 +253,15 @@ def trial_losses(mdm: DataFrame, bg: DataFrame, b: float = SHRINK_B,
         *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("loss", "bb", "bgs", "gg")])
 
 
-def trial_objectives(trials: DataFrame, lam: float, b: float = SHRINK_B,
-                     max_backtracks: int = MAX_BACKTRACKS) -> dict:
-    """Collect the ``max_backtracks + 2`` rows of :func:`trial_losses` and add
+def trial_objectives(trials: DataFrame, lam: float, b: float = SHRINK_B, block: int = TRIAL_BLOCK,
+                     first: int = 0) -> dict:
+    """Collect the ``block + 2`` rows of :func:`trial_losses` and add
     the regulariser lam ||beta - t g||^2 = lam (bb - 2t bg + t^2 gg)."""
     rows = {r["k"]: r for r in trials.collect()}
     feats = rows.get(-2)
     bb, bgs, gg = ((feats["bb"], feats["bgs"], feats["gg"]) if feats is not None else (0.0, 0.0, 0.0))
     out = {"f0": (rows[-1]["loss"] if -1 in rows else 0.0) + lam * bb, "gg": gg}
-    for k in range(max_backtracks):
+    for k in range(first, first + block):
         t = b ** k
         data = rows[k]["loss"] if k in rows else 0.0
         out[f"l{k}"] = data + lam * (bb - 2.0 * t * bgs + t * t * gg)
@@ -264,16 +269,29 @@ def trial_objectives(trials: DataFrame, lam: float, b: float = SHRINK_B,
 
 
 def choose_step(row, gg: float | None = None, a: float = ARMIJO_A, b: float = SHRINK_B,
-                max_backtracks: int = MAX_BACKTRACKS) -> SearchResult:
+                block: int = TRIAL_BLOCK, first: int = 0) -> SearchResult:
     """First k whose L(beta - b^k g) is not above the Armijo line."""
     gg = float(row["gg"]) if gg is None else gg
     f0 = float(row["f0"])
-    for k in range(max_backtracks):
+    for k in range(first, first + block):
         t = b ** k
         fk = float(row[f"l{k}"])
         if not fk > f0 - a * t * gg:       # accept unless strictly above the Armijo line
             return SearchResult(t, k, True, f0, fk, gg)
-    return SearchResult(0.0, max_backtracks, False, f0, f0, gg)
+    return SearchResult(0.0, first + block, False, f0, f0, gg)
+
+
+def search(mdm: DataFrame, bg: DataFrame, lam: float, a: float = ARMIJO_A, b: float = SHRINK_B,
+           block: int = TRIAL_BLOCK) -> SearchResult:
+    """Blocks of trials over the same written ``mdm`` until one is accepted.
+    A step that underflows to 0 ends the search: it no longer moves the model."""
+    first = 0
+    while True:
+        row = trial_objectives(trial_losses(mdm, bg, b, block, first), lam, b, block, first)
+        found = choose_step(row, None, a, b, block, first)
+        first += block
+        if found.accepted and found.t > 0.0 or b ** first == 0.0:
+            return found if found.t > 0.0 else SearchResult(0.0, found.backtracks, False, found.f0, found.f0, found.grad_sq)
 
 
 def direction_table(m: DataFrame, cells: DataFrame, g: DataFrame,
@@ -285,25 +303,24 @@ def direction_table(m: DataFrame, cells: DataFrame, g: DataFrame,
 
 def line_search(points: DataFrame, cells: DataFrame, beta: DataFrame, g: DataFrame,
                 lam: float = 0.0, a: float = ARMIJO_A, b: float = SHRINK_B,
-                max_backtracks: int = MAX_BACKTRACKS,
+                block: int = TRIAL_BLOCK,
                 max_broadcast_rows: int | None = None) -> SearchResult:
-    """Backtracking search along -g from beta with one scan for all trial steps."""
+    """Backtracking search along -g from beta, one scan for a block of trials."""
     cells = cells.select("id", "feat", "x").persist(DISK_BACKED)
     bg = cut_lineage(paired(beta, g, "b", "g"))
     limit = max_broadcast_rows if max_broadcast_rows is not None else DEFAULT_BROADCAST_ROWS
     small = bg.limit(limit + 1).count() <= limit         # beta and g share this support
     m = margins(points, cells, bg.select("feat", F.col("b").alias("value")), broadcast=small)
-    mdm = direction_table(m, cells, bg.select("feat", F.col("g").alias("value")), broadcast=small)
-    row = trial_objectives(trial_losses(mdm, bg, b, max_backtracks), lam, b, max_backtracks)
+    mdm = cut_lineage(direction_table(m, cells, bg.select("feat", F.col("g").alias("value")), broadcast=small))
     cells.unpersist()
-    return choose_step(row, None, a, b, max_backtracks)
+    return search(mdm, bg, lam, a, b, block)
 
 
 # ------------------------------------------------------------- training --
 
 HISTORY_SCHEMA = ("k INT, objective DOUBLE, grad_norm_before_step DOUBLE, step DOUBLE, "
                   "backtracks INT, accepted BOOLEAN, converged BOOLEAN, acc DOUBLE, pre DOUBLE, "
-                  "rec DOUBLE")
+                  "rec DOUBLE, elapsed DOUBLE")
 
 
 @dataclass
@@ -319,12 +336,12 @@ class LogRegFit:
 
 def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int = 40,
           eps: float = 0.1, beta0: DataFrame | None = None, test: tuple | None = None,
-          refresh_every: int = 10, max_backtracks: int = MAX_BACKTRACKS,
+          refresh_every: int = 10, block: int = TRIAL_BLOCK,
           max_broadcast_rows: int | None = None, salt_buckets: int = 1) -> LogRegFit:
     """Gradient descent with backtracking line search.
 
     Stops after ``max_iter`` iterations, when ||grad|| <= eps, or when no
-    step in ``max_backtracks`` trials satisfies the Armijo condition.
+    step that a double can hold satisfies the Armijo condition.
     ``test=(points, cells)`` adds ACC / PRE / REC of each iterate to the
     history.  History reports the gradient norm at the point before the step.
     ``salt_buckets > 1`` salts the cells-by-document join when the points are
@@ -337,8 +354,8 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
     m = cut_lineage(margins(points, cells, beta, limit))
     few_points = m.limit(limit + 1).count() <= limit     # point count never changes
     small = None            # decided from the model's support after the first gradient
-    k, grad_norm, history, converged = 0, 2 * eps, [], False
-    while k < max_iter and grad_norm > eps:
+    history, converged, started = [], False, time.perf_counter()
+    for k in range(max_iter):
         # job 1: gradient (cells JOIN weights) and beta, summed by feature in one aggregate
         bg = cut_lineage(gradient_pairs(m, cells, beta, lam, broadcast_points=few_points,
                                         salt_buckets=salt_buckets))
@@ -349,12 +366,11 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
         mdm = cut_lineage(direction_table(m, cells, bg.select("feat", F.col("g").alias("value")),
                                           broadcast=small))
         # job 3: loss at every trial step + bb, bg, gg in one aggregate
-        row = trial_objectives(trial_losses(mdm, bg, max_backtracks=max_backtracks), lam,
-                               max_backtracks=max_backtracks)
-        res = choose_step(row, None, max_backtracks=max_backtracks)
-        grad_norm = float(np.sqrt(res.grad_sq))
+        res = search(mdm, bg, lam, block=block)
+        norm = float(np.sqrt(res.grad_sq))
         if not res.accepted:
-            history.append((k, res.f0, grad_norm, 0.0, res.backtracks, False, False, None, None, None))
+            history.append((k, res.f0, norm, 0.0, res.backtracks, False, False, None, None, None,
+                            time.perf_counter() - started))
             break
         t = res.t
         # beta and margins stay projections of this iteration's two checkpoints
@@ -363,16 +379,18 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
             m = cut_lineage(margins(points, cells, beta, broadcast=small))
         else:
             m = mdm.select("id", "y", (F.col("margin") - F.lit(t) * F.col("dm")).alias("margin"))
-        converged = grad_norm < eps
+        converged = norm < eps
         acc = pre = rec = None
         if test is not None:
             mt = metrics(confusion(margins(test[0], test[1], beta, broadcast=small))).first()
             acc, pre, rec = mt["acc"], mt["pre"], mt["rec"]
-        history.append((k, res.f_new, grad_norm, t, res.backtracks, True, converged, acc, pre, rec))
-        k += 1
+        history.append((k, res.f_new, norm, t, res.backtracks, True, converged, acc, pre, rec,
+                        time.perf_counter() - started))
+        if norm <= eps:
+            break
     points.unpersist()
     cells.unpersist()
-    return LogRegFit(beta, history, converged, k)
+    return LogRegFit(beta, history, converged, sum(h[5] for h in history))
 
 
 # -------------------------------------------------------------- metrics --

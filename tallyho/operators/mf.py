@@ -20,6 +20,7 @@ directory, so the plan never grows with the iteration count.
 from __future__ import annotations
 
 import math
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -29,8 +30,8 @@ from ..functions.vectors import column_dot
 from ..session import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, DISK_BACKED,
                        bounded_broadcast, cut_lineage, salted_join)
 
-# The seeded-normal generator (Box-Muller on 53-bit uniforms).
-TWO_POW_53 = float(2 ** 53)
+# The seeded-normal generator (Box-Muller on 52-bit uniforms).
+TWO_POW_52 = float(2 ** 52)
 SIDE_SALT = {"user": 1, "item": 2}
 
 
@@ -80,9 +81,10 @@ def fold_counts(ratings: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- profiles --
 
 def _uniform(*parts) -> F.Column:
-    """Deterministic uniform in (0, 1) from a 64-bit hash of ``parts``."""
-    bits = F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double")
-    return (bits + F.lit(0.5)) / F.lit(TWO_POW_53)
+    """Deterministic uniform in (0, 1): the first 13 hex digits (52 bits) of
+    the MD5 of ``parts`` joined by ``:``."""
+    digits = F.substring(F.md5(F.concat_ws(":", *[p.cast("string") for p in parts]).cast("binary")), 1, 13)
+    return (F.conv(digits, 16, 10).cast("double") + F.lit(0.5)) / F.lit(TWO_POW_52)
 
 
 def random_profiles(ratings: DataFrame, side: str, d: int, seed: int) -> DataFrame:
@@ -184,7 +186,7 @@ def _step(J: DataFrame, profiles: DataFrame, key: str, own: str, other: str, gam
     per = J.groupBy(key).agg(*aggs)
     # the old profile comes from the profile table (one row per key), not
     # from the joined ratings
-    joined = per.join(_side(profiles.select(key, own), broadcast, None), key)
+    joined = per.join(_side(profiles.select(key, own), broadcast, profile_broadcast_rows(d)), key)
     shrink = gamma * 2 * reg
     new = [F.col(own).getItem(k) - F.lit(gamma) * F.col(f"_g{k}") - F.lit(shrink) * F.col(own).getItem(k)
            for k in range(d)]
@@ -227,7 +229,7 @@ def rmse(test: DataFrame, U: DataFrame, V: DataFrame, d: int,
 # ------------------------------------------------------------- training --
 
 HISTORY_SCHEMA = ("iteration INT, objective DOUBLE, change DOUBLE, test_rmse DOUBLE, "
-                  "test_rmse_scored DOUBLE, gamma DOUBLE, diverged BOOLEAN")
+                  "test_rmse_scored DOUBLE, gamma DOUBLE, diverged BOOLEAN, elapsed DOUBLE")
 
 
 @dataclass
@@ -268,9 +270,8 @@ def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain
     limit = max_broadcast_rows if max_broadcast_rows is not None else profile_broadcast_rows(d)
     bu = U.limit(limit + 1).count() <= limit       # profile tables keep their size
     bv = V.limit(limit + 1).count() <= limit
-    it, change, obj, history, diverged = 0, 1e99, 1e99, [], False
-    while it < maxiter and change > epsilon:
-        it += 1
+    history, diverged, started, previous = [], False, time.perf_counter(), None
+    for it in range(1, maxiter + 1):
         J = join_predict(train_r, U, V, d, bu, bv, salt_buckets=salt_buckets)
         # Both profile sides broadcast: J is a map-side projection of the
         # persisted ratings, cheaper to recompute than to cache.  Otherwise
@@ -284,19 +285,20 @@ def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain
         parts = U_new.select("se", F.col("old_norm_sq").alias("nu"), none.alias("nv")).unionByName(
             V_new.select(none.alias("se"), none.alias("nu"), F.col("old_norm_sq").alias("nv")))
         s = parts.agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("se", "nu", "nv")]).first()
-        old, obj = obj, s["se"] + lam * s["nu"] + mu * s["nv"]
-        change = abs(obj - old)
+        obj = s["se"] + lam * s["nu"] + mu * s["nv"]
+        change = abs(obj - previous) if previous is not None else None
         t = rmse(test_r, U, V, d, bu, bv).first()
         J.unpersist()
-        if not math.isfinite(obj):
-            diverged = True
-            history.append((it, obj, change, t["rmse"], t["rmse_scored"], gamma, True))
+        diverged = not math.isfinite(obj)
+        history.append((it, obj, change, t["rmse"], t["rmse_scored"], gamma, diverged, time.perf_counter() - started))
+        if diverged:
+            break
+        U, V, previous = U_new.select("i", "u"), V_new.select("j", "v"), obj
+        if change is not None and change <= epsilon:
             break
-        history.append((it, obj, change, t["rmse"], t["rmse_scored"], gamma, False))
-        U, V = U_new.select("i", "u"), V_new.select("j", "v")
     if maxiter <= 0:
         t = rmse(test_r, U, V, d, bu, bv).first()
-        history.append((0, None, None, t["rmse"], t["rmse_scored"], 0.0, False))
+        history.append((0, None, None, t["rmse"], t["rmse_scored"], 0.0, False, time.perf_counter() - started))
     train_r.unpersist()
     test_r.unpersist()
     return MFFit(U, V, history, diverged)

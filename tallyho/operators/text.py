@@ -57,7 +57,7 @@ def _exploded_words(df: DataFrame, text_col: str, by: Sequence[str], strip: str,
     # that carries its totals, and Catalyst infers no ``size(tokens) > 0``
     # filter, which would evaluate the tokenising regex a second time.
     rows = rows.select(*keep, F.posexplode_outer("_toks").alias("_pos", "_tok"))
-    out = [*by, T.finish_token("_tok", strip).alias("word")]
+    out = [*by, F.col("_tok").alias("word")]
     if with_totals:
         first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
         out += [F.when(first, F.col("_s0")).otherwise(F.lit(0)).alias("_s"),
@@ -94,7 +94,8 @@ def top_words(counts: DataFrame, k: int = 20, by: Sequence[str] = ()) -> DataFra
 
 def easy_word_set(words: DataFrame, word_col: str = "word",
                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Distinct easy words as a join side, broadcast only when provably small."""
+    """Distinct easy words as a join side, broadcast only when provably small.
+    Building it runs a job: the distinct words are written and measured."""
     easy = words.select(F.col(word_col).alias("word")).distinct()
     return bounded_broadcast(easy, max_broadcast_rows, materialize=True)
 

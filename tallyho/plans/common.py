@@ -27,7 +27,3 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def sql_round(expr: str, name: str, digits: int = DIGITS) -> str:
     return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0 AS {name}"
-
-
-def sql_list(items) -> str:
-    return ", ".join(items)

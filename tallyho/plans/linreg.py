@@ -2,8 +2,8 @@
 
 Data: lineitem points, d = 3 (see ``sources.tables.lineitem_points``).
 The oracles recompute every statistic from the raw lineitem columns; the
-descent oracles unroll the iterations as a chain of one-row CTEs over the
-sufficient statistics, written out from the update formulas.
+descent oracles are recursive CTEs over the sufficient statistics, written out
+from the update formulas, with the stop rule.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ LAM = 1.0
 GD_LAM = 0.1
 FW_K = 1.0
 FW_VERTEX = [0.0, FW_K, 0.0]      # a vertex of the L1 ball for the single-step query
-STEPS = 3
+MAX_ITER = 100      # the reference's defaults: the trainers run to their own stop
+EPS = 0.01
 DELTA = 1e-5
-NEVER = 1e-12       # eps small enough that the unrolled steps all run
 
 
 def _points(spark, sf_dir, keys=False):
@@ -75,24 +75,24 @@ def q_mse(spark, sf_dir):
 
 
 def q_gd(spark, sf_dir):
-    fit = linreg.train_gd(_points(spark, sf_dir), lam=GD_LAM, max_iter=STEPS, eps=NEVER, d=D)
+    fit = linreg.train_gd(_points(spark, sf_dir), lam=GD_LAM, max_iter=MAX_ITER, eps=EPS, d=D)
     return rounded(fit.beta_df(spark))
 
 
 def q_gd_poly(spark, sf_dir):
     pts = tables.lineitem_points(spark, sf_dir, degree=2)
-    fit = linreg.train_gd(pts, lam=GD_LAM, max_iter=STEPS, eps=NEVER, d=D * (D + 3) // 2)
+    fit = linreg.train_gd(pts, lam=GD_LAM, max_iter=MAX_ITER, eps=EPS, d=D * (D + 3) // 2)
     return rounded(fit.beta_df(spark))
 
 
 def q_fw(spark, sf_dir):
-    fit = linreg.train_fw(_points(spark, sf_dir), K=FW_K, max_iter=STEPS, eps=NEVER, d=D)
+    fit = linreg.train_fw(_points(spark, sf_dir), K=FW_K, max_iter=MAX_ITER, eps=EPS, d=D)
     return rounded(fit.beta_df(spark))
 
 
 def q_fw_poly(spark, sf_dir):
     pts = tables.lineitem_points(spark, sf_dir, degree=2)
-    fit = linreg.train_fw(pts, K=FW_K, max_iter=STEPS, eps=NEVER, d=D * (D + 3) // 2)
+    fit = linreg.train_fw(pts, K=FW_K, max_iter=MAX_ITER, eps=EPS, d=D * (D + 3) // 2)
     return rounded(fit.beta_df(spark))
 
 
@@ -171,51 +171,51 @@ def _vector_out(state: str, d: int = D) -> str:
         f"SELECT {i} AS idx, {sql_round(f'b{i}', 'value')} FROM {state}" for i in range(d))
 
 
+def _descent(d: int, pts: str, body: str, stop: str) -> str:
+    """Recursive CTE ``st(k, done, b0..)``: one row per iterate, until the
+    reference's stop rule or its last iteration."""
+    start = ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(d))
+    return (f"WITH RECURSIVE {_sums_cte(d, pts)}, st AS (SELECT 0 AS k, false AS done, {start} UNION ALL "
+            f"SELECT k + 1 AS k, {stop} AS done, {body} WHERE k < {MAX_ITER} AND NOT done), "
+            "fin AS (SELECT * FROM st ORDER BY k DESC LIMIT 1) " + _vector_out("fin", d))
+
+
 def _gd_sql(d: int = D, pts: str = _PTS, lam_value: float = GD_LAM) -> str:
     b = [f"b{i}" for i in range(d)]
     g = [f"g{i}" for i in range(d)]
     c = [f"s.c{i}" for i in range(d)]
     lam = _lit(lam_value)
-    ctes = [_sums_cte(d, pts), "st0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(d)) + ")"]
-    for t in range(1, STEPS + 1):
-        gr = ", ".join(f"{e} AS g{i}" for i, e in enumerate(_grad_exprs(b, lam_value)))
-        ctes.append(f"gr{t} AS (SELECT st{t - 1}.*, {gr} FROM st{t - 1}, s)")
-        a = f"{lam} * {_dot(g, g)} + {_quad(g, g)} / s.n"
-        bq = f"2.0 * {_dot(g, c)} / s.n - 2.0 * {lam} * {_dot(b, g)} - 2.0 * {_quad(b, g)} / s.n"
-        ctes.append(f"ab{t} AS (SELECT gr{t}.*, {a} AS a, {bq} AS bq FROM gr{t}, s)")
-        upd = ", ".join(f"b{i} - (CASE WHEN a = 0 THEN 0.0 ELSE -bq / (2.0 * a) END) * g{i} AS b{i}"
-                        for i in range(d))
-        ctes.append(f"st{t} AS (SELECT {upd} FROM ab{t})")
-    return "WITH " + ", ".join(ctes) + " " + _vector_out(f"st{STEPS}", d)
+    gr = ", ".join(f"{e} AS g{i}" for i, e in enumerate(_grad_exprs(b, lam_value)))
+    a = f"{lam} * {_dot(g, g)} + {_quad(g, g)} / s.n"
+    bq = f"2.0 * {_dot(g, c)} / s.n - 2.0 * {lam} * {_dot(b, g)} - 2.0 * {_quad(b, g)} / s.n"
+    upd = ", ".join(f"b{i} - (CASE WHEN a = 0 THEN 0.0 ELSE -bq / (2.0 * a) END) * g{i} AS b{i}" for i in range(d))
+    body = (f"{upd} FROM (SELECT t1.*, {a} AS a, {bq} AS bq FROM (SELECT st.*, {gr} FROM st, s) t1, s) t2")
+    return _descent(d, pts, body, f"sqrt({_dot(g, g)}) <= {_lit(EPS)}")
 
 
 def _fw_sql(d: int = D, pts: str = _PTS) -> str:
     b = [f"b{i}" for i in range(d)]
+    g = [f"g{i}" for i in range(d)]
     c = [f"s.c{i}" for i in range(d)]
     K = _lit(FW_K)
-    ctes = [_sums_cte(d, pts), "st0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(d)) + ")"]
-    for t in range(1, STEPS + 1):
-        gr = ", ".join(f"{e} AS g{i}" for i, e in enumerate(_grad_exprs(b, 0.0)))
-        ctes.append(f"gr{t} AS (SELECT st{t - 1}.*, {gr} FROM st{t - 1}, s)")
-        # first coordinate of largest |g|: strictly above earlier ones, not below later ones
-        conds = [" AND ".join([f"abs(g{i}) > abs(g{j})" for j in range(i)]
-                              + [f"abs(g{i}) >= abs(g{j})" for j in range(i + 1, d)] or ["true"])
-                 for i in range(d)]
-        arg = "CASE " + " ".join(f"WHEN {cond} THEN {i}" for i, cond in enumerate(conds)) + " END"
-        ctes.append(f"am{t} AS (SELECT gr{t}.*, {arg} AS kstar FROM gr{t})")
-        svec = ", ".join(f"CASE WHEN kstar = {i} THEN (CASE WHEN g{i} < 0 THEN {K} ELSE -{K} END) "
-                         f"ELSE 0.0 END AS s{i}" for i in range(d))
-        ctes.append(f"sv{t} AS (SELECT am{t}.*, {svec} FROM am{t})")
-        dv = [f"(s{i} - b{i})" for i in range(d)]
-        a = f"{_quad(dv, dv)} / s.n"
-        bq = f"-2.0 * {_dot(dv, c)} / s.n + 2.0 * {_quad(b, dv)} / s.n"
-        ctes.append(f"ab{t} AS (SELECT sv{t}.*, {a} AS a, {bq} AS bq FROM sv{t}, s)")
-        gamma = ("CASE WHEN a = 0 THEN (CASE WHEN bq >= 0 THEN 0.0 ELSE 1.0 END) "
-                 "ELSE least(1.0, greatest(0.0, -bq / (2.0 * a))) END")
-        ctes.append(f"gm{t} AS (SELECT ab{t}.*, {gamma} AS gamma FROM ab{t})")
-        upd = ", ".join(f"(1.0 - gamma) * b{i} + gamma * s{i} AS b{i}" for i in range(d))
-        ctes.append(f"st{t} AS (SELECT {upd} FROM gm{t})")
-    return "WITH " + ", ".join(ctes) + " " + _vector_out(f"st{STEPS}", d)
+    gr = ", ".join(f"{e} AS g{i}" for i, e in enumerate(_grad_exprs(b, 0.0)))
+    # first coordinate of largest |g|: strictly above earlier ones, not below later ones
+    conds = [" AND ".join([f"abs(g{i}) > abs(g{j})" for j in range(i)]
+                          + [f"abs(g{i}) >= abs(g{j})" for j in range(i + 1, d)] or ["true"])
+             for i in range(d)]
+    arg = "CASE " + " ".join(f"WHEN {cond} THEN {i}" for i, cond in enumerate(conds)) + " END"
+    svec = ", ".join(f"CASE WHEN kstar = {i} THEN (CASE WHEN g{i} < 0 THEN {K} ELSE -{K} END) "
+                     f"ELSE 0.0 END AS s{i}" for i in range(d))
+    dv = [f"(s{i} - b{i})" for i in range(d)]
+    a = f"{_quad(dv, dv)} / s.n"
+    bq = f"-2.0 * {_dot(dv, c)} / s.n + 2.0 * {_quad(b, dv)} / s.n"
+    gamma = ("CASE WHEN a = 0 THEN (CASE WHEN bq >= 0 THEN 0.0 ELSE 1.0 END) "
+             "ELSE least(1.0, greatest(0.0, -bq / (2.0 * a))) END")
+    upd = ", ".join(f"(1.0 - gamma) * b{i} + gamma * s{i} AS b{i}" for i in range(d))
+    body = (f"{upd} FROM (SELECT t4.*, {gamma} AS gamma FROM (SELECT t3.*, {a} AS a, {bq} AS bq FROM ("
+            f"SELECT t2.*, {svec} FROM (SELECT t1.*, {arg} AS kstar FROM (SELECT st.*, {gr} FROM st, s) t1) t2) t3, s) t4) t5")
+    gap = "(" + " + ".join(f"(b{i} - s{i}) * g{i}" for i in range(d)) + ")"
+    return _descent(d, pts, body, f"{gap} <= {_lit(EPS)}")
 
 
 def _gram_sql() -> str:

@@ -21,6 +21,8 @@ LAM = 0.1
 SCALE = 0.5
 BETA_SCALE = 0.01
 BUCKETS = 8
+STEEP = 1e5
+STEEP_TRIALS = 120
 TRAIN_STEPS = 2
 NEVER = 1e-12
 # forward-difference step of the registered check: large enough that the
@@ -137,6 +139,18 @@ def q_line_search(spark, sf_dir):
         [(r.t, r.backtracks, r.f0, r.f_new)], "t DOUBLE, backtracks INT, f0 DOUBLE, f_new DOUBLE"))
 
 
+def q_line_search_steep(spark, sf_dir):
+    """Cells so large that the first accepted step lies beyond one block of
+    trials."""
+    points, cells = _data(spark, sf_dir)
+    cells = cut_lineage(cells.withColumn("x", F.col("x") * STEEP))
+    beta = cut_lineage(logreg.zero_beta(cells))
+    g = logreg.gradient(points, cells, beta, LAM)
+    r = logreg.line_search(points, cells, beta, g, LAM)
+    return rounded(spark.createDataFrame([(r.backtracks, r.f0, r.f_new, r.f_new < r.f0)],
+                                         "backtracks INT, f0 DOUBLE, f_new DOUBLE, lower BOOLEAN"))
+
+
 def q_train(spark, sf_dir):
     points, cells = _data(spark, sf_dir)
     fit = logreg.train(points, cells, lam=LAM, max_iter=TRAIN_STEPS, eps=NEVER)
@@ -177,6 +191,7 @@ QUERIES = {
     "logreg_gradient": q_gradient,
     "logreg_cell_gradients": q_cell_gradients,
     "logreg_line_search": q_line_search,
+    "logreg_line_search_steep": q_line_search_steep,
     "logreg_train": q_train,
     "logreg_gradient_check": q_gradient_check,
     "confusion": q_confusion,
@@ -226,7 +241,7 @@ def _gradient_cte(name: str, m: str, beta: str, lam: float) -> str:
             f"UNION ALL SELECT feat, {_d(2.0 * lam)} * value AS v FROM {beta}) GROUP BY feat)")
 
 
-def _search_ctes(tag: str, m: str, beta: str, g: str, lam: float, kmax: int = logreg.MAX_BACKTRACKS):
+def _search_ctes(tag: str, m: str, beta: str, g: str, lam: float, kmax: int = logreg.TRIAL_BLOCK):
     """CTEs bg{tag}, st{tag}, md{tag}, ls{tag}, ch{tag} (the chosen step)."""
     a, b = logreg.ARMIJO_A, logreg.SHRINK_B
     ctes = [
@@ -263,6 +278,16 @@ def _train_sql() -> str:
     return _with(*ctes) + f"SELECT feat, {sql_round('value', 'value')} FROM b{TRAIN_STEPS}"
 
 
+def _steep_sql() -> str:
+    ctes = [f"steep AS (SELECT id, feat, x * {_d(STEEP)} AS x FROM cells)",
+            "b0 AS (SELECT DISTINCT feat, 0.0::DOUBLE AS value FROM cells)"]
+    rest = [_margins_cte("m0", "b0"), _gradient_cte("g0", "m0", "b0", LAM),
+            *_search_ctes("9", "m0", "b0", "g0", LAM, STEEP_TRIALS)]
+    ctes += [c.replace("cells c", "steep c") for c in rest]
+    return _with(*ctes) + (f"SELECT backtracks, {sql_round('f0', 'f0')}, {sql_round('f_new', 'f_new')}, "
+                           "f_new < f0 AS lower FROM ch9")
+
+
 def _confusion_select() -> str:
     return ("SELECT CAST(sum(CASE WHEN margin > 0 THEN 1 ELSE 0 END) AS BIGINT) AS P, "
             "CAST(sum(CASE WHEN margin <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS N, "
@@ -310,6 +335,7 @@ ORACLE = {
     "logreg_line_search": _with(_margins_cte("m", "beta"), _gradient_cte("g", "m", "beta", LAM),
                                 *_search_ctes("1", "m", "beta", "g", LAM)) + (
         f"SELECT {sql_round('t', 't')}, backtracks, {sql_round('f0', 'f0')}, {sql_round('f_new', 'f_new')} FROM ch1"),
+    "logreg_line_search_steep": _steep_sql(),
     "logreg_train": _train_sql(),
     "logreg_gradient_check": _with(
         _margins_cte("m", "beta"),

@@ -2,12 +2,14 @@
 
 Ratings: customer x part from lineitem JOIN orders (``sources.tables.lineitem_ratings``),
 four folds.  Every query except ``mf_init`` starts from the deterministic
-profiles ``0.1 * sin(id * (k+1) * 0.37)`` so the oracle can rebuild them;
-``mf_init`` (hashed Box-Muller normals) is checked on row counts only.
+profiles ``0.1 * sin(id * (k+1) * 0.37)``; ``mf_init`` draws Box-Muller normals
+from MD5 digits, which the oracle computes as well.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..operators import gradcheck, mf
@@ -52,15 +54,15 @@ def _both(U, V):
 
 
 def q_distinct_ids(spark, sf_dir):
-    return mf.distinct_ids(_ratings(spark, sf_dir))
+    return mf.distinct_ids(tables.lineitem_ratings(spark, sf_dir, FOLDS))
 
 
 def q_counts(spark, sf_dir):
-    return mf.fold_counts(_ratings(spark, sf_dir))
+    return mf.fold_counts(tables.lineitem_ratings(spark, sf_dir, FOLDS))
 
 
 def q_fold_split(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
+    train, test = mf.fold_split(tables.lineitem_ratings(spark, sf_dir, FOLDS), TEST_FOLD)
     return rounded(train.withColumn("split", F.lit("train"))
                    .unionByName(test.withColumn("split", F.lit("test"))))
 
@@ -138,9 +140,15 @@ def q_gradient_check(spark, sf_dir):
     return rounded(gradcheck.mf_check(train, U, V, D, LAM, CHECK_DELTA))
 
 
+def q_gradient_check_items(spark, sf_dir):
+    train, _ = _split(spark, sf_dir)
+    U, V = _init(train)
+    return rounded(gradcheck.mf_check(train, U, V, D, MU, CHECK_DELTA, side="item"))
+
+
 def q_init(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
-    return mf.expand(mf.random_profiles(train, "user", D, SEED), D, "i", "u", "u")
+    return rounded(_both(mf.random_profiles(train, "user", D, SEED), mf.random_profiles(train, "item", D, SEED)))
 
 
 QUERIES = {
@@ -158,6 +166,7 @@ QUERIES = {
     "mf_rmse": q_rmse,
     "mf_cv_rmse": q_cv_rmse,
     "mf_gradient_check": q_gradient_check,
+    "mf_gradient_check_items": q_gradient_check_items,
     "mf_init": q_init,
 }
 
@@ -297,3 +306,33 @@ ORACLE = {
         f"SELECT i, k, {sql_round('analytic', 'analytic')}, {sql_round('numeric', 'numeric')}, "
         f"{sql_round('abs(analytic - numeric)', 'abs_diff')} FROM C"),
 }
+
+
+def _uniform_sql(key: str, k: int, side: str, n: int) -> str:
+    text = f"CAST({key} AS VARCHAR) || ':{k}:{SEED}:{mf.SIDE_SALT[side]}:{n}'"
+    return f"((CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) + 0.5::DOUBLE) / {_d(mf.TWO_POW_52)})"
+
+
+def _init_sql() -> str:
+    parts = []
+    for side, key in (("user", "i"), ("item", "j")):
+        cols = ", ".join(sql_round(f"sqrt(-2.0 * ln({_uniform_sql(key, k, side, 1)})) * "
+                                   f"cos({_d(2.0 * math.pi)} * {_uniform_sql(key, k, side, 2)})", f"f{k}") for k in range(D))
+        parts.append(f"SELECT '{side}' AS side, {key} AS id, {cols} FROM (SELECT DISTINCT {key} FROM T)")
+    return _base() + " UNION ALL ".join(parts)
+
+
+ORACLE["mf_init"] = _init_sql()
+ORACLE["mf_gradient_check_items"] = _base([
+    _join("J", "T", "U0", "V0"),
+    "S AS (SELECT j, " + ", ".join(
+        f"sum(2.0 * delta * u{k}) AS a{k}, "
+        f"sum((delta + {_d(CHECK_DELTA)} * u{k}) * (delta + {_d(CHECK_DELTA)} * u{k}) - delta * delta) AS n{k}"
+        for k in range(D)) + " FROM J GROUP BY j)",
+    "C AS (" + " UNION ALL ".join(
+        f"SELECT S.j, {k} AS k, a{k} + {_d(2.0 * MU)} * V0.v{k} AS analytic, "
+        f"(n{k} + {_d(MU)} * ((V0.v{k} + {_d(CHECK_DELTA)}) * (V0.v{k} + {_d(CHECK_DELTA)}) "
+        f"- V0.v{k} * V0.v{k})) / {_d(CHECK_DELTA)} AS numeric FROM S JOIN V0 ON S.j = V0.j"
+        for k in range(D)) + ")"]) + (
+    f"SELECT j, k, {sql_round('analytic', 'analytic')}, {sql_round('numeric', 'numeric')}, "
+    f"{sql_round('abs(analytic - numeric)', 'abs_diff')} FROM C")

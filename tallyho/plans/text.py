@@ -9,6 +9,7 @@ span regexes the operators use.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import text as ops
 from ..sources import tables
@@ -25,6 +26,12 @@ def q_sentence_count(spark, sf_dir):
     return ops.sentence_count(_docs(spark, sf_dir), "text", by=["doc_id"])
 
 
+def q_sentence_count_crlf(spark, sf_dir):
+    """Line ends of another system: the counts must not change."""
+    docs = _docs(spark, sf_dir).withColumn("text", F.replace("text", F.lit("\n"), F.lit("\r\n")))
+    return ops.sentence_count(docs, "text", by=["doc_id"])
+
+
 def q_word_count(spark, sf_dir):
     return ops.word_count(_docs(spark, sf_dir), "text", by=["doc_id"])
 
@@ -60,6 +67,16 @@ def q_dale_chall(spark, sf_dir):
     return rounded(ops.dale_chall(_docs(spark, sf_dir), tables.easy_words(spark, sf_dir)))
 
 
+def q_difficult_word_tokens(spark, sf_dir):
+    counts = ops.word_counts(_docs(spark, sf_dir), "text", by=["lang"])
+    return ops.difficult_word_count(counts, tables.easy_words(spark, sf_dir), by=["lang"], count="tokens")
+
+
+def q_dale_chall_adjusted(spark, sf_dir):
+    return rounded(ops.dale_chall(_docs(spark, sf_dir), tables.easy_words(spark, sf_dir), by=["source"],
+                                  count="tokens", adjusted=True))
+
+
 def q_dale_chall_by_lang(spark, sf_dir):
     return rounded(ops.dale_chall(_docs(spark, sf_dir), tables.easy_words(spark, sf_dir),
                                   by=["lang"]))
@@ -67,6 +84,7 @@ def q_dale_chall_by_lang(spark, sf_dir):
 
 QUERIES = {
     "sentence_count": q_sentence_count,
+    "sentence_count_crlf": q_sentence_count_crlf,
     "word_count": q_word_count,
     "word_counts": q_word_counts,
     "word_counts_line": q_word_counts_line,
@@ -76,6 +94,8 @@ QUERIES = {
     "difficult_word_count": q_difficult_word_count,
     "dale_chall": q_dale_chall,
     "dale_chall_by_lang": q_dale_chall_by_lang,
+    "difficult_word_tokens": q_difficult_word_tokens,
+    "dale_chall_adjusted": q_dale_chall_adjusted,
 }
 
 
@@ -83,7 +103,7 @@ QUERIES = {
 
 def _lines(table: str, keys: str) -> str:
     sep = ", " if keys else ""
-    return f"(SELECT {keys}{sep}unnest(string_split(text, chr(10))) AS line FROM {table})"
+    return f"(SELECT {keys}{sep}unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS line FROM {table})"
 
 
 def _words_token(table: str, keys: str = "") -> str:
@@ -115,11 +135,11 @@ def _counts(words_sql: str, keys: str = "") -> str:
             f"WHERE length(word) > 0 GROUP BY {keys}{sep}word)")
 
 
-def _dale_chall_sql(keys: str | None) -> str:
+def _dale_chall_sql(keys: str | None, value: str = "count(*)", adjusted: bool = False) -> str:
     kk = keys or "g"
     src = f"(SELECT {keys or '1 AS g'}, text FROM documents)"
     words = _counts(_words_token(src, kk), kk)
-    difficult = (f"SELECT {kk}, count(*) AS n_difficult FROM {words} w "
+    difficult = (f"SELECT {kk}, {value} AS n_difficult FROM {words} w "
                  f"WHERE NOT EXISTS (SELECT 1 FROM {_easy()} e WHERE e.word = w.word) GROUP BY {kk}")
     totals = (
         f"SELECT {kk}, "
@@ -129,12 +149,13 @@ def _dale_chall_sql(keys: str | None) -> str:
     select_keys = f"t.{keys}, " if keys else ""
     wps = "CAST(t.n_words AS DOUBLE) / nullif(t.n_sentences, 0)"
     pct = "CAST(coalesce(d.n_difficult, 0) AS DOUBLE) / nullif(t.n_words, 0) * 100.0"
+    extra = f" + CASE WHEN {pct} > 5.0 THEN 3.6365 ELSE 0.0 END" if adjusted else ""
     return (
         f"WITH t AS ({totals}), d AS ({difficult}) "
         f"SELECT {select_keys}t.n_sentences, t.n_words, "
         "CAST(coalesce(d.n_difficult, 0) AS BIGINT) AS n_difficult, "
         f"{sql_round(wps, 'words_per_sentence')}, {sql_round(pct, 'pct_difficult')}, "
-        f"{sql_round(f'0.1579 * ({pct}) + 0.0496 * ({wps})', 'score')} "
+        f"{sql_round(f'0.1579 * ({pct}) + 0.0496 * ({wps}){extra}', 'score')} "
         f"FROM t LEFT JOIN d ON t.{kk} = d.{kk}")
 
 
@@ -161,4 +182,11 @@ ORACLE = {
         f"WHERE NOT EXISTS (SELECT 1 FROM {_easy()} e WHERE e.word = w.word)"),
     "dale_chall": _dale_chall_sql(None),
     "dale_chall_by_lang": _dale_chall_sql("lang"),
+    "difficult_word_tokens": (
+        "SELECT lang, CAST(sum(n) AS BIGINT) AS n_difficult FROM "
+        f"{_counts(_words_token('(SELECT lang, text FROM documents)', 'lang'), 'lang')} w "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {_easy()} e WHERE e.word = w.word) GROUP BY lang"),
+    "dale_chall_adjusted": _dale_chall_sql("source", "sum(n)", True),
 }
+
+ORACLE["sentence_count_crlf"] = ORACLE["sentence_count"]

@@ -101,20 +101,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      materialize: bool = False) -> DataFrame:
-    """Hint ``df`` for broadcast iff it holds at most ``max_rows`` rows.
+                      materialize: bool = False,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Hint ``df`` for broadcast iff it holds at most ``max_rows`` rows and
+    about ``max_bytes`` bytes (strings and arrays at their own length).
 
     The check reads at most ``max_rows + 1`` rows, so it is cheap even when the
     answer is "no"; beyond the bound the caller's join stays a shuffle join.
+    It runs when the join is built.
     ``materialize`` first writes a *derived* side (an aggregate that must be
     computed in full anyway) as a checkpoint, so the check and the join read
     the same written rows instead of computing them twice.
     """
     if materialize:
         df = cut_lineage(df)
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    width = F.lit(8 * len(df.columns) + 16)
+    for f in df.schema.fields:
+        if f.dataType.typeName() in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif f.dataType.typeName() == "array":
+            width = width + 8 * F.coalesce(F.size(f.name), F.lit(0))
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= max_rows and (size["b"] or 0) <= max_bytes else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -142,8 +150,12 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], buckets: int,
     content (deterministic, so a retried task salts identically); ``small`` is
     replicated once per salt.  A key holding a third of ``big`` is then spread
     over ``buckets`` tasks; ``small`` grows by exactly ``buckets`` times, never
-    by pairs.  ``buckets <= 1`` is a plain join.
+    by pairs.  ``buckets <= 1`` is a plain join.  Only joins that keep the
+    rows of ``big`` alone can be salted: unmatched rows of ``small`` would come
+    once per salt.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("a salted join must be inner, left, left_semi or left_anti")
     if buckets <= 1:
         return big.join(small, keys, how)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)).cast("int")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import LINE_END
 from ..operators import text as text_ops
 from ..session import read_table, spread
 
@@ -30,7 +31,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, lang, source, line_no, line``: one row per line of each text."""
     return docs.select("doc_id", "lang", "source",
-                       F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+                       F.posexplode(F.split("text", LINE_END, -1)).alias("line_no", "line"))
 
 
 def easy_words(spark: SparkSession, sf_dir: str) -> DataFrame:
