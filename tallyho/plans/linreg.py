@@ -100,7 +100,24 @@ def q_gradient_check(spark, sf_dir):
     return rounded(gradcheck.linreg_check(_points(spark, sf_dir), BETA, LAM, DELTA))
 
 
+def _embeddings(spark, sf_dir):
+    pts = tables.embedding_points(spark, sf_dir)
+    return pts, linreg.peek_dim(pts)
+
+
+def q_gram_embeddings(spark, sf_dir):
+    pts, d = _embeddings(spark, sf_dir)
+    return rounded(linreg.gram(pts, d))
+
+
+def q_gradient_embeddings(spark, sf_dir):
+    pts, d = _embeddings(spark, sf_dir)
+    return rounded(linreg.gradient(pts, [math.sin(k) for k in range(d)], LAM))
+
+
 QUERIES = {
+    "linreg_gram_embeddings": q_gram_embeddings,
+    "linreg_gradient_embeddings": q_gradient_embeddings,
     "residuals": q_residuals,
     "linreg_gram": q_gram,
     "linreg_objective": q_objective,
@@ -318,3 +335,16 @@ ORACLE = {
     "linreg_fw_poly": _fw_sql(D2, _PTS2),
     "gradient_check": _gradient_check_sql(),
 }
+
+_EMB = ("e AS (SELECT row_number() OVER () AS id, CAST(embedding AS DOUBLE[]) AS x, CAST(label AS DOUBLE) AS y FROM embeddings), "
+        "d AS (SELECT max(len(x)) AS d FROM e), "
+        "c AS (SELECT id, unnest(x) AS v, generate_subscripts(x, 1) - 1 AS k, y FROM e)")
+ORACLE["linreg_gram_embeddings"] = (
+    f"WITH {_EMB}, a AS (SELECT id, k, v FROM c UNION ALL SELECT id, d, y FROM e, d) "
+    f"SELECT CAST(p.k AS INTEGER) AS i, CAST(q.k AS INTEGER) AS j, {sql_round('sum(p.v * q.v)', 'value')} "
+    "FROM a p JOIN a q ON p.id = q.id AND p.k <= q.k GROUP BY p.k, q.k "
+    f"UNION ALL SELECT -1, -1, {sql_round('count(*)', 'value')} FROM e")
+ORACLE["linreg_gradient_embeddings"] = (
+    f"WITH {_EMB}, r AS (SELECT id, any_value(y) - sum(v * sin(k)) AS r FROM c GROUP BY id) "
+    f"SELECT CAST(k AS INTEGER) AS idx, {sql_round(f'-2.0 * sum(v * r) / count(*) + {2.0 * LAM} * sin(any_value(k))', 'value')} "
+    "FROM c JOIN r ON c.id = r.id GROUP BY k")

@@ -2,8 +2,9 @@
 
 Text inputs keep the formats of the reference data (lines of text, one word
 per line, CSV points / ratings, ``({feat: value, ...}, y)`` sparse points,
-``(feat,value)`` sparse models).  Everything is parsed with Spark's own
-readers and column expressions – never by evaluating file content.  Models
+``(feat,value)`` sparse models).  Every reader is a lazy ``parse_*``
+over the lines of its files, in column expressions – never by evaluating file
+content – and a line that does not parse fails the query.  Models
 and factors are written as Parquet (full doubles, schema kept).
 """
 
@@ -12,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 
-RATING_SCHEMA = "i BIGINT, j BIGINT, r DOUBLE"
 _NUMBER = r"[-+]?(?:\d+\.?\d*(?:[eE][-+]?\d+)?|\.\d+(?:[eE][-+]?\d+)?|inf|nan)"
 
 
@@ -24,29 +25,54 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
-def read_word_list(spark: SparkSession, path: str) -> DataFrame:
-    """``word``: lower-cased space-separated tokens of a word list, empties
+def _text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line``: the non-blank lines of the text file(s)."""
+    return read_lines(spark, path).filter(F.length(F.trim("line")) > 0)
+
+
+def _bad(what: str, kind: str) -> F.Column:
+    """Fails the query, naming the line."""
+    return F.raise_error(F.concat(F.lit(f"unparsable {what}: "), F.col("line"))).cast(kind)
+
+
+def _number(text: F.Column, what: str, kind: str = "double") -> F.Column:
+    value = F.trim(text).try_cast(kind)
+    return F.when(value.isNotNull(), value).otherwise(_bad(what, kind))
+
+
+def parse_word_list(lines: DataFrame) -> DataFrame:
+    """``word``: lower-cased space-separated tokens of ``line``, empties
     dropped, de-duplicated."""
-    lines = spark.read.text(path)
-    words = lines.select(F.explode(F.split(F.lower("value"), " ", -1)).alias("word"))
+    words = lines.select(F.explode(F.split(F.lower("line"), " ", -1)).alias("word"))
     return words.filter(F.length("word") > 0).distinct()
 
 
+def read_word_list(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`parse_word_list` of the text file(s) at ``path``."""
+    return parse_word_list(read_lines(spark, path))
+
+
 # ---------------------------------------------------------- dense points --
 
-def read_dense_points(spark: SparkSession, path: str) -> DataFrame:
-    """``x ARRAY<DOUBLE>, y DOUBLE`` from CSV lines whose last field is y."""
-    vals = F.transform(F.split(F.trim("value"), ","), lambda v: F.trim(v).cast("double"))
-    arr = spark.read.text(path).filter(F.length(F.trim("value")) > 0).select(vals.alias("a"))
+def parse_dense_points(lines: DataFrame, d: int | None = None) -> DataFrame:
+    """``x ARRAY<DOUBLE>, y DOUBLE`` from lines ``v,...,v,y``.  A field that is
+    no number, or a line of another length than ``d`` + 1 if given, fails."""
+    fields = F.split("line", ",", -1)
+    vals = F.transform(fields, lambda v: _number(v, "dense point"))
+    if d is not None:
+        vals = F.when(F.size(fields) == d + 1, vals).otherwise(_bad("dense point", "array<double>"))
+    arr = lines.select(vals.alias("a"))
     return arr.select(F.slice("a", 1, F.size("a") - 1).alias("x"), F.element_at("a", -1).alias("y"))
 
 
+def read_dense_points(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`parse_dense_points` of the text file(s) at ``path``."""
+    return parse_dense_points(_text_lines(spark, path))
+
+
 def read_dense_points_csv(spark: SparkSession, path: str, d: int) -> DataFrame:
-    """Same as :func:`read_dense_points` with a known dimension: Spark's CSV
-    reader with a fixed schema (no per-line array parsing)."""
-    schema = ", ".join([f"f{k} DOUBLE" for k in range(d)] + ["y DOUBLE"])
-    df = spark.read.schema(schema).csv(path)
-    return df.select(F.array(*[F.col(f"f{k}") for k in range(d)]).alias("x"), "y")
+    """Same with a known dimension, which every line must have."""
+    return parse_dense_points(_text_lines(spark, path), d)
 
 
 def read_dense_vector(spark: SparkSession, path: str) -> DataFrame:
@@ -67,42 +93,51 @@ def write_dense_vector(beta: DataFrame, path: str) -> None:
 
 # --------------------------------------------------------- sparse points --
 
-def read_sparse_points(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """``(points(id, y), cells(id, feat, x))`` from lines ``({"f": v, ...}, y)``.
-
-    The dictionary is parsed as JSON (single or double quoted keys); ids are
-    assigned per input line and are stable for a given set of files."""
+def parse_sparse_points(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(points(id, y), cells(id, feat, x))`` from ``id, line`` with lines
+    ``({"f": v, ...}, y)``; the dictionary is read as JSON with single or
+    double quotes.  A line of another form, or a value that is no number,
+    fails."""
     pattern = r"^\s*\(\s*(\{.*\})\s*,\s*(" + _NUMBER + r")\s*\)\s*$"
-    raw = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
-    parsed = raw.select(
-        F.monotonically_increasing_id().alias("id"),
-        F.regexp_extract("value", pattern, 1).alias("dict"),
-        F.regexp_extract("value", pattern, 2).cast("double").alias("y"))
-    bad = F.raise_error(F.concat(F.lit("unparsable sparse point: "), F.col("dict")))
-    maps = parsed.select(
-        "id", "y",
-        F.when(F.col("dict") != "", F.from_json("dict", "map<string,double>",
-                                                 {"allowSingleQuotes": "true"})).otherwise(bad)
-        .alias("m"))
-    points = maps.select("id", "y")
-    cells = maps.select("id", F.explode("m").alias("feat", "x"))
-    return points, cells
+    text, y = F.regexp_extract("line", pattern, 1), F.regexp_extract("line", pattern, 2)
+    parsed = lines.select("id", "line", F.from_json(text, "map<string,string>", {
+        "allowSingleQuotes": "true", "allowNonNumericNumbers": "true"}).alias("m"), _number(y, "sparse point").alias("y"))
+    whole = F.when(F.col("m").isNotNull(), F.col("m")).otherwise(_bad("sparse point", "map<string,string>"))
+    cells = parsed.select("id", "line", F.explode(whole).alias("feat", "v"))
+    return (parsed.select("id", F.when(F.col("m").isNotNull(), F.col("y")).otherwise(_bad("sparse point", "double")).alias("y")),
+            cells.select("id", "feat", _number(F.col("v"), "sparse point").alias("x")))
+
+
+def read_sparse_points(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """:func:`parse_sparse_points` of the text file(s) at ``path``.  Lines get
+    their ids once, in a written copy that both tables read, so ids agree
+    however the two are planned."""
+    return parse_sparse_points(cut_lineage(_text_lines(spark, path).select(
+        F.monotonically_increasing_id().alias("id"), "line")))
 
 
 # --------------------------------------------------------- sparse models --
 
+def parse_sparse_vector(lines: DataFrame) -> DataFrame:
+    """``feat, value`` from lines ``(feat,value)``, with or without quotes
+    around the feature; other lines fail."""
+    pattern = r"^\s*\(\s*(?:'([^']*)'|\"([^\"]*)\"|([^,]*?))\s*,\s*(" + _NUMBER + r")\s*\)\s*$"
+    feat = F.coalesce(*[F.nullif(F.regexp_extract("line", pattern, g), F.lit("")) for g in (1, 2, 3)])
+    return lines.select(feat.alias("feat"), _number(F.regexp_extract("line", pattern, 4), "sparse entry").alias("value"))
+
+
+def format_sparse_vector(beta: DataFrame) -> DataFrame:
+    """``line``: ``(feat,value)`` of every entry."""
+    return beta.select(F.format_string("(%s,%s)", F.col("feat"), F.col("value").cast("string")).alias("line"))
+
+
 def read_sparse_vector(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """``feat, value``.  ``fmt='text'`` reads ``(feat,value)`` lines, with or
-    without quotes around the feature."""
+    """``feat, value``.  ``fmt='text'`` reads ``(feat,value)`` lines."""
     if fmt == "parquet":
         return spark.read.parquet(path).select("feat", "value")
     if fmt != "text":
         raise ValueError("fmt must be parquet or text")
-    pattern = r"^\s*\(\s*(?:'([^']*)'|\"([^\"]*)\"|([^,]*?))\s*,\s*(" + _NUMBER + r")\s*\)\s*$"
-    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
-    feat = F.coalesce(*[F.nullif(F.regexp_extract("value", pattern, g), F.lit("")) for g in (1, 2, 3)])
-    return lines.select(feat.alias("feat"),
-                        F.regexp_extract("value", pattern, 4).cast("double").alias("value"))
+    return parse_sparse_vector(_text_lines(spark, path))
 
 
 def write_sparse_vector(beta: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -110,17 +145,25 @@ def write_sparse_vector(beta: DataFrame, path: str, fmt: str = "parquet") -> Non
     if fmt == "parquet":
         beta.select("feat", "value").write.mode("overwrite").parquet(path)
     elif fmt == "text":
-        beta.select(F.format_string("(%s,%s)", F.col("feat"), F.col("value").cast("string"))
-                    .alias("value")).write.mode("overwrite").text(path)
+        format_sparse_vector(beta).write.mode("overwrite").text(path)
     else:
         raise ValueError("fmt must be parquet or text")
 
 
 # --------------------------------------------------------------- ratings --
 
+def parse_ratings(lines: DataFrame) -> DataFrame:
+    """``i, j, r`` from lines ``i,j,r``; other lines fail."""
+    f = F.split("line", ",", -1)
+    three = F.when(F.size(f) == 3, f).otherwise(_bad("rating", "array<string>"))
+    return lines.select("line", three.alias("f")).select(
+        _number(F.col("f")[0], "rating", "bigint").alias("i"), _number(F.col("f")[1], "rating", "bigint").alias("j"),
+        _number(F.col("f")[2], "rating").alias("r"))
+
+
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """``i, j, r`` from CSV lines ``i,j,r``."""
-    return spark.read.schema(RATING_SCHEMA).csv(path)
+    """:func:`parse_ratings` of the text file(s) at ``path``."""
+    return parse_ratings(_text_lines(spark, path))
 
 
 def read_rating_folds(spark: SparkSession, directory: str, folds: int) -> DataFrame:
