@@ -20,7 +20,8 @@ sides' keys, so no pair falls between them.  Keys also carry a size band.
 *Verification* compares whole sets, rebuilt from the texts.  A key's members
 are first compared with one leader, not with each other.  What that leaves in
 more than one component under a key is looked up again by prefixes of whole
-sets, in the order of the counts among these sets.  Then members outside the
+sets, in the order of the counts among these sets; from here on the shingles
+that only one set has bound what a pair can share.  Then members outside the
 largest component of a key are
 compared with all members, a growing number of them a round, until every key's
 members are in one component or have been compared.  So no link between
@@ -135,9 +136,10 @@ def _band(n: int, percent: int) -> int:
 
 
 def keys(grouped: DataFrame, percent: int, rare: int, small: int, whole: bool = False) -> DataFrame:
-    """(key, cls, n) from (cls, n, tokens: array<struct<df, token>> rarest
-    first): single shingles and pairs, with their size band.  ``whole``: the
-    tokens were taken from whole sets, not from first prefixes."""
+    """(key, cls, n, own) from (cls, n, tokens: array<struct<df, token>> rarest
+    first): single shingles and pairs, with their size band.  ``own``: how many
+    of the set's shingles no other set has.  ``whole``: the tokens were taken
+    from whole sets, not from first prefixes."""
     def of(n, tokens):
         if whole:
             size, short, two = n, n - least(n, percent) + 1, least(n, percent) >= 2
@@ -155,7 +157,7 @@ def keys(grouped: DataFrame, percent: int, rare: int, small: int, whole: bool =
             out.update(hash((a, b, 2)) for i, a in enumerate(often) for b in often[i + 1:])
         if two and n <= 100 * 100 // percent // 5:  # partners may be too small for pairs
             out.update(t for _, t in first)
-        return out
+        return out, unique
 
     def run(batches):
         import pyarrow as pa
@@ -164,15 +166,17 @@ def keys(grouped: DataFrame, percent: int, rare: int, small: int, whole: bool =
             rows = []
             for cls, n, tokens in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 band = _band(n, percent)
-                for k in of(n, [(t["df"], t["token"]) for t in tokens]):
-                    rows += [(hash((k, band)), cls, n), (hash((k, band + 1)), cls, n)]
+                found, own = of(n, [(t["df"], t["token"]) for t in tokens])
+                for k in found:
+                    rows += [(hash((k, band)), cls, n, own), (hash((k, band + 1)), cls, n, own)]
                 if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["key", "cls", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
                     rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["key", "cls", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
-    return grouped.mapInArrow(run, "key long, cls long, n long")
+    names = ["key", "cls", "n", "own"]
+    return grouped.mapInArrow(run, "key long, cls long, n long, own long")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -207,24 +211,40 @@ def verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
 def components(edges: DataFrame) -> DataFrame:
     """(cls, comp): the smallest id reachable, for every id with an edge.
     Labels pass along edges and are then looked up themselves, so chains halve
-    with every round; each round's labels are a written table."""
+    with every round; each round's labels are a written table.  Labels are ids
+    of their own component and an id's label is never above it, so once both
+    ends of every edge agree each label is the smallest."""
     ends = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
                                           F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))).alias("e"))
     both = written(ends.select("e.a", "e.b").distinct(), "join-edges")
     labels = written(both.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("comp")), "join-labels")
-    total = F.sum(F.col("comp").cast("decimal(38,0)"))
-    before = labels.agg(total).first()[0]
-    while before is not None:
+    while True:
         side = bounded_broadcast(labels, BROADCAST_IDS)
-        near = both.join(side.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.min("comp").alias("near"))
-        jump = side.select(F.col("cls").alias("near"), "comp")
-        labels = written(near.join(jump, "near").select("cls", "comp"), "join-labels")
-        # labels only fall: the same sum is the same labels
-        after = labels.agg(total).first()[0]
-        if after == before:
-            break
-        before = after
-    return labels
+        at_b = both.join(side.withColumnRenamed("cls", "b"), "b")
+        apart = at_b.where("a < b").join(side.select(F.col("cls").alias("a"), F.col("comp").alias("other")), "a").where("comp <> other")
+        if apart.isEmpty():
+            return labels
+        near = at_b.groupBy(F.col("a").alias("cls")).agg(F.min("comp").alias("near"))
+        once = near.join(side.select(F.col("cls").alias("near"), F.col("comp").alias("next")), "near")
+        twice = once.join(side.select(F.col("cls").alias("next"), "comp"), "next")
+        labels = written(twice.select("cls", "comp"), "join-labels")
+
+
+def more_components(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """``known`` with further edges: only components that they join are
+    labelled again."""
+    side = bounded_broadcast(known, BROADCAST_IDS)
+    end = lambda c: side.select(F.col("cls").alias(c), F.col("comp").alias(f"c{c}"))
+    ends = edges.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
+    ends = written(ends.distinct(), "join-edges")
+    if ends.isEmpty():
+        return known
+    labels = components(ends)
+    new = bounded_broadcast(labels, BROADCAST_IDS)
+    moved = known.join(new.select(F.col("cls").alias("comp"), F.col("comp").alias("to")), "comp", "left")
+    added = labels.join(side.select("cls"), "cls", "left_anti")
+    return written(moved.select("cls", F.coalesce("to", "comp").alias("comp")).unionAll(added.select("cls", "comp")), "join-labels")
 
 
 def needed_keys(posted: DataFrame) -> DataFrame:
@@ -261,16 +281,23 @@ def link_classes(members: DataFrame, texts: DataFrame, words: int, percent: int,
                  strays: int = STRAYS) -> DataFrame:
     """(cls, comp) of the classes that are linked to another one.
 
-    ``members``: (key, cls, n) of the keys with two classes or more."""
-    fits = 100 * F.least("n", "o") >= percent * F.greatest("n", "o")
+    ``members``: (key, cls, n[, own]) of the keys with two classes or more."""
+    if "own" not in members.columns:
+        members = members.withColumn("own", F.lit(0).cast("long"))
+    similar = 100 * F.least("n", "o") >= percent * F.greatest("n", "o")
+    # two sets share no more than either has beside its own shingles
+    room = (100 + percent) * F.least(F.col("n") - F.col("own"), F.col("o") - F.col("own2")) >= percent * (F.col("n") + F.col("o"))
+    sides = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
 
-    def star(members):
+    def star(members, fits):
         """(pairs of each key's leader with its other members, those members):
-        the leader has met every member of its key."""
-        lead = members.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("l"))
+        the leader, a set with the fewest shingles of its own, has met every
+        member of its key."""
+        lead = members.groupBy("key").agg(F.min(F.struct("own", "cls", "n")).alias("l"))
         led = members.join(lead, "key").where(F.col("cls") != F.col("l.cls"))
-        pairs = led.select(F.col("l.cls").alias("a"), F.col("cls").alias("b"), "n", F.col("l.n").alias("o")).where(fits)
-        return pairs.select("a", "b").distinct(), led.select("key", "cls", "n")
+        pairs = led.select(F.col("l.cls").alias("a"), F.col("cls").alias("b"), "n", "own", F.col("l.n").alias("o"),
+                           F.col("l.own").alias("own2")).where(fits)
+        return pairs.select(*sides).distinct(), led.select("key", "cls", "n", "own")
 
     def still_open(members, comps):
         """The members of keys that hold more than one component."""
@@ -278,7 +305,7 @@ def link_classes(members: DataFrame, texts: DataFrame, words: int, percent: int,
         largest = rows.groupBy("key").agg(F.mode("comp").alias("largest"), F.min("comp").alias("x"), F.max("comp").alias("y"))
         return written(rows.join(largest.where("x <> y").select("key", "largest"), "key"), "join-open")
 
-    pairs, members = star(members)
+    pairs, members = star(members, similar)
     checked = written(verify(pairs, texts, words, percent), "join-checked")
     comps = components(checked.where("linked"))
     rows = still_open(members, comps)
@@ -288,22 +315,23 @@ def link_classes(members: DataFrame, texts: DataFrame, words: int, percent: int,
     some = texts.join(bounded_broadcast(sizes.select("cls"), BROADCAST_IDS), "cls", "left_semi")
     again = sizes.join(rarest_first(whole_sets(some, words)), "cls").select("cls", "n", "tokens")
     members = needed_keys(written(keys(again, percent, rare, small, whole=True), "join-keys"))
-    pairs, members = star(written(members, "join-members"))
+    pairs, members = star(written(members, "join-members"), similar & room)
     fresh = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    checked = checked.unionAll(written(verify(fresh, texts, words, percent), "join-checked"))
     while True:
-        comps = components(checked.where("linked"))
+        fresh = written(verify(fresh, texts, words, percent), "join-checked")
+        checked = checked.unionAll(fresh)
+        comps = more_components(comps, fresh.where("linked"))
         rows = still_open(members, comps)
         turn = Window.partitionBy("key").orderBy("cls")
         outside = rows.where(F.col("comp") != F.col("largest")).withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= strays)
-        outside = written(outside.select("key", F.col("cls").alias("s"), F.col("n").alias("o"), F.col("comp").alias("sc")), "join-strays")
-        if not outside.limit(1).count():
+        outside = written(outside.select("key", F.col("cls").alias("s"), F.col("n").alias("o"), F.col("own").alias("own2"),
+                                         F.col("comp").alias("sc")), "join-strays")
+        if outside.isEmpty():
             return comps
-        pairs = rows.join(outside, "key").where((F.col("comp") != F.col("sc")) & fits).select(
+        pairs = rows.join(outside, "key").where((F.col("comp") != F.col("sc")) & similar & room).select(
             F.least("s", "cls").alias("a"), F.greatest("s", "cls").alias("b")).distinct()
         fresh = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        checked = checked.unionAll(written(verify(fresh, texts, words, percent), "join-checked"))
-        members = rows.select("key", "cls", "n").join(outside.select("key", F.col("s").alias("cls")), ["key", "cls"], "left_anti")
+        members = rows.select("key", "cls", "n", "own").join(outside.select("key", F.col("s").alias("cls")), ["key", "cls"], "left_anti")
         strays *= 8
 
 
