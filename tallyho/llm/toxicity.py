@@ -2,10 +2,13 @@
 
 The lexicon is learned from labels: words that turn up in toxic documents in
 many different surroundings and hardly ever in clean ones, and stems that
-several such words share, with a short fixed seed list.  Trie and Levenshtein automata of all terms are intersected once,
-into one deterministic table (states are sets of trie node and edits used);
-every word of every text runs through that table, all words of a shard in
-step, so misspelled terms cost no more than exact ones.
+several such words share, with a short fixed seed list.  Trie and Levenshtein
+automata of all terms are intersected once, into one deterministic table
+(states are sets of trie node and edits used).  Words and stems of
+``FUZZY_FROM`` letters or more are found with one edit, two exchanged
+neighbours count as one; shorter ones only as they are.  Every word of every
+text runs through that table, all words of a shard in step, so misspelled terms
+cost no more than exact ones.
 
 Each hit is looked at in a window of ``CONTEXT`` words to either side: quote
 marks around it and words of reporting or naming mark a quotation, words of
@@ -81,32 +84,55 @@ class Automaton:
 
     ``step[state, letter]`` is the next state (0: no term can be reached any
     more; state 1: start), ``accept[state]`` the nearest term (-1: none) and
-    ``edits[state]`` its distance.  A term that ends in ``*`` is a stem: every
-    word that begins with it, spelled right, is accepted (``stem[state]``)."""
+    ``edits[state]`` its distance.  Terms of ``fuzzy_from`` letters or more may
+    be off by ``edits``.  A term that ends in ``*`` is a stem: every word with a
+    beginning that near to it is accepted, by a tail node that keeps any letter
+    (``stem[state]``: nothing but tails is left, the word need not be read on).
+    With ``swaps`` two exchanged neighbours are one edit."""
 
-    def __init__(self, terms: list[str], edits: int = EDITS, fuzzy_from: int = FUZZY_FROM):
+    def __init__(self, terms: list[str], edits: int = EDITS, fuzzy_from: int = FUZZY_FROM, swaps: bool = False):
         self.terms = terms
         letters = sorted({ord(c) for t in terms for c in t.rstrip(STEM)})
         self.letter = {c: i + 1 for i, c in enumerate(letters)}
-        self.longest = max(map(len, terms), default=0) + edits
+        self.longest = max(map(len, terms), default=0) + edits + 1
         child: list[dict[int, int]] = [{}]
         ends: list[int] = [-1]
         room: list[int] = [0]               # edits allowed somewhere below a node
-        stem: dict[int, bool] = {}
+        allowed = [edits if len(t.rstrip(STEM)) >= fuzzy_from else 0 for t in terms]
+        tail: dict[int, int] = {}           # end of a stem: its tail node
+        tails: set[int] = set()
+
+        def new(end=-1, may=0):
+            child.append({})
+            ends.append(end)
+            room.append(may)
+            return len(child) - 1
+
         for k, t in enumerate(terms):
-            node, may = 0, edits if len(t) >= fuzzy_from and not t.endswith(STEM) else 0
+            node, may = 0, allowed[k]
             room[0] = max(room[0], may)
             for c in t.rstrip(STEM):
                 c = self.letter[ord(c)]
                 if c not in child[node]:
-                    child[node][c] = len(child)
-                    child.append({})
-                    ends.append(-1)
-                    room.append(0)
+                    child[node][c] = new()
                 node = child[node][c]
                 room[node] = max(room[node], may)
-            ends[node] = k
-            stem[node] = stem.get(node, False) or t.endswith(STEM)
+            if t.endswith(STEM):
+                tail[node] = new(k, may)
+                tails.add(tail[node])
+            else:
+                ends[node] = k
+        swapped: list[list[tuple[int, int]]] = [[] for _ in child]  # (second letter, node that waits for the first)
+        waits: set[int] = set()
+        for n in range(len(child) if swaps else 0):
+            for first, m in list(child[n].items()):
+                for second, p in list(child[m].items()):
+                    if first != second and room[p]:
+                        q = new(may=room[p])
+                        child[q][first] = p
+                        waits.add(q)
+                        swapped[n].append((second, q))
+        swapped += [[] for _ in range(len(child) - len(swapped))]
 
         def closed(pairs):
             """The set with letters of terms left out, fewest edits per node."""
@@ -117,35 +143,47 @@ class Automaton:
                 if e > room[n] and e or best.get(n, 99) <= e:
                     continue
                 best[n] = e
-                todo += [(m, e + 1) for m in child[n].values() if e + 1 <= room[m]]
+                if n in tail:
+                    todo.append((tail[n], e))
+                if n not in waits:
+                    todo += [(m, e + 1) for m in child[n].values() if e + 1 <= room[m]]
             return frozenset(best.items())
 
         first = closed([(0, 0)])
         number, order, rows = {frozenset(): 0, first: 1}, [frozenset(), first], []
+
+        def numbered(pairs):
+            s = closed(pairs)
+            if s not in number:
+                number[s] = len(order)
+                order.append(s)
+            return number[s]
+
         at = 0
         while at < len(order):
-            row = np.zeros(len(letters) + 1, np.int32)
-            for c in range(len(letters) + 1):
-                nxt = []
-                for n, e in order[at]:
-                    if c in child[n]:
-                        nxt.append((child[n][c], e))
-                    if e < room[n]:
-                        nxt.append((n, e + 1))
-                        nxt += [(m, e + 1) for m in child[n].values() if e + 1 <= room[m]]
-                s = closed(nxt)
-                if s not in number:
-                    number[s] = len(order)
-                    order.append(s)
-                row[c] = number[s]
+            any_, by = [], {}               # nodes after any letter, and after a certain one
+            for n, e in order[at]:
+                if n in tails:
+                    any_.append((n, e))
+                    continue
+                for c, m in child[n].items():
+                    by.setdefault(c, []).append((m, e))
+                if e < room[n] and n not in waits:
+                    any_.append((n, e + 1))
+                    any_ += [(m, e + 1) for m in child[n].values() if e + 1 <= room[m]]
+                    for c, q in swapped[n]:
+                        by.setdefault(c, []).append((q, e + 1))
+            row = np.full(len(letters) + 1, numbered(any_), np.int32)
+            for c in sorted(by):
+                row[c] = numbered(any_ + by[c])
             rows.append(row)
             at += 1
         self.step = np.array(rows)
-        near = lambda n, e: e == 0 or len(terms[ends[n]]) >= fuzzy_from and not stem[n]
-        found = [min(((e, ends[n]) for n, e in s if ends[n] >= 0 and near(n, e)), default=(0, -1)) for s in order]
-        self.stem = np.array([any(e == 0 and stem.get(n, False) for n, e in s) for s in order])
-        self.accept = np.array([k for _, k in found], np.int32)
-        self.edits = np.array([e for e, _ in found], np.int8)
+        found = [min(((e, n in tails, ends[n]) for n, e in s if ends[n] >= 0 and e <= allowed[ends[n]]), default=(0, False, -1))
+                 for s in order]
+        self.stem = np.array([bool(s) and all(n in tails for n, _ in s) for s in order])
+        self.accept = np.array([k for _, _, k in found], np.int32)
+        self.edits = np.array([e for e, _, _ in found], np.int8)
         self.classes = np.zeros(_PLANE, np.int32)
         for c, i in self.letter.items():
             if c < _PLANE:
@@ -256,11 +294,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, terms: int = LE
     odds = (F.col("toxic") / n_toxic) / ((F.col("clean") + 0.5) / n_clean)
     rows = both.where(odds >= ODDS).select("term", F.log(odds).alias("odds"), "toxic").collect()
     rows.sort(key=lambda r: (not r["term"].endswith(STEM), len(r["term"]), -r["toxic"], r["term"]))
-    chosen: list[tuple[str, float]] = []
-    for r in rows:          # stems first, and no term that a stem covers
-        if not any(t.endswith(STEM) and r["term"].startswith(t[:-1]) for t, _ in chosen):
-            chosen.append((r["term"], r["odds"]))
-    return chosen[:terms]
+    return [(r["term"], r["odds"]) for r in rows[:terms]]     # with the terms that a stem covers: these may be misspelled
 
 
 class Model:
@@ -270,7 +304,7 @@ class Model:
         for t in SEED_TERMS:
             learned.setdefault(t, 1.0)
         terms = sorted(learned)
-        self.automaton = Automaton(terms)
+        self.automaton = Automaton(terms, swaps=True)
         self.term_weight = np.array([learned[t] for t in terms])
 
     def features(self, data, offsets):

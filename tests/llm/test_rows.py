@@ -102,6 +102,57 @@ def test_automaton_equals_distances():
         assert got.get(i) == min(near, default=None), w
 
 
+def run_words(automaton, words):
+    import numpy as np
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    points, limits = toxicity.code_points(data, np.array([0, len(data)]))
+    start, end, _ = toxicity.word_places(points, limits)
+    found = automaton.run(points, start, end)
+    assert len(set(found[0].tolist())) == len(found[0])
+    return {w: (automaton.terms[t], e) for w, t, e in zip(*(x.tolist() for x in found))}
+
+
+def swap_distance(a, b):
+    """Edits, an exchange of two neighbours being one (optimal string alignment)."""
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        rows.append([i])
+        for j, y in enumerate(b, 1):
+            best = min(rows[i - 1][j - 1] + (x != y), rows[i - 1][j] + 1, rows[i][j - 1] + 1)
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, rows[i - 2][j - 2] + 1)
+            rows[i].append(best)
+    return rows[-1][-1]
+
+
+@pytest.mark.parametrize("swaps", [False, True])
+def test_stems_and_swaps_may_be_misspelled(swaps):
+    r = random.Random(9)
+    some = lambda lo, hi: "".join(r.choice("abcé") for _ in range(r.randint(lo, hi)))
+    terms = sorted({some(5, 9) for _ in range(12)} | {some(4, 6) + "*" for _ in range(8)})
+    words = [some(1, 14) for _ in range(6000)] + [t.rstrip("*") + x for t in terms for x in ("", "x", "xxxxxxxxxxxxxxx")]
+    got = run_words(toxicity.Automaton(terms, swaps=swaps), words)
+    apart = swap_distance if swaps else distance
+    for i, w in enumerate(words):
+        near = []
+        for t in terms:
+            stem = t.rstrip("*")
+            d = min(apart(w[:k], stem) for k in range(len(w) + 1)) if t != stem else apart(w, stem)
+            near += [d] if d <= (1 if len(stem) >= toxicity.FUZZY_FROM else 0) else []
+        assert got.get(i, (None, None))[1] == min(near, default=None), w
+
+
+def test_a_stem_does_not_hide_its_misspelled_terms(spark):
+    words = ["zarkobel", "zarkitum", "zarkovan", "zarkuled", "zarkemin", "zarkaros"]
+    rows = [(f"{a} {w} {b}", 1) for w in words for a, b in zip(["mu", "no", "pi", "ro", "si", "ta"], "abcdef")]
+    rows += [(f"a calm line of plain words {k}", 0) for k in range(400)]
+    sample = spark.createDataFrame([(k, t, y) for k, (t, y) in enumerate(rows)], "doc_id long, text string, label int")
+    lexicon = toxicity.learn_lexicon(sample, 36, 400)
+    assert {"zark*", *words} <= {t for t, _ in lexicon}
+    got = run_words(toxicity.Model(0.5, lexicon).automaton, ["zarkobel", "zrakobel", "xarkitum", "zarkovxn", "zerkulxd"])
+    assert got == {0: ("zarkobel", 0), 1: ("zarkobel", 1), 2: ("zarkitum", 1), 3: ("zark*", 0)}
+
+
 def test_quotation_is_told_from_abuse():
     import numpy as np
     model = toxicity.Model(0.5)
