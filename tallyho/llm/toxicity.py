@@ -16,8 +16,9 @@ address and further hits mark abuse.  A logistic unit over counts of exact and
 misspelled, quoted and open hits gives the score.
 
 Fitting takes a bounded sample (``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN``
-documents at most; at most ``LEXICON_TERMS`` terms reach the driver).  Scoring
-reads every text whole, in the task that reads it.
+documents at most; only the terms that pass the test of odds reach the driver).
+No term is cut: ``LEXICON_TERMS`` of them share an automaton, more terms make
+more automata.  Scoring reads every text whole, in the task that reads it.
 
 Edge cases: null and empty texts have no hits and get the score of such
 documents; null labels are no training rows; without both labels the score is
@@ -35,13 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyho.llm.bytes_words import find_words
-from tallyho.llm.common import split_buffers, training_texts, written
+from tallyho.llm.common import split_buffers, training_texts
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2500, 8000
-LEXICON_TERMS = 200
+LEXICON_TERMS = 200             # terms in one automaton
 EDITS, FUZZY_FROM = 1, 5        # edits allowed in terms of so many letters
 TERM_LETTERS = (3, 24)
-LEXICON_POOL = 5_000            # terms whose clean counts are looked up
 STEM, STEM_LETTERS, STEM_WORDS = "*", (4, 5, 6), 4
 ODDS = 20.0
 CHANCE = 1e-5                   # of a neutral word to get into the lexicon
@@ -208,6 +208,25 @@ class Automaton:
         return words[order], np.concatenate(terms)[order], np.concatenate(edits)[order]
 
 
+class Lexicon:
+    """Automata of ``LEXICON_TERMS`` terms each; of a word that several of them
+    accept, the nearest term counts, and a full one before a stem."""
+
+    def __init__(self, terms: list[str], size: int = LEXICON_TERMS):
+        self.terms = terms
+        self.parts = [Automaton(terms[k: k + size], swaps=True) for k in range(0, len(terms), size)]
+        self.first = range(0, len(terms), size)
+        self.is_stem = np.array([t.endswith(STEM) for t in terms], bool)
+
+    def run(self, points: np.ndarray, start: np.ndarray, end: np.ndarray):
+        found = [(w, t + k, e) for k, (w, t, e) in ((k, p.run(points, start, end)) for k, p in zip(self.first, self.parts))]
+        words, terms, edits = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((terms, self.is_stem[terms], edits, words))
+        words, terms, edits = words[order], terms[order], edits[order]
+        keep = np.concatenate([[True], words[1:] != words[:-1]])[:len(words)]
+        return words[keep], terms[keep], edits[keep]
+
+
 def spell(points: np.ndarray) -> str:
     return points.astype("<u4").tobytes().decode("utf-32-le")
 
@@ -227,7 +246,7 @@ def context(points, start, end, row, offsets, w: int) -> tuple[bool, bool, bool]
     return marks(left) % 2 == 1 and marks(right) > 0, any(x in REPORTING for x in near), any(x in ADDRESS for x in near)
 
 
-def features(data, offsets, automaton: Automaton, weight: np.ndarray):
+def features(data, offsets, automaton: Lexicon, weight: np.ndarray):
     """One row of ``FEATURES`` numbers per text, and its hits."""
     rows = len(offsets) - 1
     points, offsets = code_points(data, offsets)
@@ -252,7 +271,7 @@ def features(data, offsets, automaton: Automaton, weight: np.ndarray):
     return x, hits
 
 
-def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, terms: int = LEXICON_TERMS) -> list[tuple[str, float]]:
+def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[str, float]]:
     """(term, log odds) of the words that mark toxic documents.  A word counts
     once for each different word before it, so the copies of one document do
     not make a term of every word in it."""
@@ -287,14 +306,12 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, terms: int = LE
                for y in (1, 0)]
     toxic = emitted[0].groupBy("term").agg(F.count_distinct("seen").alias("toxic"), F.count_distinct("word").alias("words"))
     toxic = toxic.where((F.col("toxic") >= least) & ((F.col("words") >= STEM_WORDS) | ~F.col("term").endswith(STEM)))
-    toxic = toxic.orderBy(F.desc("toxic"), "term").limit(LEXICON_POOL)
-    toxic = written(toxic, "toxic-terms")
-    clean = emitted[1].join(F.broadcast(toxic.select("term")), "term").groupBy("term").agg(F.count(F.lit(1)).alias("clean"))
+    clean = emitted[1].groupBy("term").agg(F.count(F.lit(1)).alias("clean"))
     both = toxic.join(clean, "term", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
     odds = (F.col("toxic") / n_toxic) / ((F.col("clean") + 0.5) / n_clean)
     rows = both.where(odds >= ODDS).select("term", F.log(odds).alias("odds"), "toxic").collect()
-    rows.sort(key=lambda r: (not r["term"].endswith(STEM), len(r["term"]), -r["toxic"], r["term"]))
-    return [(r["term"], r["odds"]) for r in rows[:terms]]     # with the terms that a stem covers: these may be misspelled
+    rows.sort(key=lambda r: (-r["odds"] * r["toxic"], r["term"]))
+    return [(r["term"], r["odds"]) for r in rows]     # with the terms that a stem covers: these may be misspelled
 
 
 class Model:
@@ -304,7 +321,7 @@ class Model:
         for t in SEED_TERMS:
             learned.setdefault(t, 1.0)
         terms = sorted(learned)
-        self.automaton = Automaton(terms, swaps=True)
+        self.automaton = Lexicon(terms)
         self.term_weight = np.array([learned[t] for t in terms])
 
     def features(self, data, offsets):

@@ -153,6 +153,21 @@ def test_a_stem_does_not_hide_its_misspelled_terms(spark):
     assert got == {0: ("zarkobel", 0), 1: ("zarkobel", 1), 2: ("zarkitum", 1), 3: ("zark*", 0)}
 
 
+def test_no_toxic_term_is_cut(spark):
+    """More frequent neutral words than fit any pool, more toxic terms than
+    fit one automaton."""
+    name = lambda k, first: first + "".join("bdfgklmnpr"[int(c)] + "aeiou"[int(c) % 5] for c in f"{k:04}")
+    neutral, bad = [name(k, "o") for k in range(6000)], [name(7 * k, "u") for k in range(300)]
+    text = lambda words, n: " ".join(f"{name(n, 'i')} {w}" for w in words)
+    rows = [(k, text(neutral, k), 1) for k in range(8)] + [(8 + k, text(bad, k), 1) for k in range(6)]
+    rows += [(100 + k, " ".join(neutral), 0) for k in range(30)]
+    sample = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    lexicon = toxicity.learn_lexicon(sample, 14, 500)
+    assert set(bad) <= {t for t, _ in lexicon} and not set(neutral) & {t for t, _ in lexicon}
+    got = run_words(toxicity.Model(0.5, lexicon).automaton, bad + [w[:-1] + "xz" for w in bad] + [w[1:] for w in bad])
+    assert all(got[k] == (w, 0) for k, w in enumerate(bad)) and all(got[600 + k][1] == 1 for k in range(300))
+
+
 def test_quotation_is_told_from_abuse():
     import numpy as np
     model = toxicity.Model(0.5)
