@@ -157,6 +157,12 @@ def q_train(spark, sf_dir):
     return rounded(fit.beta)
 
 
+def q_train_full(spark, sf_dir):
+    """To the trainer's own stop (40 iterations, eps 0.1); no SQL."""
+    points, cells = _data(spark, sf_dir)
+    return rounded(logreg.train(points, cells, lam=LAM).beta)
+
+
 def q_gradient_check(spark, sf_dir):
     points, cells = _data(spark, sf_dir)
     beta = _fixed_beta(points, cells)
@@ -193,6 +199,7 @@ QUERIES = {
     "logreg_line_search": q_line_search,
     "logreg_line_search_steep": q_line_search_steep,
     "logreg_train": q_train,
+    "logreg_train_full": q_train_full,
     "logreg_gradient_check": q_gradient_check,
     "confusion": q_confusion,
     "classification_metrics": q_metrics,

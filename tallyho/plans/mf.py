@@ -134,6 +134,28 @@ def q_cv_rmse(spark, sf_dir):
     return rounded(summary)
 
 
+# To the trainers' own stop (20 iterations, epsilon 1e-99); no SQL.
+
+def q_train_full(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    U, V = _init(train)
+    fit = mf.train(train, test, d=D, gain=GAIN, power=POWER, lam=LAM, mu=MU, U0=U, V0=V)
+    return rounded(_both(fit.U, fit.V))
+
+
+def q_fit_all_full(spark, sf_dir):
+    ratings = _ratings(spark, sf_dir)
+    U, V = _init(ratings)
+    fit = mf.fit_all(ratings, d=D, gain=GAIN, power=POWER, lam=LAM, mu=MU, U0=U, V0=V)
+    return rounded(_both(fit.U, fit.V))
+
+
+def q_cv_rmse_full(spark, sf_dir):
+    summary, _ = mf.cross_validate(_ratings(spark, sf_dir), folds=FOLDS, init=_init, parallelism=FOLDS, d=D,
+                                   gain=GAIN, power=POWER, lam=LAM, mu=MU)
+    return rounded(summary)
+
+
 def q_gradient_check(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
     U, V = _init(train)
@@ -162,9 +184,12 @@ QUERIES = {
     "mf_step_u": q_step_u,
     "mf_step_v": q_step_v,
     "mf_train": q_train,
+    "mf_train_full": q_train_full,
     "mf_fit_all": q_fit_all,
+    "mf_fit_all_full": q_fit_all_full,
     "mf_rmse": q_rmse,
     "mf_cv_rmse": q_cv_rmse,
+    "mf_cv_rmse_full": q_cv_rmse_full,
     "mf_gradient_check": q_gradient_check,
     "mf_gradient_check_items": q_gradient_check_items,
     "mf_init": q_init,
