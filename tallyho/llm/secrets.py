@@ -5,7 +5,10 @@ bytes).  The ledger holds which (blob, rule version) pairs have been scanned;
 only unseen pairs are scanned, each once however many paths or versions hold
 the blob, and findings are joined back to all paths.  ``update_ledger`` adds
 one batch as new Parquet files, so a run that dies leaves no pair marked as
-scanned without its findings.
+scanned without its findings.  ``scan_documents`` and ``redact`` go through the
+ledger in the folder that they are given or that the session names as
+``spark.tallyho.secretLedger``, and otherwise through a new one of their own,
+below the shared checkpoint folder.
 
 A rule is a pattern and a test of its matches; matches are leftmost and
 non-overlapping.  Offsets are code points: the pieces between matches and the
@@ -18,6 +21,7 @@ empty table gives no findings and no paths.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -120,6 +124,21 @@ def read_ledger(spark, folder: str) -> DataFrame | None:
     return spark.read.schema(LEDGER).parquet(folder)
 
 
+def version_of(rules: tuple[Rule, ...]) -> str:
+    """``RULE_VERSION``, with a digest of the rules if they are others."""
+    return RULE_VERSION if rules == RULES else f"{RULE_VERSION}-{hashlib.sha256(repr(rules).encode()).hexdigest()[:16]}"
+
+
+def ledger_findings(docs: DataFrame, rules: tuple[Rule, ...], folder: str | None) -> DataFrame:
+    """(blob, findings) of the blobs with findings, after the ledger has been
+    brought up to date with ``docs``; a pair that two runs wrote counts once."""
+    spark = docs.sparkSession
+    folder = folder or spark.conf.get("spark.tallyho.secretLedger", None) or scratch(spark, "secret-ledger")
+    update_ledger(docs, folder, rules=rules, rule_version=version_of(rules))
+    ledger = read_ledger(spark, folder).where((F.col("rule_version") == version_of(rules)) & (F.size("findings") > 0))
+    return ledger.select("blob", "findings").dropDuplicates(["blob"])
+
+
 def span_text(kinds: tuple[str, ...], only: tuple[str, ...] | None = None) -> Column:
     """kind:start:end of the ``spans`` array, by start, then kind as listed."""
     order = F.lit(0)
@@ -130,14 +149,15 @@ def span_text(kinds: tuple[str, ...], only: tuple[str, ...] | None = None) -> Co
     return F.concat_ws(",", F.transform(F.sort_array(items), lambda x: x["s"]))
 
 
-def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id with counts and spans of every document.
+def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, folder: str | None = None) -> DataFrame:
+    """doc_id with counts and spans of every document; only blobs that the
+    ledger in ``folder`` lacks are scanned.
 
     Findings are one row per distinct text, so the join back to the paths
     multiplies nothing; the paths' side of a hot text is salted."""
     kinds, base = tuple(r.kind for r in rules), tuple(r.kind for r in rules if r.base)
     count = [F.count_if(F.col("kind") == k).alias(f"n_{k}") for k in base]
-    found = scan(blobs_of(docs), rules).groupBy("blob").agg(
+    found = ledger_findings(docs, rules, folder).select("blob", F.inline("findings")).groupBy("blob").agg(
         *count, span_text(kinds, base).alias("base_spans"), span_text(kinds).alias("spans"))
     salts = 16
     found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -149,11 +169,12 @@ def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
                        F.coalesce("spans", F.lit("")).alias("spans"))
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]", folder: str | None = None) -> DataFrame:
     """``docs`` with every found span replaced by ``mark``; no document goes.
-    Overlapping spans become one mark."""
-    found = scan(blobs_of(docs), rules).groupBy("blob").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+    Overlapping spans become one mark.  Only blobs that the ledger in
+    ``folder`` lacks are scanned."""
+    found = ledger_findings(docs, rules, folder).select("blob", F.sort_array(F.transform(
+        "findings", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))).alias("_spans"))
     salts = 16
     found = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed("blob", "_blob")
     rows = docs.withColumn("_blob", address(F.col("text"))).withColumn(

@@ -233,6 +233,27 @@ def test_ledger_scans_only_what_is_new(spark, tmp_out):
     assert sum(r["findings"] is not None for r in ledger) == 2
 
 
+def test_scans_go_through_the_ledger(spark, tmp_out):
+    from pyspark.sql import functions as F
+    folder = f"{tmp_out}/ledger"
+    docs = spark.createDataFrame(SECRETS, "doc_id long, text string")
+    whole = sorted(map(str, secrets.scan_documents(docs).collect()))
+    assert sorted(map(str, secrets.scan_documents(docs, folder=folder).collect())) == whole
+    pairs = secrets.read_ledger(spark, folder).count()
+    assert pairs == len({t or "" for _, t in SECRETS})
+    more = docs.unionAll(spark.createDataFrame([(20, "token=abcdefgh")], docs.schema))
+    assert secrets.scan_documents(more, folder=folder).count() == len(SECRETS) + 1
+    assert secrets.redact(more, folder=folder).where("doc_id = 20").first()["text"] == "[SECRET]"
+    assert secrets.read_ledger(spark, folder).count() == pairs + 1      # nothing is scanned twice
+    # what the ledger holds is not looked at again: a pair recorded without findings stays without
+    empty = f"{tmp_out}/recorded"
+    secrets.blobs_of(docs).select("blob", F.lit(secrets.RULE_VERSION).alias("rule_version"),
+                                  F.lit(None).cast("array<struct<start: bigint, end: bigint, kind: string>>").alias("findings")
+                                  ).write.parquet(empty)
+    assert all(r["spans"] == "" for r in secrets.scan_documents(docs, folder=empty).collect())
+    assert any(r["spans"] for r in secrets.scan_documents(docs, secrets.RULES[:1], folder=empty).collect())
+
+
 def test_secrets_odd_rows(odd, empty):
     assert secrets.scan_documents(odd).count() == len(odd_rows())
     assert secrets.redact(odd).columns == odd.columns and secrets.redact(odd).exceptAll(odd).count() == 0
