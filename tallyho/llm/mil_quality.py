@@ -8,7 +8,8 @@ passages of a document, and a logistic unit scores the weighted passage
 representation.  Only document labels are used.
 
 Fitting takes a bounded sample: at most ``SAMPLE_PER_LABEL`` documents of each
-label, with at most ``TRAIN_PASSAGES`` evenly spaced passages each; classes
+label, with all their passages; if these are more than ``TRAIN_PASSAGES`` a
+document on the average, whole documents are left out of the sample.  Classes
 are weighed back to their share of all labelled rows.  Scoring reads every
 passage of every text, in the task that reads the text.
 
@@ -21,16 +22,19 @@ replaced.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyho.llm.bytes_words import LOWER, NOT_SPACE, find_words, mix, prefix_hash, range_hash
-from tallyho.llm.common import split_buffers, training_texts
+from tallyho.llm.common import split_buffers, training_texts, written
 
 PASSAGE_WORDS = 48
 SAMPLE_PER_LABEL = 2500
-TRAIN_PASSAGES = 96
+TRAIN_PASSAGES = 96             # on the average of a full sample
 SHARD_BYTES = 2 << 20
 HIDDEN, GATE = 24, 12
 
@@ -148,6 +152,25 @@ def fit_bags(x: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray
     return model
 
 
+def whole_documents(sizes: list[tuple[int, int, int]], most: int) -> set[int]:
+    """The doc_ids of the sample, out of (doc_id, label, passages): for each
+    label, in the order of a hash, what fits into ``most`` passages, and the
+    smallest document if none does."""
+    chosen: set[int] = set()
+    for label in {y for _, y, _ in sizes}:
+        own: dict[int, int] = {}
+        for d, y, n in sizes:
+            if y == label:
+                own[d] = own.get(d, 0) + n
+        room, some = most, set()
+        for d in sorted(own, key=lambda d: (zlib.crc32(str(d).encode()), d)):
+            if own[d] <= room:
+                room -= own[d]
+                some.add(d)
+        chosen |= some or {min(own, key=lambda d: (own[d], d))}
+    return chosen
+
+
 def fit(docs: DataFrame, marks: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Model:
     """A model from a bounded sample of the documents marked (doc_id, label)."""
     sample, counts = training_texts(docs, marks, {0: per_label, 1: per_label})
@@ -161,12 +184,18 @@ def fit(docs: DataFrame, marks: DataFrame, per_label: int = SAMPLE_PER_LABEL) ->
             for part, data, offsets, _ in split_buffers(batch, "text", SHARD_BYTES, 2000):
                 x, first = passages(data, offsets)
                 x = x.astype(np.float16)
-                bags = [x[a:b][np.unique(np.linspace(0, b - a - 1, min(b - a, TRAIN_PASSAGES)).astype(int))].tobytes()
-                        for a, b in zip(first[:-1], first[1:])]
+                bags = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(2).cast(pa.int32()),
                                                   pa.array(bags, pa.binary())], ["doc_id", "label", "x"])
 
-    got = sorted(sample.mapInArrow(encode, "doc_id long, label int, x binary").collect(),
+    encoded = written(sample.mapInArrow(encode, "doc_id long, label int, x binary"), "bags")
+    sizes = [(r["doc_id"], r["label"], r["n"] // (2 * FEATURES))
+             for r in encoded.select("doc_id", "label", F.length("x").alias("n")).collect()]
+    chosen = whole_documents(sizes, per_label * TRAIN_PASSAGES)
+    if len(chosen) < len({d for d, _, _ in sizes}):
+        ids = encoded.sparkSession.createDataFrame([(d,) for d in sorted(chosen)], "doc_id long")
+        encoded = encoded.join(F.broadcast(ids), "doc_id", "left_semi")
+    got = sorted(encoded.collect(),
                  key=lambda r: (r["doc_id"] is not None, r["doc_id"], r["label"]))
     y = np.array([r["label"] for r in got], np.float32)
     if not len(y) or y.min() == y.max():

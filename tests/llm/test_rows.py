@@ -68,6 +68,22 @@ def test_classifiers_odd_rows(spark, odd, empty):
             assert score(empty, model).count() == 0
 
 
+def test_quality_learns_from_whole_texts(spark, monkeypatch):
+    texts = {1: prose(1, 10_000), 2: prose(2, 9_000), 3: prose(3, 100), 4: prose(4, 60), 5: prose(5, 7_000)}
+    docs = table(spark, [(d, t, "en", "a") for d, t in texts.items()])
+    marks = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 0), (5, 0)], "doc_id long, label int")
+    sizes, fit_bags = [], mil_quality.fit_bags
+    monkeypatch.setattr(mil_quality, "fit_bags", lambda x, first, y, *a: sizes.append(
+        (first[1:] - first[:-1]).tolist()) or fit_bags(x, first, y, *a))
+    mil_quality.fit(docs, marks)
+    assert sizes.pop() == [-(-len(t.split()) // 48) for t in texts.values()]
+    # beyond the bound whole documents are left out, and each label stays
+    mil_quality.fit(docs, marks, per_label=2)       # 192 passages a label
+    assert set(sizes.pop()) <= {-(-len(t.split()) // 48) for t in texts.values()}
+    assert mil_quality.whole_documents([(1, 1, 209), (2, 0, 188), (3, 1, 3), (4, 0, 2), (5, 0, 146)], 192) in ({2, 3, 4}, {3, 4, 5})
+    assert mil_quality.whole_documents([(1, 1, 300), (2, 1, 250), (3, 0, 1)], 192) == {2, 3}
+
+
 def test_labels_never_leak_the_held_out_fold(spark):
     labels = spark.createDataFrame([(d, 1, None) for d in range(200)] + [(None, 1, 1)], "doc_id long, quality int, toxic int")
     kept = {r["doc_id"] for r in common.training_marks(labels, "quality").collect()}
