@@ -83,25 +83,48 @@ def invert_demand(fraction: Column, slope: Column) -> Column:
     return F.least(F.lit(1.0), 2 * fraction / (b + F.sqrt(b * b + 4 * slope * fraction)))
 
 
+def cut_buckets(rows: DataFrame, bucket_rows: int) -> DataFrame:
+    """``rows`` (doc_id, size, skey, n_docs, _tie, ...) with ``_h``, and with
+    ``_bucket`` and ``_sub``, whose order within a source agrees with that of
+    ``_h``, size.  ``_sub`` is empty but for buckets of several times
+    ``bucket_rows``; there it cuts by ``_h``, size and as many digits of the
+    tie as leave about ``bucket_rows`` rows."""
+    digits = lambda n: F.greatest(F.lit(0), F.ceil(F.log(16.0, n / bucket_rows))).cast("int")
+    rows = (rows.withColumn("_h", F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit("~")))
+            .withColumn("_bucket", F.substr(F.col("_h"), F.lit(1), digits(F.col("n_docs")))))
+    full = rows.groupBy("skey", "_bucket").count().where(F.col("count") > 4 * bucket_rows)
+    full = written(full.select("skey", "_bucket", F.lit(True).alias("_full")), "mix-full")
+    if full.isEmpty():
+        return rows.withColumn("_sub", F.lit(""))
+    rows = rows.join(bounded_broadcast(full, BROADCAST_SOURCES), ["skey", "_bucket"], "left")
+    alike = rows.where("_full").groupBy("skey", "_h", "size").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > bucket_rows)
+    alike = written(alike.select("skey", "_h", "size", digits(F.col("_n")).alias("_digits")), "mix-alike")
+    rows = rows.join(bounded_broadcast(alike, BROADCAST_SOURCES), ["skey", "_h", "size"], "left")
+    sub = F.concat("_h", F.lit(":"), F.lpad(F.col("size").cast("string"), 19, "0"), F.lit(":"),
+                   F.substr(F.col("_tie"), F.lit(1), F.coalesce("_digits", F.lit(0))))
+    return rows.withColumn("_sub", F.when(F.col("_full"), sub).otherwise(F.lit(""))).drop("_full", "_digits")
+
+
 def assign(docs: DataFrame, max_epochs: int = MAX_EPOCHS, bucket_rows: int = BUCKET_ROWS,
            carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken and
     ``position`` (of its first copy; null if nothing of it is taken)."""
     sized = written(docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size"))
-                    .withColumn("skey", key_of(F.col("source"))), "mix-sizes")
+                    .withColumn("skey", key_of(F.col("source"))).withColumn("_tie", F.substring(F.md5(
+                        F.monotonically_increasing_id().cast("string").cast("binary")), 1, 12)), "mix-sizes")
     targets = written(source_targets(sized, max_epochs), "mix-targets")
-    digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("n_docs") / bucket_rows))).cast("int")
-    rows = (sized.drop("source")
-            .join(bounded_broadcast(targets, BROADCAST_SOURCES), "skey")
-            .withColumn("_h", F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit("~")))
-            .withColumn("_bucket", F.substr(F.col("_h"), F.lit(1), digits)))
-    sums = rows.groupBy("skey", "_bucket").agg(F.sum("size").alias("_bucket_size"))
-    earlier = Window.partitionBy("skey").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("skey", "_bucket",
-                          F.coalesce(F.sum("_bucket_size").over(earlier), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("skey", "_bucket").orderBy("_h", "doc_id", "size").rowsBetween(
+    rows = cut_buckets(sized.drop("source").join(bounded_broadcast(targets, BROADCAST_SOURCES), "skey"), bucket_rows)
+    sums = written(rows.groupBy("skey", "_bucket", "_sub").agg(F.sum("size").alias("_sub_size")), "mix-buckets")
+    before_it = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    buckets = sums.groupBy("skey", "_bucket").agg(F.sum("_sub_size").alias("_bucket_size")).select(
+        "skey", "_bucket", F.coalesce(F.sum("_bucket_size").over(before_it("skey", "_bucket")), F.lit(0)).alias("_offset"))
+    inner = sums.select("skey", "_bucket", "_sub", F.coalesce(
+        F.sum("_sub_size").over(before_it("skey", "_bucket", "_sub")), F.lit(0)).alias("_inner"))
+    offsets = inner.join(buckets, ["skey", "_bucket"]).select(
+        "skey", "_bucket", "_sub", (F.col("_offset") + F.col("_inner")).alias("_offset"))
+    inside = Window.partitionBy("skey", "_bucket", "_sub").orderBy("_h", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1)
-    rows = rows.join(offsets, ["skey", "_bucket"])
+    rows = rows.join(offsets, ["skey", "_bucket", "_sub"])
     before = F.col("_offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     want = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(want / F.col("source_size"))).otherwise(F.lit(0)).cast("long")

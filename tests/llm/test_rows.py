@@ -292,6 +292,29 @@ def test_mix_targets(spark, odd, empty):
     assert curriculum.assign(empty).count() == 0 and curriculum.mix(empty).count() == 0
 
 
+def test_null_and_repeated_ids_spread_over_buckets(spark, monkeypatch):
+    r = random.Random(4)
+    ids = [None] * 900 + [7] * 500 + list(range(100, 700))
+    rows = [(d, " ".join("w" * (1 if k % 3 else r.randint(1, 40))), "en", "ab"[k % 7 == 0]) for k, d in enumerate(ids)]
+    docs, parts, cut = table(spark, rows), [], curriculum.cut_buckets
+    monkeypatch.setattr(curriculum, "cut_buckets", lambda *a: parts.append(cut(*a)) or parts[-1])
+    got = curriculum.assign(docs, bucket_rows=10).collect()
+    assert parts[0].groupBy("skey", "_bucket", "_sub").count().agg({"count": "max"}).first()[0] <= 60
+    import hashlib
+    from collections import Counter
+    want = Counter()
+    for source in "ab":
+        own = sorted((hashlib.md5(str(d).encode()).hexdigest() if d is not None else "~", len(t.split()), d or -1)
+                     for d, t, _, s in rows if s == source)
+        size = sum(n for _, n, _ in own)
+        target = next(round(g["target"]) for g in got if g["source_size"] == size)
+        before = 0
+        for _, n, d in own:
+            want[d, size, target // size * n + min(max(target - target // size * size - before, 0), n)] += 1
+            before += n
+    assert Counter((g["doc_id"] or -1, g["source_size"], g["taken"]) for g in got) == want
+
+
 def test_mix_order(odd):
     rows = curriculum.mix(odd).collect()
     assert [r["position"] for r in rows] == sorted(r["position"] for r in rows) and all(r["taken"] > 0 for r in rows)
