@@ -186,23 +186,23 @@ def shard_sequence(data: np.ndarray, offsets: np.ndarray, test: TestSet):
 
 
 def search_shard(data, offsets, test: TestSet):
-    """Per document: words, hit spans [start, end, start, end, ...), items."""
+    """Per document: words, hit spans [start, end, start, end, ...), items, by
+    the longest matches: they cover the words of all window hits and no other."""
     seq, begin, n_words = shard_sequence(data, offsets, test)
     position, window = locate(seq, test)
     spans, items = [[]] * len(n_words), [[]] * len(n_words)
     if len(position):
+        at, entry, words = longest(seq, position, window, test)
         change = np.zeros(len(seq) + 1, np.int64)
-        np.add.at(change, position, 1)
-        np.add.at(change, position + test.size[window], -1)
+        np.add.at(change, at, 1)
+        np.add.at(change, at + words, -1)
         hit = np.concatenate([[0], (np.cumsum(change) > 0).astype(np.int8)])
         turns = np.flatnonzero(np.diff(hit)).reshape(-1, 2)
         row = np.searchsorted(begin, turns[:, 0], side="right") - 1
         for r in np.unique(row):
             spans[r] = (turns[row == r] - begin[r]).reshape(-1).tolist()
-        row = np.searchsorted(begin, position, side="right") - 1
-        pairs = np.unique(np.stack([row, window]), axis=1)
-        r, entry = expand(pairs[0], pairs[1], test)
-        pairs = np.unique(np.stack([r, test.item[entry]]), axis=1)
+        row = np.searchsorted(begin, at, side="right") - 1
+        pairs = np.unique(np.stack([row, test.item[entry]]), axis=1)
         cut = np.flatnonzero(np.diff(pairs[0])) + 1
         for part, own in zip(np.split(pairs[0], cut), np.split(pairs[1], cut)):
             items[part[0]] = [test.names[i] for i in own]

@@ -162,3 +162,29 @@ def test_decontaminate_edges(spark, odd, empty):
     assert decontaminate.decontaminate(empty, bench_table(spark)).count() == 0
     none = decontaminate.contamination(odd, bench_table(spark, []))
     assert none.where("contaminated or n_hit > 0").count() == 0
+
+
+def test_hits_come_from_the_longest_matches(monkeypatch):
+    r = random.Random(12)
+    say = lambda n: " ".join(r.choice(["a", "b", "c"]) for _ in range(n))
+    items = [(f"i{k}", say(r.randint(1, 9))) for k in range(12)]
+    docs = [say(r.randint(0, 40)) for _ in range(30)]
+    docs += ["z " + docs[3], items[0][1] + " z " + items[1][1]]
+    calls, longest = [], decontaminate.longest
+    monkeypatch.setattr(decontaminate, "longest", lambda *a: calls.append(1) or longest(*a))
+    data = np.frombuffer("".join(docs).encode(), np.uint8)
+    limits = np.cumsum([0] + [len(d) for d in docs])
+    n, spans, found = decontaminate.search_shard(data, limits, decontaminate.TestSet(items, 4))
+    assert calls
+    for d, k, s, f in zip(docs, n.tolist(), spans, found):
+        words, hit, names = d.split(), set(), set()
+        for name, text in items:
+            t = text.split()
+            size = min(4, len(t))
+            for p in range(len(t) - size + 1):
+                for q in range(len(words) - size + 1):
+                    if words[q:q + size] == t[p:p + size]:
+                        hit |= set(range(q, q + size))
+                        names.add(name)
+        assert k == len(words) and f == sorted(names)
+        assert [x for a, b in zip(s[::2], s[1::2]) for x in range(a, b)] == sorted(hit)
