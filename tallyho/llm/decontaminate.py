@@ -13,8 +13,10 @@ window.  Words are compared by 64-bit hashes of their bytes.
 
 Each document is wholly in one shard, so no training row is shuffled.  The
 benchmark is read in blocks of ``block_bytes``; each block goes to the tasks
-with the function (its size is bounded by the block), and with more than one
-block the documents' hits are united per document afterwards.
+with the function (its size is bounded by the block).  With more than one block
+each block's hits are written to the shared folder before the next block is
+read, so the driver holds one block at a time, and the documents' hits are
+united per document afterwards.  Every block reads the documents once more.
 
 Edge cases: null text has no words; items without words or with a null id are
 left out; repeated documents give repeated rows; other columns, clashing names
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyho.llm.bytes_words import ALNUM, LOWER, find_words, prefix_hash, range_hash
-from tallyho.llm.common import split_buffers
+from tallyho.llm.common import scratch, split_buffers
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -209,15 +211,29 @@ def search_shard(data, offsets, test: TestSet):
     return n_words, spans, items
 
 
-def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
-    """The benchmark's items, a bounded block at a time."""
+def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """The benchmark's items, and how many blocks of bounded size they make."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.where("item_id is not null")
     total = rows.agg(F.sum(F.octet_length("text") + 16).alias("b")).first()["b"] or 0
-    n = max(1, -(-total // block_bytes))
+    return rows, max(1, -(-total // block_bytes))
+
+
+def block_items(rows: DataFrame, n: int, k: int) -> list[tuple[str, str]]:
+    """The items of block ``k`` of ``n``."""
+    part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
+    return [(r["item_id"], r["text"]) for r in part.collect()]
+
+
+def written_by_block(rows: DataFrame, n: int, hits) -> DataFrame:
+    """``hits(items)`` of all blocks, each written before the next is read."""
+    folder = scratch(rows.sparkSession, "benchmark-hits")
     for k in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
-        yield [(r["item_id"], r["text"]) for r in part.collect()]
+        part = hits(block_items(rows, n, k))
+        part.write.mode("append").parquet(folder)
+        schema = part.schema
+        del part
+    return rows.sparkSession.read.schema(schema).parquet(folder)
 
 
 def _pass(docs: DataFrame, items: list[tuple[str, str]], window: int) -> DataFrame:
@@ -252,16 +268,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with n_words, spans (hit words, as start, end, ...), items,
     n_hit, n_items, items_sha256 and contaminated."""
-    parts = [_pass(docs, items, window) for items in blocks(benchmark, block_bytes)]
-    if len(parts) == 1:
-        return _finish(parts[0])
+    rows, n = blocks(benchmark, block_bytes)
+    if n == 1:
+        return _finish(_pass(docs, block_items(rows, n, 0), window))
     keep = [c for c in docs.columns if c not in _NEW.names]
-    keyed = [p.select(*keep, *_NEW.names).withColumn("_h", F.xxhash64(*keep)) for p in parts]
-    light = [k.select("_h", F.col("doc_id").alias("_d"), *_NEW.names) for k in keyed]
-    every = light[0]
-    for p in light[1:]:
-        every = every.unionAll(p)
-    some = every.where(F.size("items") > 0).groupBy("_h", "_d").agg(
+    keyed = lambda items: _pass(docs, items, window).withColumn("_h", F.xxhash64(*keep))
+    every = written_by_block(rows, n, lambda items: keyed(items).where(F.size("items") > 0).select(
+        "_h", F.col("doc_id").alias("_d"), *_NEW.names))
+    some = every.groupBy("_h", "_d").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.transform(
             F.sequence(F.lit(0), F.floor(F.size("spans") / 2).cast("int") - 1),
@@ -272,7 +286,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.greatest(F.element_at(a, -1), x["b"])))
     ).otherwise(F.concat(a, F.array(x["a"], x["b"]))))
     some = some.select("_h", F.coalesce("_d", F.lit(-1)).alias("_d"), "items", join.alias("spans"))
-    base = keyed[0].drop("spans", "items").withColumn("_d", F.coalesce("doc_id", F.lit(-1)))
+    base = keyed([]).drop("spans", "items").withColumn("_d", F.coalesce("doc_id", F.lit(-1)))
     rows = base.join(some, ["_h", "_d"], "left").drop("_h", "_d")
     return _finish(rows.withColumn("spans", F.coalesce("spans", none)).withColumn(
         "items", F.coalesce("items", F.array().cast("array<string>"))))
@@ -302,11 +316,8 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
         return docs.select("doc_id", "text").mapInArrow(run, schema)
 
-    parts = [one(items) for items in blocks(benchmark, block_bytes)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    return out
+    rows, n = blocks(benchmark, block_bytes)
+    return one(block_items(rows, n, 0)) if n == 1 else written_by_block(rows, n, one)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

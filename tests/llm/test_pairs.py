@@ -188,3 +188,30 @@ def test_hits_come_from_the_longest_matches(monkeypatch):
                         names.add(name)
         assert k == len(words) and f == sorted(names)
         assert [x for a, b in zip(s[::2], s[1::2]) for x in range(a, b)] == sorted(hit)
+
+
+def test_one_block_at_a_time_is_on_the_driver(spark, monkeypatch):
+    import gc
+    import weakref
+
+    class Items(list):
+        pass
+
+    read, alive, most = decontaminate.block_items, weakref.WeakSet(), []
+
+    def watched(*a):
+        gc.collect()
+        most.append(len(alive))         # of the blocks before this one
+        items = Items(read(*a))
+        items.__class__.__hash__ = lambda self: id(self)
+        items.__class__.__eq__ = lambda self, other: self is other
+        alive.add(items)
+        return items
+
+    monkeypatch.setattr(decontaminate, "block_items", watched)
+    rows = [(k, prose(50, 60) + prose(k, 40), "en", "a") for k in range(6)]
+    bench = spark.createDataFrame([(f"i{k}", prose(50, 20) + prose(200 + k, 20)) for k in range(12)], "item_id string, text string")
+    for block_bytes in (600, decontaminate.BLOCK_BYTES):
+        got = decontaminate.contamination(table(spark, rows), bench, block_bytes=block_bytes).collect()
+        assert len(got) == 6 and all(r["n_items"] == 12 and r["contaminated"] for r in got)
+    assert len(most) > 3 and max(most) <= 1
