@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.llm import (bwt_dedup, curriculum, decontaminate, jaccard_join, language_id, line_rules, mil_quality, secrets,
-                         toxicity, warc)
+from tallyho.llm import (bwt_dedup, curriculum, decontaminate, fill_in_middle, jaccard_join, language_id, line_rules, mil_quality,
+                         periodic_runs, secrets, toxicity, warc)
 from tallyho.llm.common import crc_mod, read_table, training_marks
 
 
@@ -72,9 +72,20 @@ def op10_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return periodic_runs.run_digests(periodic_runs.runs(periodic_runs.planted(_docs(spark, sf_dir))))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    rows = fill_in_middle.restore(fill_in_middle.transform(_docs(spark, sf_dir).select("doc_id", "text")))
+    sha = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha("output").alias("output_sha256"),
+                       sha("restored").alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontaminate, op3_quality, op4_toxicity, op5_secret_scan, op6_jaccard_join, op7_quality_rules,
-    op8_bwt_dedup, op9_curriculum, op10_warc)}
+    op8_bwt_dedup, op9_curriculum, op10_warc, op11_periodic_runs, op12_fill_in_middle)}
 
 _W = r"[^\x20\x09-\x0D]+"
 
@@ -166,4 +177,23 @@ _OP10_SQL = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
     CASE WHEN n >= {warc.MIN_REVISIT_BYTES} AND page_id > m THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN n >= {warc.MIN_REVISIT_BYTES} AND page_id > m THEN m END AS refers_to FROM r"""
 
-ORACLE = {"op5_secret_scan": _op5_sql(), "op7_quality_rules": _op7_sql(), "op9_curriculum": _op9_sql(), "op10_warc": _OP10_SQL}
+
+
+def _op12_sql() -> str:
+    m = fill_in_middle
+    p, s, mid = (f"'{x}'" for x in (m.PREFIX, m.SUFFIX, m.MIDDLE))
+    h = [f"CAST('0x' || substr(g, {1 + 8 * k}, 8) AS BIGINT)" for k in range(4)]
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{m.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS g
+      FROM documents),
+    e AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, {h[0]} % (length(t) + 1) AS x, {h[1]} % (length(t) + 1) AS y,
+      CASE WHEN t = '' OR contains(t, {p}) OR contains(t, {s}) OR contains(t, {mid}) OR {h[2]} % 100 >= {m.FIM_PERCENT} THEN 'plain'
+        WHEN {h[3]} % 100 < {m.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM d),
+    c AS (SELECT doc_id, t, n, form, least(x, y) AS a, greatest(x, y) - least(x, y) AS b, substr(t, 1, least(x, y)) AS tp,
+      substr(t, least(x, y) + 1, greatest(x, y) - least(x, y)) AS tm, substr(t, greatest(x, y) + 1) AS ts FROM e)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN {p} || tp || {s} || ts || {mid} || tm
+        ELSE {s} || ts || {p} || tp || {mid} || tm END) AS output_sha256, sha256(t) AS restored_sha256 FROM c"""
+
+
+ORACLE = {"op5_secret_scan": _op5_sql(), "op7_quality_rules": _op7_sql(), "op9_curriculum": _op9_sql(), "op10_warc": _OP10_SQL,
+          "op12_fill_in_middle": _op12_sql()}

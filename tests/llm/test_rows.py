@@ -17,7 +17,8 @@ HELD = "/root/testdata/sf0.01"
 
 @pytest.mark.parametrize("key", sorted(plans.ORACLE))
 def test_oracles(spark, key):
-    assert compare(spark, duck(SMALL), key, plans.QUERIES[key], plans.ORACLE[key], SMALL)
+    r = compare(spark, duck(SMALL), key, plans.QUERIES[key], plans.ORACLE[key], SMALL)
+    assert r["cols_ok"] and r["rows"] == r["oracle_rows"] and r["hash_ok"]
 
 
 def truth(column):
