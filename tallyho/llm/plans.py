@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyho.llm import (bwt_dedup, curriculum, decontaminate, fill_in_middle, jaccard_join, language_id, line_rules, mil_quality,
-                         periodic_runs, secrets, toxicity, warc)
+                         periodic_runs, secrets, superminhash, toxicity, warc)
 from tallyho.llm.common import crc_mod, read_table, training_marks
 
 
@@ -83,9 +83,14 @@ def op12_fill_in_middle(spark, sf_dir):
                        sha("restored").alias("restored_sha256"))
 
 
+def op13_near_dedup(spark, sf_dir):
+    return superminhash.near_duplicates(_docs(spark, sf_dir), words=4, percent=80)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontaminate, op3_quality, op4_toxicity, op5_secret_scan, op6_jaccard_join, op7_quality_rules,
-    op8_bwt_dedup, op9_curriculum, op10_warc, op11_periodic_runs, op12_fill_in_middle)}
+    op8_bwt_dedup, op9_curriculum, op10_warc, op11_periodic_runs, op12_fill_in_middle,
+    op13_near_dedup)}
 
 _W = r"[^\x20\x09-\x0D]+"
 
