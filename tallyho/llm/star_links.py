@@ -195,12 +195,14 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         rest = weighed.join(lead.select("key", F.col("l").alias("cls")), ["key", "cls"], "left_anti")
         rows = with_components(rest.select("key", "cls", "w"), comps)
         leaders = LEADERS
-        still = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("cls").alias("a")).where("x <> y")
-        still = written(rows.join(still.select("key", "a"), "key").select("a", F.col("cls").alias("b"), "w").distinct(), "join-open")
-        if still.isEmpty():
+        still = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key", "x")
+        rows = written(rows.join(still, "key").select("cls", "w", "comp", "x").distinct(), "join-open")
+        if rows.isEmpty():
             return comps
-        group = components(still).withColumnRenamed("comp", "group")
-        group = written(still.select(F.col("b").alias("cls"), "w").distinct().join(group, "cls"), "join-groups")
+        # components that meet in open keys; links between keys are few, those between classes many
+        group = components(rows.select(F.col("x").alias("a"), F.col("comp").alias("b")).distinct())
+        group = written(rows.select("cls", "w", "comp").distinct().join(
+            group.select(F.col("cls").alias("comp"), F.col("comp").alias("group")), "comp"), "join-groups")
         lead = group.groupBy("group").agg(F.max_by("cls", F.struct("w", "cls")).alias("l"))
         far = group.join(lead, "group").where("cls <> l").select("l", "cls")
         found = written(differences(far, sets), "join-differences")
