@@ -17,24 +17,19 @@ there, so either a rare one or a frequent pair meets.  Longer sets have too
 many pairs and index frequent shingles alone.  Sets near a limit use both
 sides' keys, so no pair falls between them.  Keys also carry a size band.
 
-*Verification* compares whole sets, rebuilt from the texts.  A key's members
-are first compared with one leader, not with each other.  What that leaves in
-more than one component under a key is looked up again by prefixes of whole
-sets, in the order of the counts among these sets; from here on the shingles
-that only one set has bound what a pair can share.  Then members outside the
-largest component of a key are
-compared with all members, a growing number of them a round, until every key's
-members are in one component or have been compared.  So no link between
+*Verification* compares whole sets, rebuilt from the texts: a key's members with
+one leader, not with each other, and what that leaves in more than one component
+by the differences from a leader (:mod:`star_links`).  So no link between
 different texts is lost, and a group of m copies costs about m comparisons.
 
-Equal sets are one class, stood for by its smallest doc_id; links, components
-and prefixes live in tables, never on the driver.
+Equal sets are one class; links, components and prefixes live in tables, never on
+the driver.
 
 Edge cases: null, empty and blank texts have no shingles, link to nothing and
 are their own component; with fewer than ``words`` words the whole sequence is
 one shingle; a null doc_id links to nothing and its component is null; rows
-that share a doc_id are one document (it is linked if one of its texts is); an
-empty table gives no rows; other columns are ignored, clashing ones replaced.
+that share a doc_id are judged one by one, by their own texts; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,19 +37,18 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyho.llm.bytes_words import LOWER, NOT_SPACE, find_words, mix, prefix_hash, range_hash
 from tallyho.llm.common import split_buffers, written
+from tallyho.llm.star_links import BROADCAST_IDS, link_classes, needed_keys
 from tallyho.session import bounded_broadcast
 
 WORDS, PERCENT = 5, 80
 RARE = 64
 SMALL = 128
-STRAYS = 64                     # in the first such round, eight times as many in each later one
 SHARD_BYTES = 2 << 20
-BROADCAST_IDS = 500_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,10 +96,14 @@ def second_prefix(n: int, percent: int) -> int:
     return max(0, first_prefix(n, percent) - spare(least(n, percent)) + 1)
 
 
+def text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, f1, f2, tokens): set size, fingerprint and first prefix of
-    every document; of equal sets in a batch only the smallest doc_id has
-    tokens."""
+    """(doc_id, t, n, cls, f, tokens): hash of the text, set size, both halves
+    of the set's fingerprint and its first prefix; of equal sets in a batch only
+    the smallest doc_id has tokens."""
     def run(batches):
         import pyarrow as pa
 
@@ -113,7 +111,7 @@ def prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
             for part, data, offsets, _ in split_buffers(batch, "text", SHARD_BYTES):
                 ids = part.column(0).to_pylist()
                 sets = row_sets(data, offsets, words)
-                prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                prints = [fingerprint(s) for s in sets]
                 head: dict[bytes, int] = {}
                 for i, (d, p, s) in enumerate(zip(ids, prints, sets)):
                     if len(s) and d is not None and (p not in head or d < ids[head[p]]):
@@ -124,27 +122,23 @@ def prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 limits = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
                 flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(f[:, 0].copy()), pa.array(f[:, 1].copy()),
-                     pa.ListArray.from_arrays(pa.array(limits), pa.array(flat))], ["doc_id", "n", "f1", "f2", "tokens"])
+                    [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(f[:, 0].copy()),
+                     pa.array(f[:, 1].copy()), pa.ListArray.from_arrays(pa.array(limits), pa.array(flat))],
+                    ["doc_id", "t", "n", "cls", "f", "tokens"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, tokens array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("t"), "text")
+    return rows.mapInArrow(run, "doc_id long, t long, n long, cls long, f long, tokens array<long>")
 
 
 def _band(n: int, percent: int) -> int:
     return int(np.log(n) / -np.log((percent - 1) / 100))
 
 
-def keys(grouped: DataFrame, percent: int, rare: int, small: int, whole: bool = False) -> DataFrame:
-    """(key, cls, n, own) from (cls, n, tokens: array<struct<df, token>> rarest
-    first): single shingles and pairs, with their size band.  ``own``: how many
-    of the set's shingles no other set has.  ``whole``: the tokens were taken
-    from whole sets, not from first prefixes."""
+def keys(grouped: DataFrame, percent: int, rare: int, small: int) -> DataFrame:
+    """(key, cls, n) from (cls, n, tokens: array<struct<df, token>> rarest
+    first): single shingles and pairs, with their size band."""
     def of(n, tokens):
-        if whole:
-            size, short, two = n, n - least(n, percent) + 1, least(n, percent) >= 2
-        else:
-            size, short, two = first_prefix(n, percent), second_prefix(n, percent), spare(least(n, percent)) >= 2
+        size, short, two = first_prefix(n, percent), second_prefix(n, percent), spare(least(n, percent)) >= 2
         unique = size - len(tokens)
         first, longer = tokens[:max(0, short - unique)], tokens[:max(0, short + 1 - unique)]
         limit = small * 100 // percent + 1          # the largest partner of a small set
@@ -157,7 +151,7 @@ def keys(grouped: DataFrame, percent: int, rare: int, small: int, whole: bool =
             out.update(hash((a, b, 2)) for i, a in enumerate(often) for b in often[i + 1:])
         if two and n <= 100 * 100 // percent // 5:  # partners may be too small for pairs
             out.update(t for _, t in first)
-        return out, unique
+        return out
 
     def run(batches):
         import pyarrow as pa
@@ -166,93 +160,16 @@ def keys(grouped: DataFrame, percent: int, rare: int, small: int, whole: bool =
             rows = []
             for cls, n, tokens in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 band = _band(n, percent)
-                found, own = of(n, [(t["df"], t["token"]) for t in tokens])
-                for k in found:
-                    rows += [(hash((k, band)), cls, n, own), (hash((k, band + 1)), cls, n, own)]
+                for k in of(n, [(t["df"], t["token"]) for t in tokens]):
+                    rows += [(hash((k, band)), cls, n), (hash((k, band + 1)), cls, n)]
                 if len(rows) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
                     rows = []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
-    names = ["key", "cls", "n", "own"]
-    return grouped.mapInArrow(run, "key long, cls long, n long, own long")
-
-
-def verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, linked) of the pairs (a, b), by their whole sets."""
-    def run(batches):
-        import pyarrow as pa
-
-        last: tuple = (None, None)
-
-        def sets(column):
-            for part, data, offsets, _ in split_buffers(pa.RecordBatch.from_arrays([column], ["t"]), "t", SHARD_BYTES):
-                yield from row_sets(data, offsets, words)
-
-        for batch in batches:
-            # the left text of equal neighbours is hashed once
-            a, at = batch.column(0).to_pylist(), batch.column(2)
-            new = [i for i in range(len(a)) if i == 0 or a[i] != a[i - 1] or at[i].as_py() != at[i - 1].as_py()]
-            left = sets(at.take(pa.array(new, pa.int64())))
-            new, keep, x = set(new), [], None
-            for i, y in enumerate(sets(batch.column(3))):
-                if i in new:
-                    x = next(left)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keep, pa.bool_())], ["a", "b", "linked"])
-
-    both = (pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b"))
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, linked boolean")
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """(cls, comp): the smallest id reachable, for every id with an edge.
-    Labels pass along edges and are then looked up themselves, so chains halve
-    with every round; each round's labels are a written table.  Labels are ids
-    of their own component and an id's label is never above it, so once both
-    ends of every edge agree each label is the smallest."""
-    ends = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
-                                          F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))).alias("e"))
-    both = written(ends.select("e.a", "e.b").distinct(), "join-edges")
-    labels = written(both.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("comp")), "join-labels")
-    while True:
-        side = bounded_broadcast(labels, BROADCAST_IDS)
-        at_b = both.join(side.withColumnRenamed("cls", "b"), "b")
-        apart = at_b.where("a < b").join(side.select(F.col("cls").alias("a"), F.col("comp").alias("other")), "a").where("comp <> other")
-        if apart.isEmpty():
-            return labels
-        near = at_b.groupBy(F.col("a").alias("cls")).agg(F.min("comp").alias("near"))
-        once = near.join(side.select(F.col("cls").alias("near"), F.col("comp").alias("next")), "near")
-        twice = once.join(side.select(F.col("cls").alias("next"), "comp"), "next")
-        labels = written(twice.select("cls", "comp"), "join-labels")
-
-
-def more_components(known: DataFrame, edges: DataFrame) -> DataFrame:
-    """``known`` with further edges: only components that they join are
-    labelled again."""
-    side = bounded_broadcast(known, BROADCAST_IDS)
-    end = lambda c: side.select(F.col("cls").alias(c), F.col("comp").alias(f"c{c}"))
-    ends = edges.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
-        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
-    ends = written(ends.distinct(), "join-edges")
-    if ends.isEmpty():
-        return known
-    labels = components(ends)
-    new = bounded_broadcast(labels, BROADCAST_IDS)
-    moved = known.join(new.select(F.col("cls").alias("comp"), F.col("comp").alias("to")), "comp", "left")
-    added = labels.join(side.select("cls"), "cls", "left_anti")
-    return written(moved.select("cls", F.coalesce("to", "comp").alias("comp")).unionAll(added.select("cls", "comp")), "join-labels")
-
-
-def needed_keys(posted: DataFrame) -> DataFrame:
-    """``posted`` under the keys with two classes or more; of keys with the
-    same members one is enough."""
-    by_key = posted.groupBy("key").agg(F.count(F.lit(1)).alias("c"), *[
-        F.bit_xor(F.xxhash64(F.lit(k), "cls", "n")).alias(f"x{k}") for k in (1, 2)]).where("c > 1")
-    return posted.join(by_key.groupBy("c", "x1", "x2").agg(F.min("key").alias("key")).select("key"), "key")
+    names = ["key", "cls", "n"]
+    return grouped.mapInArrow(run, "key long, cls long, n long")
 
 
 def rarest_first(rows: DataFrame) -> DataFrame:
@@ -262,106 +179,76 @@ def rarest_first(rows: DataFrame) -> DataFrame:
     return rows.join(often, "token").groupBy("cls").agg(F.sort_array(F.collect_set(F.struct("df", "token"))).alias("tokens"))
 
 
-def whole_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(cls, token) of every shingle."""
+def fingerprint(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+
+
+def class_sets(docs: DataFrame, heads: DataFrame, words: int) -> DataFrame:
+    """(cls, n, tokens) of the classes ``heads`` (cls, doc_id), one row each,
+    from the texts of their documents; ``cls`` is the first half of a set's
+    fingerprint."""
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for part, data, offsets, _ in split_buffers(batch, "text", SHARD_BYTES):
+            for _, data, offsets, _ in split_buffers(batch, "text", SHARD_BYTES):
                 sets = row_sets(data, offsets, words)
-                cls = np.repeat(np.asarray(part.column(0)), [len(x) for x in sets])
-                token = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(token)], ["cls", "token"])
-
-    return texts.select("cls", "text").mapInArrow(run, "cls long, token long")
-
-
-def link_classes(members: DataFrame, texts: DataFrame, words: int, percent: int, rare: int = RARE, small: int = SMALL,
-                 strays: int = STRAYS) -> DataFrame:
-    """(cls, comp) of the classes that are linked to another one.
-
-    ``members``: (key, cls, n[, own]) of the keys with two classes or more."""
-    if "own" not in members.columns:
-        members = members.withColumn("own", F.lit(0).cast("long"))
-    similar = 100 * F.least("n", "o") >= percent * F.greatest("n", "o")
-    # two sets share no more than either has beside its own shingles
-    room = (100 + percent) * F.least(F.col("n") - F.col("own"), F.col("o") - F.col("own2")) >= percent * (F.col("n") + F.col("o"))
-    sides = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-
-    def star(members, fits):
-        """(pairs of each key's leader with its other members, those members):
-        the leader, a set with the fewest shingles of its own, has met every
-        member of its key."""
-        lead = members.groupBy("key").agg(F.min(F.struct("own", "cls", "n")).alias("l"))
-        led = members.join(lead, "key").where(F.col("cls") != F.col("l.cls"))
-        pairs = led.select(F.col("l.cls").alias("a"), F.col("cls").alias("b"), "n", "own", F.col("l.n").alias("o"),
-                           F.col("l.own").alias("own2")).where(fits)
-        return pairs.select(*sides).distinct(), led.select("key", "cls", "n", "own")
-
-    def still_open(members, comps):
-        """The members of keys that hold more than one component."""
-        rows = members.join(bounded_broadcast(comps, BROADCAST_IDS), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-        largest = rows.groupBy("key").agg(F.mode("comp").alias("largest"), F.min("comp").alias("x"), F.max("comp").alias("y"))
-        return written(rows.join(largest.where("x <> y").select("key", "largest"), "key"), "join-open")
-
-    pairs, members = star(members, similar)
-    checked = written(verify(pairs, texts, words, percent), "join-checked")
-    comps = components(checked.where("linked"))
-    rows = still_open(members, comps)
-    # What is open is looked up again by whole sets, in the order of their own
-    # counts: a set with too many shingles of its own has no key any more.
-    sizes = rows.select("cls", "n").distinct()
-    some = texts.join(bounded_broadcast(sizes.select("cls"), BROADCAST_IDS), "cls", "left_semi")
-    again = sizes.join(rarest_first(whole_sets(some, words)), "cls").select("cls", "n", "tokens")
-    members = needed_keys(written(keys(again, percent, rare, small, whole=True), "join-keys"))
-    pairs, members = star(written(members, "join-members"), similar & room)
-    fresh = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    while True:
-        fresh = written(verify(fresh, texts, words, percent), "join-checked")
-        checked = checked.unionAll(fresh)
-        comps = more_components(comps, fresh.where("linked"))
-        rows = still_open(members, comps)
-        turn = Window.partitionBy("key").orderBy("cls")
-        outside = rows.where(F.col("comp") != F.col("largest")).withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= strays)
-        outside = written(outside.select("key", F.col("cls").alias("s"), F.col("n").alias("o"), F.col("own").alias("own2"),
-                                         F.col("comp").alias("sc")), "join-strays")
-        if outside.isEmpty():
-            return comps
-        pairs = rows.join(outside, "key").where((F.col("comp") != F.col("sc")) & similar & room).select(
-            F.least("s", "cls").alias("a"), F.greatest("s", "cls").alias("b")).distinct()
-        fresh = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        members = rows.select("key", "cls", "n", "own").join(outside.select("key", F.col("s").alias("cls")), ["key", "cls"], "left_anti")
-        strays *= 8
-
-
-def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rare: int = RARE, small: int = SMALL) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+                cls = [int(np.frombuffer(fingerprint(s), np.int64)[0]) for s in sets]
+                limits = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
+                # as signed numbers, in order
+                tokens = np.concatenate([np.sort(s.view(np.int64)) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(np.diff(limits), pa.int64()),
+                                                  pa.ListArray.from_arrays(pa.array(limits), pa.array(tokens))], ["cls", "n", "tokens"])
+
+    ids = bounded_broadcast(heads.select("doc_id").distinct(), BROADCAST_IDS)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
+        ids, "doc_id", "left_semi")
+    sets = texts.select("text").mapInArrow(run, "cls long, n long, tokens array<long>")
+    sets = written(sets.join(bounded_broadcast(heads.select("cls"), BROADCAST_IDS), "cls", "left_semi"), "join-sets")
+    # a row that is repeated whole has its set twice
+    several = sets.groupBy("cls").count().where("count > 1").limit(1).count()
+    return written(sets.dropDuplicates(["cls"]), "join-sets") if several else sets
+
+
+def _linked(docs: DataFrame, words: int, percent: int, rare: int, small: int) -> DataFrame:
+    """(doc_id, t: hash of the text, n, comp, component_id) of every document;
+    ``comp`` is null where nothing can link."""
     sets = written(prefixes(docs, words, percent), "join-sets")
-    classes = written(sets.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("cls")), "join-classes")
-    shared = rarest_first(sets.select(F.col("doc_id").alias("cls"), F.explode("tokens").alias("token")))
+    real = F.expr("n > 0 and doc_id is not null")
+    classes = written(sets.where(real).groupBy("cls", "f", "n").agg(F.min("doc_id").alias("doc_id")), "join-classes")
+    shared = rarest_first(sets.select("cls", F.explode("tokens").alias("token")))
     grouped = classes.select("cls", "n").join(shared, "cls").select("cls", "n", "tokens")
     posted = written(keys(grouped, percent, rare, small), "join-keys")
     members = written(needed_keys(posted), "join-members")
-    involved = written(members.select("cls").distinct(), "join-involved")
-    texts = written(docs.select(F.col("doc_id").cast("long").alias("cls"), F.coalesce("text", F.lit("")).alias("text")).join(
-        bounded_broadcast(involved, BROADCAST_IDS), "cls", "left_semi"), "join-texts")
-    comps = link_classes(members, texts, words, percent, rare, small)
-    classes = classes.join(comps, "cls", "left").select("f1", "f2", "n", F.coalesce("comp", "cls").alias("component_id"))
-    rows = sets.select("doc_id", "n", "f1", "f2")
-    linked = rows.where("n > 0 and doc_id is not null").join(classes, ["f1", "f2", "n"])
-    alone = rows.where("n = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
-    return linked.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionAll(
-        alone.select("doc_id", F.col("n").alias("n_shingles"), "component_id"))
+    involved = bounded_broadcast(members.select("cls").distinct(), BROADCAST_IDS, materialize=True)
+    heads = written(classes.join(involved, "cls", "left_semi").select("cls", "doc_id"), "join-heads")
+    comps = link_classes(members, class_sets(docs, heads, words), percent)
+    named = classes.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    first = named.where("comp <> cls").select("comp").distinct()
+    groups = named.join(first, "comp", "left_semi").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    named = written(named.join(groups, "comp", "left").select("cls", "f", "n", "comp", F.coalesce("least", "doc_id").alias("component_id")),
+                    "join-named")
+    rows = sets.select("doc_id", "t", "n", "cls", "f")
+    linked = rows.where(real).join(named, ["cls", "f", "n"]).select("doc_id", "t", "n", "comp", "component_id")
+    alone = rows.where(~real).select("doc_id", "t", "n", F.lit(None).cast("long").alias("comp"), F.col("doc_id").alias("component_id"))
+    return linked.unionAll(alone)
+
+
+def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rare: int = RARE, small: int = SMALL) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    return _linked(docs, words, percent, rare, small).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group: the smallest doc_id.
-    Documents without an id stay."""
-    found = written(join(docs, words, percent), "join-found")
-    ids = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    ids = written(ids, "join-kept")
-    kept = docs.join(bounded_broadcast(ids.select("doc_id"), BROADCAST_IDS), "doc_id", "left_semi")
-    if ids.where("rows > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionAll(docs.where("doc_id is null"))
+    """``docs`` with one document of each group: the smallest doc_id, and of
+    several texts with it one.  Documents that can link to nothing (no id, no
+    words) stay."""
+    found = written(_linked(docs, words, percent, RARE, SMALL), "join-found")
+    kept = found.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "t")).alias("k")).select("k.doc_id", "k.t")
+    kept = kept.unionAll(found.where("comp is null and doc_id is not null").select("doc_id", "t").distinct())
+    mine = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("t"))
+    same = written(mine.where("doc_id is not null").join(bounded_broadcast(written(kept, "join-kept"), BROADCAST_IDS), ["doc_id", "t"], "left_semi"),
+                   "join-rows")
+    several = same.groupBy("doc_id", "t").count().where("count > 1").limit(1).count()
+    same = same.dropDuplicates(["doc_id", "t"]) if several else same
+    return same.select("row.*").unionAll(docs.where("doc_id is null"))

@@ -34,15 +34,13 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyho.llm.bytes_words import mix
 from tallyho.llm.common import split_buffers, written
-from tallyho.llm.jaccard_join import row_sets
+from tallyho.llm.jaccard_join import class_sets, fingerprint, row_sets
 from tallyho.llm.star_links import BROADCAST_IDS, link_classes, needed_keys
 from tallyho.session import bounded_broadcast
 
@@ -98,10 +96,6 @@ def _shingles(batch, words: int):
         yield part, row_sets(data, offsets, words)
 
 
-def _print(tokens: np.ndarray) -> bytes:
-    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-
-
 def signed(docs: DataFrame, words: int, slots: int, rows: int) -> DataFrame:
     """(doc_id, n, cls, f, bands): set size, both halves of the set's
     fingerprint and its band hashes; of equal sets in a batch the
@@ -111,7 +105,7 @@ def signed(docs: DataFrame, words: int, slots: int, rows: int) -> DataFrame:
 
         for batch in batches:
             for part, sets in _shingles(batch, words):
-                prints = [_print(s) for s in sets]
+                prints = [fingerprint(s) for s in sets]
                 valid = ~np.asarray(part.column(0).is_null())
                 ids = part.column(0).to_pylist()
                 head: dict[bytes, int] = {}
@@ -132,32 +126,6 @@ def signed(docs: DataFrame, words: int, slots: int, rows: int) -> DataFrame:
         run, "doc_id long, n long, cls long, f long, bands array<long>")
 
 
-def class_sets(docs: DataFrame, heads: DataFrame, words: int) -> DataFrame:
-    """(cls, n, tokens) of the classes ``heads`` (cls, doc_id), one row each,
-    from the texts of their documents."""
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            for _, sets in _shingles(batch, words):
-                cls = [int(np.frombuffer(_print(s), np.int64)[0]) for s in sets]
-                limits = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
-                flat = np.concatenate(sets).view(np.int64)
-                # as signed numbers, in order
-                tokens = np.concatenate([np.sort(flat[a:b]) for a, b in zip(limits, limits[1:])])
-                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(np.diff(limits), pa.int64()),
-                                                  pa.ListArray.from_arrays(pa.array(limits), pa.array(tokens))], ["cls", "n", "tokens"])
-
-    ids = bounded_broadcast(heads.select("doc_id").distinct(), BROADCAST_IDS)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
-        ids, "doc_id", "left_semi")
-    sets = texts.select("text").mapInArrow(run, "cls long, n long, tokens array<long>")
-    sets = written(sets.join(bounded_broadcast(heads.select("cls"), BROADCAST_IDS), "cls", "left_semi"), "dedup-sets")
-    # a row that is repeated whole has its set twice
-    several = sets.groupBy("cls").count().where("count > 1").limit(1).count()
-    return written(sets.dropDuplicates(["cls"]), "dedup-sets") if several else sets
-
-
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, slots: int = SLOTS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document: the smallest
     doc_id that links reach, and whether it is its own."""
@@ -172,7 +140,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     whole = class_sets(docs, written(heads.select("cls", "doc_id"), "dedup-heads"), words)
     comps = link_classes(members, whole, percent)
     named = classes.join(comps, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    first = named.where("comp <> cls or doc_id is null").select("comp").distinct()
+    first = named.where("comp <> cls").select("comp").distinct()
     groups = named.join(first, "comp", "left_semi").groupBy("comp").agg(F.min("doc_id").alias("least"))
     named = written(named.join(groups, "comp", "left").select("cls", "f", "n", F.coalesce("least", "doc_id").alias("component_id")),
                     "dedup-named")

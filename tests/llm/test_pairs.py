@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tallyho.llm import bwt_dedup, decontaminate, jaccard_join
+from tallyho.llm import bwt_dedup, decontaminate, jaccard_join, star_links
 from tests.llm import brute
 from tests.llm.conftest import odd_rows, prose, table
 
@@ -41,17 +41,9 @@ def test_join_equals_all_pairs(spark, words, percent, rare, small):
     assert len(got) == len(rows)
 
 
-def test_strays_are_compared(spark):
-    """One key whose leader is far from a linked pair."""
-    texts = spark.createDataFrame([(1, "a b c d e f g h"), (2, "p q r s t u v w"), (3, "p q r s t u v w x")], "cls long, text string")
-    members = spark.createDataFrame([(9, k, 6) for k in (1, 2, 3)], "key long, cls long, n long")
-    got = jaccard_join.link_classes(members, texts, 3, 80, strays=1)
-    assert {(r["cls"], r["comp"]) for r in got.collect()} == {(2, 2), (3, 2)}
-
-
 def test_chain_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 40)] + [(100, 99)], "a long, b long")
-    got = {r["cls"]: r["comp"] for r in jaccard_join.components(edges).collect()}
+    got = {r["cls"]: r["comp"] for r in star_links.components(edges).collect()}
     assert got == {**{k: 1 for k in range(1, 41)}, 99: 99, 100: 99}
 
 
@@ -71,6 +63,15 @@ def test_join_odd_rows(spark, odd, empty):
     assert jaccard_join.join(empty).count() == 0 and jaccard_join.keep_one(empty).count() == 0
 
 
+def test_keep_one_loses_no_text_of_an_id(spark):
+    a, b = prose(61, 40), prose(62, 40)
+    rows = [(3, a, "en", "s"), (3, b, "en", "s"), (2, b + " tail", "en", "s"), (4, a, "en", "s"), (4, a, "en", "s"), (5, b, "en", "s"),
+            (7, "", "en", "s"), (3, a, "en", "s"), (None, a, "en", "s")]
+    got = jaccard_join.keep_one(table(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted([("3", a), ("2", b + " tail"), ("7", ""), ("None", a)])
+    assert all(r["score"] == "x" and r["component_id"] == "x" for r in got)
+
+
 def test_dedup_equals_brute_force(spark):
     r = random.Random(4)
     shared = [prose(50 + k, 25) for k in range(4)]
