@@ -8,19 +8,18 @@ Data model (long tables, nothing packed into per-partition lists):
 
 Loss (a sum, not a mean):  L(b) = sum log(1 + exp(-y <b, x>)) + lam ||b||^2
 
-Plan shape per descent iteration (at any scale):
-
-1. gradient: cells JOIN weights(id) -> partial sums by feature -> shuffle of
-   one row per (map task, feature) -> union with 2*lam*beta.  A document
-   holding a third of all cells is split by AQE's skew join; a hot feature
-   is absorbed by the partial aggregate.
-2. direction per point ``dm = <g, x>``: cells JOIN g on feature (broadcast
-   when the number of features is provably small, else a shuffle join
-   with AQE skew splitting), partial sums by id.
+Plan shape per descent iteration (at any scale); the trainer lays the cells out
+once in blocks of documents (:mod:`blocks`) and never exchanges them again:
+
+1. gradient: the points' weights go to the blocks, cells JOIN weights inside
+   them -> partial sums by feature -> shuffle of one row per (block, feature)
+   -> union with 2*lam*beta.  A document holding a third of all cells lies in
+   all blocks; a hot feature is absorbed by the partial aggregate.
+2. direction per point ``dm = <g, x>``: each block gets its slice of g, and
+   sums by document are formed inside the block.
 3. one aggregate evaluates the loss at every backtracking step t = b^k
-   (a block of trials) from ``m - t*dm`` (each point row expanded over a
-   literal array of steps, grouped by step), together with bb, bg, gg over
-   the features; the regulariser ``lam (bb - 2t bg + t^2 gg)`` is added to
+   (a block of trials) from ``m - t*dm`` (one Arrow batch of points becomes one
+   row per step), together with bb, bg, gg over the features; the regulariser ``lam (bb - 2t bg + t^2 gg)`` is added to
    the block's sums on the driver.  The first accepted t is taken; when the
    whole block is rejected the next block of shorter steps is tried, until one
    is accepted or the step is too short for a double.
@@ -43,6 +42,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import logistic_loss, logistic_weight
 from ..session import (DEFAULT_BROADCAST_ROWS, DISK_BACKED, bounded_broadcast, cut_lineage,
                        salted_join)
+from .blocks import HOT_CELLS, CellBlocks, co_partitioned, lay_out
 from .vectors import paired
 
 # Backtracking parameters (Armijo fraction a, shrink factor b).
@@ -124,10 +124,14 @@ def _with_dot(rows: DataFrame, keep: list, cells: DataFrame, vec: DataFrame, nam
     The point rows and the per-cell products are unioned and summed by id in
     ONE aggregate (partial sums per task, one shuffle keyed by id) instead of
     an aggregate followed by an outer join back to the points."""
+    return _add_products(rows, keep, _cell_products(cells, vec, max_broadcast_rows, broadcast), name)
+
+
+def _add_products(rows: DataFrame, keep: list, products: DataFrame, name: str) -> DataFrame:
+    """``keep..., name``: the rows of the points plus the sum of their products (id, c)."""
     none = F.lit(None).cast("double")
     own = rows.select("id", *keep, F.lit(0.0).alias("c"))
-    prods = _cell_products(cells, vec, max_broadcast_rows, broadcast).select(
-        "id", *[none.alias(k) for k in keep], "c")
+    prods = products.select("id", *[none.alias(k) for k in keep], "c")
     out = own.unionByName(prods).groupBy("id").agg(
         *[F.max(k).alias(k) for k in keep], F.sum("c").alias(name))
     return out.filter(F.col(keep[0]).isNotNull())       # ids of the points only
@@ -187,7 +191,12 @@ def gradient_pairs(m: DataFrame, cells: DataFrame, beta: DataFrame, lam: float =
         joined = salted_join(cells, w, ["id"], salt_buckets)
     else:
         joined = cells.join(w, "id")
-    data = joined.select("feat", F.lit(0.0).alias("b"), (F.col("_w") * F.col("x")).alias("g"))
+    return _pairs(joined.select("feat", (F.col("_w") * F.col("x")).alias("g")), beta, lam)
+
+
+def _pairs(parts: DataFrame, beta: DataFrame, lam: float) -> DataFrame:
+    """``feat, b, g`` from the cells' parts (feat, g) of the gradient and beta."""
+    data = parts.select("feat", F.lit(0.0).alias("b"), "g")
     model = beta.select("feat", F.col("value").alias("b"),
                         (F.lit(2.0 * lam) * F.col("value")).alias("g"))
     return model.unionByName(data).groupBy("feat").agg(F.sum("b").alias("b"), F.sum("g").alias("g"))
@@ -234,23 +243,31 @@ def trial_losses(mdm: DataFrame, bg: DataFrame, b: float = SHRINK_B, block: int
     Rows k = first..first+block-1: data loss at the trial step t = b^k, summed
     over ``mdm(id, y, margin, dm)`` from ``margin - t*dm``; k = -1: the data
     loss at t = 0; k = -2: sum b^2, b*g, g^2 over the feature rows ``bg(feat,
-    b, g)``.  Each point row is expanded over a literal array of steps, so the
-    plan has the same size for any number of trials, and the partial
-    aggregate sends only block + 2 rows per task to the shuffle.
+    b, g)``.  A batch of points becomes one row per step before the aggregate,
+    so points are neither expanded nor shuffled.
     """
-    none = F.lit(None).cast("double")
-    steps = F.array(*[F.lit(0.0)] + [F.lit(b ** k) for k in range(first, first + block)])
-    trials = mdm.select("y", "margin", "dm", F.posexplode(steps).alias("_p", "_t"))
-    point_rows = trials.select(
-        F.when(F.col("_p") == 0, F.lit(-1)).otherwise(F.col("_p") - 1 + first).alias("k"),
-        logistic_loss("y", F.col("margin") - F.col("_t") * F.col("dm")).alias("loss"),
-        none.alias("bb"), none.alias("bgs"), none.alias("gg"))
+    steps = np.array([0.0] + [b ** k for k in range(first, first + block)])
+
+    def losses(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            y, margin, dm = (np.asarray(c) for c in batch.columns)
+            total = np.zeros(len(steps))
+            for lo in range(0, len(y), 4096):
+                part = slice(lo, lo + 4096)
+                total += np.logaddexp(0.0, -y[part] * (margin[part] - steps[:, None] * dm[part])).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array([-1, *range(first, first + block)], pa.int32()), pa.array(total)], ["k", "loss"])
+
+    zero = F.lit(0.0)
+    point_rows = mdm.select("y", "margin", "dm").mapInArrow(losses, "k int, loss double").select(
+        "k", "loss", zero.alias("bb"), zero.alias("bgs"), zero.alias("gg"))
     feat_rows = bg.select(
-        F.lit(-2).alias("k"), none.alias("loss"),
+        F.lit(-2).alias("k"), zero.alias("loss"),
         (F.col("b") * F.col("b")).alias("bb"), (F.col("b") * F.col("g")).alias("bgs"),
         (F.col("g") * F.col("g")).alias("gg"))
     return point_rows.unionByName(feat_rows).groupBy("k").agg(
-        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("loss", "bb", "bgs", "gg")])
+        *[F.sum(c).alias(c) for c in ("loss", "bb", "bgs", "gg")])
 
 
 def trial_objectives(trials: DataFrame, lam: float, b: float = SHRINK_B, block: int = TRIAL_BLOCK,
@@ -294,25 +311,16 @@ def search(mdm: DataFrame, bg: DataFrame, lam: float, a: float = ARMIJO_A, b: fl
             return found if found.t > 0.0 else SearchResult(0.0, found.backtracks, False, found.f0, found.f0, found.grad_sq)
 
 
-def direction_table(m: DataFrame, cells: DataFrame, g: DataFrame,
-                    max_broadcast_rows: int | None = None,
-                    broadcast: bool | None = None) -> DataFrame:
-    """``id, y, margin, dm`` with dm = <g, x> (0 when no common feature)."""
-    return _with_dot(m, ["y", "margin"], cells, g, "dm", max_broadcast_rows, broadcast)
-
-
 def line_search(points: DataFrame, cells: DataFrame, beta: DataFrame, g: DataFrame,
                 lam: float = 0.0, a: float = ARMIJO_A, b: float = SHRINK_B,
-                block: int = TRIAL_BLOCK,
-                max_broadcast_rows: int | None = None) -> SearchResult:
+                block: int = TRIAL_BLOCK) -> SearchResult:
     """Backtracking search along -g from beta, one scan for a block of trials."""
-    cells = cells.select("id", "feat", "x").persist(DISK_BACKED)
-    bg = cut_lineage(paired(beta, g, "b", "g"))
-    limit = max_broadcast_rows if max_broadcast_rows is not None else DEFAULT_BROADCAST_ROWS
-    small = bg.limit(limit + 1).count() <= limit         # beta and g share this support
-    m = margins(points, cells, bg.select("feat", F.col("b").alias("value")), broadcast=small)
-    mdm = cut_lineage(direction_table(m, cells, bg.select("feat", F.col("g").alias("value")), broadcast=small))
-    cells.unpersist()
+    blocks = lay_out(cells)
+    with co_partitioned(cells.sparkSession):
+        bg = cut_lineage(paired(beta, g, "b", "g"))
+        m = _add_products(points, ["y"], blocks.products(bg.select("feat", F.col("b").alias("value"))), "margin")
+        mdm = cut_lineage(_add_products(m, ["y", "margin"], blocks.products(bg.select("feat", F.col("g").alias("value"))), "dm"))
+    blocks.drop()
     return search(mdm, bg, lam, a, b, block)
 
 
@@ -336,35 +344,43 @@ class LogRegFit:
 
 def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int = 40,
           eps: float = 0.1, beta0: DataFrame | None = None, test: tuple | None = None,
-          refresh_every: int = 10, block: int = TRIAL_BLOCK,
-          max_broadcast_rows: int | None = None, salt_buckets: int = 1) -> LogRegFit:
+          refresh_every: int = 10, block: int = TRIAL_BLOCK, blocks: int | None = None,
+          hot_cells: int = HOT_CELLS) -> LogRegFit:
     """Gradient descent with backtracking line search.
 
     Stops after ``max_iter`` iterations, when ||grad|| <= eps, or when no
     step that a double can hold satisfies the Armijo condition.
     ``test=(points, cells)`` adds ACC / PRE / REC of each iterate to the
     history.  History reports the gradient norm at the point before the step.
-    ``salt_buckets > 1`` salts the cells-by-document join when the points are
-    not broadcast (explicit skew splitting instead of relying on AQE).
+    The cells are laid out once in ``blocks`` blocks of documents; a document of
+    over ``hot_cells`` cells is dealt over all of them.
     """
     points = points.select("id", "y").persist(DISK_BACKED)
-    cells = cells.select("id", "feat", "x").persist(DISK_BACKED)
-    beta = cut_lineage(beta0.select("feat", "value") if beta0 is not None else zero_beta(cells))
-    limit = max_broadcast_rows if max_broadcast_rows is not None else DEFAULT_BROADCAST_ROWS
-    m = cut_lineage(margins(points, cells, beta, limit))
-    few_points = m.limit(limit + 1).count() <= limit     # point count never changes
-    small = None            # decided from the model's support after the first gradient
+    laid = lay_out(cells, blocks, hot_cells)
+    tested = (test[0], lay_out(test[1], blocks, hot_cells)) if test is not None else None
+    with co_partitioned(points.sparkSession):
+        fit = _descend(points, laid, lam, max_iter, eps, beta0, tested, refresh_every, block)
+    points.unpersist()
+    laid.drop()
+    if tested is not None:
+        tested[1].drop()
+    return fit
+
+
+def _descend(points: DataFrame, laid: CellBlocks, lam: float, max_iter: int, eps: float, beta0: DataFrame | None,
+             test: tuple | None, refresh_every: int, block: int) -> LogRegFit:
+    def at(points, laid, beta):
+        return _add_products(points, ["y"], laid.products(beta), "margin")
+
+    beta = cut_lineage(beta0.select("feat", "value") if beta0 is not None else zero_beta(laid.feats))
+    m = cut_lineage(at(points, laid, beta))
     history, converged, started = [], False, time.perf_counter()
     for k in range(max_iter):
-        # job 1: gradient (cells JOIN weights) and beta, summed by feature in one aggregate
-        bg = cut_lineage(gradient_pairs(m, cells, beta, lam, broadcast_points=few_points,
-                                        salt_buckets=salt_buckets))
-        if small is None:
-            # support = beta's keys + data features; it is the same every iteration
-            small = bg.limit(limit + 1).count() <= limit
-        # job 2: per-point direction dm = <g, x>
-        mdm = cut_lineage(direction_table(m, cells, bg.select("feat", F.col("g").alias("value")),
-                                          broadcast=small))
+        # job 1: gradient (weights to the blocks) and beta, summed by feature in one aggregate
+        weight = m.select("id", logistic_weight("y", "margin").alias("w"))
+        bg = cut_lineage(_pairs(laid.weighted(weight), beta, lam))
+        # job 2: per-point direction dm = <g, x> (slices of g to the blocks)
+        mdm = cut_lineage(_add_products(m, ["y", "margin"], laid.products(bg.select("feat", F.col("g").alias("value"))), "dm"))
         # job 3: loss at every trial step + bb, bg, gg in one aggregate
         res = search(mdm, bg, lam, block=block)
         norm = float(np.sqrt(res.grad_sq))
@@ -376,20 +392,18 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
         # beta and margins stay projections of this iteration's two checkpoints
         beta = bg.select("feat", (F.col("b") - F.lit(t) * F.col("g")).alias("value"))
         if refresh_every and (k + 1) % refresh_every == 0:
-            m = cut_lineage(margins(points, cells, beta, broadcast=small))
+            m = cut_lineage(at(points, laid, beta))
         else:
             m = mdm.select("id", "y", (F.col("margin") - F.lit(t) * F.col("dm")).alias("margin"))
         converged = norm < eps
         acc = pre = rec = None
         if test is not None:
-            mt = metrics(confusion(margins(test[0], test[1], beta, broadcast=small))).first()
+            mt = metrics(confusion(at(test[0], test[1], beta))).first()
             acc, pre, rec = mt["acc"], mt["pre"], mt["rec"]
         history.append((k, res.f_new, norm, t, res.backtracks, True, converged, acc, pre, rec,
                         time.perf_counter() - started))
         if norm <= eps:
             break
-    points.unpersist()
-    cells.unpersist()
     return LogRegFit(beta, history, converged, sum(h[5] for h in history))
 
 

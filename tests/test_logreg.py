@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tallyho.operators import gradcheck, logreg, vectors
+from tallyho.operators import blocks, gradcheck, logreg, vectors
 from tallyho.sources import tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -172,12 +172,65 @@ def test_history_table(spark):
     assert h[0]["grad_norm_before_step"] > 0
 
 
-def test_salted_gradient_join_gives_the_same_model(spark):
+def test_dealt_documents_give_the_same_model(spark):
     points, cells = tables.labelled_points(spark, SMALL)
-    # force the shuffle path (no broadcast) so the salted join is used
-    a = logreg.train(points, cells, lam=0.1, max_iter=2, eps=1e-12, max_broadcast_rows=0)
-    b = logreg.train(points, cells, lam=0.1, max_iter=2, eps=1e-12, max_broadcast_rows=0,
-                     salt_buckets=4)
+    a = logreg.train(points, cells, lam=0.1, max_iter=2, eps=1e-12)
+    # every document counts as hot and lies in several blocks
+    b = logreg.train(points, cells, lam=0.1, max_iter=2, eps=1e-12, hot_cells=3, blocks=5)
     va = {r["feat"]: r["value"] for r in a.beta.collect()}
     vb = {r["feat"]: r["value"] for r in b.beta.collect()}
     assert va.keys() == vb.keys() and max(abs(va[k] - vb[k]) for k in va) < 1e-12
+
+
+def exchanged_scans(df, table):
+    """How many scans of ``table`` the plan of ``df`` has, and how many of them are exchanged before a join or an aggregate."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" +-:")) for x in lines]
+    scans = exchanged = 0
+    for i, line in enumerate(lines):
+        if "FileScan" in line and table in line:
+            scans += 1
+            level = depth[i]
+            for j in range(i - 1, -1, -1):
+                if depth[j] < level:
+                    level = depth[j]
+                    if "Exchange" in lines[j]:
+                        exchanged += 1
+                        break
+                    if "Join" in lines[j] or "Aggregate" in lines[j]:
+                        break
+    return scans, exchanged
+
+
+def test_an_iteration_exchanges_no_cells(spark):
+    points, cells = tables.labelled_points(spark, SMALL)
+    laid = blocks.lay_out(cells)
+    vec = logreg.zero_beta(laid.feats)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with blocks.co_partitioned(spark):
+            for df in (laid.products(vec), laid.weighted(points.select("id", F.col("y").alias("w"))).groupBy("feat").agg(F.sum("g"))):
+                assert exchanged_scans(df, laid.names[0]) == (1, 0)
+                assert df.count() > 0
+        # without it the same join exchanges the cells
+        assert exchanged_scans(laid.products(vec), laid.names[0]) == (1, 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # sums by document are formed in the block: the only exchange above the cells' join is the slice's
+    n = laid.feats.count()
+    assert n <= cells.count() and n == laid.cells.select("feat", "block").distinct().count()
+    twice = blocks.lay_out(cells.unionAll(cells))
+    assert twice.feats.count() == n                 # more cells of the same features and documents move no more rows
+    twice.drop()
+    laid.drop()
+
+
+def test_trial_rows_do_not_grow_with_the_points(spark):
+    mdm = spark.range(0, 20_000, 1, 4).selectExpr("id", "if(id % 3 = 0, 1D, -1D) as y", "sin(id) as margin", "cos(id) as dm")
+    bg = spark.createDataFrame([("a", 0.5, 2.0)], "feat STRING, b DOUBLE, g DOUBLE")
+    got = {r["k"]: r for r in logreg.trial_losses(mdm, bg).collect()}
+    assert set(got) == {-2, -1, *range(logreg.TRIAL_BLOCK)} and (got[-2]["bb"], got[-2]["bgs"], got[-2]["gg"]) == (0.25, 1.0, 4.0)
+    rows = mdm.collect()
+    for k, t in ((-1, 0.0), (0, 1.0), (3, logreg.SHRINK_B ** 3)):
+        want = sum(math.log1p(math.exp(-r["y"] * (r["margin"] - t * r["dm"]))) for r in rows)
+        assert got[k]["loss"] == pytest.approx(want, rel=1e-12)
