@@ -1,4 +1,4 @@
-"""Cells laid out in blocks of documents, so that only models and per-document
+"""Cells and ratings laid out in blocks, so that only models and per-document
 values move.
 
 ``lay_out`` writes three tables once, each bucketed by its key:
@@ -13,6 +13,13 @@ block its slice of the vector (features x blocks rows at most) and multiplies
 inside the blocks: the sums by document need no exchange of cells.  A product
 with per-document weights goes the same way through ``ids``; its sums by feature
 leave a block as one row a feature.  No iteration exchanges ``cells``.
+
+``lay_out_ratings`` does the same for ratings, twice: in blocks of users and in
+blocks of items, each with the lists of the users and items that a block needs.
+
+A model (and, for cells, the points) within the size bound of a broadcast needs
+no layout: it is broadcast, the same sums are formed where the rows lie, and
+nothing is written.  The results do not depend on the choice.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import bounded_broadcast, checkpoint_dir, cut_lineage
+from ..session import DISK_BACKED, bounded_broadcast, checkpoint_dir, cut_lineage
 
 HOT_CELLS = 100_000
 CO_PARTITION = "spark.sql.requireAllClusterKeysForCoPartition"
@@ -80,17 +87,96 @@ class CellBlocks:
         return self.cells.join(sent, ["block", "id"]).select("feat", (F.col("_w") * F.col("x")).alias("g"))
 
 
+@dataclass
+class BroadcastCells:
+    """Cells as they lie; vectors over features and documents are broadcast."""
+    cells: DataFrame
+
+    def __post_init__(self):
+        self.cells = self.feats = self.cells.select("id", "feat", "x").persist(DISK_BACKED)
+
+    def drop(self) -> None:
+        self.cells.unpersist()
+
+    def products(self, vec: DataFrame) -> DataFrame:
+        side = F.broadcast(vec.select("feat", F.col("value").alias("_v")))
+        return self.cells.join(side, "feat").select("id", (F.col("x") * F.col("_v")).alias("c"))
+
+    def weighted(self, w: DataFrame) -> DataFrame:
+        return self.cells.join(F.broadcast(w.select("id", F.col("w").alias("_w"))), "id").select("feat", (F.col("_w") * F.col("x")).alias("g"))
+
+
+def _dealt(rows: DataFrame, key: str, other: str, blocks: int, hot_rows: int) -> DataFrame:
+    """``rows`` with their block: by ``key``, and by ``other`` too for a key of
+    over ``hot_rows`` rows."""
+    hot = cut_lineage(rows.groupBy(key).count().where(F.col("count") > hot_rows).select(key, F.lit(True).alias("_hot")))
+    block = F.pmod(F.when(F.col("_hot"), F.xxhash64(key, other)).otherwise(F.xxhash64(key)), F.lit(blocks)).cast("int")
+    return rows.join(bounded_broadcast(hot), key, "left").withColumn("block", block).drop("_hot")
+
+
+def _block_count(spark: SparkSession, blocks: int | None) -> int:
+    return blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def lay_out(cells: DataFrame, blocks: int | None = None, hot_cells: int = HOT_CELLS) -> CellBlocks:
     """``cells(id, feat, x)`` in ``blocks`` blocks (default: as many as the
     session's shuffle partitions)."""
-    spark = cells.sparkSession
-    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = cells.select("id", "feat", "x")
-    hot = cut_lineage(cells.groupBy("id").count().where(F.col("count") > hot_cells).select("id", F.lit(True).alias("_hot")))
-    whole, dealt = F.xxhash64("id"), F.xxhash64("id", "feat")
-    rows = cells.join(bounded_broadcast(hot), "id", "left")
-    block = F.pmod(F.when(F.col("_hot"), dealt).otherwise(whole), F.lit(blocks)).cast("int")
-    laid, first = bucketed(rows.select(block.alias("block"), "id", "feat", "x"), "block", blocks)
+    blocks = _block_count(cells.sparkSession, blocks)
+    rows = _dealt(cells.select("id", "feat", "x"), "id", "feat", blocks, hot_cells)
+    laid, first = bucketed(rows.select("block", "id", "feat", "x"), "block", blocks)
     feats, second = bucketed(laid.select("feat", "block").distinct(), "feat", blocks)
     ids, third = bucketed(laid.select("id", "block").distinct(), "id", blocks)
     return CellBlocks(laid, feats, ids, [first, second, third])
+
+
+@dataclass
+class RatingBlocks:
+    """Ratings (block, i, j, r, fold) in blocks of one side, and which blocks
+    need a user or an item."""
+    ratings: DataFrame
+    users: DataFrame            # i, block
+    items: DataFrame            # j, block
+    names: list[str]
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.ratings.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def summed(self, parts: DataFrame, by: list[str]) -> DataFrame:
+        """Sums of ``parts`` inside the blocks."""
+        return parts.groupBy("block", *by).agg(*[F.sum(c).alias(c) for c in parts.columns if c not in ("block", *by)]).drop("block")
+
+    def joined(self, U: DataFrame, V: DataFrame) -> DataFrame:
+        """``block, f, i, j, r, fold, u, v``: every rating once for each model
+        ``f`` that has both profiles; U (f, i, u) and V (f, j, v) move, ratings
+        do not."""
+        us = self.users.join(U.select("f", "i", "u"), "i").select("block", "f", "i", "u")
+        vs = self.items.join(V.select("f", "j", "v"), "j").select("block", "f", "j", "v")
+        return self.ratings.join(us, ["block", "i"]).join(vs, ["block", "f", "j"])
+
+
+@dataclass
+class BroadcastRatings:
+    """Ratings (i, j, r, fold) as they lie; profiles are broadcast."""
+    ratings: DataFrame
+
+    def drop(self) -> None:
+        self.ratings.unpersist()
+
+    def summed(self, parts: DataFrame, by: list[str]) -> DataFrame:
+        return parts.drop("block")              # the caller's aggregate sums them in part where they lie
+
+    def joined(self, U: DataFrame, V: DataFrame) -> DataFrame:
+        us, vs = F.broadcast(U.select("f", "i", "u")), F.broadcast(V.select("f", "j", "v"))
+        return self.ratings.withColumn("block", F.lit(0)).join(us, "i").join(vs, ["f", "j"])
+
+
+def lay_out_ratings(ratings: DataFrame, side: str, blocks: int | None = None, hot_ratings: int = HOT_CELLS) -> RatingBlocks:
+    """``ratings(i, j, r, fold)`` in blocks of users (``side='i'``) or items
+    (``'j'``); one with over ``hot_ratings`` ratings is dealt over all blocks."""
+    blocks = _block_count(ratings.sparkSession, blocks)
+    rows = _dealt(ratings.select("i", "j", "r", "fold"), side, "j" if side == "i" else "i", blocks, hot_ratings)
+    laid, first = bucketed(rows.select("block", "i", "j", "r", "fold"), "block", blocks)
+    users, second = bucketed(laid.select("i", "block").distinct(), "i", blocks)
+    items, third = bucketed(laid.select("j", "block").distinct(), "j", blocks)
+    return RatingBlocks(laid, users, items, [first, second, third])

@@ -8,8 +8,9 @@ Data model (long tables, nothing packed into per-partition lists):
 
 Loss (a sum, not a mean):  L(b) = sum log(1 + exp(-y <b, x>)) + lam ||b||^2
 
-Plan shape per descent iteration (at any scale); the trainer lays the cells out
-once in blocks of documents (:mod:`blocks`) and never exchanges them again:
+Plan shape per descent iteration; when the model or the points are over the
+broadcast bound, the trainer lays the cells out once in blocks of documents
+(:mod:`blocks`) and never exchanges them again:
 
 1. gradient: the points' weights go to the blocks, cells JOIN weights inside
    them -> partial sums by feature -> shuffle of one row per (block, feature)
@@ -41,8 +42,8 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import logistic_loss, logistic_weight
 from ..session import (DEFAULT_BROADCAST_ROWS, DISK_BACKED, bounded_broadcast, cut_lineage,
-                       salted_join)
-from .blocks import HOT_CELLS, CellBlocks, co_partitioned, lay_out
+                       fits_broadcast, salted_join)
+from .blocks import HOT_CELLS, BroadcastCells, CellBlocks, co_partitioned, lay_out
 from .vectors import paired
 
 # Backtracking parameters (Armijo fraction a, shrink factor b).
@@ -313,11 +314,11 @@ def search(mdm: DataFrame, bg: DataFrame, lam: float, a: float = ARMIJO_A, b: fl
 
 def line_search(points: DataFrame, cells: DataFrame, beta: DataFrame, g: DataFrame,
                 lam: float = 0.0, a: float = ARMIJO_A, b: float = SHRINK_B,
-                block: int = TRIAL_BLOCK) -> SearchResult:
+                block: int = TRIAL_BLOCK, blocks: int | None = None) -> SearchResult:
     """Backtracking search along -g from beta, one scan for a block of trials."""
-    blocks = lay_out(cells)
+    bg = cut_lineage(paired(beta, g, "b", "g"))
+    blocks = _laid(points, cells, blocks, HOT_CELLS, bg)
     with co_partitioned(cells.sparkSession):
-        bg = cut_lineage(paired(beta, g, "b", "g"))
         m = _add_products(points, ["y"], blocks.products(bg.select("feat", F.col("b").alias("value"))), "margin")
         mdm = cut_lineage(_add_products(m, ["y", "margin"], blocks.products(bg.select("feat", F.col("g").alias("value"))), "dm"))
     blocks.drop()
@@ -352,12 +353,13 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
     step that a double can hold satisfies the Armijo condition.
     ``test=(points, cells)`` adds ACC / PRE / REC of each iterate to the
     history.  History reports the gradient norm at the point before the step.
-    The cells are laid out once in ``blocks`` blocks of documents; a document of
-    over ``hot_cells`` cells is dealt over all of them.
+    A model or points over the broadcast bound have the cells laid out once in
+    ``blocks`` blocks of documents (given: always); a document of over
+    ``hot_cells`` cells is dealt over all of them.
     """
     points = points.select("id", "y").persist(DISK_BACKED)
-    laid = lay_out(cells, blocks, hot_cells)
-    tested = (test[0], lay_out(test[1], blocks, hot_cells)) if test is not None else None
+    laid = _laid(points, cells, blocks, hot_cells, beta0)
+    tested = (test[0], _laid(test[0], test[1], blocks, hot_cells, zero_beta(cells))) if test is not None else None
     with co_partitioned(points.sparkSession):
         fit = _descend(points, laid, lam, max_iter, eps, beta0, tested, refresh_every, block)
     points.unpersist()
@@ -367,7 +369,15 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
     return fit
 
 
-def _descend(points: DataFrame, laid: CellBlocks, lam: float, max_iter: int, eps: float, beta0: DataFrame | None,
+def _laid(points: DataFrame, cells: DataFrame, blocks: int | None, hot_cells: int, *models) -> CellBlocks | BroadcastCells:
+    """``cells`` as they lie if points and models fit a broadcast, else in blocks."""
+    if blocks is None and fits_broadcast(points.select("id", F.lit(0.0).alias("w"))) and all(
+            fits_broadcast(m) for m in (zero_beta(cells), *models) if m is not None):
+        return BroadcastCells(cells)
+    return lay_out(cells, blocks, hot_cells)
+
+
+def _descend(points: DataFrame, laid: CellBlocks | BroadcastCells, lam: float, max_iter: int, eps: float, beta0: DataFrame | None,
              test: tuple | None, refresh_every: int, block: int) -> LogRegFit:
     def at(points, laid, beta):
         return _add_products(points, ["y"], laid.products(beta), "margin")

@@ -9,12 +9,14 @@ Tables:
 
 Objective:  sum (<u_i, v_j> - r_ij)^2 + lam sum ||u_i||^2 + mu sum ||v_j||^2
 
-Per iteration the plan is: ratings JOIN U on i JOIN V on j (broadcast of a
-side only when its row count was proven small, otherwise shuffle joins where
-AQE splits the partitions of hot users / items), persisted once and read by
-two aggregates – by user (new u, plus that user's squared error) and by item
-(new v).  U and V are then checkpointed to the cluster's checkpoint
-directory, so the plan never grows with the iteration count.
+When the profiles are over the broadcast bound, the trainer writes the ratings
+twice, in blocks of users and in blocks of items (:mod:`blocks`).  Per iteration a block gets the profiles that its ratings need
+and forms the sums of its users (or items); ratings are never exchanged, and
+profiles are joined four times: two for each layout, held-out ratings riding
+along in the first.  The old profiles are added to the sums in the same
+aggregate.  All folds of a cross-validation are trained in one plan: profiles
+carry their model ``f``, and a rating of fold k is held out from model k only.
+U and V are checkpointed every iteration, so the plan never grows.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import column_dot
 from ..session import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, DISK_BACKED,
-                       bounded_broadcast, cut_lineage, salted_join)
+                       bounded_broadcast, cut_lineage, fits_broadcast, salted_join)
+from .blocks import HOT_CELLS, BroadcastRatings, RatingBlocks, co_partitioned, lay_out_ratings
 
 # The seeded-normal generator (Box-Muller on 52-bit uniforms).
 TWO_POW_52 = float(2 ** 52)
@@ -250,86 +253,151 @@ class MFFit:
         return spark.createDataFrame(self.history, HISTORY_SCHEMA)
 
 
+NOBODY = -1                     # the fold of ratings that no model holds out
+
+
+def _moved(laid: RatingBlocks | BroadcastRatings, U: DataFrame, V: DataFrame, side: str, gamma: float, reg: float, d: int) -> DataFrame:
+    """``f, i, u`` (or ``f, j, v``) after a step, with per row ``se`` and ``n``
+    of its training ratings, ``se_held`` and ``n_held`` of its held-out ones and
+    ``norm_sq`` of its profile before the step."""
+    key, own, other, profiles = ("i", "u", "v", U) if side == "i" else ("j", "v", "u", V)
+    delta, trained = column_dot("u", "v", d) - F.col("r"), F.col("fold") != F.col("f")
+    rows = laid.joined(U, V).select("block", "f", key, other, F.when(trained, delta).alias("e"), F.when(~trained, delta).alias("h"))
+    one = F.lit(1).cast("long")
+    parts = laid.summed(rows.select(
+        "block", "f", key, *[(F.lit(2.0) * F.col("e") * F.col(other).getItem(k)).alias(f"g{k}") for k in range(d)],
+        (F.col("e") * F.col("e")).alias("se"), F.when(F.col("e").isNotNull(), one).alias("n"),
+        (F.col("h") * F.col("h")).alias("se_held"), F.when(F.col("h").isNotNull(), one).alias("n_held")), ["f", key])
+    sums = [f"g{k}" for k in range(d)] + ["se", "n", "se_held", "n_held"]
+    none = F.lit(None)
+    parts = parts.select("f", key, *sums, *[none.cast("double").alias(f"p{k}") for k in range(d)])
+    old = profiles.select("f", key, *[none.cast("long" if c in ("n", "n_held") else "double").alias(c) for c in sums],
+                          *[F.col(own).getItem(k).alias(f"p{k}") for k in range(d)])
+    rows = old.unionByName(parts).groupBy("f", key).agg(*[F.sum(c).alias(c) for c in [*sums, *[f"p{k}" for k in range(d)]]])
+    new = [F.col(f"p{k}") - F.lit(gamma) * F.coalesce(f"g{k}", F.lit(0.0)) - F.lit(gamma * 2 * reg) * F.col(f"p{k}") for k in range(d)]
+    norm = sum((F.col(f"p{k}") * F.col(f"p{k}") for k in range(1, d)), F.col("p0") * F.col("p0"))
+    return rows.select("f", key, F.array(*new).alias(own), "se", "n", "se_held", "n_held",
+                       F.when(F.col("n") > 0, norm).alias("norm_sq"))
+
+
+def _descend(ratings: DataFrame, models: list, U: DataFrame, V: DataFrame, d: int, gain: float, power: float, epsilon: float,
+             lam: float, mu: float, maxiter: int, held: bool, blocks: int | None = None,
+             hot_ratings: int = HOT_CELLS) -> tuple[DataFrame, DataFrame, dict]:
+    """Train every model ``f`` of ``models`` on the ratings (i, j, r, fold) of
+    other folds; (U, V, {f: history}) with U (f, i, u), V (f, j, v).  ``held``:
+    the RMSE is that of the model's own fold, else of its training ratings.
+    Each model stops by itself."""
+    spark = ratings.sparkSession
+    ratings = ratings.persist(DISK_BACKED)
+    tested = {r["fold"]: r["count"] for r in ratings.where(F.col("fold").isin(models)).groupBy("fold").count().collect()}
+    U, V = cut_lineage(U.select("f", "i", "u")), cut_lineage(V.select("f", "j", "v"))
+    # profile tables never grow, so one check holds for all iterations
+    if blocks is None and all(fits_broadcast(p, profile_broadcast_rows(d)) for p in (U, V)):
+        by_user = by_item = BroadcastRatings(ratings)
+    else:
+        by_user, by_item = (lay_out_ratings(ratings, side, blocks, hot_ratings) for side in "ij")
+        ratings.unpersist()
+    histories, previous, active, started = {f: [] for f in models}, {}, list(models), time.perf_counter()
+    root = lambda se, n: math.sqrt(se / n) if n and se is not None else None
+    with co_partitioned(spark):
+        for it in range(1, max(maxiter, 1) + 1):
+            gamma = gain / it ** power if maxiter > 0 else 0.0
+            new_u = cut_lineage(_moved(by_user, U, V, "i", gamma, lam, d))
+            new_v = cut_lineage(_moved(by_item, U, V, "j", gamma, mu, d))
+            zero = F.lit(0.0)
+            parts = new_u.select("f", "se", "n", "se_held", "n_held", F.col("norm_sq").alias("nu"), zero.alias("nv")).unionByName(
+                new_v.select("f", *[F.lit(None).cast(t).alias(c) for c, t in
+                                    (("se", "double"), ("n", "long"), ("se_held", "double"), ("n_held", "long"))],
+                             zero.alias("nu"), F.col("norm_sq").alias("nv")))
+            found = {r["f"]: r for r in parts.groupBy("f").agg(*[F.sum(c).alias(c) for c in parts.columns[1:]]).collect()}
+            going, diverged = [], []
+            for f in active:
+                s = found.get(f)
+                value = lambda c: (s[c] if s is not None and s[c] is not None else 0)  # noqa: B023, E731
+                obj = float(value("se") + lam * value("nu") + mu * value("nv"))
+                change = abs(obj - previous[f]) if f in previous else None
+                se, scored, total = ((s and s["se_held"], value("n_held"), tested.get(f, 0)) if held
+                                     else (s and s["se"], value("n"), value("n")))
+                elapsed = time.perf_counter() - started
+                if maxiter <= 0:
+                    histories[f].append((0, None, None, root(se, total), root(se, scored), 0.0, False, elapsed))
+                    continue
+                broken = not math.isfinite(obj)
+                histories[f].append((it, obj, change, root(se, total), root(se, scored), gamma, broken, elapsed))
+                previous[f] = obj
+                if broken:
+                    diverged.append(f)
+                elif change is None or change > epsilon:
+                    going.append(f)
+            if maxiter <= 0:
+                break
+            # a model that has diverged keeps its last finite profiles
+            fine = F.col("n") > 0
+            if diverged:
+                U_last, V_last = U.where(F.col("f").isin(diverged)), V.where(F.col("f").isin(diverged))
+                fine = fine & ~F.col("f").isin(diverged)
+            U, V = new_u.where(fine).select("f", "i", "u"), new_v.where(fine).select("f", "j", "v")
+            if diverged:
+                U, V = U.unionByName(U_last), V.unionByName(V_last)
+            active = going
+            if not active:
+                break
+            if len(active) < len(models):
+                U, V = U.where(F.col("f").isin(active)), V.where(F.col("f").isin(active))
+    for laid in (by_user, by_item):
+        laid.drop()
+    return U, V, histories
+
+
 def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain: float = 0.001,
           power: float = 0.2, epsilon: float = 1e-99, lam: float = 0.0, mu: float = 0.0,
           maxiter: int = 20, seed: int = 1234567, U0: DataFrame | None = None,
-          V0: DataFrame | None = None, max_broadcast_rows: int | None = None,
-          salt_buckets: int = 1) -> MFFit:
+          V0: DataFrame | None = None, blocks: int | None = None, hot_ratings: int = HOT_CELLS) -> MFFit:
     """Gradient descent with gain ``gain / iteration**power``.
 
     Each iteration measures the objective and the test RMSE of the current
-    U, V (before the update), then moves both from the same joined table.
+    U, V (before the update), then moves both from the same profiles.
     Stops after ``maxiter`` iterations, when the objective changes by at most
     ``epsilon``, or when it is no longer finite (``diverged``).  With no test
-    set the RMSE is measured on the training ratings.
+    set the RMSE is measured on the training ratings.  Profiles over the
+    broadcast bound have the ratings laid out in ``blocks`` blocks (given: always); a user or item of over ``hot_ratings`` ratings is dealt
+    over all of them.
     """
-    train_r = train_r.select("i", "j", "r").persist(DISK_BACKED)
-    test_r = train_r if test_r is None else test_r.select("i", "j", "r").persist(DISK_BACKED)
-    U = cut_lineage(U0 if U0 is not None else random_profiles(train_r, "user", d, seed))
-    V = cut_lineage(V0 if V0 is not None else random_profiles(train_r, "item", d, seed))
-    limit = max_broadcast_rows if max_broadcast_rows is not None else profile_broadcast_rows(d)
-    bu = U.limit(limit + 1).count() <= limit       # profile tables keep their size
-    bv = V.limit(limit + 1).count() <= limit
-    history, diverged, started, previous = [], False, time.perf_counter(), None
-    for it in range(1, maxiter + 1):
-        J = join_predict(train_r, U, V, d, bu, bv, salt_buckets=salt_buckets)
-        # Both profile sides broadcast: J is a map-side projection of the
-        # persisted ratings, cheaper to recompute than to cache.  Otherwise
-        # (shuffle joins, the large case) both aggregates read one copy.
-        if not (bu and bv):
-            J = J.persist(DISK_BACKED)
-        gamma = gain / it ** power
-        U_new = cut_lineage(step_u(J, U, gamma, lam, d, bu))
-        V_new = cut_lineage(step_v(J, V, gamma, mu, d, bv))
-        none = F.lit(None).cast("double")
-        parts = U_new.select("se", F.col("old_norm_sq").alias("nu"), none.alias("nv")).unionByName(
-            V_new.select(none.alias("se"), none.alias("nu"), F.col("old_norm_sq").alias("nv")))
-        s = parts.agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("se", "nu", "nv")]).first()
-        obj = s["se"] + lam * s["nu"] + mu * s["nv"]
-        change = abs(obj - previous) if previous is not None else None
-        t = rmse(test_r, U, V, d, bu, bv).first()
-        J.unpersist()
-        diverged = not math.isfinite(obj)
-        history.append((it, obj, change, t["rmse"], t["rmse_scored"], gamma, diverged, time.perf_counter() - started))
-        if diverged:
-            break
-        U, V, previous = U_new.select("i", "u"), V_new.select("j", "v"), obj
-        if change is not None and change <= epsilon:
-            break
-    if maxiter <= 0:
-        t = rmse(test_r, U, V, d, bu, bv).first()
-        history.append((0, None, None, t["rmse"], t["rmse_scored"], 0.0, False, time.perf_counter() - started))
-    train_r.unpersist()
-    test_r.unpersist()
-    return MFFit(U, V, history, diverged)
-
-
-def cross_validate(ratings: DataFrame, folds: int | None = None, init=None,
-                   parallelism: int = 1, **kw) -> tuple[DataFrame, list]:
-    """Train on all folds but k and test on fold k, for every fold.
-
-    ``init(train) -> (U0, V0)`` overrides the seeded random profiles.
-    ``parallelism`` folds are trained at once (their jobs are submitted
-    concurrently to the same cluster, like Spark ML's CrossValidator); the
-    result does not depend on it.  Returns (one row ``folds, cv_rmse`` = mean
-    of each fold's last test RMSE, per-fold ``(fold, rmse, history)``)."""
-    from concurrent.futures import ThreadPoolExecutor
-
+    model = F.lit(0).alias("f")
+    U = U0 if U0 is not None else random_profiles(train_r, "user", d, seed)
+    V = V0 if V0 is not None else random_profiles(train_r, "item", d, seed)
+    ratings = train_r.select("i", "j", "r", F.lit(NOBODY).alias("fold"))
+    if test_r is not None:
+        ratings = ratings.unionByName(test_r.select("i", "j", "r", F.lit(0).alias("fold")))
+    U, V, histories = _descend(ratings, [0], U.select(model, "i", "u"), V.select(model, "j", "v"), d, gain, power, epsilon, lam, mu,
+                               maxiter, test_r is not None, blocks, hot_ratings)
+    return MFFit(U.select("i", "u"), V.select("j", "v"), histories[0], histories[0][-1][6])
+
+
+def cross_validate(ratings: DataFrame, folds: int | None = None, init=None, d: int = 10, gain: float = 0.001,
+                   power: float = 0.2, epsilon: float = 1e-99, lam: float = 0.0, mu: float = 0.0, maxiter: int = 20,
+                   seed: int = 1234567, blocks: int | None = None, hot_ratings: int = HOT_CELLS) -> tuple[DataFrame, list]:
+    """Train on all folds but k and test on fold k, for every fold, all in one
+    plan: the ratings are laid out once, and each serves the models of all
+    other folds for training and its own fold's for testing.
+
+    ``init(train) -> (U0, V0)`` overrides the seeded random profiles.  Returns
+    (one row ``folds, cv_rmse`` = mean of each fold's last test RMSE, per-fold
+    ``(fold, rmse, history)``)."""
     spark = ratings.sparkSession
-    ratings = ratings.select("i", "j", "r", "fold").persist(DISK_BACKED)
+    ratings = ratings.select("i", "j", "r", F.col("fold").cast("int").alias("fold")).persist(DISK_BACKED)
     ks = list(range(folds)) if folds is not None else sorted(
         r["fold"] for r in ratings.select("fold").distinct().collect())
-
-    def run(k):
-        tr, te = fold_split(ratings, k)
-        args = dict(kw)
-        if init is not None:
-            args["U0"], args["V0"] = init(tr)
-        fit = train(tr, te, **args)
-        return k, fit.last_rmse, fit.history
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, ks))
+    U = V = None
+    for k in ks:
+        tr, _ = fold_split(ratings, k)
+        u, v = init(tr) if init is not None else (random_profiles(tr, "user", d, seed), random_profiles(tr, "item", d, seed))
+        u, v = u.select(F.lit(k).alias("f"), "i", "u"), v.select(F.lit(k).alias("f"), "j", "v")
+        U, V = (u, v) if U is None else (U.unionByName(u), V.unionByName(v))
+    results = []
+    if ks:
+        _, _, histories = _descend(ratings, ks, U, V, d, gain, power, epsilon, lam, mu, maxiter, True, blocks, hot_ratings)
+        results = [(k, next((h[3] for h in reversed(histories[k]) if h[3] is not None), None), histories[k]) for k in ks]
     ratings.unpersist()
     rmses = [r for _, r, _ in results if r is not None]
     mean = sum(rmses) / len(rmses) if rmses else None

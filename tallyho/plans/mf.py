@@ -129,7 +129,7 @@ def q_train(spark, sf_dir):
 
 def q_cv_rmse(spark, sf_dir):
     summary, _ = mf.cross_validate(_ratings(spark, sf_dir), folds=FOLDS, init=_init,
-                                   parallelism=FOLDS, d=D, gain=GAIN, power=POWER, lam=LAM,
+                                   d=D, gain=GAIN, power=POWER, lam=LAM,
                                    mu=MU, maxiter=STEPS)
     return rounded(summary)
 
@@ -151,7 +151,7 @@ def q_fit_all_full(spark, sf_dir):
 
 
 def q_cv_rmse_full(spark, sf_dir):
-    summary, _ = mf.cross_validate(_ratings(spark, sf_dir), folds=FOLDS, init=_init, parallelism=FOLDS, d=D,
+    summary, _ = mf.cross_validate(_ratings(spark, sf_dir), folds=FOLDS, init=_init, d=D,
                                    gain=GAIN, power=POWER, lam=LAM, mu=MU)
     return rounded(summary)
 

@@ -115,6 +115,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """
     if materialize:
         df = cut_lineage(df)
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` holds at most ``max_rows`` rows and about ``max_bytes``
+    bytes; at most ``max_rows + 1`` rows are read."""
     width = F.lit(8 * len(df.columns) + 16)
     for f in df.schema.fields:
         if f.dataType.typeName() in ("string", "binary"):
@@ -122,7 +128,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
         elif f.dataType.typeName() == "array":
             width = width + 8 * F.coalesce(F.size(f.name), F.lit(0))
     size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
-    return F.broadcast(df) if size["n"] <= max_rows and (size["b"] or 0) <= max_bytes else df
+    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

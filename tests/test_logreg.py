@@ -83,6 +83,8 @@ def test_line_search_satisfies_armijo(spark):
     g = logreg.gradient(points, cells, beta, 0.1)
     r = logreg.line_search(points, cells, beta, g, 0.1)
     assert r.accepted
+    laid = logreg.line_search(points, cells, beta, g, 0.1, blocks=3)
+    assert laid.backtracks == r.backtracks and laid.f_new == pytest.approx(r.f_new, rel=1e-12)
     assert r.f_new <= r.f0 - logreg.ARMIJO_A * r.t * r.grad_sq + 1e-12
     # the step before the accepted one (if any) violated the condition
     if r.backtracks:
@@ -95,7 +97,7 @@ def test_line_search_satisfies_armijo(spark):
 def test_training_decreases_loss_and_matches_direct_loss(spark):
     points, cells = tables.labelled_points(spark, SMALL)
     fit = logreg.train(points, cells, lam=0.1, max_iter=4, eps=1e-9, refresh_every=2,
-                       test=(points, cells))
+                       test=(points, cells), blocks=4)
     objs = [h[1] for h in fit.history]
     assert len(objs) == 4
     assert all(b < a for a, b in zip(objs, objs[1:]))

@@ -5,8 +5,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tallyho.operators import gradcheck, mf
+from tallyho.operators import blocks, gradcheck, mf
 from tallyho.sources import tables
+from tests.test_logreg import exchanged_scans
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -105,9 +106,11 @@ def test_cross_validate_mean(spark):
     row = summary.first()
     assert row["folds"] == 4
     assert row["cv_rmse"] == pytest.approx(sum(r for _, r, _ in per_fold) / 4)
-    # folds trained concurrently give the same numbers
-    summary2, per_fold2 = mf.cross_validate(R, folds=4, d=2, maxiter=2, seed=9, parallelism=4)
-    assert [r for _, r, _ in per_fold2] == [r for _, r, _ in per_fold]
+    # another layout, and all folds at once or one by one, give the same numbers
+    tr, te = mf.fold_split(R, 2)
+    assert mf.train(tr, te, d=2, maxiter=2, seed=9).last_rmse == pytest.approx(per_fold[2][1], rel=1e-12)
+    summary2, per_fold2 = mf.cross_validate(R, folds=4, d=2, maxiter=2, seed=9, blocks=3, hot_ratings=2)
+    assert [r for _, r, _ in per_fold2] == pytest.approx([r for _, r, _ in per_fold], rel=1e-12)
 
 
 def test_fit_all_writes_factors(spark, tmp_out):
@@ -128,14 +131,61 @@ def test_history_table(spark):
     assert h[0]["gamma"] == pytest.approx(0.001) and h[1]["gamma"] == pytest.approx(0.001 / 2 ** 0.2)
 
 
-def test_salted_profile_joins_give_the_same_factors(spark):
+def test_dealt_users_give_the_same_factors(spark):
     R = tables.lineitem_ratings(spark, SMALL)
-    a = mf.train(R, None, d=2, maxiter=2, seed=3, max_broadcast_rows=0)
-    b = mf.train(R, None, d=2, maxiter=2, seed=3, max_broadcast_rows=0, salt_buckets=3)
-    ua = {r["i"]: r["u"] for r in a.U.collect()}
-    ub = {r["i"]: r["u"] for r in b.U.collect()}
-    assert ua.keys() == ub.keys()
-    assert max(abs(x - y) for k in ua for x, y in zip(ua[k], ub[k])) < 1e-12
+    a = mf.train(R, None, d=2, maxiter=2, seed=3)
+    b = mf.train(R, None, d=2, maxiter=2, seed=3, blocks=5, hot_ratings=1)
+    for x, y, key, vec in ((a.U, b.U, "i", "u"), (a.V, b.V, "j", "v")):
+        x, y = ({r[key]: r[vec] for r in t.collect()} for t in (x, y))
+        assert x.keys() == y.keys()
+        assert max(abs(p - q) for k in x for p, q in zip(x[k], y[k])) < 1e-12
     plan = mf.join_predict(R, a.U, a.V, 2, False, False, salt_buckets=3)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "_salt" in plan
+
+
+def test_an_iteration_exchanges_no_ratings_and_joins_profiles_four_times(spark):
+    R = tables.lineitem_ratings(spark, SMALL)
+    U = mf.random_profiles(R, "user", 2, 1).select(F.lit(0).alias("f"), "i", "u")
+    V = mf.random_profiles(R, "item", 2, 1).select(F.lit(0).alias("f"), "j", "v")
+    U, V = mf.cut_lineage(U), mf.cut_lineage(V)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    profile_joins = 0
+    try:
+        for side in "ij":
+            laid = blocks.lay_out_ratings(R, side)
+            with blocks.co_partitioned(spark):
+                df = mf._moved(laid, U, V, side, 0.1, 0.0, 2)
+                assert exchanged_scans(df, laid.names[0]) == (1, 0)
+                profile_joins += sum(line.count("[block") > 0 for line in df._jdf.queryExecution().executedPlan().toString().split("\n")
+                                     if "Join" in line)
+                assert df.count() > 0
+            laid.drop()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert profile_joins == 4
+
+
+def test_all_folds_are_one_plan(spark, monkeypatch):
+    """The layouts and the jobs of an iteration do not grow with the folds."""
+    R = tables.lineitem_ratings(spark, SMALL)
+    laid, steps = [], []
+    lay_out, moved = mf.lay_out_ratings, mf._moved
+    monkeypatch.setattr(mf, "lay_out_ratings", lambda *a: laid.append(1) or lay_out(*a))
+    monkeypatch.setattr(mf, "_moved", lambda *a: steps.append(1) or moved(*a))
+    for folds in (2, 4):
+        laid.clear()
+        steps.clear()
+        mf.cross_validate(R, folds=folds, d=2, maxiter=2, seed=9, blocks=4)
+        assert len(laid) == 2 and len(steps) == 4
+
+
+def test_a_model_that_stops_leaves_the_others(spark):
+    """Fold 1 has no ratings, so its model sees all of them and has no RMSE."""
+    R = spark.createDataFrame([(i, j, float(i * j % 3), 0 if (i + j) % 2 else 2) for i in range(4) for j in range(4)],
+                              "i BIGINT, j BIGINT, r DOUBLE, fold INT")
+    summary, per_fold = mf.cross_validate(R, folds=3, d=2, maxiter=3, seed=9)
+    assert [len(h) for _, _, h in per_fold] == [3, 3, 3] and per_fold[1][1] is None
+    assert summary.first()["cv_rmse"] == pytest.approx((per_fold[0][1] + per_fold[2][1]) / 2)
+    _, stopped = mf.cross_validate(R, folds=3, d=2, maxiter=3, seed=9, epsilon=1e9)
+    assert [len(h) for _, _, h in stopped] == [2, 2, 2]
