@@ -46,22 +46,21 @@ def components(edges: DataFrame) -> DataFrame:
     """(cls, comp): the smallest id reachable, for every id with an edge.
     Labels pass along edges and are then looked up themselves, so chains halve
     with every round; each round's labels are a written table.  Labels are ids
-    of their own component and an id's label is never above it, so once both
-    ends of every edge agree each label is the smallest."""
-    ends = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")),
-                                          F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b"))).alias("e"))
+    of their own component and an id's label is never above it, so once no
+    label moves both ends of every edge agree and each label is the smallest."""
+    ends = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
     both = written(ends.select("e.a", "e.b").distinct(), "join-edges")
-    labels = written(both.groupBy(F.col("a").alias("cls")).agg(F.min("b").alias("comp")), "join-labels")
+    labels = written(both.groupBy(F.col("a").alias("cls")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "join-labels")
     while True:
         side = bounded_broadcast(labels, BROADCAST_IDS)
-        at_b = both.join(side.withColumnRenamed("cls", "b"), "b")
-        apart = at_b.where("a < b").join(side.select(F.col("cls").alias("a"), F.col("comp").alias("other")), "a").where("comp <> other")
-        if apart.isEmpty():
-            return labels
-        near = at_b.groupBy(F.col("a").alias("cls")).agg(F.min("comp").alias("near"))
+        near = both.join(side.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.min("comp").alias("near"))
+        near = near.join(labels, "cls").select("cls", F.col("comp").alias("was"), F.least("near", "comp").alias("near"))
         once = near.join(side.select(F.col("cls").alias("near"), F.col("comp").alias("next")), "near")
         twice = once.join(side.select(F.col("cls").alias("next"), "comp"), "next")
-        labels = written(twice.select("cls", "comp"), "join-labels")
+        moved = written(twice.select("cls", "was", "comp"), "join-labels")
+        labels = moved.select("cls", "comp")
+        if moved.where("was <> comp").isEmpty():
+            return labels
 
 
 def more_components(known: DataFrame, edges: DataFrame) -> DataFrame:
