@@ -43,24 +43,34 @@ BAND = math.log(1.2)            # differences of sizes within 20 % are in one ba
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(cls, comp): the smallest id reachable, for every id with an edge.
-    Labels pass along edges and are then looked up themselves, so chains halve
-    with every round; each round's labels are a written table.  Labels are ids
-    of their own component and an id's label is never above it, so once no
-    label moves both ends of every edge agree and each label is the smallest."""
-    ends = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
-    both = written(ends.select("e.a", "e.b").distinct(), "join-edges")
-    labels = written(both.groupBy(F.col("a").alias("cls")).agg(F.least(F.min("b"), F.first("a")).alias("comp")), "join-labels")
+    """(cls, comp): the smallest id reachable, for every id with an edge to
+    another one.
+
+    *Contraction.*  Every id goes up to the first of itself and its neighbours,
+    in the order of the ids' hashes (one to one, so there are no ties and a chain
+    is in random order, whatever its ids); edges are renamed by it, and those
+    whose ends agree are gone.  So each round's edges are fewer, a star needs two
+    rounds, and every round is a written table.  Then the rounds are put together
+    from the last one, and each component is named by its smallest id."""
+    ends = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "join-edges")
+    rounds = []
     while True:
-        side = bounded_broadcast(labels, BROADCAST_IDS)
-        near = both.join(side.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.min("comp").alias("near"))
-        near = near.join(labels, "cls").select("cls", F.col("comp").alias("was"), F.least("near", "comp").alias("near"))
-        once = near.join(side.select(F.col("cls").alias("near"), F.col("comp").alias("next")), "near")
-        twice = once.join(side.select(F.col("cls").alias("next"), "comp"), "next")
-        moved = written(twice.select("cls", "was", "comp"), "join-labels")
-        labels = moved.select("cls", "comp")
-        if moved.where("was <> comp").isEmpty():
-            return labels
+        both = ends.select("a", "b").unionAll(ends.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = both.groupBy(F.col("a").alias("cls")).agg(F.min_by("b", F.xxhash64("b")).alias("b"))
+        rounds.append(written(first.select("cls", F.when(F.xxhash64("b") < F.xxhash64("cls"), F.col("b")).otherwise(F.col("cls")).alias("up")),
+                              "join-labels"))
+        side = bounded_broadcast(rounds[-1], BROADCAST_IDS)
+        end = lambda c: side.select(F.col("cls").alias(c), F.col("up").alias(f"up{c}"))
+        moved = ends.join(end("a"), "a").join(end("b"), "b").select(F.least("upa", "upb").alias("a"), F.greatest("upa", "upb").alias("b"))
+        ends = written(moved.where("a <> b").distinct(), "join-edges")
+        if ends.isEmpty():
+            break
+    found = rounds.pop()
+    while rounds:
+        later = bounded_broadcast(found, BROADCAST_IDS).select(F.col("cls").alias("up"), F.col("up").alias("top"))
+        found = written(rounds.pop().join(later, "up", "left").select("cls", F.coalesce("top", "up").alias("up")), "join-labels")
+    least = found.groupBy("up").agg(F.min("cls").alias("comp"))
+    return written(found.join(least, "up").select("cls", "comp"), "join-labels")
 
 
 def more_components(known: DataFrame, edges: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ similarity 0.8 is missed with odds of about 5e-8.
 
 *Verification and groups.*  Candidates of a band value are compared on whole
 sets: with one leader, then by their differences from it (:mod:`star_links`).
-Links go into components (labels passed along written tables of links).
+Links go into components by contraction (written tables of links, fewer each round).
 
 Equal sets are one class from the start, so thousands of copies cost one row
 each.  Links, components and signatures live in tables, never on the driver.
