@@ -44,6 +44,7 @@ from ..functions.vectors import logistic_loss, logistic_weight
 from ..session import (DEFAULT_BROADCAST_ROWS, DISK_BACKED, bounded_broadcast, cut_lineage,
                        fits_broadcast, salted_join)
 from .blocks import HOT_CELLS, BroadcastCells, CellBlocks, co_partitioned, lay_out
+from .progress import Progress
 from .vectors import paired
 
 # Backtracking parameters (Armijo fraction a, shrink factor b).
@@ -317,7 +318,7 @@ def line_search(points: DataFrame, cells: DataFrame, beta: DataFrame, g: DataFra
                 block: int = TRIAL_BLOCK, blocks: int | None = None) -> SearchResult:
     """Backtracking search along -g from beta, one scan for a block of trials."""
     bg = cut_lineage(paired(beta, g, "b", "g"))
-    blocks = _laid(points, cells, blocks, HOT_CELLS, bg)
+    blocks = laid_out(points, cells, blocks, HOT_CELLS, bg)
     with co_partitioned(cells.sparkSession):
         m = _add_products(points, ["y"], blocks.products(bg.select("feat", F.col("b").alias("value"))), "margin")
         mdm = cut_lineage(_add_products(m, ["y", "margin"], blocks.products(bg.select("feat", F.col("g").alias("value"))), "dm"))
@@ -346,7 +347,7 @@ class LogRegFit:
 def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int = 40,
           eps: float = 0.1, beta0: DataFrame | None = None, test: tuple | None = None,
           refresh_every: int = 10, block: int = TRIAL_BLOCK, blocks: int | None = None,
-          hot_cells: int = HOT_CELLS) -> LogRegFit:
+          hot_cells: int = HOT_CELLS, log: str | None = None) -> LogRegFit:
     """Gradient descent with backtracking line search.
 
     Stops after ``max_iter`` iterations, when ||grad|| <= eps, or when no
@@ -355,13 +356,15 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
     history.  History reports the gradient norm at the point before the step.
     A model or points over the broadcast bound have the cells laid out once in
     ``blocks`` blocks of documents (given: always); a document of over
-    ``hot_cells`` cells is dealt over all of them.
+    ``hot_cells`` cells is dealt over all of them.  ``log``: a folder that keeps
+    model, margins and history of every iteration, and from which a run goes on.
     """
+    progress = Progress(points.sparkSession, log, HISTORY_SCHEMA)
     points = points.select("id", "y").persist(DISK_BACKED)
-    laid = _laid(points, cells, blocks, hot_cells, beta0)
-    tested = (test[0], _laid(test[0], test[1], blocks, hot_cells, zero_beta(cells))) if test is not None else None
+    laid = laid_out(points, cells, blocks, hot_cells, beta0)
+    tested = (test[0], laid_out(test[0], test[1], blocks, hot_cells, zero_beta(cells))) if test is not None else None
     with co_partitioned(points.sparkSession):
-        fit = _descend(points, laid, lam, max_iter, eps, beta0, tested, refresh_every, block)
+        fit = _descend(points, laid, lam, max_iter, eps, beta0, tested, refresh_every, block, progress)
     points.unpersist()
     laid.drop()
     if tested is not None:
@@ -369,7 +372,7 @@ def train(points: DataFrame, cells: DataFrame, lam: float = 0.0, max_iter: int =
     return fit
 
 
-def _laid(points: DataFrame, cells: DataFrame, blocks: int | None, hot_cells: int, *models) -> CellBlocks | BroadcastCells:
+def laid_out(points: DataFrame, cells: DataFrame, blocks: int | None, hot_cells: int, *models) -> CellBlocks | BroadcastCells:
     """``cells`` as they lie if points and models fit a broadcast, else in blocks."""
     if blocks is None and fits_broadcast(points.select("id", F.lit(0.0).alias("w"))) and all(
             fits_broadcast(m) for m in (zero_beta(cells), *models) if m is not None):
@@ -378,14 +381,21 @@ def _laid(points: DataFrame, cells: DataFrame, blocks: int | None, hot_cells: in
 
 
 def _descend(points: DataFrame, laid: CellBlocks | BroadcastCells, lam: float, max_iter: int, eps: float, beta0: DataFrame | None,
-             test: tuple | None, refresh_every: int, block: int) -> LogRegFit:
+             test: tuple | None, refresh_every: int, block: int, progress: Progress) -> LogRegFit:
     def at(points, laid, beta):
         return _add_products(points, ["y"], laid.products(beta), "margin")
 
-    beta = cut_lineage(beta0.select("feat", "value") if beta0 is not None else zero_beta(laid.feats))
-    m = cut_lineage(at(points, laid, beta))
-    history, converged, started = [], False, time.perf_counter()
-    for k in range(max_iter):
+    history, converged, started = progress.history(), False, time.perf_counter()
+    if history:
+        beta, m = progress.state("beta"), progress.state("margins")
+        accepted, converged, norm = history[-1][5], history[-1][6], history[-1][2]
+        started -= history[-1][10]
+        if not accepted or norm <= eps:
+            return LogRegFit(beta, history, converged, sum(h[5] for h in history))
+    else:
+        beta = cut_lineage(beta0.select("feat", "value") if beta0 is not None else zero_beta(laid.feats))
+        m = cut_lineage(at(points, laid, beta))
+    for k in range(len(history), max_iter):
         # job 1: gradient (weights to the blocks) and beta, summed by feature in one aggregate
         weight = m.select("id", logistic_weight("y", "margin").alias("w"))
         bg = cut_lineage(_pairs(laid.weighted(weight), beta, lam))
@@ -397,6 +407,7 @@ def _descend(points: DataFrame, laid: CellBlocks | BroadcastCells, lam: float, m
         if not res.accepted:
             history.append((k, res.f0, norm, 0.0, res.backtracks, False, False, None, None, None,
                             time.perf_counter() - started))
+            progress.commit(history, beta=beta, margins=m)
             break
         t = res.t
         # beta and margins stay projections of this iteration's two checkpoints
@@ -412,6 +423,7 @@ def _descend(points: DataFrame, laid: CellBlocks | BroadcastCells, lam: float, m
             acc, pre, rec = mt["acc"], mt["pre"], mt["rec"]
         history.append((k, res.f_new, norm, t, res.backtracks, True, converged, acc, pre, rec,
                         time.perf_counter() - started))
+        progress.commit(history, beta=beta, margins=m)
         if norm <= eps:
             break
     return LogRegFit(beta, history, converged, sum(h[5] for h in history))

@@ -32,6 +32,7 @@ from ..functions.vectors import column_dot
 from ..session import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, DISK_BACKED,
                        bounded_broadcast, cut_lineage, fits_broadcast, salted_join)
 from .blocks import HOT_CELLS, BroadcastRatings, RatingBlocks, co_partitioned, lay_out_ratings
+from .progress import Progress
 
 # The seeded-normal generator (Box-Muller on 52-bit uniforms).
 TWO_POW_52 = float(2 ** 52)
@@ -282,12 +283,16 @@ def _moved(laid: RatingBlocks | BroadcastRatings, U: DataFrame, V: DataFrame, si
 
 def _descend(ratings: DataFrame, models: list, U: DataFrame, V: DataFrame, d: int, gain: float, power: float, epsilon: float,
              lam: float, mu: float, maxiter: int, held: bool, blocks: int | None = None,
-             hot_ratings: int = HOT_CELLS) -> tuple[DataFrame, DataFrame, dict]:
+             hot_ratings: int = HOT_CELLS, log: str | None = None) -> tuple[DataFrame, DataFrame, dict]:
     """Train every model ``f`` of ``models`` on the ratings (i, j, r, fold) of
     other folds; (U, V, {f: history}) with U (f, i, u), V (f, j, v).  ``held``:
     the RMSE is that of the model's own fold, else of its training ratings.
     Each model stops by itself."""
     spark = ratings.sparkSession
+    progress = Progress(spark, log, f"f INT, {HISTORY_SCHEMA}")
+    kept = progress.history()
+    if kept:
+        U, V = progress.state("U"), progress.state("V")
     ratings = ratings.persist(DISK_BACKED)
     tested = {r["fold"]: r["count"] for r in ratings.where(F.col("fold").isin(models)).groupBy("fold").count().collect()}
     U, V = cut_lineage(U.select("f", "i", "u")), cut_lineage(V.select("f", "j", "v"))
@@ -298,9 +303,19 @@ def _descend(ratings: DataFrame, models: list, U: DataFrame, V: DataFrame, d: in
         by_user, by_item = (lay_out_ratings(ratings, side, blocks, hot_ratings) for side in "ij")
         ratings.unpersist()
     histories, previous, active, started = {f: [] for f in models}, {}, list(models), time.perf_counter()
+    for f, *row in kept:
+        histories[f].append(tuple(row))
+    if kept:
+        previous = {f: h[-1][1] for f, h in histories.items()}
+        started -= kept[-1][-1]
+        last = max(h[-1][0] for h in histories.values())
+        active = [f for f, h in histories.items()
+                  if h[-1][0] == last and not h[-1][6] and (h[-1][2] is None or h[-1][2] > epsilon)]
+        if active:
+            U, V = U.where(F.col("f").isin(active)), V.where(F.col("f").isin(active))
     root = lambda se, n: math.sqrt(se / n) if n and se is not None else None
     with co_partitioned(spark):
-        for it in range(1, max(maxiter, 1) + 1):
+        for it in range(1 + max((h[-1][0] for h in histories.values() if h), default=0), max(maxiter, 1) + 1 if active else 0):
             gamma = gain / it ** power if maxiter > 0 else 0.0
             new_u = cut_lineage(_moved(by_user, U, V, "i", gamma, lam, d))
             new_v = cut_lineage(_moved(by_item, U, V, "j", gamma, mu, d))
@@ -340,6 +355,7 @@ def _descend(ratings: DataFrame, models: list, U: DataFrame, V: DataFrame, d: in
             if diverged:
                 U, V = U.unionByName(U_last), V.unionByName(V_last)
             active = going
+            progress.commit([(f, *row) for f, rows in histories.items() for row in rows], U=U, V=V)
             if not active:
                 break
             if len(active) < len(models):
@@ -352,7 +368,7 @@ def _descend(ratings: DataFrame, models: list, U: DataFrame, V: DataFrame, d: in
 def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain: float = 0.001,
           power: float = 0.2, epsilon: float = 1e-99, lam: float = 0.0, mu: float = 0.0,
           maxiter: int = 20, seed: int = 1234567, U0: DataFrame | None = None,
-          V0: DataFrame | None = None, blocks: int | None = None, hot_ratings: int = HOT_CELLS) -> MFFit:
+          V0: DataFrame | None = None, blocks: int | None = None, hot_ratings: int = HOT_CELLS, log: str | None = None) -> MFFit:
     """Gradient descent with gain ``gain / iteration**power``.
 
     Each iteration measures the objective and the test RMSE of the current
@@ -361,7 +377,8 @@ def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain
     ``epsilon``, or when it is no longer finite (``diverged``).  With no test
     set the RMSE is measured on the training ratings.  Profiles over the
     broadcast bound have the ratings laid out in ``blocks`` blocks (given: always); a user or item of over ``hot_ratings`` ratings is dealt
-    over all of them.
+    over all of them.  ``log``: a folder that keeps profiles and history of every
+    iteration, and from which a run goes on.
     """
     model = F.lit(0).alias("f")
     U = U0 if U0 is not None else random_profiles(train_r, "user", d, seed)
@@ -370,13 +387,14 @@ def train(train_r: DataFrame, test_r: DataFrame | None = None, d: int = 10, gain
     if test_r is not None:
         ratings = ratings.unionByName(test_r.select("i", "j", "r", F.lit(0).alias("fold")))
     U, V, histories = _descend(ratings, [0], U.select(model, "i", "u"), V.select(model, "j", "v"), d, gain, power, epsilon, lam, mu,
-                               maxiter, test_r is not None, blocks, hot_ratings)
+                               maxiter, test_r is not None, blocks, hot_ratings, log)
     return MFFit(U.select("i", "u"), V.select("j", "v"), histories[0], histories[0][-1][6])
 
 
 def cross_validate(ratings: DataFrame, folds: int | None = None, init=None, d: int = 10, gain: float = 0.001,
                    power: float = 0.2, epsilon: float = 1e-99, lam: float = 0.0, mu: float = 0.0, maxiter: int = 20,
-                   seed: int = 1234567, blocks: int | None = None, hot_ratings: int = HOT_CELLS) -> tuple[DataFrame, list]:
+                   seed: int = 1234567, blocks: int | None = None, hot_ratings: int = HOT_CELLS,
+                   log: str | None = None) -> tuple[DataFrame, list]:
     """Train on all folds but k and test on fold k, for every fold, all in one
     plan: the ratings are laid out once, and each serves the models of all
     other folds for training and its own fold's for testing.
@@ -396,7 +414,7 @@ def cross_validate(ratings: DataFrame, folds: int | None = None, init=None, d: i
         U, V = (u, v) if U is None else (U.unionByName(u), V.unionByName(v))
     results = []
     if ks:
-        _, _, histories = _descend(ratings, ks, U, V, d, gain, power, epsilon, lam, mu, maxiter, True, blocks, hot_ratings)
+        _, _, histories = _descend(ratings, ks, U, V, d, gain, power, epsilon, lam, mu, maxiter, True, blocks, hot_ratings, log)
         results = [(k, next((h[3] for h in reversed(histories[k]) if h[3] is not None), None), histories[k]) for k in ks]
     ratings.unpersist()
     rmses = [r for _, r, _ in results if r is not None]
@@ -407,7 +425,7 @@ def cross_validate(ratings: DataFrame, folds: int | None = None, init=None, d: i
 
 def fit_all(ratings: DataFrame, output: str | None = None, **kw) -> MFFit:
     """Train on every rating (RMSE measured on the training data) and
-    optionally save ``<output>_U`` / ``<output>_V`` as parquet."""
+    optionally save both profiles at ``output`` (``files.write_factors``)."""
     fit = train(ratings, None, **kw)
     if output:
         from ..sources.files import write_factors

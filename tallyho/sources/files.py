@@ -5,17 +5,19 @@ per line, CSV points / ratings, ``({feat: value, ...}, y)`` sparse points,
 ``(feat,value)`` sparse models).  Every reader is a lazy ``parse_*``
 over the lines of its files, in column expressions – never by evaluating file
 content – and a line that does not parse fails the query.  Models
-and factors are written as Parquet (full doubles, schema kept).
+and factors are written as Parquet (full doubles, schema kept) and replaced as
+one step (:mod:`.versions`); their readers also take plain Parquet folders.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import bounded_broadcast, cut_lineage
+from . import versions
 
-_NUMBER = r"[-+]?(?:\d+\.?\d*(?:[eE][-+]?\d+)?|\.\d+(?:[eE][-+]?\d+)?|inf|nan)"
+_NUMBER = r"[-+]?(?:\d+\.?\d*(?:[eE][-+]?\d+)?|\.\d+(?:[eE][-+]?\d+)?|(?i:inf(?:inity)?|nan))"
 
 
 # ---------------------------------------------------------------- text --
@@ -52,6 +54,12 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     return parse_word_list(read_lines(spark, path))
 
 
+def _model(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Table ``name`` of the last version at ``path``, or the plain Parquet
+    folder there."""
+    return versions.table(spark, path, name) if versions.exists(spark, path) else spark.read.parquet(path)
+
+
 # ---------------------------------------------------------- dense points --
 
 def parse_dense_points(lines: DataFrame, d: int | None = None) -> DataFrame:
@@ -77,7 +85,7 @@ def read_dense_points_csv(spark: SparkSession, path: str, d: int) -> DataFrame:
 
 def read_dense_vector(spark: SparkSession, path: str) -> DataFrame:
     """``idx, value`` from Parquet written by :func:`write_dense_vector`."""
-    return spark.read.parquet(path).select("idx", "value").orderBy("idx")
+    return _model(spark, path, "vector").select("idx", "value").orderBy("idx")
 
 
 def read_dense_vector_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -88,7 +96,8 @@ def read_dense_vector_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_dense_vector(beta: DataFrame, path: str) -> None:
-    beta.select("idx", "value").write.mode("overwrite").parquet(path)
+    """Replace the vector at ``path``."""
+    versions.commit(path, vector=beta.select("idx", "value"))
 
 
 # --------------------------------------------------------- sparse points --
@@ -109,19 +118,28 @@ def parse_sparse_points(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_sparse_points(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """:func:`parse_sparse_points` of the text file(s) at ``path``.  Lines get
-    their ids once, in a written copy that both tables read, so ids agree
-    however the two are planned."""
-    return parse_sparse_points(cut_lineage(_text_lines(spark, path).select(
-        F.monotonically_increasing_id().alias("id"), "line")))
+    """:func:`parse_sparse_points` of the text file(s) at ``path``.  A line's id
+    is its number among the non-blank lines, files in the order of their paths,
+    however the files are split.  Lines are read once, into a written copy that
+    both tables read."""
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start")).where(F.length(F.trim("line")) > 0)
+    lines = cut_lineage(lines.withColumn("at", F.monotonically_increasing_id()))
+    # a split's lines are numbered in order; one row a split says where they begin
+    splits = lines.groupBy("file", "start").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "start", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("move"))
+    rows = lines.join(bounded_broadcast(splits, materialize=True), ["file", "start"])
+    return parse_sparse_points(rows.select((F.col("at") + F.col("move")).alias("id"), "line"))
 
 
 # --------------------------------------------------------- sparse models --
 
 def parse_sparse_vector(lines: DataFrame) -> DataFrame:
     """``feat, value`` from lines ``(feat,value)``, with or without quotes
-    around the feature; other lines fail."""
-    pattern = r"^\s*\(\s*(?:'([^']*)'|\"([^\"]*)\"|([^,]*?))\s*,\s*(" + _NUMBER + r")\s*\)\s*$"
+    around the feature, which may hold commas; other lines fail."""
+    pattern = r"^\s*\(\s*(?:'([^']*)'|\"([^\"]*)\"|(.*?))\s*,\s*(" + _NUMBER + r")\s*\)\s*$"
     feat = F.coalesce(*[F.nullif(F.regexp_extract("line", pattern, g), F.lit("")) for g in (1, 2, 3)])
     return lines.select(feat.alias("feat"), _number(F.regexp_extract("line", pattern, 4), "sparse entry").alias("value"))
 
@@ -134,7 +152,7 @@ def format_sparse_vector(beta: DataFrame) -> DataFrame:
 def read_sparse_vector(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """``feat, value``.  ``fmt='text'`` reads ``(feat,value)`` lines."""
     if fmt == "parquet":
-        return spark.read.parquet(path).select("feat", "value")
+        return _model(spark, path, "vector").select("feat", "value")
     if fmt != "text":
         raise ValueError("fmt must be parquet or text")
     return parse_sparse_vector(_text_lines(spark, path))
@@ -143,7 +161,7 @@ def read_sparse_vector(spark: SparkSession, path: str, fmt: str = "parquet") ->
 def write_sparse_vector(beta: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace ``path`` with ``beta``; ``fmt='text'`` writes ``(feat,value)`` lines."""
     if fmt == "parquet":
-        beta.select("feat", "value").write.mode("overwrite").parquet(path)
+        versions.commit(path, vector=beta.select("feat", "value"))
     elif fmt == "text":
         format_sparse_vector(beta).write.mode("overwrite").text(path)
     else:
@@ -153,12 +171,12 @@ def write_sparse_vector(beta: DataFrame, path: str, fmt: str = "parquet") -> Non
 # --------------------------------------------------------------- ratings --
 
 def parse_ratings(lines: DataFrame) -> DataFrame:
-    """``i, j, r`` from lines ``i,j,r``; other lines fail."""
+    """``i, j, r`` and the other columns from lines ``i,j,r``; other lines fail."""
     f = F.split("line", ",", -1)
     three = F.when(F.size(f) == 3, f).otherwise(_bad("rating", "array<string>"))
-    return lines.select("line", three.alias("f")).select(
-        _number(F.col("f")[0], "rating", "bigint").alias("i"), _number(F.col("f")[1], "rating", "bigint").alias("j"),
-        _number(F.col("f")[2], "rating").alias("r"))
+    return lines.select("*", three.alias("_f")).select(
+        _number(F.col("_f")[0], "rating", "bigint").alias("i"), _number(F.col("_f")[1], "rating", "bigint").alias("j"),
+        _number(F.col("_f")[2], "rating").alias("r"), *[c for c in lines.columns if c != "line"])
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
@@ -167,21 +185,20 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_rating_folds(spark: SparkSession, directory: str, folds: int) -> DataFrame:
-    """``i, j, r, fold`` from ``directory/fold0 .. fold{folds-1}`` (bag union)."""
-    parts = [read_ratings(spark, f"{directory.rstrip('/')}/fold{k}").withColumn("fold", F.lit(k))
-             for k in range(folds)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """``i, j, r, fold`` from ``directory/fold0 .. fold{folds-1}``, files or
+    folders, in one scan: a line's fold is that of its path."""
+    paths = [f"{directory.rstrip('/')}/fold{k}" for k in range(folds)]
+    fold = F.regexp_extract("_metadata.file_path", r"^.*/fold(\d+)(?:/[^/]*)?$", 1).cast("int")
+    lines = spark.read.text(paths).select(F.col("value").alias("line"), fold.alias("fold")).where(F.length(F.trim("line")) > 0)
+    return parse_ratings(lines)
 
 
 def write_factors(U: DataFrame, V: DataFrame, output: str) -> None:
-    """Save profiles to ``<output>_U`` and ``<output>_V`` (Parquet)."""
-    U.select("i", "u").write.mode("overwrite").parquet(output + "_U")
-    V.select("j", "v").write.mode("overwrite").parquet(output + "_V")
+    """Replace the profiles at ``output``, both in one step."""
+    versions.commit(output, U=U.select("i", "u"), V=V.select("j", "v"))
 
 
 def read_factors(spark: SparkSession, output: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(output + "_U"), spark.read.parquet(output + "_V")
+    """``(U, V)`` of the last :func:`write_factors`."""
+    return versions.table(spark, output, "U"), versions.table(spark, output, "V")
 
