@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_FAMILIES = ("text", "linreg", "logreg", "mf", "files")
+_FAMILIES = ("text", "linreg", "logreg", "sparse_linreg", "mf", "files")
 
 
 def all_queries() -> dict:

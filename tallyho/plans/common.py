@@ -7,13 +7,22 @@ Registered queries end with :func:`rounded`, and every oracle with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from ..session import checkpoint_dir
+
 DIGITS = 6
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     cols = []
     for field in df.schema.fields:

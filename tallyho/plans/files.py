@@ -1,13 +1,14 @@
 """Registered parsers and formatters of the text formats, on lines that are
-made from the tables, and their DuckDB oracles."""
+made from the tables, round trips through files, and their DuckDB oracles."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..session import read_table
+from ..session import cut_lineage, read_table
 from ..sources import files, tables
-from .common import rounded, sql_round
+from .common import rounded, scratch, sql_round
+from .mf import FOLDS, ORACLE as MF_ORACLE, _both, random_init
 
 
 def q_parse_dense_points(spark, sf_dir):
@@ -46,7 +47,58 @@ def q_parse_word_list(spark, sf_dir):
     return files.parse_word_list(tables.document_lines(tables.documents(spark, sf_dir)).select("line"))
 
 
+def q_read_sparse_points(spark, sf_dir):
+    """Lines written to files and read back; points and cells meet by the ids
+    that the reader gives."""
+    path = scratch(spark, "sparse-points")
+    read_table(spark, sf_dir, "orders").select(F.format_string(
+        "({'total': %s, 'cust': %s}, %s)", F.col("o_totalprice").cast("string"), F.col("o_custkey").cast("string"),
+        F.col("o_orderkey").cast("string")).alias("line")).write.text(path)
+    points, cells = files.read_sparse_points(spark, path)
+    return rounded(cells.join(points, "id").select("feat", "x", "y"))
+
+
+def q_read_rating_folds(spark, sf_dir):
+    """Every fold written as text files, all of them read in one scan."""
+    path, ratings = scratch(spark, "folds"), cut_lineage(tables.lineitem_ratings(spark, sf_dir, FOLDS))
+    for k in range(FOLDS):
+        ratings.where(F.col("fold") == k).select(F.concat_ws(",", "i", "j", "r").alias("line")).write.text(f"{path}/fold{k}")
+    return rounded(files.read_rating_folds(spark, path, FOLDS))
+
+
+def q_write_dense_vector(spark, sf_dir):
+    """Written, doubled from what is read, written over it, read again."""
+    path = scratch(spark, "dense-vector")
+    files.write_dense_vector(read_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("int").alias("idx"), F.col("p_retailprice").cast("double").alias("value")), path)
+    files.write_dense_vector(files.read_dense_vector(spark, path).withColumn("value", F.col("value") * 2), path)
+    return rounded(files.read_dense_vector(spark, path))
+
+
+def q_write_sparse_vector(spark, sf_dir):
+    """The same for a sparse model, Parquet and then text; features hold commas."""
+    path, text = scratch(spark, "sparse-vector"), scratch(spark, "sparse-vector-text")
+    files.write_sparse_vector(read_table(spark, sf_dir, "part").select(
+        F.concat(F.lit("part,"), F.col("p_partkey").cast("string")).alias("feat"), F.col("p_size").cast("double").alias("value")), path)
+    files.write_sparse_vector(files.read_sparse_vector(spark, path).withColumn("value", F.col("value") * 2), path)
+    files.write_sparse_vector(files.read_sparse_vector(spark, path), text, fmt="text")
+    return rounded(files.read_sparse_vector(spark, text, fmt="text"))
+
+
+def q_write_factors(spark, sf_dir):
+    """Profiles written, replaced by others, read back."""
+    path, (U, V) = scratch(spark, "factors"), random_init(spark, sf_dir)
+    files.write_factors(U.limit(1), V.limit(1), path)
+    files.write_factors(U, V, path)
+    return rounded(_both(*files.read_factors(spark, path)))
+
+
 QUERIES = {
+    "read_sparse_points": q_read_sparse_points,
+    "read_rating_folds": q_read_rating_folds,
+    "write_dense_vector": q_write_dense_vector,
+    "write_sparse_vector": q_write_sparse_vector,
+    "write_factors": q_write_factors,
     "parse_dense_points": q_parse_dense_points,
     "parse_ratings": q_parse_ratings,
     "parse_sparse_points": q_parse_sparse_points,
@@ -56,6 +108,15 @@ QUERIES = {
 }
 
 ORACLE = {
+    "read_sparse_points": " UNION ALL ".join(
+        f"SELECT '{n}' AS feat, {sql_round(c, 'x')}, o_orderkey::DOUBLE AS y FROM orders"
+        for c, n in (("o_totalprice", "total"), ("o_custkey", "cust"))),
+    "read_rating_folds": (f"SELECT o_custkey AS i, l_partkey AS j, {sql_round('l_quantity / 50.0', 'r')}, "
+                          f"CAST((l_orderkey + l_linenumber) % {FOLDS} AS INTEGER) AS fold "
+                          "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"),
+    "write_dense_vector": f"SELECT CAST(p_partkey AS INTEGER) AS idx, {sql_round('p_retailprice * 2', 'value')} FROM part",
+    "write_sparse_vector": f"SELECT 'part,' || p_partkey AS feat, {sql_round('p_size * 2', 'value')} FROM part",
+    "write_factors": MF_ORACLE["mf_init"],
     "parse_dense_points": "SELECT " + ", ".join(sql_round(c, n) for c, n in (
         ("l_quantity", "x0"), ("l_discount", "x1"), ("l_tax", "x2"), ("l_extendedprice", "y"))) + " FROM lineitem",
     "parse_ratings": f"SELECT l_orderkey AS i, l_partkey AS j, {sql_round('l_quantity', 'r')} FROM lineitem",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gradcheck, linreg
 from ..sources import tables
-from .common import rounded, sql_round
+from .common import rounded, scratch, sql_round
 
 D = 3
 BETA = [math.sin(k) for k in range(D)]          # tests.py-style fixed point
@@ -25,6 +25,7 @@ FW_K = 1.0
 FW_VERTEX = [0.0, FW_K, 0.0]      # a vertex of the L1 ball for the single-step query
 MAX_ITER = 100      # the reference's defaults: the trainers run to their own stop
 EPS = 0.01
+STOPPED_AFTER = 1
 DELTA = 1e-5
 
 
@@ -79,6 +80,15 @@ def q_gd(spark, sf_dir):
     return rounded(fit.beta_df(spark))
 
 
+def q_gd_history(spark, sf_dir):
+    """The history of a run that is stopped after some iterations and then goes
+    on from its log."""
+    points, log = _points(spark, sf_dir), scratch(spark, "gd-log")
+    linreg.train_gd(points, lam=GD_LAM, max_iter=STOPPED_AFTER, eps=EPS, d=D, log=log)
+    fit = linreg.train_gd(points, lam=GD_LAM, max_iter=MAX_ITER, eps=EPS, d=D, log=log)
+    return rounded(fit.history_df(spark).select("k", "objective", "grad_norm_before_step", "gamma", "converged"))
+
+
 def q_gd_poly(spark, sf_dir):
     pts = tables.lineitem_points(spark, sf_dir, degree=2)
     fit = linreg.train_gd(pts, lam=GD_LAM, max_iter=MAX_ITER, eps=EPS, d=D * (D + 3) // 2)
@@ -129,6 +139,7 @@ QUERIES = {
     "linreg_mse": q_mse,
     "linreg_gd": q_gd,
     "linreg_gd_poly": q_gd_poly,
+    "linreg_gd_history": q_gd_history,
     "linreg_fw": q_fw,
     "linreg_fw_poly": q_fw_poly,
     "gradient_check": q_gradient_check,
@@ -188,16 +199,17 @@ def _vector_out(state: str, d: int = D) -> str:
         f"SELECT {i} AS idx, {sql_round(f'b{i}', 'value')} FROM {state}" for i in range(d))
 
 
-def _descent(d: int, pts: str, body: str, stop: str) -> str:
+def _descent(d: int, pts: str, body: str, stop: str, more: str = "", out: str = "") -> str:
     """Recursive CTE ``st(k, done, b0..)``: one row per iterate, until the
-    reference's stop rule or its last iteration."""
-    start = ", ".join(f"0.0::DOUBLE AS b{i}" for i in range(d))
+    reference's stop rule or its last iteration; ``more``: names of further
+    columns of ``body``, ``out``: what is selected instead of the last b."""
+    start = ", ".join([f"0.0::DOUBLE AS b{i}" for i in range(d)] + [f"0.0::DOUBLE AS {c}" for c in more.split()])
     return (f"WITH RECURSIVE {_sums_cte(d, pts)}, st AS (SELECT 0 AS k, false AS done, {start} UNION ALL "
             f"SELECT k + 1 AS k, {stop} AS done, {body} WHERE k < {MAX_ITER} AND NOT done), "
-            "fin AS (SELECT * FROM st ORDER BY k DESC LIMIT 1) " + _vector_out("fin", d))
+            "fin AS (SELECT * FROM st ORDER BY k DESC LIMIT 1) " + (out or _vector_out("fin", d)))
 
 
-def _gd_sql(d: int = D, pts: str = _PTS, lam_value: float = GD_LAM) -> str:
+def _gd_sql(d: int = D, pts: str = _PTS, lam_value: float = GD_LAM, history: bool = False) -> str:
     b = [f"b{i}" for i in range(d)]
     g = [f"g{i}" for i in range(d)]
     c = [f"s.c{i}" for i in range(d)]
@@ -206,8 +218,16 @@ def _gd_sql(d: int = D, pts: str = _PTS, lam_value: float = GD_LAM) -> str:
     a = f"{lam} * {_dot(g, g)} + {_quad(g, g)} / s.n"
     bq = f"2.0 * {_dot(g, c)} / s.n - 2.0 * {lam} * {_dot(b, g)} - 2.0 * {_quad(b, g)} / s.n"
     upd = ", ".join(f"b{i} - (CASE WHEN a = 0 THEN 0.0 ELSE -bq / (2.0 * a) END) * g{i} AS b{i}" for i in range(d))
+    norm = f"sqrt({_dot(g, g)})"
+    if history:
+        obj = f"(s.yy - 2.0 * {_dot(b, c)} + {_quad(b, b)}) / s.n + {lam} * {_dot(b, b)}"
+        body = (f"{upd}, obj, {norm} AS norm, CASE WHEN a = 0 THEN 0.0 ELSE -bq / (2.0 * a) END AS gamma "
+                f"FROM (SELECT t1.* EXCLUDE (obj), {obj} AS obj, {a} AS a, {bq} AS bq FROM (SELECT st.*, {gr} FROM st, s) t1, s) t2")
+        return _descent(d, pts, body, f"{norm} <= {_lit(EPS)}", "obj norm gamma", (
+            f"SELECT k - 1 AS k, {sql_round('obj', 'objective')}, {sql_round('norm', 'grad_norm_before_step')}, "
+            f"{sql_round('gamma', 'gamma')}, norm < {_lit(EPS)} AS converged FROM st WHERE k > 0"))
     body = (f"{upd} FROM (SELECT t1.*, {a} AS a, {bq} AS bq FROM (SELECT st.*, {gr} FROM st, s) t1, s) t2")
-    return _descent(d, pts, body, f"sqrt({_dot(g, g)}) <= {_lit(EPS)}")
+    return _descent(d, pts, body, f"{norm} <= {_lit(EPS)}")
 
 
 def _fw_sql(d: int = D, pts: str = _PTS) -> str:
@@ -330,6 +350,7 @@ ORACLE = {
             sql_round(f"-2.0 * (y - {_pred(BETA)}) * x{k}", f"g{k}") for k in range(D)) + f" FROM {_PTS}"),
     "linreg_mse": _objective_sql(BETA, 0.0, "mse"),
     "linreg_gd": _gd_sql(),
+    "linreg_gd_history": _gd_sql(history=True),
     "linreg_gd_poly": _gd_sql(D2, _PTS2),
     "linreg_fw": _fw_sql(),
     "linreg_fw_poly": _fw_sql(D2, _PTS2),

@@ -25,6 +25,7 @@ STEEP = 1e5
 STEEP_TRIALS = 120
 TRAIN_STEPS = 2
 NEVER = 1e-12
+FULL_STEPS, FULL_EPS = 40, 0.1      # the trainer's defaults
 # forward-difference step of the registered check: large enough that the
 # rounding of each loss (~1e-16) divided by it stays far below 1e-6
 CHECK_DELTA = 1e-3
@@ -158,7 +159,7 @@ def q_train(spark, sf_dir):
 
 
 def q_train_full(spark, sf_dir):
-    """To the trainer's own stop (40 iterations, eps 0.1); no SQL."""
+    """To the trainer's own stop (40 iterations, eps 0.1)."""
     points, cells = _data(spark, sf_dir)
     return rounded(logreg.train(points, cells, lam=LAM).beta)
 
@@ -214,12 +215,12 @@ def _d(v: float) -> str:
 
 _LABELLED = "(SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))"
 _BASE = [
-    "pts AS (SELECT doc_id AS id, CASE WHEN quality = 1 THEN 1.0 ELSE -1.0 END::DOUBLE AS y FROM labels)",
-    f"cells AS (SELECT doc_id AS id, word AS feat, CAST(n AS DOUBLE) / 100.0 AS x "
+    "pts AS MATERIALIZED (SELECT doc_id AS id, CASE WHEN quality = 1 THEN 1.0 ELSE -1.0 END::DOUBLE AS y FROM labels)",
+    f"cells AS MATERIALIZED (SELECT doc_id AS id, word AS feat, CAST(n AS DOUBLE) / 100.0 AS x "
     f"FROM {_counts(_words_token(_LABELLED, 'doc_id'), 'doc_id')})",
     "va AS (SELECT feat, sum(x) AS value FROM cells JOIN pts USING (id) WHERE y > 0 GROUP BY feat)",
     "vb AS (SELECT feat, sum(x) AS value FROM cells JOIN pts USING (id) WHERE y < 0 GROUP BY feat)",
-    f"beta AS (SELECT coalesce(va.feat, vb.feat) AS feat, "
+    f"beta AS MATERIALIZED (SELECT coalesce(va.feat, vb.feat) AS feat, "
     f"(coalesce(va.value, 0.0) - coalesce(vb.value, 0.0)) * {_d(BETA_SCALE)} AS value "
     "FROM va FULL OUTER JOIN vb ON va.feat = vb.feat)",
 ]
@@ -238,12 +239,12 @@ def _loss(y: str, m: str) -> str:
 
 
 def _margins_cte(name: str, beta: str) -> str:
-    return (f"{name} AS (SELECT p.id, p.y, coalesce(sum(c.x * bt.value), 0.0) AS margin FROM pts p "
+    return (f"{name} AS MATERIALIZED (SELECT p.id, p.y, coalesce(sum(c.x * bt.value), 0.0) AS margin FROM pts p "
             f"LEFT JOIN cells c ON c.id = p.id LEFT JOIN {beta} bt ON bt.feat = c.feat GROUP BY p.id, p.y)")
 
 
 def _gradient_cte(name: str, m: str, beta: str, lam: float) -> str:
-    return (f"{name} AS (SELECT feat, sum(v) AS value FROM ("
+    return (f"{name} AS MATERIALIZED (SELECT feat, sum(v) AS value FROM ("
             f"SELECT c.feat, (-mm.y / (1.0 + exp(mm.y * mm.margin))) * c.x AS v FROM cells c JOIN {m} mm ON mm.id = c.id "
             f"UNION ALL SELECT feat, {_d(2.0 * lam)} * value AS v FROM {beta}) GROUP BY feat)")
 
@@ -252,16 +253,16 @@ def _search_ctes(tag: str, m: str, beta: str, g: str, lam: float, kmax: int = lo
     """CTEs bg{tag}, st{tag}, md{tag}, ls{tag}, ch{tag} (the chosen step)."""
     a, b = logreg.ARMIJO_A, logreg.SHRINK_B
     ctes = [
-        f"bg{tag} AS (SELECT coalesce(x1.feat, x2.feat) AS feat, coalesce(x1.value, 0.0) AS b, "
+        f"bg{tag} AS MATERIALIZED (SELECT coalesce(x1.feat, x2.feat) AS feat, coalesce(x1.value, 0.0) AS b, "
         f"coalesce(x2.value, 0.0) AS g FROM {beta} x1 FULL OUTER JOIN {g} x2 ON x1.feat = x2.feat)",
         f"st{tag} AS (SELECT sum(b * b) AS bb, sum(b * g) AS bg, sum(g * g) AS gg FROM bg{tag})",
-        f"md{tag} AS (SELECT mm.id, mm.y, mm.margin, coalesce(dd.dm, 0.0) AS dm FROM {m} mm LEFT JOIN "
+        f"md{tag} AS MATERIALIZED (SELECT mm.id, mm.y, mm.margin, coalesce(dd.dm, 0.0) AS dm FROM {m} mm LEFT JOIN "
         f"(SELECT c.id, sum(c.x * q.g) AS dm FROM cells c JOIN bg{tag} q ON q.feat = c.feat GROUP BY c.id) dd "
         "ON dd.id = mm.id)",
     ]
     sums = [f"sum({_loss('y', 'margin')}) AS f0d"]
     sums += [f"sum({_loss('y', f'margin - {_d(b ** k)} * dm')}) AS l{k}" for k in range(kmax)]
-    ctes.append(f"ls{tag} AS (SELECT {', '.join(sums)} FROM md{tag})")
+    ctes.append(f"ls{tag} AS MATERIALIZED (SELECT {', '.join(sums)} FROM md{tag})")
     lam_d = _d(lam)
     f0 = f"(f0d + {lam_d} * bb)"
     fk = [f"(l{k} + {lam_d} * (bb - 2.0 * {_d(b ** k)} * bg + {_d(b ** k * b ** k)} * gg))" for k in range(kmax)]
@@ -274,15 +275,18 @@ def _search_ctes(tag: str, m: str, beta: str, g: str, lam: float, kmax: int = lo
     return ctes
 
 
-def _train_sql() -> str:
-    ctes = ["b0 AS (SELECT DISTINCT feat, 0.0::DOUBLE AS value FROM cells)", _margins_cte("m0", "b0")]
-    for s in range(1, TRAIN_STEPS + 1):
+def _train_sql(steps: int = TRAIN_STEPS, eps: float = NEVER) -> str:
+    """``steps`` iterations; those after the stop rule hold have step 0."""
+    ctes = ["b0 AS (SELECT DISTINCT feat, 0.0::DOUBLE AS value FROM cells)", _margins_cte("m0", "b0"), "k0 AS (SELECT false AS done)"]
+    for s in range(1, steps + 1):
         p = s - 1
         ctes.append(_gradient_cte(f"g{s}", f"m{p}", f"b{p}", LAM))
         ctes += _search_ctes(str(s), f"m{p}", f"b{p}", f"g{s}", LAM)
-        ctes.append(f"b{s} AS (SELECT feat, b - ch{s}.t * g AS value FROM bg{s}, ch{s})")
-        ctes.append(f"m{s} AS (SELECT id, y, margin - ch{s}.t * dm AS margin FROM md{s}, ch{s})")
-    return _with(*ctes) + f"SELECT feat, {sql_round('value', 'value')} FROM b{TRAIN_STEPS}"
+        ctes.append(f"k{s} AS MATERIALIZED (SELECT CASE WHEN k{p}.done THEN 0.0 ELSE ch{s}.t END AS t, "
+                    f"k{p}.done OR ch{s}.t = 0.0 OR sqrt(gg) <= {_d(eps)} AS done FROM ch{s}, st{s}, k{p})")
+        ctes.append(f"b{s} AS MATERIALIZED (SELECT feat, b - k{s}.t * g AS value FROM bg{s}, k{s})")
+        ctes.append(f"m{s} AS MATERIALIZED (SELECT id, y, margin - k{s}.t * dm AS margin FROM md{s}, k{s})")
+    return _with(*ctes) + f"SELECT feat, {sql_round('value', 'value')} FROM b{steps}"
 
 
 def _steep_sql() -> str:
@@ -344,6 +348,7 @@ ORACLE = {
         f"SELECT {sql_round('t', 't')}, backtracks, {sql_round('f0', 'f0')}, {sql_round('f_new', 'f_new')} FROM ch1"),
     "logreg_line_search_steep": _steep_sql(),
     "logreg_train": _train_sql(),
+    "logreg_train_full": _train_sql(FULL_STEPS, FULL_EPS),
     "logreg_gradient_check": _with(
         _margins_cte("m", "beta"),
         f"pc AS (SELECT c.feat, (-mm.y / (1.0 + exp(mm.y * mm.margin))) * c.x AS g, "

@@ -25,6 +25,7 @@ POWER = 0.2
 LAM = 0.1
 MU = 0.2
 STEPS = 2
+FULL_STEPS = 20     # the trainers' default; epsilon 1e-99 never stops them earlier
 SEED = 1234567
 FREQ = 0.37
 INIT_SCALE = 0.1
@@ -134,7 +135,7 @@ def q_cv_rmse(spark, sf_dir):
     return rounded(summary)
 
 
-# To the trainers' own stop (20 iterations, epsilon 1e-99); no SQL.
+# To the trainers' own stop (20 iterations, epsilon 1e-99).
 
 def q_train_full(spark, sf_dir):
     train, test = _split(spark, sf_dir)
@@ -168,9 +169,13 @@ def q_gradient_check_items(spark, sf_dir):
     return rounded(gradcheck.mf_check(train, U, V, D, MU, CHECK_DELTA, side="item"))
 
 
-def q_init(spark, sf_dir):
+def random_init(spark, sf_dir):
     train, _ = _split(spark, sf_dir)
-    return rounded(_both(mf.random_profiles(train, "user", D, SEED), mf.random_profiles(train, "item", D, SEED)))
+    return mf.random_profiles(train, "user", D, SEED), mf.random_profiles(train, "item", D, SEED)
+
+
+def q_init(spark, sf_dir):
+    return rounded(_both(*random_init(spark, sf_dir)))
 
 
 QUERIES = {
@@ -202,7 +207,7 @@ def _d(v: float) -> str:
     return f"CAST({v!r} AS DOUBLE)"
 
 
-_R = ("R AS (SELECT o_custkey AS i, l_partkey AS j, l_quantity / 50.0 AS r, "
+_R = ("R AS MATERIALIZED (SELECT o_custkey AS i, l_partkey AS j, l_quantity / 50.0 AS r, "
       f"CAST((l_orderkey + l_linenumber) % {FOLDS} AS INTEGER) AS fold "
       "FROM lineitem JOIN orders ON l_orderkey = o_orderkey)")
 
@@ -210,7 +215,7 @@ _R = ("R AS (SELECT o_custkey AS i, l_partkey AS j, l_quantity / 50.0 AS r, "
 def _profiles(name: str, src: str, key: str, p: str) -> str:
     cols = ", ".join(f"sin(CAST({key} AS DOUBLE) * {_d(float(k + 1))} * {_d(FREQ)}) * {_d(INIT_SCALE)} AS {p}{k}"
                      for k in range(D))
-    return f"{name} AS (SELECT {key}, {cols} FROM (SELECT DISTINCT {key} FROM {src}))"
+    return f"{name} AS MATERIALIZED (SELECT {key}, {cols} FROM (SELECT DISTINCT {key} FROM {src}))"
 
 
 def _dot(a: str, b: str) -> str:
@@ -220,7 +225,7 @@ def _dot(a: str, b: str) -> str:
 def _join(name: str, src: str, U: str, V: str, how: str = "JOIN") -> str:
     us = ", ".join(f"{U}.u{k}" for k in range(D))
     vs = ", ".join(f"{V}.v{k}" for k in range(D))
-    return (f"{name} AS (SELECT x.i, x.j, x.r, {us}, {vs}, {_dot('u', 'v')} - x.r AS delta FROM {src} x "
+    return (f"{name} AS MATERIALIZED (SELECT x.i, x.j, x.r, {us}, {vs}, {_dot('u', 'v')} - x.r AS delta FROM {src} x "
             f"{how} {U} ON x.i = {U}.i {how} {V} ON x.j = {V}.j)")
 
 
@@ -229,7 +234,7 @@ def _step(name: str, J: str, key: str, own: str, other: str, gamma: float, reg:
     cols = ", ".join(
         f"any_value({own}{k}) - {_d(gamma)} * sum(2.0 * delta * {other}{k}) - {_d(shrink)} * any_value({own}{k}) "
         f"AS {own}{k}" for k in range(D))
-    return f"{name} AS (SELECT {key}, {cols} FROM {J} GROUP BY {key})"
+    return f"{name} AS MATERIALIZED (SELECT {key}, {cols} FROM {J} GROUP BY {key})"
 
 
 def _base(extra=()) -> str:
@@ -264,7 +269,7 @@ def _expand_both(U: str, V: str) -> str:
             f"SELECT 'item' AS side, j AS id, {fv} FROM {V}")
 
 
-def _cv_sql() -> str:
+def _cv_sql(steps: int = STEPS) -> str:
     ctes = [_R]
     rm = []
     for f in range(FOLDS):
@@ -273,9 +278,9 @@ def _cv_sql() -> str:
         ctes.append(_profiles(f"UA{f}", f"T{f}", "i", "u"))
         ctes.append(_profiles(f"VA{f}", f"T{f}", "j", "v"))
         # the last reported RMSE belongs to the profiles before the last update
-        ctes += _train_ctes(f"c{f}", f"T{f}", f"UA{f}", f"VA{f}", STEPS - 1)
-        last_u = f"Uc{f}_{STEPS - 1}" if STEPS > 1 else f"UA{f}"
-        last_v = f"Vc{f}_{STEPS - 1}" if STEPS > 1 else f"VA{f}"
+        ctes += _train_ctes(f"c{f}", f"T{f}", f"UA{f}", f"VA{f}", steps - 1)
+        last_u = f"Uc{f}_{steps - 1}" if steps > 1 else f"UA{f}"
+        last_v = f"Vc{f}_{steps - 1}" if steps > 1 else f"VA{f}"
         ctes.append(_join(f"X{f}", f"E{f}", last_u, last_v, "LEFT JOIN"))
         rm.append(f"SELECT sqrt(sum(delta * delta) / count(*)) AS rmse FROM X{f}")
     ctes.append("F AS (" + " UNION ALL ".join(rm) + ")")
@@ -361,3 +366,10 @@ ORACLE["mf_gradient_check_items"] = _base([
         for k in range(D)) + ")"]) + (
     f"SELECT j, k, {sql_round('analytic', 'analytic')}, {sql_round('numeric', 'numeric')}, "
     f"{sql_round('abs(analytic - numeric)', 'abs_diff')} FROM C")
+
+# the full trainings: the same steps, as often as the trainers take them
+ORACLE["mf_train_full"] = _base(_train_ctes("t", "T", "U0", "V0", FULL_STEPS)) + _expand_both(f"Ut_{FULL_STEPS}", f"Vt_{FULL_STEPS}")
+ORACLE["mf_fit_all_full"] = "WITH " + ", ".join([
+    _R, _profiles("U0", "R", "i", "u"), _profiles("V0", "R", "j", "v"), *_train_ctes("a", "R", "U0", "V0", FULL_STEPS)]) + (
+    " " + _expand_both(f"Ua_{FULL_STEPS}", f"Va_{FULL_STEPS}"))
+ORACLE["mf_cv_rmse_full"] = _cv_sql(FULL_STEPS)
