@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyho.session import checkpoint_dir, read_table
+from tallyho.session import bounded_broadcast, checkpoint_dir, read_table
 
 # Runs of anything but ASCII white space: the word of sizes and shingles.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "bounded_sample", "crc_mod", "key_of", "read_table", "scratch", "split_buffers", "training_marks",
+__all__ = ["WORD", "apart", "bounded_sample", "chance", "crc_mod", "key_of", "read_table", "scratch", "split_buffers", "training_marks",
            "training_texts", "written"]
 
 
@@ -35,16 +35,36 @@ def crc_mod(doc_id: Column, m: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(m))
 
 
-def bounded_sample(rows: DataFrame, group: str, per_group: int, seed: int = 5) -> tuple[DataFrame, dict]:
-    """About ``per_group`` rows of each value of ``group`` at most, and the
-    full counts by value.  Rows are taken by a hash of their doc_id against a
-    threshold from the counts, so no group is gathered or sorted."""
-    counts = {r[0]: r[1] for r in rows.groupBy(group).count().collect()}
-    draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 20))
-    keep = F.lit(False)
-    for value, n in counts.items():
-        keep = F.when(F.col(group) == F.lit(value), draw < int(min(1.0, per_group / n) * (1 << 20))).otherwise(keep)
-    return rows.where(keep).limit(int(per_group * len(counts) * 1.3) + 100), counts
+def chance(key: Column) -> Column:
+    """A hash as a number from 0 up to 1, in 63 bits."""
+    return key.bitwiseAND(F.lit((1 << 63) - 1)).cast("double") / float(1 << 63)
+
+
+def bounded_sample(rows: DataFrame, group: str, per_group: float, seed: int = 5) -> DataFrame:
+    """(doc_id, text, group) of about ``per_group`` different rows of each value
+    of ``group``, all of a smaller one, and never more than 1.3 times as many in
+    all.  Rows are taken by a hash of what is in them against a share from the
+    (estimated) number of different rows, so reruns agree, no group is gathered
+    or sorted, and a row that is repeated counts once; only the hashes of the
+    sample are ordered and broadcast."""
+    key = F.xxhash64("doc_id", "text", group, F.lit(seed)).alias("_key")
+    rows = rows.select("doc_id", "text", group)
+    keys = written(rows.select(group, key), "sample-keys")
+    counts = written(keys.groupBy(group).agg(F.approx_count_distinct("_key").alias("_n")), "sample-counts")
+    draw = chance(F.col("_key"))
+    some = keys.join(bounded_broadcast(counts), group).where(draw < F.lit(float(per_group)) / F.col("_n"))
+    most = int(1.3 * per_group * counts.count()) + 100
+    some = written(some.select("_key").distinct().orderBy(draw, "_key").limit(most), "sample-chosen")
+    found = rows.withColumn("_key", key).join(F.broadcast(some), "_key")
+    return found.dropDuplicates(["_key"]).select("doc_id", "text", group)
+
+
+def apart(docs: DataFrame):
+    """``docs`` under names that no operator uses (doc_id, text and source keep
+    theirs), and a function that gives the columns of a result their own names
+    back: whatever else a caller's columns are called, they come back untouched."""
+    names = [c if c in ("doc_id", "text", "source") else f"_in_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), lambda rows: rows.select(*names).toDF(*docs.columns)
 
 
 def training_marks(labels: DataFrame, label: str, folds: int = 5) -> DataFrame:
@@ -56,19 +76,23 @@ def training_marks(labels: DataFrame, label: str, folds: int = 5) -> DataFrame:
 
 
 def training_texts(docs: DataFrame, marks: DataFrame, most: dict[int, int]) -> tuple[DataFrame, dict]:
-    """(doc_id, text, label) of a bounded sample of the marked documents, at
-    most about ``most[label]`` each, written once; and all marks by label.
-    Only the sampled marks, bounded by ``most``, are broadcast."""
-    counts, parts = {}, []
+    """(doc_id, text, label) of a bounded sample of the marked documents,
+    ``most[label]`` each (about as many texts), written once; and all marks by label.
+    Marks are drawn first, then, for ids with several texts, the texts.  Only
+    the drawn marks, bounded by ``most``, are broadcast."""
+    counts = {r["label"]: r["count"] for r in marks.where(F.col("label").isin(*most)).groupBy("label").count().collect()}
+    texts, parts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), []
+    draw = chance(F.xxhash64("doc_id", F.lit(5)))
     for value, n in most.items():
-        part, count = bounded_sample(marks.where(F.col("label") == value), "label", n)
-        counts.update(count)
-        parts.append(part)
+        # a few more than n by their hashes, of which the first n
+        share = (n + 6 * n ** 0.5 + 10) / counts.get(value, 1)
+        drawn = marks.where((F.col("label") == value) & (draw < share)).select("doc_id", "label")
+        drawn = written(drawn.orderBy(draw, "doc_id").limit(n), "sample-marks")
+        parts.append(bounded_sample(texts.join(F.broadcast(drawn), "doc_id"), "label", 1.3 * n))
     sample = parts[0]
     for p in parts[1:]:
         sample = sample.unionAll(p)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return written(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label"), "sample"), counts
+    return written(sample, "sample"), counts
 
 
 def key_of(c: Column) -> Column:

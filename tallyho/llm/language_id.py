@@ -167,7 +167,7 @@ def fit(train: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | No
     """A model from a bounded sample of (doc_id, text, lang) rows."""
     rows = train.where("lang is not null and text is not null").select("doc_id", "text", "lang")
     languages = max(1, rows.select("lang").distinct().count())
-    sample, _ = bounded_sample(rows, "lang", max(20, min(per_language, SAMPLE_ROWS // languages)))
+    sample = bounded_sample(rows, "lang", min(per_language, SAMPLE_ROWS / languages))
 
     def features(batches):
         import pyarrow as pa
@@ -190,7 +190,7 @@ def fit(train: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | No
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with lang_pred and score."""
     new = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    docs = docs.select(*[c for c in docs.columns if c not in new.names])
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in new.names])
 
     columns = docs.columns + new.names
 

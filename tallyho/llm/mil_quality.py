@@ -208,7 +208,7 @@ def fit(docs: DataFrame, marks: DataFrame, per_label: int = SAMPLE_PER_LABEL) ->
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with score."""
-    docs = docs.select(*[c for c in docs.columns if c != "score"])
+    docs = docs.select(*[c for c in docs.columns if c.lower() != "score"])
 
     names = docs.columns + ["score"]
 

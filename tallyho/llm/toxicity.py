@@ -380,7 +380,7 @@ def fit(docs: DataFrame, marks: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with score and the hit terms as written in the lexicon."""
     new = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("terms", T.ArrayType(T.StringType()))])
-    docs = docs.select(*[c for c in docs.columns if c not in new.names])
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in new.names])
 
     names = docs.columns + new.names
 
