@@ -10,6 +10,12 @@ Each stage reads what its predecessor kept, as a Parquet table:
 4. ``secret_scan``      – secrets are masked, every document stays;
 5. ``mixture``          – sources are mixed to their target weights; documents
    that the mix takes, in training order, with how many of their words.
+
+Stages 1 to 4 return the columns of ``documents`` untouched, whatever they are
+called; the last one adds size, source_size, target, taken and position.  A null,
+empty or blank text is scored like any other by stage 1 and then passes; rows
+with a null doc_id pass stage 2; of rows that repeat a doc_id and text one
+stays, and of several texts that link one; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -17,14 +23,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyho.llm import curriculum, decontaminate, jaccard_join, mil_quality, secrets
-from tallyho.llm.common import read_table, training_marks, written
+from tallyho.llm.common import apart, read_table, training_marks, written
 
 MIN_QUALITY = 0.3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = mil_quality.fit(docs, training_marks(read_table(spark, sf_dir, "labels"), "quality"))
-    return mil_quality.score(docs, model).where(f"score >= {MIN_QUALITY}").select(*docs.columns)
+    rows, back = apart(docs)
+    model = mil_quality.fit(rows, training_marks(read_table(spark, sf_dir, "labels"), "quality"))
+    return back(mil_quality.score(rows, model).where(f"score >= {MIN_QUALITY}"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

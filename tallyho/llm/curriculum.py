@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyho.llm.common import WORD, key_of, written
+from tallyho.llm.common import WORD, apart, key_of, written
 from tallyho.session import bounded_broadcast
 
 BUCKET_ROWS = 5_000
@@ -142,10 +142,13 @@ def assign(docs: DataFrame, max_epochs: int = MAX_EPOCHS, bucket_rows: int = BUC
 def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The training order: every column of the taken documents with ``size``,
     ``taken`` and ``position``, range-sorted by position.  ``taken`` above
-    ``size`` says how often the document is repeated."""
+    ``size`` says how often the document is repeated.  Columns of ``docs`` under
+    one of the five new names, in any case, are replaced."""
     extra = ["size", "source_size", "target", "taken", "position"]
-    keep = [c for c in docs.columns if c not in extra]
-    rows = docs.select(*keep).withColumn("_row", F.xxhash64(*keep))
+    names = [c for c in docs.columns if c.lower() not in extra]
+    rows, _ = apart(docs.select(*names))
+    keep = rows.columns
+    rows = rows.withColumn("_row", F.xxhash64(*keep))
     mixed = assign(rows, max_epochs, carry=("_row",)).where("position is not null")
     mixed = mixed.groupBy("doc_id", "_row").agg(
         *[F.min(c).alias(c) for c in ("size", "source_size", "target", "position")],
@@ -153,4 +156,4 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     mixed = mixed.withColumn("taken", F.expr("_all div _n")).drop("_all", "_n")
     joined = rows.withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(-1))).join(
         mixed.withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(-1))).drop("doc_id"), ["_id", "_row"])
-    return joined.select(*keep, *extra).orderBy("position", "doc_id")
+    return joined.select(*keep, *extra).toDF(*names, *extra).orderBy("position", "doc_id")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyho.llm.bytes_words import ALNUM, LOWER, find_words, prefix_hash, range_hash
-from tallyho.llm.common import scratch, split_buffers
+from tallyho.llm.common import apart, scratch, split_buffers
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -321,5 +321,6 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the contaminated documents."""
-    return contamination(docs, benchmark, window).where("not contaminated").select(*docs.columns)
+    """``docs`` without the contaminated documents, their columns untouched."""
+    rows, back = apart(docs)
+    return back(contamination(rows, benchmark, window).where("not contaminated"))

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyho.llm.common import WORD
+from tallyho.llm.common import WORD, apart
 
 MIN_WORDS = 50
 MAX_LOST = 0.5
@@ -94,5 +94,5 @@ def judge(docs: DataFrame, min_words: int = MIN_WORDS, max_lost: float = MAX_LOS
 
 def clean(docs: DataFrame) -> DataFrame:
     """The kept documents with their cleaned text, in the columns of ``docs``."""
-    kept = judge(docs).where("kept").withColumn("text", F.col("clean_text"))
-    return kept.select(*docs.columns)
+    rows, back = apart(docs)
+    return back(judge(rows).where("kept").withColumn("text", F.col("clean_text")))

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyho.llm.common import scratch
+from tallyho.llm.common import apart, scratch
 
 RULE_VERSION = "2024-1"
 
@@ -171,8 +171,9 @@ def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, folder: str
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]", folder: str | None = None) -> DataFrame:
     """``docs`` with every found span replaced by ``mark``; no document goes.
-    Overlapping spans become one mark.  Only blobs that the ledger in
-    ``folder`` lacks are scanned."""
+    Overlapping spans become one mark; other columns stay as they are.  Only
+    blobs that the ledger in ``folder`` lacks are scanned."""
+    docs, back = apart(docs)
     found = ledger_findings(docs, rules, folder).select("blob", F.sort_array(F.transform(
         "findings", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))).alias("_spans"))
     salts = 16
@@ -186,4 +187,4 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
         .otherwise(a["out"]).alias("out"), x["end"].alias("pos")))
     done = F.aggregate("_spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("pos")), step,
                        lambda a: F.concat(a["out"], piece(a, F.length(text) + a["pos"])))
-    return rows.withColumn("text", F.when(F.col("_spans").isNull(), text).otherwise(done)).select(*docs.columns)
+    return back(rows.withColumn("text", F.when(F.col("_spans").isNull(), text).otherwise(done)))
