@@ -10,12 +10,17 @@ counted over the corpus.  Within the shared prefix the same rule holds again
 with the corpus order (rarest first), so the shingles a set is looked up by
 are about its ``(1 - t) n`` rarest, and most sets have none that occurs twice.
 
-*Token combinations.*  Rare shingles are indexed alone.  Frequent ones (more
-than ``RARE`` documents) are indexed, for sets of at most ``SMALL`` shingles,
-by pairs in a prefix that is one longer: sets that link share two shingles
-there, so either a rare one or a frequent pair meets.  Longer sets have too
-many pairs and index frequent shingles alone.  Sets near a limit use both
-sides' keys, so no pair falls between them.  Keys also carry a size band.
+*Token combinations.*  Rare shingles (up to ``RARE`` documents) are indexed alone.
+Frequent ones are indexed by pairs in a prefix that is one longer: sets that link
+share two shingles there, so either a single or a pair meets.  Pairs tell sets
+apart that share some boilerplate; for sets that share most of their prefix they
+are only many rows.  So a frequent shingle whose sets hold more than ``CROWD``
+frequent ones in their prefixes, on the average, is indexed alone as well.  This is
+a class of the shingle, the same in all sets, so no link is lost; and as the sum
+of all sets' squared numbers of paired shingles is at most ``CROWD`` times the
+sum of the numbers, pairs are at most ``CROWD / 2`` rows a shingle, whatever the
+sizes of sets and groups.  Sets too small to share two are indexed by singles.
+Keys also carry a size band.
 
 *Verification* compares whole sets, rebuilt from the texts: a key's members with
 one leader, not with each other, and what that leaves in more than one component
@@ -35,6 +40,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -47,7 +53,7 @@ from tallyho.session import bounded_broadcast
 
 WORDS, PERCENT = 5, 80
 RARE = 64
-SMALL = 128
+CROWD = 4
 SHARD_BYTES = 2 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -77,23 +83,9 @@ def row_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.ndarr
     return out
 
 
-def least(n: int, percent: int) -> int:
-    """ceil(t n): what a partner must share at least."""
-    return -(-percent * n // 100)
-
-
-def spare(n: int) -> int:
-    """k: how many shared shingles the first prefix guarantees."""
-    return max(1, -(-n // 10))
-
-
 def first_prefix(n: int, percent: int) -> int:
-    return min(n, n - least(n, percent) + spare(n))
-
-
-def second_prefix(n: int, percent: int) -> int:
-    """How many of the first prefix, rarest first, must hold a shared one."""
-    return max(0, first_prefix(n, percent) - spare(least(n, percent)) + 1)
+    """n - ceil(t n) + k, with k a tenth of n."""
+    return min(n, n - -(-percent * n // 100) + max(1, -(-n // 10)))
 
 
 def text_hash():
@@ -130,46 +122,32 @@ def prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, t long, n long, cls long, f long, tokens array<long>")
 
 
-def _band(n: int, percent: int) -> int:
-    return int(np.log(n) / -np.log((percent - 1) / 100))
-
-
-def keys(grouped: DataFrame, percent: int, rare: int, small: int) -> DataFrame:
+def keys(grouped: DataFrame, percent: int, rare: int, crowd: float) -> DataFrame:
     """(key, cls, n) from (cls, n, tokens: array<struct<df, token>> rarest
     first): single shingles and pairs, with their size band."""
-    def of(n, tokens):
-        size, short, two = first_prefix(n, percent), second_prefix(n, percent), spare(least(n, percent)) >= 2
-        unique = size - len(tokens)
-        first, longer = tokens[:max(0, short - unique)], tokens[:max(0, short + 1 - unique)]
-        limit = small * 100 // percent + 1          # the largest partner of a small set
-        out = set()
-        if n > small or not two:
-            out.update(t for _, t in first)
-        if n <= limit:
-            out.update(t for df, t in longer if df <= rare)
-            often = [t for df, t in longer if df > rare]
-            out.update(hash((a, b, 2)) for i, a in enumerate(often) for b in often[i + 1:])
-        if two and n <= 100 * 100 // percent // 5:  # partners may be too small for pairs
-            out.update(t for _, t in first)
-        return out
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            rows = []
-            for cls, n, tokens in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                band = _band(n, percent)
-                for k in of(n, [(t["df"], t["token"]) for t in tokens]):
-                    rows += [(hash((k, band)), cls, n), (hash((k, band + 1)), cls, n)]
-                if len(rows) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
-
-    names = ["key", "cls", "n"]
-    return grouped.mapInArrow(run, "key long, cls long, n long")
+    spared = lambda n: f"greatest(1, ({n} + 9) div 10)"
+    rows = grouped.withColumn("share", F.expr(f"({percent} * n + 99) div 100"))
+    rows = rows.withColumn("prefix", F.expr(f"least(n, n - share + {spared('n')})")).withColumn("both", F.expr(spared("share")))
+    # of the first prefix, rarest first, the shingles of this set alone go before all others
+    rows = rows.withColumn("short", F.expr("greatest(0, prefix - both + 1) - (prefix - size(tokens))"))
+    start = lambda n: F.slice("tokens", F.lit(1), F.greatest(F.least(n, F.size("tokens")), F.lit(0)).cast("int"))
+    rows = rows.select("cls", "n", "both", start(F.col("short")).alias("first"), start(F.col("short") + 1).alias("longer"))
+    single = F.xxhash64(F.lit(1), "t.token").alias("k")
+    # partners of the larger ones may be too small for pairs
+    few = rows.where(f"both < 2 or n <= {100 * 100 // percent // 5}").select("cls", "n", F.explode("first").alias("t")).select("cls", "n", single)
+    rows = rows.where("both >= 2").withColumn("often", F.filter("longer", lambda t: t["df"] > rare))
+    seldom = rows.select("cls", "n", F.explode(F.slice("longer", F.lit(1), F.size("longer") - F.size("often"))).alias("t")).select("cls", "n", single)
+    often = written(rows.select("cls", "n", F.size("often").alias("m"), F.explode("often").alias("t")), "join-frequent")
+    crowded = written(often.groupBy("t.token").agg(F.avg("m").alias("m")).where(F.col("m") > crowd).select("token"), "join-crowded")
+    alone = bounded_broadcast(crowded, BROADCAST_IDS).withColumn("alone", F.lit(True))
+    often = often.join(alone, F.col("t.token") == F.col("token"), "left").select("cls", "n", "t", "alone")
+    paired = often.where("alone is null").groupBy("cls", "n").agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    paired = paired.select("cls", "n", "ts", F.posexplode("ts").alias("i", "a")).select(
+        "cls", "n", "a", F.explode(F.slice("ts", F.col("i") + 2, F.size("ts"))).alias("b"))
+    out = few.unionAll(seldom).unionAll(often.where("alone").select("cls", "n", single)).unionAll(
+        paired.select("cls", "n", F.xxhash64(F.lit(2), "a.token", "b.token").alias("k"))).distinct()
+    band = F.floor(F.log(F.col("n").cast("double")) / -math.log((percent - 1) / 100))
+    return out.select(F.explode(F.array(band, band + 1)).alias("band"), "k", "cls", "n").select(F.xxhash64("k", "band").alias("key"), "cls", "n")
 
 
 def rarest_first(rows: DataFrame) -> DataFrame:
@@ -210,7 +188,7 @@ def class_sets(docs: DataFrame, heads: DataFrame, words: int) -> DataFrame:
     return written(sets.dropDuplicates(["cls"]), "join-sets") if several else sets
 
 
-def _linked(docs: DataFrame, words: int, percent: int, rare: int, small: int) -> DataFrame:
+def _linked(docs: DataFrame, words: int, percent: int, rare: int, crowd: float) -> DataFrame:
     """(doc_id, t: hash of the text, n, comp, component_id) of every document;
     ``comp`` is null where nothing can link."""
     sets = written(prefixes(docs, words, percent), "join-sets")
@@ -218,7 +196,7 @@ def _linked(docs: DataFrame, words: int, percent: int, rare: int, small: int) ->
     classes = written(sets.where(real).groupBy("cls", "f", "n").agg(F.min("doc_id").alias("doc_id")), "join-classes")
     shared = rarest_first(sets.select("cls", F.explode("tokens").alias("token")))
     grouped = classes.select("cls", "n").join(shared, "cls").select("cls", "n", "tokens")
-    posted = written(keys(grouped, percent, rare, small), "join-keys")
+    posted = written(keys(grouped, percent, rare, crowd), "join-keys")
     members = written(needed_keys(posted), "join-members")
     involved = bounded_broadcast(members.select("cls").distinct(), BROADCAST_IDS, materialize=True)
     heads = written(classes.join(involved, "cls", "left_semi").select("cls", "doc_id"), "join-heads")
@@ -234,16 +212,16 @@ def _linked(docs: DataFrame, words: int, percent: int, rare: int, small: int) ->
     return linked.unionAll(alone)
 
 
-def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rare: int = RARE, small: int = SMALL) -> DataFrame:
+def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, rare: int = RARE, crowd: float = CROWD) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    return _linked(docs, words, percent, rare, small).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return _linked(docs, words, percent, rare, crowd).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group: the smallest doc_id, and of
     several texts with it one.  Documents that can link to nothing (no id, no
     words) stay."""
-    found = written(_linked(docs, words, percent, RARE, SMALL), "join-found")
+    found = written(_linked(docs, words, percent, RARE, CROWD), "join-found")
     kept = found.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "t")).alias("k")).select("k.doc_id", "k.t")
     kept = kept.unionAll(found.where("comp is null and doc_id is not null").select("doc_id", "t").distinct())
     mine = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("t"))

@@ -32,15 +32,29 @@ def unique_ids(rows):
     return {d: (d, t) for d, t, *_ in rows if d is not None}.values()
 
 
-@pytest.mark.parametrize("words,percent,rare,small", [(3, 90, 64, 128), (3, 80, 1, 20)])
-def test_join_equals_all_pairs(spark, words, percent, rare, small):
+@pytest.mark.parametrize("words,percent,rare,crowd", [(3, 90, 64, 4), (3, 80, 1, 20), (3, 80, 1, 2.5), (2, 85, 3, 0), (3, 90, 0, 1e9)])
+def test_join_equals_all_pairs(spark, words, percent, rare, crowd):
     rows = near_copies()
-    got = jaccard_join.join(table(spark, rows), words, percent, rare, small).collect()
+    got = jaccard_join.join(table(spark, rows), words, percent, rare, crowd).collect()
     want = brute.components([(d, t) for d, t, *_ in rows], words, percent)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
     assert len(got) == len(rows)
 
 
+def test_pair_keys_are_bounded(spark):
+    """Sets that share their whole prefix are not indexed by all its pairs, and
+    boilerplate in otherwise different sets is."""
+    copies = [(k, 200, [(300, t) for t in range(60)]) for k in range(300)]
+    # 44 shingles that few sets have, then 16 that 90 sets have: two of these are in the longer prefix
+    other = [(1000 + k, 200, [(2, 10_000 + 50 * k + j) for j in range(44)] + [(90, 900 + j) for j in range(16)]) for k in range(90)]
+    grouped = spark.createDataFrame(copies + other, "cls long, n long, tokens array<struct<df: long, token: long>>")
+    got = jaccard_join.keys(grouped, 80, 64, 4).collect()
+    rows = {c: sum(r["cls"] == c for r in got) for c in (0, 299, 1000, 1089)}
+    # 60 - 16 + 1 shingles and one more, each under two bands
+    assert rows[0] == rows[299] == 2 * 46 and rows[1000] == rows[1089] == 2 * (44 + 1)
+    assert len(got) == len(set(got))
+
+
 def test_chain_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 40)] + [(100, 99)], "a long, b long")
     got = {r["cls"]: r["comp"] for r in star_links.components(edges).collect()}
