@@ -130,11 +130,12 @@ def keys(grouped: DataFrame, percent: int, rare: int, crowd: float) -> DataFrame
     rows = rows.withColumn("prefix", F.expr(f"least(n, n - share + {spared('n')})")).withColumn("both", F.expr(spared("share")))
     # of the first prefix, rarest first, the shingles of this set alone go before all others
     rows = rows.withColumn("short", F.expr("greatest(0, prefix - both + 1) - (prefix - size(tokens))"))
-    start = lambda n: F.slice("tokens", F.lit(1), F.greatest(F.least(n, F.size("tokens")), F.lit(0)).cast("int"))
-    rows = rows.select("cls", "n", "both", start(F.col("short")).alias("first"), start(F.col("short") + 1).alias("longer"))
+    start = lambda c, n: F.slice(c, F.lit(1), F.greatest(F.least(n, F.size(c)), F.lit(0)).cast("int"))
+    rows = rows.select("cls", "n", "both", "short", start("tokens", F.col("short") + 1).alias("longer")).where("size(longer) > 0")
+    rows = written(rows, "join-prefixes")
     single = F.xxhash64(F.lit(1), "t.token").alias("k")
     # partners of the larger ones may be too small for pairs
-    few = rows.where(f"both < 2 or n <= {100 * 100 // percent // 5}").select("cls", "n", F.explode("first").alias("t")).select("cls", "n", single)
+    few = rows.where(f"both < 2 or n <= {100 * 100 // percent // 5}").select("cls", "n", F.explode(start("longer", F.col("short"))).alias("t")).select("cls", "n", single)
     rows = rows.where("both >= 2").withColumn("often", F.filter("longer", lambda t: t["df"] > rare))
     seldom = rows.select("cls", "n", F.explode(F.slice("longer", F.lit(1), F.size("longer") - F.size("often"))).alias("t")).select("cls", "n", single)
     often = written(rows.select("cls", "n", F.size("often").alias("m"), F.explode("often").alias("t")), "join-frequent")
