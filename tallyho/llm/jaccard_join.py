@@ -135,18 +135,21 @@ def keys(grouped: DataFrame, percent: int, rare: int, crowd: float) -> DataFrame
     rows = written(rows, "join-prefixes")
     single = F.xxhash64(F.lit(1), "t.token").alias("k")
     # partners of the larger ones may be too small for pairs
-    few = rows.where(f"both < 2 or n <= {100 * 100 // percent // 5}").select("cls", "n", F.explode(start("longer", F.col("short"))).alias("t")).select("cls", "n", single)
+    small = f"n <= {100 * 100 // percent // 5}"
+    few = rows.where("both < 2").select("cls", "n", F.explode(start("longer", F.col("short"))).alias("t")).select("cls", "n", single)
     rows = rows.where("both >= 2").withColumn("often", F.filter("longer", lambda t: t["df"] > rare))
-    seldom = rows.select("cls", "n", F.explode(F.slice("longer", F.lit(1), F.size("longer") - F.size("often"))).alias("t")).select("cls", "n", single)
-    often = written(rows.select("cls", "n", F.size("often").alias("m"), F.explode("often").alias("t")), "join-frequent")
+    rows = rows.withColumn("m", F.size("often")).withColumn("at", F.size("longer") - F.col("m"))
+    seldom = rows.select("cls", "n", F.explode(F.slice("longer", F.lit(1), F.col("at"))).alias("t")).select("cls", "n", single)
+    often = rows.select("cls", "n", "m", "at", "short", F.posexplode("often").alias("i", "t"))
+    often = written(often.select("cls", "n", "m", "t", F.expr(f"{small} and at + i < short").alias("early")), "join-frequent")
     crowded = written(often.groupBy("t.token").agg(F.avg("m").alias("m")).where(F.col("m") > crowd).select("token"), "join-crowded")
     alone = bounded_broadcast(crowded, BROADCAST_IDS).withColumn("alone", F.lit(True))
-    often = often.join(alone, F.col("t.token") == F.col("token"), "left").select("cls", "n", "t", "alone")
+    often = often.join(alone, F.col("t.token") == F.col("token"), "left").select("cls", "n", "t", "alone", "early")
     paired = often.where("alone is null").groupBy("cls", "n").agg(F.sort_array(F.collect_list("t")).alias("ts"))
     paired = paired.select("cls", "n", "ts", F.posexplode("ts").alias("i", "a")).select(
         "cls", "n", "a", F.explode(F.slice("ts", F.col("i") + 2, F.size("ts"))).alias("b"))
-    out = few.unionAll(seldom).unionAll(often.where("alone").select("cls", "n", single)).unionAll(
-        paired.select("cls", "n", F.xxhash64(F.lit(2), "a.token", "b.token").alias("k"))).distinct()
+    out = few.unionAll(seldom).unionAll(often.where("alone or early").select("cls", "n", single)).unionAll(
+        paired.select("cls", "n", F.xxhash64(F.lit(2), "a.token", "b.token").alias("k")))
     band = F.floor(F.log(F.col("n").cast("double")) / -math.log((percent - 1) / 100))
     return out.select(F.explode(F.array(band, band + 1)).alias("band"), "k", "cls", "n").select(F.xxhash64("k", "band").alias("key"), "cls", "n")
 
