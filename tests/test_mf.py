@@ -189,3 +189,21 @@ def test_a_model_that_stops_leaves_the_others(spark):
     assert summary.first()["cv_rmse"] == pytest.approx((per_fold[0][1] + per_fold[2][1]) / 2)
     _, stopped = mf.cross_validate(R, folds=3, d=2, maxiter=3, seed=9, epsilon=1e9)
     assert [len(h) for _, _, h in stopped] == [2, 2, 2]
+
+
+@pytest.mark.parametrize("n", [1, 7])
+def test_profiles_over_the_bound_meet_ratings_in_a_grid(spark, n):
+    """Same rows as a plain join: repeated pairs, nulls, unknown ids, one user of most ratings."""
+    rows = [(0, j % 5, float(j)) for j in range(40)] + [(i, 1, 1.5) for i in range(9)] * 2
+    R = _ratings(spark, rows + [(None, 1, 1.0), (1, None, 1.0), (None, None, 2.0), (2, 3, None), (77, 1, 1.0), (1, 77, 1.0)])
+    U = spark.createDataFrame([(i, [float(i), 0.5]) for i in range(8)] + [(8, None), (None, [1.0, 1.0])], "i BIGINT, u ARRAY<DOUBLE>")
+    V = spark.createDataFrame([(j, [1.0, float(j)]) for j in range(5)] + [(4, [2.0, 2.0])], "j BIGINT, v ARRAY<DOUBLE>")
+    show = lambda df: sorted(map(repr, df.select("i", "j", "r", "u", "v").collect()))
+    want = R.join(U, "i").join(V, "j")
+    assert show(blocks.joined_on_grid(R, U, V, n)) == show(want)
+    J = mf.join_predict(R, U, V, 2, max_broadcast_rows=1)
+    assert show(J) == show(want)
+    assert sorted(map(repr, J.collect())) == sorted(map(repr, mf.join_predict(R, U, V, 2, True, True).collect()))
+    # no exchange carries a rating and a vector: the joins' own exchanges are gone
+    plan = J.select("i", "delta")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange ") == 1
