@@ -207,3 +207,38 @@ def test_profiles_over_the_bound_meet_ratings_in_a_grid(spark, n):
     # no exchange carries a rating and a vector: the joins' own exchanges are gone
     plan = J.select("i", "delta")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("Exchange ") == 1
+
+
+def test_profiles_over_the_bound_train_in_a_grid(spark, monkeypatch):
+    """Same factors and histories as with broadcast profiles: repeated pairs, nulls, unknown ids, held-out ratings, several
+    blocks of ratings a task, one user of most ratings; ratings are exchanged once and never meet a join."""
+    rows = [(i, j, float((7 * i + j) % 5), (i + j) % 3) for i in range(12) for j in range(9) if (i * j) % 4 != 1]
+    rows += [(0, j % 9, 1.5, j % 3) for j in range(200)] + [(3, 3, None, 0), (None, 3, 1.0, 1), (3, None, 1.0, 2), (4, 4, 1.0, None)]
+    R = spark.createDataFrame(rows, "i BIGINT, j BIGINT, r DOUBLE, fold INT")
+    U = spark.createDataFrame([(i, [0.1 * i, 0.5, -0.2]) for i in range(11)] + [(2, [0.3, 0.1, 0.0]), (40, [1.0, 1.0, 1.0])], "i BIGINT, u ARRAY<DOUBLE>")
+    V = spark.createDataFrame([(j, [0.4, 0.1 * j, 0.3]) for j in range(9)], "j BIGINT, v ARRAY<DOUBLE>")
+    kw = dict(d=3, gain=0.01, lam=0.1, mu=0.2, maxiter=2)
+    train, test = mf.fold_split(R, 1)
+    fits = lambda: [mf.train(train, test, U0=U, V0=V, **kw)]
+    numbers = lambda history: [-1.0 if v is None else v for h in history for v in h[:-1]]
+    folds = lambda: mf.cross_validate(R.where("fold is not null"), init=lambda tr: (U, V), **{**kw, "maxiter": 1})[1]
+    want, want_cv = fits(), folds()
+    monkeypatch.setattr(mf, "profile_broadcast_rows", lambda d: 1)
+    monkeypatch.setattr(blocks, "GRID_STEP", 16)
+    monkeypatch.setattr(mf, "lay_out_ratings", None)
+    for a, b in zip(want, fits()):
+        for x, y, key, vec in ((a.U, b.U, "i", "u"), (a.V, b.V, "j", "v")):
+            assert x.schema == y.schema
+            x, y = (sorted((r[key], *r[vec]) for r in t.collect()) for t in (x, y))
+            assert len(x) == len(y) and [v for r in y for v in r] == pytest.approx([v for r in x for v in r], rel=1e-12, abs=1e-14)
+        assert numbers(b.history) == pytest.approx(numbers(a.history), rel=1e-9)
+    for (k, a, g), (m, b, h) in zip(want_cv, folds()):
+        assert k == m and a == pytest.approx(b, rel=1e-12) and numbers(g) == pytest.approx(numbers(h), rel=1e-9)
+    with pytest.raises(Exception, match="entries"):
+        mf.train(R, d=2, maxiter=1, U0=U, V0=V)
+    grid = blocks.lay_out_grid(R)
+    sums = grid.sums(U.withColumn("f", F.lit(-1)), V.withColumn("f", F.lit(-1)), 3)
+    assert exchanged_scans(sums, grid.names[0]) == (1, 0)
+    assert {(r["kind"], r["f"]) for r in sums.collect()} == {(k, -1) for k in range(3)}
+    assert blocks.lay_out_grid(R, block_ratings=10).n == 6
+    grid.drop()
