@@ -236,3 +236,23 @@ def test_trial_rows_do_not_grow_with_the_points(spark):
     for k, t in ((-1, 0.0), (0, 1.0), (3, logreg.SHRINK_B ** 3)):
         want = sum(math.log1p(math.exp(-r["y"] * (r["margin"] - t * r["dm"]))) for r in rows)
         assert got[k]["loss"] == pytest.approx(want, rel=1e-12)
+
+
+def test_a_line_search_joins_the_cells_once(spark, monkeypatch):
+    """One join for margins and direction, nothing laid out; the same search as in blocks, also without a broadcast."""
+    points, cells = tables.labelled_points(spark, SMALL)
+    cells = logreg.cut_lineage(cells)
+    points = points.unionAll(spark.createDataFrame([(-5, 1.0)], "id LONG, y DOUBLE"))            # a point without cells
+    beta = cells.groupBy("feat").agg((F.sum("x") * 0.01).alias("value"))
+    g = logreg.gradient(points, cells, beta, 0.1)
+    want = logreg.line_search(points, cells, beta, g, 0.1, blocks=3)
+    monkeypatch.setattr(logreg, "laid_out", None)
+    found = logreg.line_search(points, cells, beta, g, 0.1)
+    assert found.backtracks == want.backtracks
+    assert (found.f0, found.f_new, found.grad_sq) == pytest.approx((want.f0, want.f_new, want.grad_sq), rel=1e-12)
+    bg = logreg.cut_lineage(logreg.paired(beta, g, "b", "g"))
+    rows = {r["id"]: r for r in logreg.margins_along(points, cells, bg).collect()}
+    assert len(rows) == points.count() and (rows[-5]["margin"], rows[-5]["dm"]) == (0.0, 0.0)
+    monkeypatch.setattr(logreg, "bounded_broadcast", lambda df: df)
+    again = logreg.line_search(points, cells, beta, g, 0.1)
+    assert (again.backtracks, again.f_new) == (want.backtracks, pytest.approx(want.f_new, rel=1e-12))
