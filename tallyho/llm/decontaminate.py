@@ -1,6 +1,6 @@
 """Benchmark decontamination with training suffix arrays.
 
-The training side is cut into shards (a few megabytes of documents each).  A
+The training side is cut into shards (a megabyte of documents each).  A
 shard's words become ranks in the benchmark's vocabulary, 0 for all others, and
 its suffix array is built over the suffixes that can hold a match: those that
 begin with as many benchmark words in a row as the shortest window has.  Every
@@ -36,7 +36,7 @@ from tallyho.llm.common import apart, scratch, split_buffers
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20          # a shard's arrays take about 40 bytes a byte of text
 MATCH = "item_id string, item_word long, doc_word long, words long"
 _NEW = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.LongType())),
                      T.StructField("items", T.ArrayType(T.StringType()))])

@@ -358,3 +358,27 @@ def test_damaged_archives_are_found():
     for bad in (good[:-9], good + b"junk", warc.encode_record(1, "u", b"other", "0" * 64, None)):
         with pytest.raises(ValueError, match="damaged record"):
             list(warc.iterate_records(io.BytesIO(bad)))
+
+
+def test_shards_of_decontamination_take_little_memory():
+    """Arrays of a task do not grow with a batch: 16 MB of texts, and the same hits as from one shard."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tallyho.llm import decontaminate as D
+    from tallyho.llm.common import split_buffers
+    item = " ".join(f"w{k}" for k in range(20))
+    texts = [("some other words of a text " * 2000 + (item if k % 3 else "") + " and so on") * 2 for k in range(160)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    items = D.TestSet([("a", item)], 13)
+    search = lambda size: [(int(n), s, i) for _, data, offsets, _ in split_buffers(batch, "text", size)
+                           for n, s, i in zip(*D.search_shard(data, offsets, items))]
+    want = search(1 << 30)
+    tracemalloc.start()
+    found = search(D.SHARD_BYTES)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == want and {len(s) for _, s, _ in found} == {0, 4}
+    assert peak < 80e6, peak
