@@ -256,3 +256,56 @@ def test_a_line_search_joins_the_cells_once(spark, monkeypatch):
     monkeypatch.setattr(logreg, "bounded_broadcast", lambda df: df)
     again = logreg.line_search(points, cells, beta, g, 0.1)
     assert (again.backtracks, again.f_new) == (want.backtracks, pytest.approx(want.f_new, rel=1e-12))
+
+
+def odd_cells(spark):
+    """Repeated cells, points and weights, nulls, documents without points and words without documents."""
+    rows = [(k, f"w{j}", (k * j % 7 - 3) / 4) for k in range(40) for j in range(k % 9)]
+    cells = spark.createDataFrame([*rows, *rows[:9], (3, None, 2.0), (None, "w1", 1.0), (5, "rare", None), (77, "alone", 1.0)],
+                                  "id LONG, feat STRING, x DOUBLE")
+    w = spark.createDataFrame([*((k, math.sin(k)) for k in range(39)), (2, 0.5), (None, 1.0), (4, None)], "id LONG, w DOUBLE")
+    vec = spark.createDataFrame([*((f"w{j}", math.cos(j)) for j in range(7)), ("w1", 0.25), (None, 3.0), ("w2", None), ("new", 1.0)],
+                                "feat STRING, value DOUBLE")
+    return cells, w, vec
+
+
+def sums(df, key, value):
+    out = {r[0]: r[1] or 0.0 for r in df.groupBy(key).agg(F.sum(value)).collect()}
+    assert len(out) == df.select(key).distinct().count()
+    return out
+
+
+@pytest.mark.parametrize("hot", [3, 1000])
+def test_packed_cells_give_the_joins_sums(spark, hot):
+    cells, w, vec = odd_cells(spark)
+    plain = blocks.BroadcastCells(cells)
+    laid = blocks.pack_cells(cells, 5, hot)
+    assert sorted(map(str, (r[0] for r in laid.feats.collect()))) == sorted(map(str, (r[0] for r in cells.select("feat").distinct().collect())))
+    got, want = (sums(x.weighted(w), "feat", "g") for x in (laid, plain))
+    assert got == pytest.approx(want, abs=1e-12)
+    got, want = (sums(x.products(vec), "id", "c") for x in (laid, plain))
+    assert got == pytest.approx({k: v for k, v in want.items() if v != 0.0}, abs=1e-12)
+    for df in (laid.weighted(w.where("id < 0")), laid.products(vec.where("feat = 'new'"))):
+        assert df.count() == 0
+    laid.drop()
+    empty = blocks.pack_cells(cells.where("id < 0"), 2)
+    assert empty.weighted(w).count() == empty.products(vec).count() == empty.feats.count() == 0
+    empty.drop()
+
+
+def test_a_trainer_moves_arrays_and_sorts_no_cells(spark):
+    """An iteration over packed cells exchanges a row a block and part, not one a block and word."""
+    points, cells = tables.labelled_points(spark, SMALL)
+    points, cells = points.select("id", "y"), logreg.cut_lineage(cells)
+    laid = logreg.laid_out(points, cells, 4, 100_000)
+    for df in (laid.products(logreg.zero_beta(cells)), laid.weighted(points.select("id", F.col("y").alias("w")))):
+        lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+        for name in laid.names[:2]:
+            at = next(k for k, x in enumerate(lines) if "FileScan" in x and name in x)
+            above = [x for x in lines[:at] if "CoGroups" in x or "Exchange" in x and len(x) - len(x.lstrip(" +-:")) < lines[at].index("FileScan")]
+            assert "CoGroups" in above[-1]
+    assert laid.cells.count() <= 4 * 5 and laid.parts.count() <= 4 * 5
+    twice = logreg.laid_out(points, cells.unionAll(cells), 4, 100_000)
+    assert twice.cells.count() == laid.cells.count()
+    for x in (laid, twice):
+        x.drop()
