@@ -10,7 +10,8 @@ however many features there are, and no vector of the length of the features
 leaves the cluster.  A step is two jobs: the gradient by feature, of which only
 the entry of largest size is fetched; and that feature's column, which moves the
 predictions.  The cells stay where they are or in their blocks
-(:mod:`.blocks`); only residuals move.
+(:mod:`.blocks`); only residuals move, and over the broadcast bound none of them
+through the driver.
 """
 
 from __future__ import annotations
@@ -72,7 +73,8 @@ def train_fw(points: DataFrame, cells: DataFrame, K: float = 100.0, max_iter: in
             feat, slope, entry = top
             column = laid.products(spark.createDataFrame([(feat, entry)], "feat STRING, value DOUBLE"))
             column = column.groupBy("id").agg(F.sum("c").alias("q"))
-            at = cut_lineage(at.join(column, "id", "left").select("id", "y", "p", (F.coalesce("q", F.lit(0.0)) - F.col("p")).alias("dq")))
+            # merged: predictions and columns do not pass through the driver, whatever their number
+            at = cut_lineage(at.join(column.hint("shuffle_merge"), "id", "left").select("id", "y", "p", (F.coalesce("q", F.lit(0.0)) - F.col("p")).alias("dq")))
             s = at.agg(F.sum(r * r).alias("rr"), F.sum(r * F.col("p")).alias("rp"), F.sum(r * F.col("dq")).alias("rd"),
                        F.sum(F.col("dq") * F.col("dq")).alias("dd")).first()
             gap = -2.0 * s["rp"] / n - entry * slope

@@ -158,3 +158,16 @@ def test_null_points_fail_in_the_gradient_check(spark):
         points = spark.createDataFrame([([1.0, 1.0], 1.0), row], "x ARRAY<DOUBLE>, y DOUBLE")
         with pytest.raises(Exception, match="nulls"):
             linreg_check(points, [1.0, 1.0]).collect()
+
+
+def test_sparse_frank_wolfe_sends_no_points_through_the_driver(spark, monkeypatch):
+    """Over the broadcast bound neither weights nor columns are broadcast, whatever their size; the model is the same."""
+    points, cells = tables.labelled_points(spark, SMALL)
+    cells = cut_lineage(cells)
+    want = sparse_linreg.train_fw(points, cells, K=20.0, max_iter=2, eps=1e-9)
+    plans, cut = [], sparse_linreg.cut_lineage
+    monkeypatch.setattr(sparse_linreg, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    fit = sparse_linreg.train_fw(points, cells, K=20.0, max_iter=2, eps=1e-9, blocks=3)
+    assert fit.atoms == pytest.approx(want.atoms, rel=1e-9)
+    assert len(plans) == 3 and not any("BroadcastHashJoin" in p for p in plans)
+    assert all("SortMergeJoin" in p for p in plans[1:])
