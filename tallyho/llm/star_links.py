@@ -16,7 +16,8 @@ the group's leader ``l``.  With ``D(x) = x ^ l`` two sets link only if
 link to ``l`` already.  So a pair must share one of the rarest ``|D| - o + 1``
 elements of both differences, ``o`` being half the right side at its least for
 the sizes of the two; the sizes of both are part of the key, and elements that
-no other component of the group has are counted but never looked up.  Edited copies of one text mostly
+no other component of the group has are counted but never looked up, and a class with more than ``m`` elements that no other
+class has links to none and is left out before.  Edited copies of one text mostly
 differ from it in words of their own, so most have no such element and are done.
 
 The new keys, each inside its group, go through the same again.  A group's
@@ -30,7 +31,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,23 +107,12 @@ def _similar(n: Column, o: Column, percent: int) -> Column:
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) of the pairs (a, b), by their whole sets."""
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            tokens = [batch.column(k) for k in (2, 3)]
-            flat = [np.asarray(t.flatten()) for t in tokens]
-            size = [np.asarray(t.value_lengths()) for t in tokens]
-            at = [np.append(0, np.cumsum(s)) for s in size]
-            both = np.array([len(np.intersect1d(flat[0][at[0][k]: at[0][k + 1]], flat[1][at[1][k]: at[1][k + 1]], assume_unique=True))
-                             for k in range(len(batch))], np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((100 + percent) * both >= percent * (size[0] + size[1]))],
-                                             ["a", "b", "linked"])
-
+    """(a, b, linked) of the pairs (a, b), by their whole sets, one pair at a
+    time: no batch of whole sets is held."""
     rows = (pairs.join(sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tb")), "b")
             .join(sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta")), "a"))
-    return rows.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, linked boolean")
+    both = F.size(F.array_intersect("ta", "tb")).cast("long")
+    return rows.select("a", "b", ((100 + percent) * both >= percent * (F.size("ta") + F.size("tb")).cast("long")).alias("linked"))
 
 
 def differences(rows: DataFrame, sets: DataFrame) -> DataFrame:
@@ -144,11 +133,18 @@ def difference_keys(found: DataFrame, comps: DataFrame, percent: int) -> DataFra
     """(key, cls, n, comp) from :func:`differences`, the keys of one class or
     component among them."""
     rows = with_components(found, comps).withColumn("size", F.size("d").cast("long"))
-    token = rows.select("l", "cls", "comp", F.explode("d").alias("token"))
-    count = token.groupBy("l", "token").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("first"), F.max("comp").alias("last"))
+    most = F.floor((100 - percent) * F.col("n") / percent)              # m(x, y) for any y
+    count = rows.select("l", "cls", "comp", F.explode("d").alias("token")).groupBy("l", "token").agg(
+        F.count(F.lit(1)).alias("df"), F.min("comp").alias("first"), F.max("comp").alias("last"), F.min("cls").alias("cls"))
+    count = written(count, "join-counts")
+    # a class with more elements of its own than linked sets may differ in links to none of the group
+    alone = count.where("df = 1").groupBy("l", "cls").agg(F.count(F.lit(1)).alias("alone"))
+    rows = rows.join(alone, ["l", "cls"], "left").where(F.coalesce("alone", F.lit(0)) <= most).drop("alone")
+    token = rows.select("l", "cls", F.explode("d").alias("token"))
     shared = token.join(count.where("first <> last").select("l", "token", "df"), ["l", "token"]).groupBy("l", "cls").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
     rows = rows.select("l", "cls", "n", "o", "comp", "size", _near_leader(percent).alias("near")).join(shared, ["l", "cls"])
+    rows = written(rows, "join-shared")
     # what a partner's sizes may be: cells of a hundredth of the leader's size, only those that the group has
     width = F.greatest(F.floor(F.col("o") / 100), F.lit(1))
     rows = rows.select("*", width.alias("width"), (F.col("size") - F.size("shared")).alias("own"))
@@ -156,7 +152,6 @@ def difference_keys(found: DataFrame, comps: DataFrame, percent: int) -> DataFra
     band = lambda c: F.floor(F.log(F.greatest(c, F.lit(1)).cast("double")) / BAND).cast("int")
     cells = rows.groupBy("l", band(F.col("cell.d") * F.col("width")).alias("band"), F.col("cell").alias("other")).agg(
         F.min("own").alias("least"))
-    most = F.floor((100 - percent) * F.col("n") / percent)              # m(x, y) for any y
     rows = rows.select("*", F.explode(F.sequence(band(F.col("size") - most - F.col("width")), band(F.col("size") + most))).alias("band"))
     rows = rows.join(cells, ["l", "band"])
     n_low, d_low = F.col("other.n") * F.col("width"), F.col("other.d") * F.col("width")

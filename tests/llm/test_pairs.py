@@ -1,11 +1,12 @@
 """Jaccard join, BWT dedup and decontamination against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 
-from tallyho.llm import bwt_dedup, decontaminate, jaccard_join, star_links
+from tallyho.llm import bwt_dedup, decontaminate, jaccard_join, star_links, superminhash
 from tests.llm import brute
 from tests.llm.conftest import odd_rows, prose, table
 
@@ -230,3 +231,41 @@ def test_one_block_at_a_time_is_on_the_driver(spark, monkeypatch):
         got = decontaminate.contamination(table(spark, rows), bench, block_bytes=block_bytes).collect()
         assert len(got) == 6 and all(r["n_items"] == 12 and r["contaminated"] for r in got)
     assert len(most) > 3 and max(most) <= 1
+
+
+def test_classes_that_can_link_to_none_meet_no_join(spark, monkeypatch):  # noqa: F811
+    """Of a group only classes whose own elements leave room for a link are joined with the counts of the group's
+    elements, however many the others are."""
+    common, sent = list(range(1, 31)), []
+    own = lambda k, n: [1000 * k + j for j in range(n)]
+    rows = [(0, k, 100, 100, common + own(k, 50)) for k in range(1, 41)] + [(0, k, 100, 100, common + own(k, 2)) for k in (41, 42)]
+    found = spark.createDataFrame(rows, "l long, cls long, n long, o long, d array<long>")
+    comps = spark.createDataFrame([], "cls long, comp long")
+    keep = star_links.written
+    monkeypatch.setattr(star_links, "written", lambda df, tag: sent.append((tag, keep(df, tag))) or sent[-1][1])
+    keys = star_links.needed_keys(star_links.difference_keys(found, comps, 80))
+    assert {r["cls"] for r in keys.collect()} == {41, 42}
+    assert {r["cls"] for r in dict(sent)["join-shared"].collect()} == {41, 42}
+
+
+def test_pairs_are_compared_one_by_one(spark):  # noqa: F811
+    """No Python worker holds a batch of whole sets."""
+    sets = spark.createDataFrame([(1, 10, list(range(10))), (2, 10, list(range(1, 11))), (3, 9, list(range(-9, 0)))], "cls long, n long, tokens array<long>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    for percent, linked in ((81, True), (82, False)):
+        found = star_links.compared(pairs, sets, percent)
+        assert {(r["a"], r["b"]): r["linked"] for r in found.collect()} == {(1, 2): linked, (1, 3): False}
+        assert "Arrow" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shards_take_little_memory():
+    """Of a large batch the temporaries of one shard stay below 100 MB."""
+    text = "".join(prose(k, 2_000) for k in range(60)) * 5
+    data = np.frombuffer(text.encode(), np.uint8)[:jaccard_join.SHARD_BYTES]
+    assert len(data) == jaccard_join.SHARD_BYTES == superminhash.SHARD_BYTES
+    cuts = np.arange(0, len(data) + 1, 4096)
+    tracemalloc.start()
+    superminhash.signatures(jaccard_join.row_sets(data, cuts, 4))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
