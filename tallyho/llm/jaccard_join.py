@@ -54,7 +54,7 @@ from tallyho.session import bounded_broadcast
 WORDS, PERCENT = 5, 80
 RARE = 64
 CROWD = 4
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -46,7 +46,7 @@ from tallyho.session import bounded_broadcast
 
 WORDS, PERCENT = 5, 80
 SLOTS, ROWS = 128, 4
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
