@@ -9,7 +9,11 @@ in at most ``m(x, y) = (100 - percent) (|x| + |y|) / (100 + percent)`` elements.
 in later rounds): the member that shares the most keys.  Members of one
 component need no further comparison.
 
-*Differences.*  Classes that meet in keys which still hold several components
+Where that leaves at most ``FEW`` members in several components, these are compared
+pair by pair, at most ``FEW / 2`` pairs a member, so that small keys do not chain
+texts of different kinds into one group with a leader far from most of them.
+
+*Differences.*  Classes that meet in larger keys which still hold several components
 form groups, and each class of a group is looked up again by its difference from
 the group's leader ``l``.  With ``D(x) = x ^ l`` two sets link only if
 ``2 |D(x) & D(y)| >= |D(x)| + |D(y)| - m(x, y)``, and that is above 0 unless both
@@ -39,6 +43,7 @@ from tallyho.session import bounded_broadcast
 
 BROADCAST_IDS = 500_000
 LEADERS = 8                     # of a key, after the first round
+FEW = 16                        # members of an open key that are compared with each other
 BAND = math.log(1.2)            # differences of sizes within 20 % are in one band
 
 
@@ -170,6 +175,15 @@ def difference_keys(found: DataFrame, comps: DataFrame, percent: int) -> DataFra
     return rows.select(key.alias("key"), "cls", "n", "comp")
 
 
+def few_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """The different pairs (a, b) of two components that meet in a key of
+    ``rows`` (key, cls, n, comp), for keys of bounded numbers of members."""
+    keyed = rows.groupBy("key").agg(F.collect_list(F.struct("cls", "n", "comp")).alias("m"))
+    pairs = keyed.select("m", F.explode("m").alias("a")).select("a", F.explode("m").alias("b"))
+    apart = (F.col("a.cls") < F.col("b.cls")) & (F.col("a.comp") != F.col("b.comp")) & _similar(F.col("a.n"), F.col("b.n"), percent)
+    return pairs.where(apart).select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct()
+
+
 def with_components(rows: DataFrame, comps: DataFrame) -> DataFrame:
     return rows.join(bounded_broadcast(comps, BROADCAST_IDS), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
 
@@ -184,8 +198,8 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         weight = members.groupBy("cls").agg(F.count(F.lit(1)).alias("w"))
         weighed = members.join(weight, "cls")
         turn = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("w"), "cls"))
-        lead = written(weighed.withColumn("turn", turn).where(F.col("turn") <= leaders).select(
-            "key", F.col("cls").alias("l"), F.col("n").alias("o")), "join-leaders")
+        lead = weighed.withColumn("turn", turn).where(F.col("turn") <= leaders).select("key", F.col("cls").alias("l"), F.col("n").alias("o"))
+        lead = written(lead, "join-leaders")
         pairs = members.join(lead, "key").where((F.col("cls") != F.col("l")) & _similar(F.col("n"), F.col("o"), percent)).select(
             F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b"))
         if comps is None:
@@ -197,20 +211,27 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             fresh = written(compared(apart.select("a", "b").distinct(), sets, percent), "join-checked")
             comps = more_components(comps, fresh.where("linked"))
         rest = weighed.join(lead.select("key", F.col("l").alias("cls")), ["key", "cls"], "left_anti")
-        rows = with_components(rest.select("key", "cls", "w"), comps)
+        rows = with_components(rest.select("key", "cls", "n", "w"), comps)
         leaders = LEADERS
-        still = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key", "x")
-        rows = written(rows.join(still, "key").select("cls", "w", "comp", "x").distinct(), "join-open")
+        still = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y")
+        rows = written(rows.join(still.select("key", "x", "c"), "key"), "join-open")
+        crowded = rows.where(F.col("c") > FEW)
         if rows.isEmpty():
             return comps
-        # components that meet in open keys; links between keys are few, those between classes many
-        group = components(rows.select(F.col("x").alias("a"), F.col("comp").alias("b")).distinct())
-        group = written(rows.select("cls", "w", "comp").distinct().join(
+        fresh = written(compared(few_pairs(rows.where(F.col("c") <= FEW), percent), sets, percent), "join-checked").where("linked").select("a", "b")
+        if crowded.isEmpty():
+            return more_components(comps, fresh)
+        # components that meet in crowded keys; links between keys are few, those between classes many
+        met = crowded.select("cls", "w", "comp", "x").distinct()
+        met = written(met, "join-met")
+        group = components(met.select(F.col("x").alias("a"), F.col("comp").alias("b")))
+        group = written(met.select("cls", "w", "comp").distinct().join(
             group.select(F.col("cls").alias("comp"), F.col("comp").alias("group")), "comp"), "join-groups")
         lead = group.groupBy("group").agg(F.max_by("cls", F.struct("w", "cls")).alias("l"))
         far = group.join(lead, "group").where("cls <> l").select("l", "cls")
         found = written(differences(far, sets), "join-differences")
-        comps = more_components(comps, found.where(_near_leader(percent)).select(F.col("l").alias("a"), F.col("cls").alias("b")))
+        near = found.where(_near_leader(percent)).select(F.col("l").alias("a"), F.col("cls").alias("b"))
+        comps = more_components(comps, fresh.unionAll(near))
         posted = written(difference_keys(found, comps, percent), "join-keys")
         members = written(needed_keys(posted).select("key", "cls", "n"), "join-members")
         if members.isEmpty():

@@ -56,6 +56,29 @@ def test_pair_keys_are_bounded(spark):
     assert len(got) == len(set(got))
 
 
+def test_small_keys_chain_no_group(spark, monkeypatch):
+    """Small keys are settled by pairs: texts of other kinds are not compared
+    by their differences from a leader that is far from all of them."""
+    family = {k: set(range(100)) - set(range(k, k + 15)) | {1000 * k + 100 + j for j in range(15)} for k in range(1, 41)}
+    others = {100 + k: {-1000 * k - j for j in range(200)} for k in range(40)}
+    others[300], others[301] = {10 ** 6 + j for j in range(50)}, {10 ** 6 + j for j in range(2, 52)}
+    sets = family | others
+    keys = {1: list(family), 2: [100, 300, 301]}
+    for k in range(40):
+        for step in (1, 2, 3):
+            keys[10 * k + 20 + step] = [100 + k, 100 + (k + step) % 40, k + 1]
+    found = []
+    plain = star_links.differences
+    monkeypatch.setattr(star_links, "differences", lambda rows, *a: found.extend(rows.collect()) or plain(rows, *a))
+    members = spark.createDataFrame([(k, c, len(sets[c])) for k, cs in keys.items() for c in cs], "key long, cls long, n long")
+    whole = spark.createDataFrame([(c, len(s), sorted(s)) for c, s in sets.items()], "cls long, n long, tokens array<long>")
+    comps = {r["cls"]: r["comp"] for r in star_links.link_classes(members, whole, 80).collect()}
+    links = {frozenset((a, b)) for cs in keys.values() for a in cs for b in cs if a < b and 180 * len(sets[a] & sets[b]) >= 80 * (
+        len(sets[a]) + len(sets[b]))}
+    assert {frozenset(c for c in comps if comps[c] == g) for g in comps.values()} == links == {frozenset((300, 301))}
+    assert found and {r["cls"] for r in found} <= set(family)
+
+
 def test_chain_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 40)] + [(100, 99)], "a long, b long")
     got = {r["cls"]: r["comp"] for r in star_links.components(edges).collect()}
