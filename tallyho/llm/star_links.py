@@ -44,9 +44,15 @@ from tallyho.session import bounded_broadcast
 BROADCAST_IDS = 500_000
 LEADERS = 8                     # of a key, after the first round
 FEW = 16                        # members of an open key that are compared with each other
+TASK_ROWS = 1 << 14             # rows of ids worth a task of their own
 BAND = math.log(1.2)            # differences of sizes within 20 % are in one band
 
 
+def few_tasks(rows: DataFrame, most: int) -> DataFrame:
+    """``rows``, at most ``most`` of them, in no more partitions than they need."""
+    return rows.coalesce(-(-most // TASK_ROWS) or 1)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(cls, comp): the smallest id reachable, for every id with an edge to
     another one.
@@ -57,25 +63,29 @@ def components(edges: DataFrame) -> DataFrame:
     whose ends agree are gone.  So each round's edges are fewer, a star needs two
     rounds, and every round is a written table.  Then the rounds are put together
     from the last one, and each component is named by its smallest id."""
-    ends = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "join-edges")
-    rounds = []
+    ends = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    ends = written(few_tasks(ends, edges.count()), "join-edges")
+    n, rounds, sizes = ends.count(), [], []
     while True:
         both = ends.select("a", "b").unionAll(ends.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = both.groupBy(F.col("a").alias("cls")).agg(F.min_by("b", F.xxhash64("b")).alias("b"))
-        rounds.append(written(first.select("cls", F.when(F.xxhash64("b") < F.xxhash64("cls"), F.col("b")).otherwise(F.col("cls")).alias("up")),
-                              "join-labels"))
+        up = first.select("cls", F.when(F.xxhash64("b") < F.xxhash64("cls"), F.col("b")).otherwise(F.col("cls")).alias("up"))
+        rounds.append(written(few_tasks(up, 2 * n), "join-labels"))
+        sizes.append(2 * n)
         side = bounded_broadcast(rounds[-1], BROADCAST_IDS)
         end = lambda c: side.select(F.col("cls").alias(c), F.col("up").alias(f"up{c}"))
         moved = ends.join(end("a"), "a").join(end("b"), "b").select(F.least("upa", "upb").alias("a"), F.greatest("upa", "upb").alias("b"))
-        ends = written(moved.where("a <> b").distinct(), "join-edges")
-        if ends.isEmpty():
+        ends = written(few_tasks(moved.where("a <> b").distinct(), n), "join-edges")
+        n = ends.count()
+        if not n:
             break
     found = rounds.pop()
     while rounds:
         later = bounded_broadcast(found, BROADCAST_IDS).select(F.col("cls").alias("up"), F.col("up").alias("top"))
-        found = written(rounds.pop().join(later, "up", "left").select("cls", F.coalesce("top", "up").alias("up")), "join-labels")
+        found = rounds.pop().join(later, "up", "left").select("cls", F.coalesce("top", "up").alias("up"))
+        found = written(few_tasks(found, sizes[len(rounds)]), "join-labels")
     least = found.groupBy("up").agg(F.min("cls").alias("comp"))
-    return written(found.join(least, "up").select("cls", "comp"), "join-labels")
+    return written(few_tasks(found.join(least, "up").select("cls", "comp"), sizes[0]), "join-labels")
 
 
 def more_components(known: DataFrame, edges: DataFrame) -> DataFrame:
@@ -85,7 +95,7 @@ def more_components(known: DataFrame, edges: DataFrame) -> DataFrame:
     end = lambda c: side.select(F.col("cls").alias(c), F.col("comp").alias(f"c{c}"))
     ends = edges.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
-    ends = written(ends.distinct(), "join-edges")
+    ends = written(ends, "join-edges")
     if ends.isEmpty():
         return known
     labels = components(ends)
@@ -195,11 +205,12 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     (cls, n, tokens: sorted array of different longs), one row a class."""
     comps, leaders = None, 1
     while True:
+        most = members.count()
         weight = members.groupBy("cls").agg(F.count(F.lit(1)).alias("w"))
         weighed = members.join(weight, "cls")
         turn = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("w"), "cls"))
         lead = weighed.withColumn("turn", turn).where(F.col("turn") <= leaders).select("key", F.col("cls").alias("l"), F.col("n").alias("o"))
-        lead = written(lead, "join-leaders")
+        lead = written(few_tasks(lead, most), "join-leaders")
         pairs = members.join(lead, "key").where((F.col("cls") != F.col("l")) & _similar(F.col("n"), F.col("o"), percent)).select(
             F.least("l", "cls").alias("a"), F.greatest("l", "cls").alias("b"))
         if comps is None:
@@ -214,7 +225,7 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         rows = with_components(rest.select("key", "cls", "n", "w"), comps)
         leaders = LEADERS
         still = rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y")
-        rows = written(rows.join(still.select("key", "x", "c"), "key"), "join-open")
+        rows = written(few_tasks(rows.join(still.select("key", "x", "c"), "key"), most), "join-open")
         crowded = rows.where(F.col("c") > FEW)
         if rows.isEmpty():
             return comps
@@ -223,16 +234,16 @@ def link_classes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             return more_components(comps, fresh)
         # components that meet in crowded keys; links between keys are few, those between classes many
         met = crowded.select("cls", "w", "comp", "x").distinct()
-        met = written(met, "join-met")
+        met = written(few_tasks(met, most), "join-met")
         group = components(met.select(F.col("x").alias("a"), F.col("comp").alias("b")))
-        group = written(met.select("cls", "w", "comp").distinct().join(
-            group.select(F.col("cls").alias("comp"), F.col("comp").alias("group")), "comp"), "join-groups")
+        group = written(few_tasks(met.select("cls", "w", "comp").distinct().join(
+            group.select(F.col("cls").alias("comp"), F.col("comp").alias("group")), "comp"), most), "join-groups")
         lead = group.groupBy("group").agg(F.max_by("cls", F.struct("w", "cls")).alias("l"))
         far = group.join(lead, "group").where("cls <> l").select("l", "cls")
         found = written(differences(far, sets), "join-differences")
         near = found.where(_near_leader(percent)).select(F.col("l").alias("a"), F.col("cls").alias("b"))
         comps = more_components(comps, fresh.unionAll(near))
         posted = written(difference_keys(found, comps, percent), "join-keys")
-        members = written(needed_keys(posted).select("key", "cls", "n"), "join-members")
+        members = written(few_tasks(needed_keys(posted).select("key", "cls", "n"), posted.count()), "join-members")
         if members.isEmpty():
             return comps

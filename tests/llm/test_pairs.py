@@ -79,6 +79,23 @@ def test_small_keys_chain_no_group(spark, monkeypatch):
     assert found and {r["cls"] for r in found} <= set(family)
 
 
+def test_components_take_few_tasks(spark, monkeypatch):
+    """Tables of a few ids are not written by a task for every shuffle partition."""
+    tables, plain = [], star_links.written
+    monkeypatch.setattr(star_links, "written", lambda *a: tables.append(plain(*a)) or tables[-1])
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = star_links.components(spark.createDataFrame([(k, k + 1) for k in range(300)], "a long, b long")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == 301 and {r["comp"] for r in got} == {0}
+    assert tables and max(len(t.inputFiles()) for t in tables) == 1
+
+
 def test_chain_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 40)] + [(100, 99)], "a long, b long")
     got = {r["cls"]: r["comp"] for r in star_links.components(edges).collect()}
